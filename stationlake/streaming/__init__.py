@@ -1,0 +1,6 @@
+"""Left empty on purpose: the capabilities rebuilt here are batch only.
+
+Sources revise the *same* yearly file in place, which Spark's file stream does not read again, so
+refreshes go through the manifest in ``stationlake.sources.landing`` and the keyed publish in
+``stationlake.operators.serving``.
+"""

@@ -1,0 +1,80 @@
+"""Run registered queries against DuckDB on the same tables; the same comparison as the gate's."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import sys
+import time
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    if isinstance(value, dt.datetime):
+        return value.replace(tzinfo=None).isoformat()
+    return value if value is None else str(value)
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(
+        (tuple(_plain(r[i]) for i in order) for r in rows),
+        key=lambda r: tuple("" if v is None else "x" + v for v in r),
+    )
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def differences(df, con, sql: str) -> list[str]:
+    """Empty when columns, row count and values agree."""
+    got = df.collect()
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    want = cursor.fetchall()
+    if sorted(names) != sorted(df.columns):
+        return [f"columns {sorted(df.columns)} against {sorted(names)}"]
+    mine, theirs = _rows(df.columns, got), _rows(names, want)
+    found = [] if len(mine) == len(theirs) else [f"{len(mine)} rows against {len(theirs)}"]
+    found += [f"{a} against {b}" for a, b in zip(mine, theirs) if a != b][:3]
+    if not mine:
+        found.append("no rows")
+    return found
+
+
+def main(sf_dir: str, only: list[str]) -> int:
+    import __spark_entry__ as driver
+    from stationlake.session import local_session
+
+    spark = local_session()
+    con = connect(sf_dir)
+    sql = driver.oracle_sql()
+    bad = 0
+    for name, query in driver.queries().items():
+        if only and name not in only:
+            continue
+        start = time.time()
+        try:
+            found = differences(query(spark, sf_dir), con, sql[name])
+        except Exception as problem:  # noqa: BLE001 - report and go on
+            found = [f"{type(problem).__name__}: {str(problem)[:600]}"]
+        bad += bool(found)
+        print(f"{"DIFF" if found else 'ok  '} {name} {time.time() - start:.1f}s", *found, sep="\n     " if found else " ")
+    print("differences:", bad)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1], sys.argv[2:]))
