@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stationlake.catalog.registry import registered, table
 from stationlake.functions import cells, clock
 from stationlake.operators import keys, profile
+from stationlake.operators.cleaning import clean_readings, stamp
 from stationlake.operators.reshape import unpivot_measures
 
 _BALANCE_TEXT = """CASE c_mktsegment WHEN 'BUILDING' THEN 'bad-value' WHEN 'MACHINERY' THEN ''
@@ -31,8 +32,7 @@ def _balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT c_custkey, {_BALANCE_TEXT} AS cell FROM customer)""",
 )
 def clean_negative_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = cells.drop_negative(cells.to_number(F.col("cell")))
-    return _balances(spark, sf_dir).select("c_custkey", value.alias("value"))
+    return clean_readings(_balances(spark, sf_dir))
 
 
 @registered(
@@ -145,11 +145,12 @@ parsed AS (SELECT o_orderkey, time_text, {_PARSED_DATE_SQL} AS day FROM texts)
 SELECT o_orderkey,
        CASE WHEN time_text = '24:00' THEN CAST(day + INTERVAL 1 DAY AS TIMESTAMP)
             ELSE CAST(CAST(day AS VARCHAR) || ' ' || time_text AS TIMESTAMP) END AS recorded_at
-FROM parsed""",
+FROM parsed WHERE day IS NOT NULL""",
 )
 def ts_midnight_rollover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    moment = clock.at_clock(clock.parse_date(F.col("date_text")), F.col("time_text"))
-    return _dated_orders(spark, sf_dir).select("o_orderkey", moment.alias("recorded_at"))
+    """Orders without a readable date have no timestamp and drop out."""
+    stamped = stamp(_dated_orders(spark, sf_dir), "date_text", "time_text")
+    return stamped.select("o_orderkey", "recorded_at")
 
 
 _LINE_MEASURES = {

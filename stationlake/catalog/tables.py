@@ -10,6 +10,7 @@ from stationlake.catalog import adapters
 from stationlake.catalog.metrics import ROUNDED_WEATHER_SQL, WEATHER_MEANS, rounded
 from stationlake.catalog.registry import registered, table
 from stationlake.functions.clock import hour_floor
+from stationlake.operators.cleaning import clean_readings
 from stationlake.operators import daily, keys, layout, serving
 from stationlake.plans.run import SERVING_TABLES
 from stationlake.session import scratch_dir
@@ -161,8 +162,9 @@ def export_csv_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exported rows read back with ``\\N`` as NULL."""
     path = scratch_dir(spark, "export")
     text = adapters.text_readings(spark, sf_dir).select("event_id", "pollutant", "cell")
-    value = adapters.drop_negative(adapters.to_number(F.col("cell")))
-    rows = text.select("event_id", "pollutant", value.alias("value"), "cell")
+    rows = clean_readings(text.withColumn("delivered", F.col("cell")), "delivered").select(
+        "event_id", "pollutant", "value", "cell"
+    )
     layout.export_csv(rows, path)
     return (
         spark.read.schema("event_id bigint, pollutant string, value double, cell string")
@@ -184,11 +186,11 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         F.year("l_shipdate").alias("source_year"), "l_returnflag", "l_quantity"
     )
-    layout.replace_partitions(lines, path, ["source_year"])
+    layout.replace_partitions(lines, path, ["source_year"], ["l_returnflag"])
     redelivered = lines.where(F.col("source_year") >= 2000).withColumn(
         "l_quantity", F.col("l_quantity") + 100
     )
-    layout.replace_partitions(redelivered, path, ["source_year"])
+    layout.replace_partitions(redelivered, path, ["source_year"], ["l_returnflag"])
     return (
         spark.read.parquet(path)
         .groupBy("source_year", "l_returnflag")
@@ -206,7 +208,7 @@ def src_parquet_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table partitioned by year, read for one year and two columns."""
     path = scratch_dir(spark, "orders")
     orders = table(spark, sf_dir, "orders").withColumn("order_year", F.year("o_orderdate"))
-    layout.replace_partitions(orders, path, ["order_year"])
+    layout.replace_partitions(orders, path, ["order_year"], ["o_orderdate"])
     return (
         spark.read.parquet(path)
         .where(F.col("order_year") == 1997)

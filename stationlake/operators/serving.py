@@ -9,6 +9,7 @@ replace this module behind the same two functions.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from stationlake.operators.layout import as_table, balanced_files
 from stationlake.session import path_exists
 
 COMMIT_SCHEMA = "partition string, data_version int, version int"
+COMMIT_SCHEMA_FIELDS = "partition: string, data_version: int, version: int"
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,10 +91,14 @@ def publish(
         .parquet(f"{path}/data/version={version}")
     )
     listing = {**folders, **dict.fromkeys(touched, version)}
-    rows = [(folder, v, version) for folder, v in sorted(listing.items())]
+    rows = [
+        {"partition": folder, "data_version": v, "version": version}
+        for folder, v in sorted(listing.items())
+    ]
+    commit = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{COMMIT_SCHEMA_FIELDS}>>")
     (
-        spark.createDataFrame(rows, COMMIT_SCHEMA)
-        .coalesce(1)
+        spark.range(1, numPartitions=1)
+        .select(F.inline(commit))
         .write.mode("errorifexists")
         .json(f"{path}/commits/commit={version}")
     )

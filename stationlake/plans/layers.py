@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake import schemas
-from stationlake.functions.cells import drop_negative, is_nonblank, to_number
+from stationlake.functions.cells import is_nonblank
 from stationlake.functions.clock import at_clock, parse_date
 from stationlake.operators import daily, enrich
+from stationlake.operators.cleaning import clean_readings, stamp
 from stationlake.operators.reshape import unpivot_measures
 
 
@@ -33,20 +34,15 @@ def silver_readings(
     The timestamp is computed once per wide row, before the rows are multiplied. ``year`` is the
     year of the file, so the last hour of 31 December keeps the year it was delivered in.
     """
-    day = F.col(schemas.DATE_COLUMN)
-    moment = at_clock(parse_date(day), F.col(schemas.TIME_COLUMN), strict)
-    stamped = (
-        bronze.where(is_nonblank(day))
-        .withColumn("recorded_at", moment)
-        .where(F.col("recorded_at").isNotNull())
-    )
+    dated = bronze.where(is_nonblank(F.col(schemas.DATE_COLUMN)))
+    stamped = stamp(dated, schemas.DATE_COLUMN, schemas.TIME_COLUMN, strict=strict)
     ids = ["recorded_at", "site_name", "source_year", "source_file"]
     long = unpivot_measures(stamped, ids, measures, value_column="cell")
-    return long.select(
+    return clean_readings(long, nan_policy=nan_policy).select(
         "recorded_at",
         "site_name",
         "pollutant",
-        drop_negative(to_number(F.col("cell"), nan_policy)).alias("value"),
+        "value",
         F.lit(unit).alias("unit"),
         F.col("source_year").cast("int").alias("year"),
         "source_file",

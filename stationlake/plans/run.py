@@ -12,7 +12,8 @@ from stationlake import schemas
 from stationlake.errors import RawFileRejected
 from stationlake.operators import expect, layout, serving
 from stationlake.plans import layers
-from stationlake.sources import checks, files, station_csv, weather_json
+from stationlake.session import path_exists
+from stationlake.sources import checks, files, landing, station_csv, weather_json
 
 
 @dataclass(frozen=True)
@@ -33,10 +34,55 @@ class Lake:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
 
-def _reject(report: DataFrame, what: str) -> None:
+def _landing_report(
+    spark: SparkSession, lake: Lake, table: str, report: DataFrame
+) -> DataFrame:
+    """Store the per-file report of this run and return it; raise when a file is rejected.
+
+    The payloads are read once for it. A rejected delivery does not replace the stored report.
+    """
+    path = lake.path("landing", table)
+    delivered = f"{path}_delivered"
+    report.write.mode("overwrite").parquet(delivered)
+    report = spark.read.parquet(delivered)
     bad = report.where("problem IS NOT NULL").select("path", "problem").take(5)
     if bad:
-        raise RawFileRejected(f"{what}: " + ", ".join(f"{r.path}: {r.problem}" for r in bad))
+        raise RawFileRejected(
+            f"{table}: " + ", ".join(f"{r['path']}: {r['problem']}" for r in bad)
+        )
+    layout.replace_partitions(report, path, ["source_year"])
+    return report
+
+
+def changed_years(
+    spark: SparkSession, lake: Lake, as_of_year: int, table: str = "readings"
+) -> list[int]:
+    """File years whose content differs from what landed before, oldest first.
+
+    Old files of unchanged size are not opened. The others are compared by SHA-256.
+    """
+    raw, pattern, check = {
+        "readings": (lake.raw_readings, lake.readings_pattern, checks.csv_report),
+        "weather": (lake.raw_weather, lake.weather_pattern, checks.weather_report),
+    }[table]
+    listing = files.require_files(spark, raw, pattern)
+    stored = lake.path("landing", table)
+    if path_exists(spark, stored):
+        landed = spark.read.parquet(stored).select("path", "length", "sha256")
+    else:
+        landed = spark.createDataFrame([], "path string, length bigint, sha256 string")
+    plan = landing.sync_plan(listing, landed, as_of_year)
+    years = _years(plan.where(F.col("action") == "fetch"))
+    if not years:
+        return []
+    delivered = check(files.payloads(spark, files.year_folders(raw, years), pattern))
+    status = landing.landing_plan(delivered.select("path", "source_year", "sha256"), landed)
+    return _years(status.where(F.col("status") == "uploaded"))
+
+
+def _years(files_frame: DataFrame) -> list[int]:
+    rows = files_frame.select("source_year").distinct().collect()  # one row per file year
+    return sorted(r["source_year"] for r in rows)
 
 
 def build_bronze_readings(
@@ -44,17 +90,12 @@ def build_bronze_readings(
 ) -> dict:
     """Validate and read the station files; replace the bronze partitions of their years.
 
-    The payloads are read once for the report. The report has one row per file and is kept as a
-    table, as both the rejection check and the reader use it.
+    The per-file report decides on acceptance and tells the reader the layout of each file.
     """
     files.require_files(spark, lake.raw_readings, lake.readings_pattern)
     folders = files.year_folders(lake.raw_readings, years)
-    report_path = lake.path("bronze", "landing_report")
-    checks.csv_report(files.payloads(spark, folders, lake.readings_pattern)).write.mode(
-        "overwrite"
-    ).parquet(report_path)
-    report = spark.read.parquet(report_path)
-    _reject(report, "station files")
+    landed = files.payloads(spark, folders, lake.readings_pattern)
+    report = _landing_report(spark, lake, "readings", checks.csv_report(landed))
     rows = station_csv.read_station_csv(spark, report, lake.raw_readings)
     good = station_csv.data_rows(rows)
     if "site" in good.columns:
@@ -78,10 +119,13 @@ def build_bronze_weather(
 ) -> dict:
     """Check and flatten the weather documents; replace the bronze partitions of their years."""
     files.require_files(spark, lake.raw_weather, lake.weather_pattern)
+    folders = files.year_folders(lake.raw_weather, years)
+    landed = files.payloads(spark, folders, lake.weather_pattern)
+    # The arrays must be checked before they are zipped into rows.
+    _landing_report(spark, lake, "weather", checks.weather_report(landed))
     documents = weather_json.read_weather_documents(
         spark, lake.raw_weather, lake.weather_pattern, years
     )
-    weather_json.require_sound_documents(documents)
     rows = layers.with_lineage(
         weather_json.flatten_documents(documents),
         city=lake.city,

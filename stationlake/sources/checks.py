@@ -19,8 +19,9 @@ from stationlake.functions.fingerprint import canonical_json
 _COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def _cells(line: Column) -> Column:
-    return F.transform(F.split(line, _COMMA, -1), lambda c: F.btrim(c, F.lit('"')))
+def _cells(line: Column, limit: Column | int = -1) -> Column:
+    """Cells of a line; with ``limit``, the last one holds the rest of the line."""
+    return F.transform(F.split(line, _COMMA, limit), lambda c: F.btrim(c, F.lit('"')))
 
 
 def _within(files: DataFrame, max_bytes: int) -> tuple[DataFrame, DataFrame]:
@@ -53,66 +54,77 @@ def csv_report(
     """
     small, large = _within(files, max_bytes)
     raw = F.col("content").cast("string")
-    lines = F.col("lines")
-    read = (
+    lines, date_at = F.col("lines"), F.col("date_at")
+    start = F.ltrim(F.lower(F.substring("text", 1, 4096)))
+    missing = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))
+    opened = (
         small.withColumn("utf8", F.is_valid_utf8(raw))
         .withColumn(
             "text",
             F.when(F.col("utf8"), raw).otherwise(F.decode(F.col("content"), "ISO-8859-1")),
         )
-        .withColumn("text", F.regexp_replace("text", "^﻿", ""))
+        .withColumn("text", F.regexp_replace("text", "^\ufeff", ""))
         .withColumn("lines", F.split(F.regexp_replace("text", "(\r?\n)$", ""), "\r?\n", -1))
         .withColumn("header", _cells(F.try_element_at(lines, F.lit(preamble_lines + 1))))
-        .withColumn("date_at", F.array_position("header", date_column).cast("int"))
+        .withColumn(
+            "problem",
+            _first_problem(
+                empty=F.col("length") == 0,
+                html=start.startswith("<!doctype html") | start.startswith("<html"),
+                no_data_rows=F.size(lines) < preamble_lines + 2,
+                preamble=~F.try_element_at(lines, F.lit(1)).startswith(first_line),
+                missing_columns=F.size(missing) > 0,
+            ),
+        )
+    )
+    # Rows are only taken apart in files that look like station files so far.
+    body = F.slice(lines, preamble_lines + 2, F.greatest(F.size(lines), F.lit(1)))
+    counted = (
+        opened.withColumn("date_at", F.array_position("header", date_column).cast("int"))
         .withColumn(
             "rows",
-            F.filter(
-                F.slice(lines, preamble_lines + 2, F.greatest(F.size(lines), F.lit(1))),
-                lambda line: line.rlike(r'[^,"\s]'),
+            F.when(
+                F.col("problem").isNull(), F.filter(body, lambda line: line.rlike(r'[^,"\s]'))
             ),
         )
+        .withColumn("firsts", F.transform("rows", lambda line: _cells(line, date_at + 1)))
         .withColumn(
             "dates",
             F.transform(
-                "rows",
-                lambda line: parse_date(
-                    F.try_element_at(_cells(line), F.greatest(F.col("date_at"), F.lit(1))),
-                    day_first_only=True,
-                ),
+                "firsts",
+                lambda cells: parse_date(F.try_element_at(cells, date_at), day_first_only=True),
             ),
         )
+        .select(
+            "path",
+            "source_year",
+            "length",
+            F.sha2("content", 256).alias("sha256"),
+            F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
+            "header",
+            F.slice(lines, 1, preamble_lines).alias("preamble"),
+            F.size("rows").cast("bigint").alias("row_count"),
+            F.array_max("dates").alias("latest_date"),
+            F.size(F.filter("dates", lambda d: d.isNull())).alias("bad_dates"),
+            F.size(F.filter("dates", lambda d: F.year(d) != F.col("source_year"))).alias(
+                "wrong_year"
+            ),
+            F.size(F.filter("firsts", lambda cells: F.size(cells) < date_at)).alias("short_rows"),
+            "problem",
+        )
     )
-    counted = read.select(
-        "path",
-        "source_year",
-        "length",
-        F.sha2("content", 256).alias("sha256"),
-        F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
-        "header",
-        F.slice(lines, 1, preamble_lines).alias("preamble"),
-        F.size("rows").cast("bigint").alias("row_count"),
-        F.array_max("dates").alias("latest_date"),
-        F.size(F.filter("dates", lambda d: d.isNull())).alias("bad_dates"),
-        F.size(F.filter("dates", lambda d: F.year(d) != F.col("source_year"))).alias("wrong_year"),
-        F.size(F.filter("rows", lambda r: F.size(_cells(r)) < F.col("date_at"))).alias("short_rows"),
-        F.ltrim(F.lower(F.substring("text", 1, 4096))).alias("start"),
-        F.size(lines).alias("line_count"),
-    )
-    missing = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))
     judged = counted.withColumn(
         "problem",
-        _first_problem(
-            empty=F.col("length") == 0,
-            html=F.col("start").startswith("<!doctype html") | F.col("start").startswith("<html"),
-            no_data_rows=F.col("line_count") < preamble_lines + 2,
-            preamble=~F.try_element_at("preamble", F.lit(1)).startswith(first_line),
-            missing_columns=F.size(missing) > 0,
-            short_row=F.col("short_rows") > 0,
-            bad_date=F.col("bad_dates") > 0,
-            wrong_year=F.col("wrong_year") > 0,
-            no_valid_rows=F.col("row_count") == 0,
+        F.coalesce(
+            "problem",
+            _first_problem(
+                short_row=F.col("short_rows") > 0,
+                bad_date=F.col("bad_dates") > 0,
+                wrong_year=F.col("wrong_year") > 0,
+                no_valid_rows=F.col("row_count") == 0,
+            ),
         ),
-    ).drop("start", "line_count")
+    )
     oversized = large.select("path", "source_year", "length", F.lit("too_large").alias("problem"))
     return _settled(judged).unionByName(oversized, allowMissingColumns=True)
 

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
-from stationlake.errors import RawFileRejected
-from stationlake.sources.checks import weather_problems
 from stationlake.sources.files import year_folders
 
 
@@ -27,20 +25,8 @@ def read_weather_documents(
     )
 
 
-def require_sound_documents(documents: DataFrame) -> None:
-    """Raise when a document lacks a field, or its arrays differ in length."""
-    bad = (
-        weather_problems(documents)
-        .where("problem IS NOT NULL")
-        .select("source_file", "problem")
-        .take(5)
-    )
-    if bad:
-        raise RawFileRejected(", ".join(f"{r.source_file}: {r.problem}" for r in bad))
-
-
 def flatten_documents(documents: DataFrame) -> DataFrame:
-    """One row per array position. All other columns of ``documents`` are repeated on each row."""
+    """One row per array position. Check the arrays first (``weather_problems``). All other columns of ``documents`` are repeated on each row."""
     arrays = [F.col(f"hourly.{name}") for name in schemas.WEATHER_ARRAYS]
     rest = [c for c in documents.columns if c != "hourly"]
     flat = documents.select(*rest, F.inline(F.arrays_zip(*arrays)))
