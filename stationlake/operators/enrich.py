@@ -38,6 +38,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> li
         .agg(F.count(F.lit(1)).alias("n"))
     )
     top = counted.orderBy(F.desc("n")).limit(int(1 / share)).collect()
+    if not top:
+        return []
     total = seen.get["rows"]
     return [tuple(r[k] for k in keys) for r in top if r["n"] >= share * total]
 

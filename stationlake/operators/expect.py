@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 from stationlake.errors import QualityGateFailed
 
 
+Measured = Callable[[str], Column]
+
+
 @dataclass(frozen=True)
 class Expectation:
-    """``measures`` are aggregate columns; ``observed`` and ``passed`` are built from their names."""
+    """``measures`` are aggregates over the table. ``judge`` gets access to their results by name and
+    returns (observed, passed)."""
 
     name: str
     measures: dict[str, Column]
-    observed: Column
-    passed: Column
+    judge: Callable[[Measured], tuple[Column, Column]]
 
 
 @dataclass
@@ -33,21 +36,27 @@ class Suite:
         return self
 
     def results(self) -> DataFrame:
-        """One row per expectation: suite, expectation, observed, passed."""
-        measures: dict[str, Column] = {}
-        for check in self.expectations:
-            measures.update(check.measures)
-        row = self.table.agg(*[c.alias(n) for n, c in measures.items()])
-        verdicts = [
-            F.struct(
-                F.lit(self.name).alias("suite"),
-                F.lit(check.name).alias("expectation"),
-                check.observed.cast("double").alias("observed"),
-                F.coalesce(check.passed, F.lit(False)).alias("passed"),
-            )
-            for check in self.expectations
+        """One row per expectation: suite, expectation, observed, passed.
+
+        Spark computes an aggregate that several expectations need only once.
+        """
+        measures = [
+            column.alias(f"{position}_{name}")
+            for position, check in enumerate(self.expectations)
+            for name, column in check.measures.items()
         ]
-        return row.select(F.inline(F.array(*verdicts)))
+        verdicts = []
+        for position, check in enumerate(self.expectations):
+            observed, passed = check.judge(lambda name, at=position: F.col(f"{at}_{name}"))
+            verdicts.append(
+                F.struct(
+                    F.lit(self.name).alias("suite"),
+                    F.lit(check.name).alias("expectation"),
+                    observed.cast("double").alias("observed"),
+                    F.coalesce(passed, F.lit(False)).alias("passed"),
+                )
+            )
+        return self.table.agg(*measures).select(F.inline(F.array(*verdicts)))
 
 
 def _inside(value: Column, low: float | None, high: float | None) -> Column:
@@ -61,12 +70,13 @@ def _inside(value: Column, low: float | None, high: float | None) -> Column:
 
 def _share_of(name: str, good: Column, judged: Column, mostly: float) -> Expectation:
     """At least ``mostly`` of the judged rows are good. No judged rows: nothing contradicts it."""
-    n_good, n_judged = f"{name}:good", f"{name}:judged"
     return Expectation(
         name,
-        {n_good: F.count_if(judged & good), n_judged: F.count_if(judged)},
-        F.col(f"`{n_judged}`") - F.col(f"`{n_good}`"),
-        F.col(f"`{n_good}`") >= F.lit(float(mostly)) * F.col(f"`{n_judged}`"),
+        {"good": F.count_if(judged & good), "judged": F.count_if(judged)},
+        lambda m: (
+            m("judged") - m("good"),
+            m("good") >= F.lit(float(mostly)) * m("judged"),
+        ),
     )
 
 
@@ -101,40 +111,37 @@ def row_count_of_grid(keys: Sequence[str], floor: float = 0.95) -> Expectation:
 
     The grid is the product of the distinct counts of ``keys``, taken from the same table.
     """
-    name = f"row_count_of_grid({','.join(keys)})"
-    distinct = {f"distinct:{k}": F.count_distinct(F.col(k)) for k in keys}
-    grid = functools.reduce(lambda a, b: a * b, [F.col(f"`{n}`") for n in distinct])
-    rows = F.col("`rows`")
+
+    def judge(m: Measured) -> tuple[Column, Column]:
+        grid = functools.reduce(lambda a, b: a * b, [m(f"distinct_{k}") for k in keys])
+        least = F.floor(grid.cast("double") * F.lit(floor))
+        return m("rows"), (m("rows") >= least) & (m("rows") <= grid)
+
+    distinct = {f"distinct_{k}": F.count_distinct(F.col(k)) for k in keys}
     return Expectation(
-        name,
-        {"rows": F.count(F.lit(1)), **distinct},
-        rows,
-        (rows >= F.floor(grid.cast("double") * F.lit(floor))) & (rows <= grid),
+        f"row_count_of_grid({','.join(keys)})", {"rows": F.count(F.lit(1)), **distinct}, judge
     )
 
 
 def row_count_of_source(source_rows: int, floor: float = 0.99) -> Expectation:
     """Row count lies between ``floor`` of the source table's rows, rounded down, and all of them."""
-    rows = F.col("`rows`")
     return Expectation(
         "row_count_of_source",
         {"rows": F.count(F.lit(1))},
-        rows,
-        (rows >= F.lit(int(source_rows * floor))) & (rows <= F.lit(source_rows)),
+        lambda m: (m("rows"), m("rows").between(int(source_rows * floor), source_rows)),
     )
 
 
 def match_percentage(witness: str, low: float = 99.0, high: float = 100.0) -> Expectation:
     """Percentage of rows with ``witness`` filled, two decimals, lies within the bounds. An empty
     table has no percentage, which does not fail the check."""
-    rows, matched = F.col("`rows`"), F.col(f"`matched:{witness}`")
-    pct = F.round(F.try_divide(matched * F.lit(100.0), rows), 2)
-    return Expectation(
-        f"match_percentage({witness})",
-        {"rows": F.count(F.lit(1)), f"matched:{witness}": F.count(F.col(witness))},
-        pct,
-        pct.isNull() | pct.between(low, high),
-    )
+
+    def judge(m: Measured) -> tuple[Column, Column]:
+        pct = F.round(F.try_divide(m("matched") * F.lit(100.0), m("rows")), 2)
+        return pct, pct.isNull() | pct.between(low, high)
+
+    measures = {"rows": F.count(F.lit(1)), "matched": F.count(F.col(witness))}
+    return Expectation(f"match_percentage({witness})", measures, judge)
 
 
 def report(suites: Sequence[Suite]) -> DataFrame:

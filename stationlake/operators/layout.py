@@ -31,8 +31,9 @@ def replace_partitions(
     partition_by: Sequence[str],
     order: Sequence[str] = (),
     counts: dict[str, Column] | None = None,
+    whole_table: bool = False,
 ) -> dict[str, object]:
-    """Write Parquet and replace only the partitions that occur in ``df``.
+    """Write Parquet and replace only the partitions that occur in ``df``, or the ``whole_table``.
 
     ``counts`` are aggregates taken from the rows on their way out, so nothing is read back.
     With ``order`` the files are written by ``balanced_files``.
@@ -46,7 +47,7 @@ def replace_partitions(
         df = df.observe(observed, *[c.alias(n) for n, c in counts.items()])
     (
         df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )

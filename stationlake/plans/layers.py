@@ -114,21 +114,34 @@ def hourly_environment(
     )
 
 
-def touched_by(rows: DataFrame, file_years: Sequence[int], at: str = "recorded_at") -> DataFrame:
-    """Rows on the dates that a refresh of ``file_years`` can change.
+def touched_months(file_years: Sequence[int]) -> list[tuple[int, int]]:
+    """(year, month) of all dates that a refresh of ``file_years`` can change.
 
-    A file of year Y reaches into 1 January of Y+1, and 1 January of Y also holds the last hour of
-    file Y-1. The filter on ``source_year`` prunes folders, the one on the date picks the rows.
+    The last hour in the file of year Y is stamped 1 January of Y+1.
     """
-    in_scope = F.lit(False)
-    folders: set[int] = set()
-    for year in file_years:
-        first, last = f"{year}-01-01", f"{year + 1}-01-01"
-        in_scope = in_scope | F.col(at).cast("date").between(
-            F.lit(first).cast("date"), F.lit(last).cast("date")
-        )
-        folders.update((year - 1, year, year + 1))
-    return rows.where(F.col("source_year").isin(*sorted(folders)) & in_scope)
+    months = {(year, month) for year in file_years for month in range(1, 13)}
+    return sorted(months | {(year + 1, 1) for year in file_years})
+
+
+def in_months(year: Column, month: Column, months: Sequence[tuple[int, int]]) -> Column:
+    """True for rows in one of ``months``. On partition columns it prunes folders."""
+    by_year: dict[int, list[int]] = {}
+    for y, m in months:
+        by_year.setdefault(y, []).append(m)
+    hit = F.lit(False)
+    for y, some in by_year.items():
+        hit = hit | ((year == y) & month.isin(*some))
+    return hit
+
+
+def rows_of_months(silver: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
+    """Silver rows of the given months. They lie in the files of those years and the years before,
+    and the filter on ``source_year`` keeps Spark from opening the others."""
+    folders = sorted({year - back for year, _ in months for back in (0, 1)})
+    at = F.col("recorded_at")
+    return silver.where(
+        F.col("source_year").isin(*folders) & in_months(F.year(at), F.month(at), months)
+    )
 
 
 def gold_daily_readings(readings: DataFrame) -> DataFrame:

@@ -161,37 +161,41 @@ def build_silver(
     return {"readings": readings_counts, "weather": weather_counts}
 
 
+GOLD_KEYS = {
+    "daily_readings": schemas.DAILY_READINGS_KEY,
+    "daily_weather": schemas.DAILY_WEATHER_KEY,
+    "hourly_environment": schemas.HOURLY_KEY,
+}
+
+
 def build_gold(
     spark: SparkSession, lake: Lake, years: Sequence[int] | None = None
 ) -> dict[str, DataFrame]:
-    """Write the three gold tables and return them as read back.
+    """Write the three gold tables and return them, whole, as read back.
 
-    ``years`` limits the work to the dates a refresh of those file years can change.
+    With ``years`` only the months that a refresh of those file years can change are computed and
+    replaced.
     """
     readings = spark.read.parquet(lake.path("silver", "readings"))
     weather = spark.read.parquet(lake.path("silver", "weather"))
     if years is not None:
-        readings = layers.touched_by(readings, years)
-        weather_daily = layers.touched_by(weather, years)
-    else:
-        weather_daily = weather
+        months = layers.touched_months(years)
+        readings = layers.rows_of_months(readings, months)
+        weather = layers.rows_of_months(weather, months)
     plans = {
-        "daily_readings": (layers.gold_daily_readings(readings), schemas.DAILY_READINGS_KEY),
-        "daily_weather": (layers.gold_daily_weather(weather_daily), schemas.DAILY_WEATHER_KEY),
-        "hourly_environment": (
-            layers.hourly_environment(readings, weather),
-            schemas.HOURLY_KEY,
-        ),
+        "daily_readings": layers.gold_daily_readings(readings),
+        "daily_weather": layers.gold_daily_weather(weather),
+        "hourly_environment": layers.hourly_environment(readings, weather),
     }
-    tables = {}
-    for name, (plan, key) in plans.items():
-        path = lake.path("gold", name)
-        # Each run's gold output is complete for its scope, so it replaces the previous output.
-        layout.balanced_files(plan, schemas.SERVING_PARTITIONS, key).write.mode(
-            "overwrite"
-        ).partitionBy(*schemas.SERVING_PARTITIONS).parquet(path)
-        tables[name] = spark.read.parquet(path)
-    return tables
+    for name, plan in plans.items():
+        layout.replace_partitions(
+            plan,
+            lake.path("gold", name),
+            schemas.SERVING_PARTITIONS,
+            GOLD_KEYS[name],
+            whole_table=years is None,
+        )
+    return {name: spark.read.parquet(lake.path("gold", name)) for name in plans}
 
 
 def quality_suites(gold: dict[str, DataFrame], silver_rows: int) -> list[expect.Suite]:
@@ -237,12 +241,19 @@ SERVING_TABLES = {
 }
 
 
-def publish_gold(gold: dict[str, DataFrame], lake: Lake) -> dict[str, int]:
-    """Upsert the gold tables into the serving tables, one commit per table."""
+def publish_gold(
+    gold: dict[str, DataFrame], lake: Lake, years: Sequence[int] | None = None
+) -> dict[str, int]:
+    """Upsert the gold tables, or their months touched by ``years``, into the serving tables; one
+    commit per table."""
     versions = {}
     for name, (columns, key, order) in SERVING_TABLES.items():
+        changes = gold[name]
+        if years is not None:
+            months = layers.touched_months(years)
+            changes = changes.where(layers.in_months(F.col("year"), F.col("month"), months))
         versions[name] = serving.publish(
-            gold[name], lake.path("serving", name), columns, key, schemas.SERVING_PARTITIONS, order
+            changes, lake.path("serving", name), columns, key, schemas.SERVING_PARTITIONS, order
         )
     return versions
 
@@ -259,8 +270,8 @@ def run(
 ) -> dict[str, object]:
     """All steps in order; the first failing step raises and later ones do not start.
 
-    ``refreshed`` limits bronze and silver to those file years, and gold and serving to the dates
-    they can change.
+    ``refreshed`` (see ``changed_years``) limits the layers to those file years and the months they
+    can change. The gate always judges the whole gold tables.
     """
     bronze = {
         "readings": build_bronze_readings(spark, lake, refreshed),
@@ -269,13 +280,11 @@ def run(
     silver = build_silver(spark, lake, strict, refreshed)
     gold = build_gold(spark, lake, refreshed)
     readings = spark.read.parquet(lake.path("silver", "readings"))
-    if refreshed is not None:
-        readings = layers.touched_by(readings, refreshed)
     source_rows = readings.where(F.col("recorded_at").isNotNull()).count()
     verdicts = expect.gate(quality_suites(gold, source_rows))
     return {
         "bronze": bronze,
         "silver": silver,
         "verdicts": verdicts,
-        "versions": publish_gold(gold, lake),
+        "versions": publish_gold(gold, lake, refreshed),
     }
