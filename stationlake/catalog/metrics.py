@@ -107,6 +107,7 @@ def hourly_enrich_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
         adapters.shipped_readings(spark, sf_dir),
         adapters.weather_per_date(spark, sf_dir),
         broadcast_bytes=0,
+        hot_rows=1,
         hot_share=1 / 2200,
     )
 

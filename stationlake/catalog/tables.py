@@ -12,7 +12,7 @@ from stationlake.catalog.registry import registered, table
 from stationlake.functions.clock import hour_floor
 from stationlake.operators.cleaning import clean_readings
 from stationlake.operators import daily, keys, layout, serving
-from stationlake.plans.run import SERVING_TABLES
+from stationlake.plans.run import TABLES, publish_table
 from stationlake.session import scratch_dir
 
 _CHANGED_FROM = "2024-01-15"
@@ -90,8 +90,7 @@ _HOURLY_SQL = """hourly AS (
 
 
 def _publish_hourly(rows: DataFrame, path: str) -> int:
-    columns, key, order = SERVING_TABLES["hourly_environment"]
-    return serving.publish(rows, path, columns, key, schemas.SERVING_PARTITIONS, order)
+    return publish_table(rows, path, TABLES["hourly_environment"])
 
 
 def _as_lake_times(rows: DataFrame) -> DataFrame:
@@ -125,11 +124,10 @@ FROM daily_weather""",
 def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publishing the same rows twice leaves what publishing them once does."""
     path = scratch_dir(spark, "weather")
-    columns, key, order = SERVING_TABLES["daily_weather"]
     gold = daily.daily_weather(adapters.order_weather(spark, sf_dir))
     for _ in range(2):
-        serving.publish(gold, path, columns, key, ("year",), order)
-    return rounded(serving.read_table(spark, path, columns), *WEATHER_MEANS)
+        publish_table(gold, path, TABLES["daily_weather"])
+    return rounded(serving.read_table(spark, path, schemas.DAILY_WEATHER_COLUMNS), *WEATHER_MEANS)
 
 
 @registered(

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.errors import KeyViolation
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 1 / 500
+# A key is hot from a million rows on, if these are also a 1 / 100,000 of all rows. So there are at
+# most 100,000 hot keys, and a key that is not hot fits one task up to 10^12 rows in total.
+HOT_ROWS = 1_000_000
+HOT_SHARE = 1 / 100_000
 
 
 def measured_size(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
@@ -29,19 +32,20 @@ def measured_size(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
     return rows, row[1] or 0, rows * width + (row[2] or 0)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[tuple]:
-    """Keys that hold at least ``share`` of the rows. There can be no more than 1 / share of them."""
-    seen = Observation()
-    counted = (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    top = counted.orderBy(F.desc("n")).limit(int(1 / share)).collect()
-    if not top:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, share: float = HOT_SHARE
+) -> list[tuple]:
+    """Keys with at least ``rows`` rows and at least ``share`` of all rows.
+
+    Two passes over the key columns. There can be no more than ``1 / share`` such keys, which is
+    what makes it safe to collect and broadcast them.
+    """
+    total = df.count()
+    if total < rows:
         return []
-    total = seen.get["rows"]
-    return [tuple(r[k] for k in keys) for r in top if r["n"] >= share * total]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = counted.where(F.col("n") >= max(rows, share * total)).select(*keys)
+    return [tuple(r) for r in hot.collect()]
 
 
 def left_join_unique(
@@ -49,6 +53,7 @@ def left_join_unique(
     right: DataFrame,
     keys: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """All rows of ``left`` with the matching columns of ``right``, or NULLs.
@@ -57,9 +62,9 @@ def left_join_unique(
     kept. How the join runs depends on measured sizes:
 
     * ``right`` within ``broadcast_bytes``: broadcast it, ``left`` is not shuffled at all;
-    * larger: shuffle both sides on the keys, except for the keys that hold a large share of
-      ``left``. At most ``1 / hot_share`` of them exist and ``right`` has one row for each, so their
-      rows are joined by broadcast and never meet in one task.
+    * larger: shuffle both sides on the keys, except for the hot keys of ``left``. At most
+      ``1 / hot_share`` of them exist and ``right`` has one row for each, so their rows are joined
+      by broadcast and never meet in one task.
     """
     keys = list(keys)
     # A NULL key matches nothing, so several of them are no fan-out.
@@ -69,7 +74,7 @@ def left_join_unique(
         raise KeyViolation(f"the right side holds {most_frequent} rows for one {tuple(keys)}")
     if size <= broadcast_bytes:
         return left.join(F.broadcast(right), keys, "left")
-    hot = hot_keys(left, keys, hot_share)
+    hot = hot_keys(left, keys, hot_rows, hot_share)
     if not hot:
         return left.join(right, keys, "left")
 

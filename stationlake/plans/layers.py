@@ -81,13 +81,13 @@ def hourly_environment(
     readings: DataFrame,
     weather: DataFrame,
     site_cities: DataFrame | None = None,
-    broadcast_bytes: int = enrich.BROADCAST_BYTES,
-    hot_share: float = enrich.HOT_SHARE,
+    **join: float,
 ) -> DataFrame:
     """Readings with the weather of the same hour; readings without a match keep NULLs.
 
     With one city the key is the timestamp. With several, ``site_cities`` (site_name, city) names
-    the city of each site and the key is (recorded_at, city).
+    the city of each site and the key is (recorded_at, city). ``join`` holds limits of
+    ``left_join_unique``.
     """
     keys: Sequence[str] = ["recorded_at"]
     columns = ["recorded_at", "city", *schemas.WEATHER_MEASURES]
@@ -95,11 +95,11 @@ def hourly_environment(
     right = weather.select(*columns)
     if site_cities is not None:
         left = enrich.left_join_unique(
-            left, site_cities, ["site_name"], broadcast_bytes, hot_share
+            left, site_cities, ["site_name"], **join
         ).withColumnRenamed("city", "site_city")
         right = right.withColumn("site_city", F.col("city"))
         keys = ["recorded_at", "site_city"]
-    joined = enrich.left_join_unique(left, right, keys, broadcast_bytes, hot_share)
+    joined = enrich.left_join_unique(left, right, keys, **join)
     return joined.select(
         "recorded_at",
         F.col("recorded_at").cast("date").alias("reading_date"),
@@ -114,13 +114,17 @@ def hourly_environment(
     )
 
 
-def touched_months(file_years: Sequence[int]) -> list[tuple[int, int]]:
-    """(year, month) of all dates that a refresh of ``file_years`` can change.
+def touched_months(
+    file_years: Sequence[int], partition_by: Sequence[str] = schemas.HOURLY_PARTITIONS
+) -> list[tuple[int, int]]:
+    """(year, month) of the partitions that a refresh of ``file_years`` can change.
 
-    The last hour in the file of year Y is stamped 1 January of Y+1.
+    The last hour in the file of year Y is stamped 1 January of Y+1. In a table split by year that
+    day shares its partition with the whole of Y+1.
     """
+    reach = 1 if "month" in partition_by else 12
     months = {(year, month) for year in file_years for month in range(1, 13)}
-    return sorted(months | {(year + 1, 1) for year in file_years})
+    return sorted(months | {(y + 1, m) for y in file_years for m in range(1, reach + 1)})
 
 
 def in_months(year: Column, month: Column, months: Sequence[tuple[int, int]]) -> Column:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,14 @@ class Lake:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
 
+def _together(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """Run independent steps from several threads, so their Spark jobs share the executors. The
+    first error is raised once all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [step.result() for step in started]
+
+
 def _landing_report(
     spark: SparkSession, lake: Lake, table: str, report: DataFrame
 ) -> DataFrame:
@@ -145,26 +156,56 @@ def build_silver(
     if years is not None:
         bronze = bronze.where(F.col("source_year").isin(*years))
         weather = weather.where(F.col("source_year").isin(*years))
-    readings = layers.silver_readings(bronze, strict=strict)
-    readings_counts = layout.replace_partitions(
-        readings,
-        lake.path("silver", "readings"),
-        ["source_year"],
-        counts={"rows": F.count(F.lit(1)), "valid": F.count("value")},
-    )
-    weather_counts = layout.replace_partitions(
-        layers.silver_weather(weather),
-        lake.path("silver", "weather"),
-        ["source_year"],
-        counts={"rows": F.count(F.lit(1))},
+    readings_counts, weather_counts = _together(
+        spark,
+        partial(
+            layout.replace_partitions,
+            layers.silver_readings(bronze, strict=strict),
+            lake.path("silver", "readings"),
+            ["source_year"],
+            counts={"rows": F.count(F.lit(1)), "valid": F.count("value")},
+        ),
+        partial(
+            layout.replace_partitions,
+            layers.silver_weather(weather),
+            lake.path("silver", "weather"),
+            ["source_year"],
+            counts={"rows": F.count(F.lit(1))},
+        ),
     )
     return {"readings": readings_counts, "weather": weather_counts}
 
 
-GOLD_KEYS = {
-    "daily_readings": schemas.DAILY_READINGS_KEY,
-    "daily_weather": schemas.DAILY_WEATHER_KEY,
-    "hourly_environment": schemas.HOURLY_KEY,
+@dataclass(frozen=True)
+class Table:
+    """A gold table and the serving table published from it. ``order`` is the sort inside a serving
+    partition: the columns readers filter on."""
+
+    columns: dict[str, str]
+    key: tuple[str, ...]
+    partition_by: tuple[str, ...]
+    order: tuple[str, ...]
+
+
+TABLES = {
+    "daily_readings": Table(
+        schemas.DAILY_READINGS_COLUMNS,
+        schemas.DAILY_READINGS_KEY,
+        schemas.DAILY_PARTITIONS,
+        ("pollutant", "reading_date"),
+    ),
+    "daily_weather": Table(
+        schemas.DAILY_WEATHER_COLUMNS,
+        schemas.DAILY_WEATHER_KEY,
+        schemas.DAILY_PARTITIONS,
+        ("reading_date",),
+    ),
+    "hourly_environment": Table(
+        schemas.HOURLY_COLUMNS,
+        schemas.HOURLY_KEY,
+        schemas.HOURLY_PARTITIONS,
+        ("pollutant", "recorded_at"),
+    ),
 }
 
 
@@ -173,28 +214,38 @@ def build_gold(
 ) -> dict[str, DataFrame]:
     """Write the three gold tables and return them, whole, as read back.
 
-    With ``years`` only the months that a refresh of those file years can change are computed and
-    replaced.
+    With ``years`` only the partitions that a refresh of those file years can change are computed
+    and replaced.
     """
-    readings = spark.read.parquet(lake.path("silver", "readings"))
-    weather = spark.read.parquet(lake.path("silver", "weather"))
-    if years is not None:
-        months = layers.touched_months(years)
-        readings = layers.rows_of_months(readings, months)
-        weather = layers.rows_of_months(weather, months)
-    plans = {
-        "daily_readings": layers.gold_daily_readings(readings),
-        "daily_weather": layers.gold_daily_weather(weather),
-        "hourly_environment": layers.hourly_environment(readings, weather),
+    silver = {
+        name: spark.read.parquet(lake.path("silver", name)) for name in ("readings", "weather")
     }
-    for name, plan in plans.items():
+
+    def in_scope(name: str, table: Table) -> DataFrame:
+        if years is None:
+            return silver[name]
+        return layers.rows_of_months(
+            silver[name], layers.touched_months(years, table.partition_by)
+        )
+
+    def write(name: str, plan: Callable[[Table], DataFrame]) -> None:
+        table = TABLES[name]
         layout.replace_partitions(
-            plan,
+            plan(table),
             lake.path("gold", name),
-            schemas.SERVING_PARTITIONS,
-            GOLD_KEYS[name],
+            table.partition_by,
+            table.key,
             whole_table=years is None,
         )
+
+    plans = {
+        "daily_readings": lambda t: layers.gold_daily_readings(in_scope("readings", t)),
+        "daily_weather": lambda t: layers.gold_daily_weather(in_scope("weather", t)),
+        "hourly_environment": lambda t: layers.hourly_environment(
+            in_scope("readings", t), in_scope("weather", t)
+        ),
+    }
+    _together(spark, *[partial(write, name, plan) for name, plan in plans.items()])
     return {name: spark.read.parquet(lake.path("gold", name)) for name in plans}
 
 
@@ -221,45 +272,32 @@ def quality_suites(gold: dict[str, DataFrame], silver_rows: int) -> list[expect.
     return [daily_readings, daily_weather, hourly]
 
 
-SERVING_TABLES = {
-    # name: columns, key, order inside a partition (the filters readers use)
-    "daily_readings": (
-        schemas.DAILY_READINGS_COLUMNS,
-        schemas.DAILY_READINGS_KEY,
-        ("pollutant", "reading_date"),
-    ),
-    "daily_weather": (
-        schemas.DAILY_WEATHER_COLUMNS,
-        schemas.DAILY_WEATHER_KEY,
-        ("reading_date",),
-    ),
-    "hourly_environment": (
-        schemas.HOURLY_COLUMNS,
-        schemas.HOURLY_KEY,
-        ("pollutant", "recorded_at"),
-    ),
-}
-
-
 def publish_gold(
     gold: dict[str, DataFrame], lake: Lake, years: Sequence[int] | None = None
 ) -> dict[str, int]:
     """Upsert the gold tables, or their months touched by ``years``, into the serving tables; one
     commit per table."""
-    versions = {}
-    for name, (columns, key, order) in SERVING_TABLES.items():
+
+    def publish(name: str, table: Table) -> int:
         changes = gold[name]
         if years is not None:
-            months = layers.touched_months(years)
+            months = layers.touched_months(years, table.partition_by)
             changes = changes.where(layers.in_months(F.col("year"), F.col("month"), months))
-        versions[name] = serving.publish(
-            changes, lake.path("serving", name), columns, key, schemas.SERVING_PARTITIONS, order
-        )
-    return versions
+        return publish_table(changes, lake.path("serving", name), table)
+
+    spark = next(iter(gold.values())).sparkSession
+    versions = _together(spark, *[partial(publish, n, table) for n, table in TABLES.items()])
+    return dict(zip(TABLES, versions))
+
+
+def publish_table(changes: DataFrame, path: str, table: Table) -> int:
+    return serving.publish(
+        changes, path, table.columns, table.key, table.partition_by, table.order
+    )
 
 
 def served(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    return serving.read_table(spark, lake.path("serving", name), SERVING_TABLES[name][0])
+    return serving.read_table(spark, lake.path("serving", name), TABLES[name].columns)
 
 
 def run(
@@ -273,17 +311,18 @@ def run(
     ``refreshed`` (see ``changed_years``) limits the layers to those file years and the months they
     can change. The gate always judges the whole gold tables.
     """
-    bronze = {
-        "readings": build_bronze_readings(spark, lake, refreshed),
-        "weather": build_bronze_weather(spark, lake, refreshed),
-    }
+    readings_written, weather_written = _together(
+        spark,
+        partial(build_bronze_readings, spark, lake, refreshed),
+        partial(build_bronze_weather, spark, lake, refreshed),
+    )
     silver = build_silver(spark, lake, strict, refreshed)
     gold = build_gold(spark, lake, refreshed)
     readings = spark.read.parquet(lake.path("silver", "readings"))
     source_rows = readings.where(F.col("recorded_at").isNotNull()).count()
     verdicts = expect.gate(quality_suites(gold, source_rows))
     return {
-        "bronze": bronze,
+        "bronze": {"readings": readings_written, "weather": weather_written},
         "silver": silver,
         "verdicts": verdicts,
         "versions": publish_gold(gold, lake, refreshed),

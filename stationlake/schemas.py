@@ -52,7 +52,9 @@ WEATHER_DOCUMENT = T.StructType(
 DAILY_READINGS_KEY = ("reading_date", "site_name", "pollutant")
 DAILY_WEATHER_KEY = ("reading_date", "city")
 HOURLY_KEY = ("recorded_at", "site_name", "pollutant")
-SERVING_PARTITIONS = ("year", "month")
+# Daily rows are few per month, so their tables are split by year; the hourly table by month.
+DAILY_PARTITIONS = ("year",)
+HOURLY_PARTITIONS = ("year", "month")
 
 # Column -> Spark SQL type of the serving tables; staging casts to these.
 DAILY_READINGS_COLUMNS = {

@@ -21,6 +21,8 @@ def local_session(cores: int = 8, app: str = "stationlake", memory: str = "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        # Local tables are small: aim at partitions that keep all cores busy when writing.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
         # Call-site capture costs more than planning when a plan has hundreds of columns.
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

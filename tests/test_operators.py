@@ -106,13 +106,13 @@ def reference_rows(spark, count=30):
     )
 
 
-@pytest.mark.parametrize("limit, share", [(10**9, 0.1), (0, 0.1), (0, 0.9), (0, 0.001)])
-def test_join_paths_agree(spark, limit, share):
+@pytest.mark.parametrize("limit, rows, share", [(10**9, 1, 0.1), (0, 1, 0.1), (0, 5000, 0.1), (0, 1, 0.9), (0, 1, 0.001)])
+def test_join_paths_agree(spark, limit, rows, share):
     left, right = skewed(spark), reference_rows(spark)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = enrich.left_join_unique(left, right, ["recorded_at"], limit, share).collect()
+        got = enrich.left_join_unique(left, right, ["recorded_at"], limit, rows, share).collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     by_hour = {hours(h): float(h) for h in range(30)}
@@ -121,8 +121,9 @@ def test_join_paths_agree(spark, limit, share):
 
 
 def test_hot_keys_and_size(spark):
-    assert enrich.hot_keys(skewed(spark), ["recorded_at"], 0.1) == [(hours(5),)]
-    assert enrich.hot_keys(skewed(spark).limit(0), ["recorded_at"]) == []
+    assert enrich.hot_keys(skewed(spark), ["recorded_at"], 1, 0.1) == [(hours(5),)]
+    assert enrich.hot_keys(skewed(spark), ["recorded_at"], 2000, 0.1) == []
+    assert enrich.hot_keys(skewed(spark).limit(0), ["recorded_at"], 1) == []
     rows, most, size = enrich.measured_size(reference_rows(spark).dropna(), ["recorded_at"])
     assert (rows, most) == (30, 1) and 30 * 24 < size < 30 * 40
 

@@ -145,7 +145,7 @@ def test_incremental_refresh_equals_full_run(spark, full, tmp_path):
 
     again = run.Lake(lake.raw_readings, lake.raw_weather, str(tmp_path / "again"))
     run.run(spark, again)
-    for name in run.SERVING_TABLES:
+    for name in run.TABLES:
         a, b = run.served(spark, lake, name), run.served(spark, again, name)
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
