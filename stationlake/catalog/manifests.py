@@ -63,7 +63,7 @@ def sync_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT {_PATH_SQL} AS path, CAST(2015 + n_chars % 10 AS INTEGER) AS source_year, lang, text,
            sha256(text) AS sha256 FROM documents),
 landed AS (
-    SELECT path, sha256(CASE lang WHEN 'fr' THEN upper(text) || '.' ELSE text END) AS landed_sha256
+    SELECT path, sha256(CASE lang WHEN 'fr' THEN text || '.' ELSE text END) AS landed_sha256
     FROM delivered WHERE lang <> 'de')
 SELECT path, source_year, sha256,
        landed_sha256,
@@ -77,9 +77,8 @@ def manifest_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivered = listing.select(
         "path", "source_year", F.sha2(F.col("text").cast("binary"), 256).alias("sha256")
     )
-    old_text = F.when(
-        F.col("lang") == "fr", F.concat(F.upper("text"), F.lit("."))
-    ).otherwise(F.col("text"))
+    ending = F.when(F.col("lang") == "fr", ".").otherwise("")
+    old_text = F.concat("text", ending)
     landed = listing.where(F.col("lang") != "de").select(
         "path", F.sha2(old_text.cast("binary"), 256).alias("sha256")
     )

@@ -8,24 +8,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DAY_FIRST = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})$"
+_DAY_FIRST = r"^\d{1,2}([/-])\d{1,2}\1\d{4}$"
 _ISO = r"^\d{4}-\d{1,2}-\d{1,2}$"
-_ISO_WITH_TIME = r"^(\d{4}-\d{1,2}-\d{1,2}) (?:[01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
+_ISO_WITH_TIME = r"^\d{4}-\d{1,2}-\d{1,2} (?:[01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
 _CLOCK = r"^(?:(?:[01]?\d|2[0-3]):[0-5]?\d(?::[0-5]?\d(?:\.\d{1,6})?)?|24:0?0(?::0?0(?:\.0+)?)?)$"
 
 
 def parse_date(cell: Column, day_first_only: bool = False) -> Column:
     """DATE from ``yyyy-M-d``, ``d/M/yyyy``, ``d-M-yyyy`` or ``yyyy-M-d H:m:s``; otherwise NULL.
 
-    Every accepted shape is rewritten to ISO and cast once. That keeps failing cells cheap: Spark's
-    date cast returns NULL without raising inside, unlike a chain of pattern-based parsers.
+    Every accepted shape is rewritten to ISO and cast. That keeps failing cells cheap: Spark's date
+    cast returns NULL without raising inside, unlike a chain of pattern-based parsers.
     """
     text = F.trim(cell)
-    iso = F.regexp_replace(text, _DAY_FIRST, "$4-$3-$1")
+    dashed = F.translate(text, "/", "-")
+    month = F.substring_index(F.substring_index(dashed, "-", 2), "-", -1)
+    turned = F.concat_ws(
+        "-", F.substring_index(dashed, "-", -1), month, F.substring_index(dashed, "-", 1)
+    )
+    day_first = text.rlike(_DAY_FIRST)
     if day_first_only:
-        return F.when(text.rlike(_DAY_FIRST), iso.try_cast("date"))
-    iso = F.regexp_replace(iso, _ISO_WITH_TIME, "$1")
-    return F.when(iso.rlike(_ISO), iso.try_cast("date"))
+        return F.when(day_first, turned.try_cast("date"))
+    return (
+        F.when(text.rlike(_ISO), text.try_cast("date"))
+        .when(day_first, turned.try_cast("date"))
+        .when(text.rlike(_ISO_WITH_TIME), F.substring_index(text, " ", 1).try_cast("date"))
+    )
 
 
 def clock_is_valid(cell: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.functions.cells import blank_tokens_to_null, drop_negative, to_number
-from stationlake.functions.clock import at_clock, parse_date
+from stationlake.functions.clock import at_clock, clock_is_valid, parse_date
 
 
 def clean_readings(
@@ -31,11 +31,16 @@ def clean_readings(
 def stamp(
     df: DataFrame, date: str, clock: str, into: str = "recorded_at", strict: bool = True
 ) -> DataFrame:
-    """Add the timestamp made of the text columns ``date`` and ``clock``; rows without one drop out."""
-    day = f"__day_of_{into}"
+    """Add the timestamp made of the text columns ``date`` and ``clock``; rows without one drop out.
+
+    The rows are filtered by what a timestamp needs, not by the timestamp: Spark moves a filter
+    below the projection and would build every timestamp twice.
+    """
+    day, time = f"__day_of_{into}", F.col(clock)
+    usable = time.isNotNull() if strict else clock_is_valid(time)
     return (
         df.withColumn(day, parse_date(F.col(date)))
-        .withColumn(into, at_clock(F.col(day), F.col(clock), strict))
+        .where(F.col(day).isNotNull() & usable)
+        .withColumn(into, at_clock(F.col(day), time, strict))
         .drop(day)
-        .where(F.col(into).isNotNull())
     )

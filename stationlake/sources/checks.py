@@ -19,9 +19,18 @@ from stationlake.functions.fingerprint import canonical_json
 _COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
+def _line(line: Column) -> Column:
+    """A line without the carriage return of the other line ending."""
+    return F.rtrim(line, F.lit("\r"))
+
+
 def _cells(line: Column, limit: Column | int = -1) -> Column:
-    """Cells of a line; with ``limit``, the last one holds the rest of the line."""
-    return F.transform(F.split(line, _COMMA, limit), lambda c: F.btrim(c, F.lit('"')))
+    """Cells of a line; with ``limit``, the last one holds the rest of the line.
+
+    Looking for commas outside quotes takes time quadratic in the line, so only quoted lines pay.
+    """
+    quoted = F.transform(F.split(line, _COMMA, limit), lambda c: F.btrim(c, F.lit('"')))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ",", limit))
 
 
 def _within(files: DataFrame, max_bytes: int) -> tuple[DataFrame, DataFrame]:
@@ -55,6 +64,9 @@ def csv_report(
     small, large = _within(files, max_bytes)
     raw = F.col("content").cast("string")
     lines, date_at = F.col("lines"), F.col("date_at")
+    header_at = preamble_lines + 1
+    # A newline at the end of the file starts no further line.
+    line_count = F.size(lines) - F.when(F.element_at(lines, -1) == "", 1).otherwise(0)
     start = F.ltrim(F.lower(F.substring("text", 1, 4096)))
     missing = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))
     opened = (
@@ -63,22 +75,26 @@ def csv_report(
             "text",
             F.when(F.col("utf8"), raw).otherwise(F.decode(F.col("content"), "ISO-8859-1")),
         )
-        .withColumn("text", F.regexp_replace("text", "^\ufeff", ""))
-        .withColumn("lines", F.split(F.regexp_replace("text", "(\r?\n)$", ""), "\r?\n", -1))
-        .withColumn("header", _cells(F.try_element_at(lines, F.lit(preamble_lines + 1))))
+        .withColumn("text", F.ltrim(F.col("text"), F.lit("\ufeff")))
+        .withColumn("lines", F.split("text", "\n", -1))
+        .withColumn("announced", F.try_element_at(lines, F.lit(1)).startswith(first_line))
+        .withColumn(
+            "header",
+            F.when(F.col("announced"), _cells(_line(F.try_element_at(lines, F.lit(header_at))))),
+        )
         .withColumn(
             "problem",
             _first_problem(
                 empty=F.col("length") == 0,
                 html=start.startswith("<!doctype html") | start.startswith("<html"),
-                no_data_rows=F.size(lines) < preamble_lines + 2,
-                preamble=~F.try_element_at(lines, F.lit(1)).startswith(first_line),
+                no_data_rows=line_count <= header_at,
+                preamble=~F.col("announced"),
                 missing_columns=F.size(missing) > 0,
             ),
         )
     )
     # Rows are only taken apart in files that look like station files so far.
-    body = F.slice(lines, preamble_lines + 2, F.greatest(F.size(lines), F.lit(1)))
+    body = F.slice(lines, header_at + 1, F.greatest(F.size(lines), F.lit(1)))
     counted = (
         opened.withColumn("date_at", F.array_position("header", date_column).cast("int"))
         .withColumn(
@@ -87,7 +103,7 @@ def csv_report(
                 F.col("problem").isNull(), F.filter(body, lambda line: line.rlike(r'[^,"\s]'))
             ),
         )
-        .withColumn("firsts", F.transform("rows", lambda line: _cells(line, date_at + 1)))
+        .withColumn("firsts", F.transform("rows", lambda line: _cells(_line(line), date_at + 1)))
         .withColumn(
             "dates",
             F.transform(
@@ -102,7 +118,7 @@ def csv_report(
             F.sha2("content", 256).alias("sha256"),
             F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
             "header",
-            F.slice(lines, 1, preamble_lines).alias("preamble"),
+            F.transform(F.slice(lines, 1, preamble_lines), _line).alias("preamble"),
             F.size("rows").cast("bigint").alias("row_count"),
             F.array_max("dates").alias("latest_date"),
             F.size(F.filter("dates", lambda d: d.isNull())).alias("bad_dates"),

@@ -165,7 +165,8 @@ def test_rejected_files_stop_the_run(spark, tmp_path):
     raw.write_text("<html>busy</html>")
     with pytest.raises(RawFileRejected, match="html"):
         run.run(spark, lake)
-    assert not (tmp_path / "lake" / "bronze").exists()
+    assert not (tmp_path / "lake" / "bronze" / "readings").exists()
+    assert not (tmp_path / "lake" / "silver").exists()
     raw.write_text(good)
     weather = tmp_path / "raw" / "weather" / "source_year=2026" / "weather_2026.json"
     document = json.loads(weather.read_text())
