@@ -86,7 +86,7 @@ def changed_years(
     years = _years(plan.where(F.col("action") == "fetch"))
     if not years:
         return []
-    delivered = check(files.payloads(spark, files.year_folders(raw, years), pattern))
+    delivered = check(files.payloads(spark, files.year_folders(spark, raw, years), pattern))
     status = landing.landing_plan(delivered.select("path", "source_year", "sha256"), landed)
     return _years(status.where(F.col("status") == "uploaded"))
 
@@ -104,7 +104,9 @@ def build_bronze_readings(
     The per-file report decides on acceptance and tells the reader the layout of each file.
     """
     files.require_files(spark, lake.raw_readings, lake.readings_pattern)
-    folders = files.year_folders(lake.raw_readings, years)
+    folders = files.year_folders(spark, lake.raw_readings, years)
+    if not folders:
+        return {"rows": 0}
     landed = files.payloads(spark, folders, lake.readings_pattern)
     report = _landing_report(spark, lake, "readings", checks.csv_report(landed))
     rows = station_csv.read_station_csv(spark, report, lake.raw_readings)
@@ -130,12 +132,14 @@ def build_bronze_weather(
 ) -> dict:
     """Check and flatten the weather documents; replace the bronze partitions of their years."""
     files.require_files(spark, lake.raw_weather, lake.weather_pattern)
-    folders = files.year_folders(lake.raw_weather, years)
+    folders = files.year_folders(spark, lake.raw_weather, years)
+    if not folders:
+        return {"rows": 0}
     landed = files.payloads(spark, folders, lake.weather_pattern)
     # The arrays must be checked before they are zipped into rows.
     _landing_report(spark, lake, "weather", checks.weather_report(landed))
     documents = weather_json.read_weather_documents(
-        spark, lake.raw_weather, lake.weather_pattern, years
+        spark, lake.raw_weather, lake.weather_pattern, folders
     )
     rows = layers.with_lineage(
         weather_json.flatten_documents(documents),

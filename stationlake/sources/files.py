@@ -42,10 +42,14 @@ def require_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return listing
 
 
-def year_folders(root: str, years: Sequence[int] | None) -> list[str]:
-    """The ``source_year=Y`` folders of the given years, or all of ``root``."""
+def year_folders(spark: SparkSession, root: str, years: Sequence[int] | None) -> list[str]:
+    """``root``, or those of its ``source_year=Y`` folders for ``years`` that exist. A lagging
+    source may not have begun the newest year."""
     root = root.rstrip("/")
-    return [root] if years is None else [f"{root}/source_year={y}" for y in years]
+    if years is None:
+        return [root]
+    folders = [f"{root}/source_year={y}" for y in years]
+    return [f for f in folders if path_exists(spark, f)]
 
 
 def payloads(spark: SparkSession, folders: str | Sequence[str], pattern: str) -> DataFrame:

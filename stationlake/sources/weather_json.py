@@ -8,19 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
-from stationlake.sources.files import year_folders
 
 
 def read_weather_documents(
-    spark: SparkSession, root: str, pattern: str = "*.json", years: Sequence[int] | None = None
+    spark: SparkSession,
+    root: str,
+    pattern: str = "*.json",
+    folders: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per file: ``hourly``, the folder columns of ``root``, and ``source_file``."""
+    """One row per file below ``root``, or in some of its ``folders``: ``hourly``, the folder columns
+    of ``root``, and ``source_file``."""
     return (
         spark.read.schema(schemas.WEATHER_DOCUMENT)
         .option("multiLine", "true")
         .option("pathGlobFilter", pattern)
         .option("basePath", root)
-        .json(year_folders(root, years))
+        .json(list(folders or [root]))
         .withColumn("source_file", F.col("_metadata.file_name"))
     )
 

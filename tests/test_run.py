@@ -12,8 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationlake import schemas
+from stationlake.__main__ import main
 from stationlake.errors import KeyViolation, MissingInputError, QualityGateFailed, RawFileRejected
-from stationlake.plans import layers, run
+from stationlake.plans import inspect, layers, run
 
 FIRST, LAST_READING, LAST_WEATHER = dt.date(2022, 1, 1), dt.date(2026, 7, 30), dt.date(2026, 7, 26)
 HEADER = "Date,time," + ",".join(f"{raw},status,unit" for raw in schemas.MEASURES)
@@ -118,33 +119,58 @@ def test_missing_is_not_zero(spark, full):
     assert row.min_value == 12.5
 
 
+def test_inspection(spark, full):
+    _, lake, _ = full
+    found = inspect.inspect_raw(spark, lake, [2024, 2025])
+    assert found["columns"].groupBy("status").count().collect() == [("OK", 2 * 9)]
+    rows = {r.source_year: r for r in found["rows"].collect()}
+    assert tuple(rows[2024])[1:] == (366 * 24, 366 * 24, 0, 366)
+    assert tuple(rows[2025])[1:] == (365 * 24, 365 * 24, 0, 0)  # this file spells it 24:00:00
+    first = list(schemas.MEASURES)[0]
+    cells = {(r.source_year, r.column_name): r for r in found["measures"].collect()}
+    assert len(cells) == 14
+    assert (cells[2024, first].negative_readings, cells[2024, first].missing_readings) == (366, 732)
+    silver = inspect.inspect_silver(spark, lake, 2024)
+    assert silver["sample"].count() == 30
+    assert {r.total_rows for r in silver["completeness"].collect()} == {366 * 24}
+    span = silver["range"].first()
+    assert (str(span.min_recorded_at), str(span.max_recorded_at)) == ("2024-01-01 01:00:00", "2025-01-01 00:00:00")
+
+
 def test_incremental_refresh_equals_full_run(spark, full, tmp_path):
+    """Through the command line: a first full run, then only what changed."""
     base, _, _ = full
-    shutil.copytree(base / "raw", tmp_path / "raw")
+    for kind in ("stations", "weather"):
+        for year in (2023, 2024, 2025):
+            folder = f"raw/{kind}/source_year={year}"
+            shutil.copytree(base / folder, tmp_path / folder)
     lake = lake_in(tmp_path)
-    assert run.changed_years(spark, lake, 2026) == [2022, 2023, 2024, 2025, 2026]
-    run.run(spark, lake)
-    assert run.changed_years(spark, lake, 2026) == []
-    assert run.changed_years(spark, lake, 2026, "weather") == []
-
-    revised = tmp_path / "raw" / "stations" / "source_year=2025" / "station_2025.csv"
-    revised.write_text(station_file(2025, value="99.5"))
-    assert run.changed_years(spark, lake, 2026) == [2025]
-    outcome = run.run(spark, lake, refreshed=[2025])
+
+    def job(*extra, root=lake.root):
+        return main(["--readings", lake.raw_readings, "--weather", lake.raw_weather, "--root", root, *extra])
+
+    assert run.changed_years(spark, lake, 2025) == [2023, 2024, 2025]
+    job()
+    assert job("--changed-as-of", "2025") is None
+
+    revised = tmp_path / "raw" / "stations" / "source_year=2024" / "station_2024.csv"
+    revised.write_text(station_file(2024, value="99.5"))
+    assert run.changed_years(spark, lake, 2025, "weather") == []
+    outcome = job("--changed-as-of", "2025")
     assert set(outcome["versions"].values()) == {2}
+    assert outcome["bronze"]["readings"] == {"rows": 366 * 24}
 
     refreshed = run.served(spark, lake, "daily_readings")
-    assert refreshed.count() == 11711
     by_date = {str(r.reading_date): r for r in refreshed.where("pollutant = 'O3'").collect()}
-    assert by_date["2025-01-01"].min_value == 12.5  # its midnight came with the file of 2024
+    assert by_date["2024-01-01"].min_value == 12.5  # its midnight came with the file of 2023
+    assert by_date["2024-01-01"].expected_readings == 24
+    assert by_date["2024-06-01"].min_value == 99.5
+    assert by_date["2025-01-01"].max_value == 99.5  # its midnight came with the file of 2024
     assert by_date["2025-01-01"].expected_readings == 24
-    assert by_date["2025-06-01"].min_value == 99.5
-    assert by_date["2026-01-01"].max_value == 99.5  # its midnight came with the file of 2025
-    assert by_date["2026-01-01"].expected_readings == 24
-    assert by_date["2024-12-31"].max_value == 12.5
+    assert by_date["2023-12-31"].max_value == 12.5
 
     again = run.Lake(lake.raw_readings, lake.raw_weather, str(tmp_path / "again"))
-    run.run(spark, again)
+    job(root=again.root)
     for name in run.TABLES:
         a, b = run.served(spark, lake, name), run.served(spark, again, name)
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
@@ -187,6 +213,15 @@ def test_failed_gate_publishes_nothing(spark, tmp_path):
     assert not (tmp_path / "lake" / "serving").exists()
 
 
+def test_a_year_the_lagging_source_has_not_begun(spark, full, tmp_path):
+    _, lake, _ = full
+    begun = run.Lake(lake.raw_readings, str(tmp_path), str(tmp_path / "lake"))
+    (tmp_path / "source_year=2025").mkdir()
+    (tmp_path / "source_year=2025" / "w.json").write_text(weather_file(2025))
+    assert run.build_bronze_weather(spark, begun, [2026]) == {"rows": 0}
+    assert run.build_bronze_weather(spark, begun, [2025, 2026]) == {"rows": 8760}
+
+
 def test_missing_input(spark, tmp_path):
     with pytest.raises(MissingInputError):
         run.run(spark, lake_in(tmp_path))
