@@ -41,7 +41,9 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     stations, _ = adapters.raw_zone(spark, sf_dir)
-    return station_csv.read_station_csv(spark, _report(spark, sf_dir), stations)
+    return station_csv.classified_rows(
+        station_csv.read_station_csv(spark, _report(spark, sf_dir), stations)
+    )
 
 
 @registered(

@@ -33,7 +33,8 @@ def inspect_raw(
     files.require_files(spark, lake.raw_readings, lake.readings_pattern)
     folders = files.year_folders(spark, lake.raw_readings, years)
     report = checks.csv_report(files.payloads(spark, folders, lake.readings_pattern))
-    raw = station_csv.data_rows(station_csv.read_station_csv(spark, report, lake.raw_readings))
+    rows = station_csv.read_station_csv(spark, report, lake.raw_readings)
+    raw = station_csv.data_rows(station_csv.classified_rows(rows))
     midnight = F.trim(F.col(schemas.TIME_COLUMN)) == "24:00"
     return {
         "columns": column_status(report),

@@ -109,22 +109,32 @@ def build_bronze_readings(
         return {"rows": 0}
     landed = files.payloads(spark, folders, lake.readings_pattern)
     report = _landing_report(spark, lake, "readings", checks.csv_report(landed))
-    rows = station_csv.read_station_csv(spark, report, lake.raw_readings)
-    good = station_csv.data_rows(rows)
-    if "site" in good.columns:
-        bronze = good.withColumnRenamed("site", "site_name")
+    rows = station_csv.classified_rows(
+        station_csv.read_station_csv(spark, report, lake.raw_readings)
+    )
+    if "site" in rows.columns:
+        rows = rows.withColumnRenamed("site", "site_name")
     else:
-        bronze = layers.with_lineage(good, site_name=lake.site_name)
-    written = layout.replace_partitions(
-        bronze,
+        rows = layers.with_lineage(rows, site_name=lake.site_name)
+    return layout.replace_partitions(
+        rows,
         lake.path("bronze", "readings"),
-        ["source_year"],
-        counts={"rows": F.count(F.lit(1))},
+        ["kind", "source_year"],
+        counts={"rows": F.count_if(F.col("kind") == "data")},
     )
-    station_csv.malformed_rows(rows, report).write.mode("overwrite").json(
-        lake.path("bronze", "malformed")
+
+
+def bronze_readings(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The well-formed bronze rows."""
+    return station_csv.data_rows(spark.read.parquet(lake.path("bronze", "readings")))
+
+
+def malformed_lines(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The lines that bronze set aside: path, source_file, line."""
+    return station_csv.malformed_rows(
+        spark.read.parquet(lake.path("bronze", "readings")),
+        spark.read.parquet(lake.path("landing", "readings")),
     )
-    return written
 
 
 def build_bronze_weather(
@@ -155,7 +165,7 @@ def build_silver(
     spark: SparkSession, lake: Lake, strict: bool = True, years: Sequence[int] | None = None
 ) -> dict:
     """Bronze to silver; each bronze partition becomes the silver partition of the same name."""
-    bronze = spark.read.parquet(lake.path("bronze", "readings"))
+    bronze = bronze_readings(spark, lake)
     weather = spark.read.parquet(lake.path("bronze", "weather"))
     if years is not None:
         bronze = bronze.where(F.col("source_year").isin(*years))

@@ -60,7 +60,7 @@ def read_station_csv(spark: SparkSession, report: DataFrame, root: str) -> DataF
     """All rows of the accepted files in ``report`` (from ``csv_report``), cells as text.
 
     Each layout is read with its own schema, and no file is read twice. The result still holds the
-    preamble and malformed rows; see ``data_rows`` and ``malformed_rows``. Folder names such as
+    preamble and malformed rows; see ``classified_rows``. Folder names such as
     ``source_year=2024`` below ``root`` become columns.
     """
     parts = [_read_layout(spark, h, e, paths, root) for h, e, paths in layouts(report)]
@@ -83,28 +83,42 @@ def _is_preamble(first_cell: Column, starts: Sequence[str]) -> Column:
 PREAMBLE_STARTS = (schemas.CSV_FIRST_LINE, "All Data GMT", "Status:")
 
 
-def data_rows(rows: DataFrame, preamble_starts: Sequence[str] = PREAMBLE_STARTS) -> DataFrame:
-    """Well-formed rows with a date. Missing-value tokens are NULL in every source column."""
-    date = F.col(schemas.DATE_COLUMN)
-    keep = F.col(CORRUPT).isNull() & is_nonblank(date) & ~_is_preamble(date, preamble_starts)
-    lineage = {"source_file", "source_year", "site"}
-    return rows.where(keep).select(
+def classified_rows(
+    rows: DataFrame, preamble_starts: Sequence[str] = PREAMBLE_STARTS
+) -> DataFrame:
+    """``rows`` with missing-value tokens as NULL, and their ``kind``:
+
+    * ``data``: well-formed and with a date;
+    * ``malformed``: too few or too many cells. The lines of the preamble are of this kind too.
+
+    Blank lines, the header and rows without a date drop out. Writing both kinds with ``kind`` as a
+    partition column keeps the malformed lines without parsing the files a second time.
+    """
+    lineage = {CORRUPT, "source_file", "source_path", "source_year", "site"}
+    cleaned = rows.select(
         [
             F.col(f"`{c}`") if c in lineage else blank_tokens_to_null(F.col(f"`{c}`")).alias(c)
             for c in rows.columns
-            if c not in (CORRUPT, "source_path")
         ]
-    ).where(F.col(schemas.DATE_COLUMN).isNotNull())
+    )
+    date, line = F.col(schemas.DATE_COLUMN), F.col(CORRUPT)
+    kind = F.when(
+        line.isNull() & is_nonblank(date) & ~_is_preamble(date, preamble_starts), "data"
+    ).when(line.rlike(r'[^,"\s]'), "malformed")
+    return cleaned.withColumn("kind", kind).where(F.col("kind").isNotNull())
+
+
+def data_rows(classified: DataFrame) -> DataFrame:
+    """The well-formed rows of ``classified_rows``."""
+    return classified.where(F.col("kind") == "data").drop("kind", CORRUPT, "source_path")
 
 
-def malformed_rows(rows: DataFrame, report: DataFrame) -> DataFrame:
-    """Rows with too few or too many cells, as delivered: path, source_file, line.
+def malformed_rows(classified: DataFrame, report: DataFrame) -> DataFrame:
+    """The malformed lines of ``classified_rows`` as delivered: path, source_file, line.
 
-    The preamble looks malformed too; it is left out by comparison with the lines in ``report``.
+    The preamble is left out by comparison with the lines in ``report``.
     """
-    # Blank lines are no rows. Spark wants a data column next to the raw line in such a filter.
-    content = F.coalesce(F.nullif(F.col(schemas.DATE_COLUMN), F.lit("")), F.col(CORRUPT))
-    broken = rows.where(F.col(CORRUPT).isNotNull() & content.rlike(r'[^,"\s]'))
+    broken = classified.where(F.col("kind") == "malformed")
     preambles = report.select(
         _plain_path(F.col("path")).alias("path"), F.explode("preamble").alias("line")
     ).distinct()

@@ -231,8 +231,11 @@ def test_impossible_time_fails_strictly_or_is_quarantined(spark, tmp_path):
     lake = small(tmp_path)
     raw = tmp_path / "raw" / "stations" / "source_year=2026" / "station_2026.csv"
     raw.write_text(raw.read_text().replace("15-03-2026,07:00", "15-03-2026,25:00"))
-    run.build_bronze_readings(spark, lake)
-    bronze = spark.read.parquet(lake.path("bronze", "readings"))
+    raw.write_text(raw.read_text() + "30-07-2026,23:00,1,R,ugm-3\n")
+    assert run.build_bronze_readings(spark, lake) == {"rows": 24 * 211}
+    (line,) = run.malformed_lines(spark, lake).collect()
+    assert (line.line, line.source_file) == ("30-07-2026,23:00,1,R,ugm-3", "station_2026.csv")
+    bronze = run.bronze_readings(spark, lake)
     with pytest.raises(Exception, match="not a time of day"):
         layers.silver_readings(bronze).collect()
     total = 7 * 24 * 211

@@ -217,7 +217,7 @@ def test_files_of_different_layout(spark, tmp_path):
     report = checks.csv_report(files.payloads(spark, str(tmp_path), "*.csv"))
     # the reader takes files as they are; only the landing rule on blank dates is not met here
     report = report.withColumn("problem", F.lit(None).cast("string"))
-    rows = station_csv.read_station_csv(spark, report, str(tmp_path))
+    rows = station_csv.classified_rows(station_csv.read_station_csv(spark, report, str(tmp_path)))
     good = station_csv.data_rows(rows).orderBy("source_year", "time").collect()
     assert [(r.source_year, r.time, r["Nitrogen dioxide"], r.Ozone, r.status, r.comment) for r in good] == [
         (2024, "01:00", "1.5", None, "R", None),
