@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -138,14 +139,29 @@ def in_months(year: Column, month: Column, months: Sequence[tuple[int, int]]) ->
     return hit
 
 
+def month_spans(months: Sequence[tuple[int, int]]) -> list[tuple[dt.date, dt.date]]:
+    """The months as spans [first day, day after the last); months in sequence share one span."""
+    spans: list[tuple[dt.date, dt.date]] = []
+    for year, month in sorted(months):
+        first = dt.date(year, month, 1)
+        end = dt.date(year + month // 12, month % 12 + 1, 1)
+        if spans and spans[-1][1] == first:
+            first = spans.pop()[0]
+        spans.append((first, end))
+    return spans
+
+
 def rows_of_months(silver: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
-    """Silver rows of the given months. They lie in the files of those years and the years before,
-    and the filter on ``source_year`` keeps Spark from opening the others."""
+    """Silver rows of the given months. They lie in the files of those years and the years before:
+    the filter on ``source_year`` keeps Spark from opening the others, and the spans of time are
+    plain comparisons, which the Parquet reader uses to skip row groups."""
     folders = sorted({year - back for year, _ in months for back in (0, 1)})
-    at = F.col("recorded_at")
-    return silver.where(
-        F.col("source_year").isin(*folders) & in_months(F.year(at), F.month(at), months)
-    )
+    in_span = F.lit(False)
+    for first, end in month_spans(months):
+        at = F.col("recorded_at")
+        since, until = (F.lit(f"{day} 00:00:00").cast("timestamp_ntz") for day in (first, end))
+        in_span = in_span | ((at >= since) & (at < until))
+    return silver.where(F.col("source_year").isin(*folders) & in_span)
 
 
 def gold_daily_readings(readings: DataFrame) -> DataFrame:

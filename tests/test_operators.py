@@ -348,3 +348,32 @@ def test_export_marks_null_and_keeps_empty_text(spark, tmp_path):
     layout.export_csv(df.coalesce(1), str(tmp_path / "out"))
     (file,) = (tmp_path / "out").glob("*.csv")
     assert file.read_text().splitlines() == ["1,\\N,\"a,b\"", '2,2.5,""', '3,0.0,"say ""x"""']
+
+
+# ---- refresh scope ----------------------------------------------------------------------------------------
+
+
+def test_touched_months_and_spans():
+    assert layers.touched_months([2025])[-2:] == [(2025, 12), (2026, 1)]
+    assert len(layers.touched_months([2025, 2026])) == 25
+    assert layers.touched_months([2025], ("year",))[-1] == (2026, 12)
+    assert layers.month_spans(layers.touched_months([2025, 2022])) == [
+        (dt.date(2022, 1, 1), dt.date(2023, 2, 1)),
+        (dt.date(2025, 1, 1), dt.date(2026, 2, 1)),
+    ]
+
+
+def test_rows_of_months_reads_no_other_years(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    day = F.lit("2022-01-01").cast("date").cast("timestamp_ntz")
+    rows = spark.range(365 * 4).select(
+        (day + F.make_dt_interval(F.col("id").cast("int"))).alias("recorded_at"),
+        (F.lit(2022) + F.floor(F.col("id") / 365)).cast("int").alias("source_year"),
+    )
+    rows.write.partitionBy("source_year").parquet(path)
+    some = layers.rows_of_months(spark.read.parquet(path), layers.touched_months([2024]))
+    found = some.agg(F.min("recorded_at"), F.max("recorded_at"), F.count("*")).first()
+    assert tuple(found) == (dt.datetime(2024, 1, 1), dt.datetime(2025, 1, 31), 366 + 31)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "source_year#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(recorded_at" in plan
