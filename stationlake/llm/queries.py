@@ -48,3 +48,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationlake.llm.packing import pack_documents
 
     return pack_documents(_table(spark, sf_dir, "documents"), limit=2048, vocabulary="word_bpe_49k.json")
+
+
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationlake.llm.toxicity import score_documents
+
+    return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationlake.llm import langid
+
+    docs = _table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit_documents(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationlake.llm.ann import nearest
+
+    found = nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+@_query
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationlake.llm.passages import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), length=100, content=False)
