@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from stationlake.session import scratch_dir
 
@@ -29,6 +30,21 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text (null as empty) and the order of the rows: ``ord``, then ``tie``.
+
+    ``ord`` is the id, a null one after all others. ``tie`` tells rows of the same id apart by the
+    SHA-256 of their text, and equal rows by a number; only where ids repeat are texts moved for it.
+    """
+    body = texts(df, id_col, text_col).select(
+        F.coalesce("doc_id", F.lit(2**63 - 1)).alias("ord"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
+    )
+    if body.groupBy("ord").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return body.withColumn("tie", F.lit(0))
+    order = Window.partitionBy("ord").orderBy(F.sha2(F.col("text").cast("binary"), 256))
+    return body.withColumn("tie", F.row_number().over(order))
+
+
 def bucket(n: int, *columns: str | Column) -> Column:
     """A number from 0 to n - 1 that depends on the values alone."""
     return F.pmod(F.xxhash64(*columns), F.lit(n))

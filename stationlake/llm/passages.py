@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from stationlake.llm.common import grouped, last_group, slices, spans, starts_of_groups, texts, written
+from stationlake.llm.common import grouped, last_group, numbered, slices, spans, starts_of_groups, written
+from stationlake.llm.hashing import digests, mixed, rolling
 from stationlake.llm.suffix import common_prefixes, suffix_array
 
 #: Bytes of an anchor, and of the second one that splits an anchor with very many classes.
@@ -28,23 +28,6 @@ CROWDED = 5_000
 STRETCH = 1 << 20
 SHARD_SEGMENTS = 4_000
 _PLACE = 22  # bits for a place within a stretch
-_random = np.random.default_rng(29)
-_BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
-
-
-def _hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A hash of the ``size`` bytes from each place on; ``size`` is a power of two."""
-    x, k = _BYTE[data], 1
-    while k < size:
-        x = x[:-k] * np.uint64(pow(int(_STEP), k, 1 << 64)) + x[k:]
-        k *= 2
-    return _mixed(x)
 
 
 def _least(x: np.ndarray, size: int) -> np.ndarray:
@@ -56,27 +39,6 @@ def _least(x: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (size - k)], x[size - k :]) if size > k else x
 
 
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        up = np.cumprod(np.full(n + 1, _STEP, dtype=np.uint64))
-        inverse = np.uint64(pow(int(_STEP), -1, 1 << 64))
-        down = np.cumprod(np.full(n + 1, inverse, dtype=np.uint64))
-    return up, down
-
-
-_powers: list[tuple[np.ndarray, np.ndarray]] = []
-
-
-def _digests(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """A hash of the bytes from each ``lo`` up to ``hi``."""
-    if not _powers or len(_powers[0][0]) < len(data) + 1:
-        _powers[:] = [_power_table(max(len(data), STRETCH))]
-    up, down = _powers[0]
-    with np.errstate(over="ignore"):
-        total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_BYTE[data] * up[: len(data)])))
-        return _mixed((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(np.uint64))
-
-
 def segments(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int, size: int):
     """The windows that start in [lo, hi) of each text in ``data``, as runs of starts with one anchor.
 
@@ -87,7 +49,7 @@ def segments(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int, size
         none = np.zeros(0, dtype=np.int64)
         return none, none, none, none
     place = np.uint64((1 << _PLACE) - 1)
-    hashes = _hashes(data, size)
+    hashes = rolling(data, size)
     keys = (hashes & ~place) | np.arange(len(hashes), dtype=np.uint64)
     anchor = (_least(keys, length - size + 1) & place).astype(np.int64)
     text = np.repeat(np.arange(len(lo)), hi - lo)
@@ -125,14 +87,14 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
                 if not (hi > lo).any():
                     continue
                 text, first, n, route = segments(data, lo, hi, length, ANCHOR)
-                digest = _digests(data, first, first + n + length - 1).view(np.int64)
+                digest = digests(data, first, first + n + length - 1).view(np.int64)
                 row, pos = rows[text], first - lo[text] + shift
                 order = np.lexsort((pos, ties[row], ids[row], digest, route))
                 repeated = np.zeros(len(order), dtype=bool)
                 sorted_ = [route[order], digest[order]]
                 repeated[order] = True
                 repeated[order[starts_of_groups(sorted_)]] = False
-                spread = np.where(repeated, _mixed((pos + row).astype(np.uint64)).view(np.int64), route)
+                spread = np.where(repeated, mixed((pos + row).astype(np.uint64)).view(np.int64), route)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (spread, digest, ids[row], ties[row], pos, n, repeated)],
                     ["route", "digest", "ord", "tie", "pos", "n", "again"],
@@ -304,15 +266,7 @@ def remove_repeats(
         raise ValueError(f"length must be at least {SECOND_ANCHOR}")
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    body = texts(docs, id_col, text_col).select(
-        F.coalesce("doc_id", F.lit(2**63 - 1)).alias("ord"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
-    )
-    shared = body.groupBy("ord").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if shared.isEmpty():
-        body = body.withColumn("tie", F.lit(0))
-    else:  # a number for each row of an id; this moves the texts once more
-        order = Window.partitionBy("ord").orderBy(F.sha2(F.col("text").cast("binary"), 256))
-        body = body.withColumn("tie", F.row_number().over(order))
+    body = numbered(docs, id_col, text_col)
     classes = written(_classes(_runs(body, length), parts, crowded), "segments")
     partly = _shared(_bytes_of(classes.where("kind > 0"), body, length), length, parts)
     removed = classes.where("kind = 0").select("ord", "tie", "pos", "n").unionByName(partly)

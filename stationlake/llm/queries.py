@@ -79,3 +79,24 @@ def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationlake.llm.passages import remove_repeats
 
     return remove_repeats(_table(spark, sf_dir, "documents"), length=100, content=False)
+
+
+@_query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationlake.llm.linededup import dedup_lines
+
+    return dedup_lines(_table(spark, sf_dir, "documents"), threshold=0.8).drop("tie")
+
+
+@_query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationlake.llm.paragraphs import dedup_paragraphs
+
+    found = dedup_paragraphs(_table(spark, sf_dir, "documents"), shingle=5, threshold=0.8)
+    return found.select(
+        "doc_id",
+        "paragraph",
+        F.col("component.doc_id").alias("component_doc_id"),
+        F.col("component.paragraph").alias("component_paragraph"),
+        "removed",
+    )
