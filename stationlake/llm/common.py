@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from stationlake.session import scratch_dir
 
@@ -45,6 +46,27 @@ def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return body.withColumn("tie", F.row_number().over(order))
 
 
+def annotated(
+    df: DataFrame, text_col: str, fields: str, compute: Callable[[pa.Array], list[pa.Array]]
+) -> DataFrame:
+    """``df`` with the columns that ``compute`` makes of its texts, row by row and without a shuffle.
+
+    ``fields`` names and types the new columns; a column of ``df`` with such a name is replaced.
+    """
+    added = T.StructType.fromDDL(fields)
+    names = [n for n in df.columns if n != text_col and n not in added.names] + [text_col]
+    plain = df.select(*(F.col(f"`{n}`").alias(f"c{k}") for k, n in enumerate(names)))
+    schema = T.StructType([*plain.schema.fields, *added.fields])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            made = compute(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=schema.names)
+
+    found = plain.mapInArrow(work, schema)
+    return found.select(*(F.col(f"c{k}").alias(n) for k, n in enumerate(names)), *added.names)
+
+
 def bucket(n: int, *columns: str | Column) -> Column:
     """A number from 0 to n - 1 that depends on the values alone."""
     return F.pmod(F.xxhash64(*columns), F.lit(n))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from stationlake.llm.common import crc_mod, slices, texts
+from stationlake.llm.common import annotated, crc_mod, slices
 
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -241,50 +241,45 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_grams: int = GRAM
     return Model(languages, codes[order], scores[order].astype(np.float32), share >= SCRIPT_SHARE)
 
 
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, lang_pred, score, spans.
+def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """``docs`` with lang_pred, score and spans for every row.
 
     ``spans`` lists language, first word and number of words of the runs of equal language; words are
     runs of letters. ``lang_pred`` is the language with the most letters (ties: the first by name) and
     ``score`` its share of the letters. A text that is null or has no letter is ``und`` with score 0
-    and no spans, as is every text if there is no model. Repeated rows and null ids are kept.
+    and no spans, as is every text if there is no model. Repeated rows and null ids are kept; columns
+    of ``docs`` with the names of the results are replaced.
     """
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(column: pa.Array) -> list[pa.Array]:
         names = model.languages if model else []
-        for batch in slices(batches):
-            found = [WORD.findall(text.lower()) if text else [] for text in batch.column(1).to_pylist()]
-            lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            predicted = [UNDETERMINED] * len(found)
-            score = np.zeros(len(found))
-            spans: list[list[dict]] = [[] for _ in found]
-            if model and lengths.any():
-                model.forget()
-                number = np.fromiter((i for words in found for i in model.numbers(words)), dtype=np.int64)
-                labels = viterbi(model.table()[number], lengths, model.penalty)
-                letters = np.fromiter((len(w) for words in found for w in words), dtype=np.int64)
-                doc = np.repeat(np.arange(len(found)), lengths)
-                k = len(names)
-                tally = np.bincount(doc * k + labels, weights=letters, minlength=len(found) * k).reshape(-1, k)
-                some = lengths > 0
-                score[some] = tally[some].max(axis=1) / tally[some].sum(axis=1)
-                best = tally.argmax(axis=1)
-                predicted = [names[b] if s else UNDETERMINED for b, s in zip(best, some)]
-                turn = np.flatnonzero(np.concatenate(([True], (labels[1:] != labels[:-1]) | (doc[1:] != doc[:-1]))))
-                base = np.cumsum(lengths) - lengths
-                size = np.diff(np.append(turn, len(labels)))
-                for d, lang, at, words in zip(doc[turn], labels[turn], turn - base[doc[turn]], size):
-                    spans[d].append({"lang": names[lang], "first_word": int(at), "words": int(words)})
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(predicted, pa.string()), pa.array(score), pa.array(spans, kind)],
-                ["doc_id", "lang_pred", "score", "spans"],
-            )
+        found = [WORD.findall(text.lower()) if text else [] for text in column.to_pylist()]
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        predicted = [UNDETERMINED] * len(found)
+        score = np.zeros(len(found))
+        spans: list[list[dict]] = [[] for _ in found]
+        if model and lengths.any():
+            model.forget()
+            number = np.fromiter((i for words in found for i in model.numbers(words)), dtype=np.int64)
+            labels = viterbi(model.table()[number], lengths, model.penalty)
+            letters = np.fromiter((len(w) for words in found for w in words), dtype=np.int64)
+            doc = np.repeat(np.arange(len(found)), lengths)
+            k = len(names)
+            tally = np.bincount(doc * k + labels, weights=letters, minlength=len(found) * k).reshape(-1, k)
+            some = lengths > 0
+            score[some] = tally[some].max(axis=1) / tally[some].sum(axis=1)
+            best = tally.argmax(axis=1)
+            predicted = [names[b] if s else UNDETERMINED for b, s in zip(best, some)]
+            turn = np.flatnonzero(np.concatenate(([True], (labels[1:] != labels[:-1]) | (doc[1:] != doc[:-1]))))
+            base = np.cumsum(lengths) - lengths
+            size = np.diff(np.append(turn, len(labels)))
+            for d, lang, at, words in zip(doc[turn], labels[turn], turn - base[doc[turn]], size):
+                spans[d].append({"lang": names[lang], "first_word": int(at), "words": int(words)})
+        return [pa.array(predicted, pa.string()), pa.array(score), pa.array(spans, kind)]
 
     kind = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("words", pa.int64())]))
-    return texts(docs, id_col, text_col).mapInArrow(
-        work,
-        "doc_id long, lang_pred string, score double, spans array<struct<lang string, first_word long, words long>>",
-    )
+    fields = "lang_pred string, score double, spans array<struct<lang: string, first_word: bigint, words: bigint>>"
+    return annotated(docs, text_col, fields, compute)
 
 
 def held_out(doc_id: Column) -> Column:

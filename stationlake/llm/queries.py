@@ -62,7 +62,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationlake.llm import langid
 
     docs = _table(spark, sf_dir, "documents")
-    found = langid.identify(docs, langid.fit_documents(docs))
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit_documents(docs))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
@@ -100,3 +100,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component.paragraph").alias("component_paragraph"),
         "removed",
     )
+
+
+@_query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationlake.llm.decontam import find_leaks
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", F.col("leaks.item_id").alias("item_ids"), F.array_max("leaks.shared").alias("shared"))
