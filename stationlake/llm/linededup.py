@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from stationlake.llm.common import numbered, slices, spans, text_bytes, written
 from stationlake.llm.hashing import words
@@ -102,24 +103,21 @@ def without_repeated_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8
 ) -> DataFrame:
     """The rows of ``docs`` with the removed lines taken out of their texts; null texts stay null."""
-    from pyspark.sql import Window
-
-    names = docs.columns
-    whole = docs.withColumn("__row", F.struct(*names))
-    body = numbered(whole.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "__id", "__text")
-    gone = _judged(body, threshold).where("removed").groupBy("ord", "tie").agg(F.collect_list("line").alias("gone"))
+    row = F.struct(*(n for n in docs.columns if n != text_col)).alias("row")
+    ids, body = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    whole = docs.select(row, ids.alias("doc_id"), body.alias("text"))
+    numbered_ = numbered(whole, "doc_id", "text")
+    gone = _judged(numbered_, threshold).where("removed").groupBy("ord", "tie").agg(F.collect_list("line").alias("gone"))
     gone = written(gone, "lines")
-    ord_ = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1))
-    whole = whole.select("__row", ord_.alias("ord"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    whole = whole.withColumn("ord", F.coalesce("doc_id", F.lit(2**63 - 1)))
     if gone.where("tie > 0").isEmpty():
         whole = whole.withColumn("tie", F.lit(0))
     else:
-        order = Window.partitionBy("ord").orderBy(F.sha2(F.col("text").cast("binary"), 256))
+        order = Window.partitionBy("ord").orderBy(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
         whole = whole.withColumn("tie", F.row_number().over(order))
     lines = F.split("text", "\n")
-    kept = F.array_join(
-        F.filter(lines, lambda line, k: ~F.coalesce(F.array_contains("gone", k.cast("long")), F.lit(False))), "\n"
-    )
-    joined = whole.join(gone, ["ord", "tie"], "left")
-    text = F.when(F.col("gone").isNull(), F.col(f"__row.{text_col}")).otherwise(kept)
-    return joined.select(*(text.alias(n) if n == text_col else F.col(f"__row.`{n}`").alias(n) for n in names))
+    left = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), "gone")
+    kept = F.transform(left, lambda k: F.element_at(lines, k.cast("int") + 1))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    columns = (text.alias(n) if n == text_col else F.col(f"row.`{n}`").alias(n) for n in docs.columns)
+    return whole.join(gone, ["ord", "tie"], "left").select(*columns)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import grouped, slices, spans, starts_of_groups, texts, text_bytes, written
+from stationlake.llm.common import annotated, grouped, spans, starts_of_groups, text_bytes, texts, written
 from stationlake.llm.components import components, local_forest
 
 BITS = 64
@@ -46,15 +46,13 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, fp (64 bits as a signed long) for every row of ``doc_id, text``."""
+def fingerprints(docs: DataFrame, shingle: int, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``fp``, 64 bits as a signed long."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [fingerprint(text.lower(), shingle) for text in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+    def compute(column: pa.Array) -> list[pa.Array]:
+        return [pa.array([fingerprint(text.lower(), shingle) for text in text_bytes(column)], pa.int64())]
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, fp long")
+    return annotated(docs, text_col, "fp long", compute)
 
 
 # --- self-join --------------------------------------------------------------------------------------
@@ -248,13 +246,33 @@ def simhash_groups(
     """
     if shingle < 1 or not 0 <= distance < BITS:
         raise ValueError("shingle must be at least 1, distance from 0 to 63")
-    marked = written(fingerprints(texts(docs, id_col, text_col), shingle), "fingerprints")
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    labels = components(links(distinct.select("fp"), distance), "a", "b")
-    distinct = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-    distinct = distinct.withColumn("component", F.coalesce("component", "fp"))
-    lowest = distinct.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = distinct.join(lowest, "component").select("fp", "component_id")
+    marked = written(fingerprints(texts(docs, id_col, text_col), shingle).select("doc_id", "fp"), "fingerprints")
+    named = _components(marked, distance)
+    lowest = marked.groupBy("fp").agg(F.min("doc_id").alias("low")).join(named, "fp")
+    lowest = lowest.groupBy("component").agg(F.min("low").alias("component_id"))
+    named = named.join(lowest, "component").select("fp", "component_id")
     return marked.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4
+) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest doc_id (null ids last, equal rows once)."""
+    row = F.struct(*(n for n in docs.columns if n != text_col)).alias("row")
+    marked = docs.select(row, F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("number"))
+    marked = written(fingerprints(marked, shingle), "fingerprints")  # the numbers of the rows are settled here
+    rows = marked.select("number", F.col(f"row.`{id_col}`").cast("long").alias("doc_id"), "fp")
+    order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "number")
+    least = rows.groupBy("fp").agg(F.min(order).alias("least")).join(_components(rows, distance), "fp")
+    kept = least.groupBy("component").agg(F.min("least").getField("number").alias("number"))
+    columns = (F.col("text").alias(n) if n == text_col else F.col(f"row.`{n}`").alias(n) for n in docs.columns)
+    return marked.join(kept.select("number"), "number", "left_semi").select(*columns)
+
+
+def _components(rows: DataFrame, distance: int) -> DataFrame:
+    """fp, component (a fingerprint of the group) of every fingerprint."""
+    distinct = rows.select("fp").distinct()
+    labels = components(links(distinct, distance), "a", "b").withColumnRenamed("node", "fp")
+    return distinct.join(labels, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))

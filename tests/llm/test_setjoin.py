@@ -2,78 +2,12 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_helpers import brute_lines, brute_paragraphs, split
+
 from stationlake.llm.hashing import words
 from stationlake.llm.linededup import dedup_lines, without_repeated_lines
 from stationlake.llm.paragraphs import dedup_paragraphs, shingles
 
-SPACE = " \t\n\r\x0b\x0c"
-
-
-def lower(text):
-    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
-
-
-def split(line):
-    return lower("".join(" " if c in SPACE else c for c in line)).split(" ")
-
-
-def line_sets(rows):
-    """(order, words in order) of every line with a word."""
-    out = []
-    seen = {}
-    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, _sha(r[1]))):
-        seen[doc] = seen.get(doc, 0) + 1
-        for k, line in enumerate((text or "").split("\n")):
-            found = [w for w in split(line) if w]
-            if found:
-                out.append(((doc, seen[doc], k), found))
-    return out
-
-
-def _sha(text):
-    import hashlib
-
-    return hashlib.sha256((text or "").encode()).hexdigest()
-
-
-def jaccard_at_least(a, b):
-    return 5 * len(a & b) >= 4 * len(a | b)
-
-
-def brute_lines(rows):
-    lines = [(place, frozenset(found)) for place, found in line_sets(rows)]
-    distinct = list(dict.fromkeys(s for _, s in lines))
-    links = {s: sum(1 for o in distinct if o != s and jaccard_at_least(s, o)) for s in distinct}
-    out = []
-    for i, (place, found) in enumerate(lines):
-        removed = any(jaccard_at_least(found, other) for _, other in lines[:i])
-        out.append((place[0], place[2], links[found], removed))
-    return sorted(out, key=str)
-
-
-def brute_paragraphs(rows):
-    def of(found):
-        return frozenset(tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4)))
-
-    lines = [(place, of(found)) for place, found in line_sets(rows)]
-    parent = list(range(len(lines)))
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i in range(len(lines)):
-        for j in range(i):
-            if jaccard_at_least(lines[i][1], lines[j][1]):
-                a, b = sorted((root(i), root(j)))
-                parent[b] = a
-    return sorted(
-        ((lines[i][0][0], lines[i][0][2], lines[root(i)][0][0], lines[root(i)][0][2], root(i) != i) for i in range(len(lines))),
-        key=str,
-    )
-
-
 def lines_of(df):
     return sorted(((r.doc_id, r.line, r.links, r.removed) for r in df.collect()), key=str)
 
