@@ -27,8 +27,7 @@ def _balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "clean_negative_null",
-    f"""SELECT c_custkey,
-       CASE WHEN TRY_CAST(cell AS DOUBLE) < 0 THEN NULL ELSE TRY_CAST(cell AS DOUBLE) END AS value
+    f"""SELECT c_custkey, list_filter([TRY_CAST(cell AS DOUBLE)], number -> number >= 0)[1] AS value
 FROM (SELECT c_custkey, {_BALANCE_TEXT} AS cell FROM customer)""",
 )
 def clean_negative_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,12 +253,11 @@ def _each_column(columns: list[str]) -> str:
 @registered(
     "column_profile",
     f"""WITH {_TEXT_LINES_SQL}, cells AS ({_each_column(["quantity", "discount", "tax"])})
-SELECT l_linestatus, column_name, COUNT(*) AS total_rows,
-       COUNT(TRY_CAST(cell AS DOUBLE)) AS valid_readings,
-       COUNT(*) - COUNT(TRY_CAST(cell AS DOUBLE)) AS missing_readings,
-       CAST(SUM(CASE WHEN TRY_CAST(cell AS DOUBLE) < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative_readings,
-       MIN(TRY_CAST(cell AS DOUBLE)) AS min_value, MAX(TRY_CAST(cell AS DOUBLE)) AS max_value
-FROM cells GROUP BY l_linestatus, column_name""",
+SELECT l_linestatus, column_name, COUNT(*) AS total_rows, COUNT(*) FILTER (good) AS valid_readings,
+       COUNT(*) FILTER (NOT good) AS missing_readings, COUNT(*) FILTER (good AND number < 0) AS negative_readings,
+       MIN(number) AS min_value, MAX(number) AS max_value
+FROM (SELECT *, TRY_CAST(cell AS DOUBLE) AS number, number IS NOT NULL AS good FROM cells)
+GROUP BY l_linestatus, column_name""",
 )
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.numeric_profile(

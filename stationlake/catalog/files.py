@@ -19,7 +19,7 @@ from stationlake.sources import checks, files, station_csv, weather_json
 
 _PATTERN = "*.txt"
 
-_ODD = "site IN ('site-1', 'site-3')"
+_ODD = "split_part(site, '-', 2)::INTEGER % 2 = 1"
 _DATE_TEXT = f"""CASE WHEN {_ODD} THEN strftime(hour, '%-d/%-m/%Y')
             ELSE strftime(hour, '%d-%m-%Y') END"""
 _TIME_TEXT = f"""CASE WHEN EXTRACT(HOUR FROM hour) < 23
@@ -155,14 +155,12 @@ _LINES = r"len(string_split_regex(regexp_replace(text, '\r?\n$', ''), '\r?\n'))"
 judged AS (
     SELECT 'html' AS kind,
            CASE WHEN length(html) = 0 THEN 'empty'
-                WHEN starts_with(ltrim(lower(html)), '<!doctype html')
-                  OR starts_with(ltrim(lower(html)), '<html') THEN 'html'
+                WHEN regexp_matches(html, '(?i)\\A\\s*<(!doctype html|html)') THEN 'html'
                 ELSE 'no_data_rows' END AS problem FROM pages
     UNION ALL
     SELECT 'text' AS kind,
            CASE WHEN length(text) = 0 THEN 'empty'
-                WHEN starts_with(ltrim(lower(text)), '<!doctype html')
-                  OR starts_with(ltrim(lower(text)), '<html') THEN 'html'
+                WHEN regexp_matches(text, '(?i)\\A\\s*<(!doctype html|html)') THEN 'html'
                 WHEN {_LINES} < 6 THEN 'no_data_rows' ELSE 'preamble' END AS problem FROM documents
     UNION ALL
     SELECT 'station of other year' AS kind, 'wrong_year' AS problem FROM (
@@ -334,15 +332,18 @@ delivered AS ({_PIVOT_BACK}),
 silver AS (
     SELECT hour + INTERVAL 1 HOUR AS recorded_at, site AS site_name, pollutant,
            CASE WHEN EXTRACT(HOUR FROM hour) IN (5, 9, 13) THEN NULL ELSE delivered END AS value
-    FROM delivered WHERE EXTRACT(HOUR FROM hour) <> 17)
-SELECT CAST(recorded_at AS DATE) AS reading_date, site_name, pollutant,
-       ROUND(AVG(value), 6) AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value,
-       CAST(COUNT(value) AS INTEGER) AS valid_readings, CAST(COUNT(*) AS INTEGER) AS expected_readings,
-       CAST(COUNT(*) - COUNT(value) AS INTEGER) AS missing_readings,
-       ROUND(COUNT(value) * 100.0 / COUNT(*), 2) AS completeness_pct,
-       CAST(EXTRACT(YEAR FROM CAST(recorded_at AS DATE)) AS INTEGER) AS year,
-       CAST(EXTRACT(MONTH FROM CAST(recorded_at AS DATE)) AS INTEGER) AS month
-FROM silver GROUP BY CAST(recorded_at AS DATE), site_name, pollutant""",
+    FROM delivered WHERE EXTRACT(HOUR FROM hour) <> 17),
+delivered_days AS (
+    SELECT recorded_at::DATE AS reading_date, site_name, pollutant, COUNT(*) AS n FROM silver GROUP BY ALL),
+good_days AS (
+    SELECT recorded_at::DATE AS reading_date, site_name, pollutant, COUNT(*) AS good, AVG(value) AS mean,
+           MIN(value) AS low, MAX(value) AS high FROM silver WHERE value IS NOT NULL GROUP BY ALL)
+SELECT reading_date, site_name, pollutant, ROUND(mean, 6) AS avg_value, low AS min_value, high AS max_value,
+       COALESCE(good, 0)::INTEGER AS valid_readings, n::INTEGER AS expected_readings,
+       (n - COALESCE(good, 0))::INTEGER AS missing_readings,
+       ROUND(100.0 * COALESCE(good, 0) / n, 2) AS completeness_pct,
+       year(reading_date)::INTEGER AS year, month(reading_date)::INTEGER AS month
+FROM delivered_days LEFT JOIN good_days USING (reading_date, site_name, pollutant)""",
 )
 def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files to the published daily table, through the gate and the keyed publish."""

@@ -87,13 +87,13 @@ def manifest_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "row_fingerprint",
-    """WITH digests AS (
+    f"""WITH digests AS (
     SELECT event_type,
-           sha256('{"k":' || json_extract_string(props, '$.k') || ',"type":"' || event_type || '"}')
+           sha256('{{"k":' || json_extract_string(props, '$.k') || ',"type":"' || event_type || '"}}')
                AS digest
     FROM events)
 SELECT event_type, COUNT(*) AS total_rows, COUNT(DISTINCT digest) AS distinct_digests,
-       CAST(SUM(CAST('0x' || substr(digest, 1, 15) AS BIGINT)) AS VARCHAR) AS fingerprint
+       concat_ws('-', {", ".join(f"SUM(('0x' || substr(digest, {16 * k + 1}, 16))::UBIGINT)" for k in range(4))}) AS fingerprint
 FROM digests GROUP BY event_type""",
 )
 def row_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +104,7 @@ def row_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('", "generationtime_ms": '),
         F.second("ts").cast("string"),
         F.lit(", "),
-        F.substring(F.trim("props"), 2, 1_000_000_000),
+        F.substr(F.trim("props"), F.lit(2)),
     )
     canonical = fingerprint.canonical_json(document, ["generationtime_ms"])
     digests = table(spark, sf_dir, "events").select(

@@ -102,13 +102,11 @@ def hourly_enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("hourly_enrich_shuffled", _HOURLY_SQL)
 def hourly_enrich_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same result the way it is computed when the weather is too large to broadcast."""
+    """The same result by a shuffle of both sides, as when the weather is too large to broadcast."""
     return layers.hourly_environment(
         adapters.shipped_readings(spark, sf_dir),
         adapters.weather_per_date(spark, sf_dir),
-        broadcast_bytes=0,
-        hot_rows=1,
-        hot_share=1 / 2200,
+        join_hint="merge",
     )
 
 

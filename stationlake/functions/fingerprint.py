@@ -26,7 +26,10 @@ def row_digest(columns: Sequence[str]) -> Column:
 def dataset_fingerprint(digest: Column) -> Column:
     """Aggregate over hex digests that does not depend on row order.
 
-    The digests' leading 60 bits are summed as decimals, so partial sums combine on the map side,
-    and repeated rows count as often as they occur.
+    The four 64-bit parts of each digest are summed separately, as decimals, so partial sums combine on
+    the map side, and repeated rows count as often as they occur. The sums are joined by dashes.
     """
-    return F.sum(F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(28,0)")).cast("string")
+    parts = [
+        F.sum(F.conv(F.substring(digest, 16 * k + 1, 16), 16, 10).cast("decimal(38,0)")) for k in range(4)
+    ]
+    return F.concat_ws("-", *[part.cast("string") for part in parts])

@@ -33,14 +33,14 @@ def stamp(
 ) -> DataFrame:
     """Add the timestamp made of the text columns ``date`` and ``clock``; rows without one drop out.
 
-    The rows are filtered by what a timestamp needs, not by the timestamp: Spark moves a filter
-    below the projection and would build every timestamp twice.
+    The day comes out of a generator that yields nothing for an unusable date: a filter on it would be
+    moved below the projection and parse every date a second time. The time is filtered by its shape.
     """
     day, time = f"__day_of_{into}", F.col(clock)
     usable = time.isNotNull() if strict else clock_is_valid(time)
     return (
-        df.withColumn(day, parse_date(F.col(date)))
-        .where(F.col(day).isNotNull() & usable)
+        df.where(usable)
+        .select("*", F.explode(F.array_compact(F.array(parse_date(F.col(date))))).alias(day))
         .withColumn(into, at_clock(F.col(day), time, strict))
         .drop(day)
     )

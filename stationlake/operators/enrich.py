@@ -6,90 +6,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stationlake.errors import KeyViolation
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is hot from a million rows on, if these are also a 1 / 100,000 of all rows. So there are at
-# most 100,000 hot keys, and a key that is not hot fits one task up to 10^12 rows in total.
-HOT_ROWS = 1_000_000
-HOT_SHARE = 1 / 100_000
 
-
-def measured_size(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
-    """(rows, rows of the most frequent key, bytes), from one aggregate over the table."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    width = sum(8 for f in df.schema.fields if not isinstance(f.dataType, T.StringType))
-    length = F.lit(0)
-    for name in text:
-        length = length + F.coalesce(F.octet_length(F.col(name)), F.lit(0)) + 8
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(length.cast("bigint")).alias("text_bytes")
-    )
-    row = per_key.agg(F.sum("n"), F.max("n"), F.sum("text_bytes")).first()
-    rows = row[0] or 0
-    return rows, row[1] or 0, rows * width + (row[2] or 0)
-
-
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, share: float = HOT_SHARE
-) -> list[tuple]:
-    """Keys with at least ``rows`` rows and at least ``share`` of all rows.
-
-    Two passes over the key columns. There can be no more than ``1 / share`` such keys, which is
-    what makes it safe to collect and broadcast them.
-    """
-    total = df.count()
-    if total < rows:
-        return []
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = counted.where(F.col("n") >= max(rows, share * total)).select(*keys)
-    return [tuple(r) for r in hot.collect()]
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """``KeyViolation`` if a key occurs twice: one aggregate over the key columns."""
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if (repeated or 0) > 1:
+        raise KeyViolation(f"the right side holds {repeated} rows for one {tuple(keys)}")
 
 
 def left_join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], unique: bool = False
 ) -> DataFrame:
     """All rows of ``left`` with the matching columns of ``right``, or NULLs.
 
-    ``right`` must hold each key once (``KeyViolation`` otherwise), so the row count of ``left`` is
-    kept. How the join runs depends on measured sizes:
-
-    * ``right`` within ``broadcast_bytes``: broadcast it, ``left`` is not shuffled at all;
-    * larger: shuffle both sides on the keys, except for the hot keys of ``left``. At most
-      ``1 / hot_share`` of them exist and ``right`` has one row for each, so their rows are joined
-      by broadcast and never meet in one task.
+    ``right`` must hold each key once (``KeyViolation`` otherwise; ``unique`` says that it does by
+    construction), so the row count of ``left`` is kept. Keys are compared as they are; NULL matches
+    nothing. Adaptive execution broadcasts ``right`` if its measured size is below Spark's threshold,
+    and otherwise splits the rows of a frequent key among tasks.
     """
-    keys = list(keys)
-    # A NULL key matches nothing, so several of them are no fan-out.
-    right = right.dropna(subset=keys)
-    _, most_frequent, size = measured_size(right, keys)
-    if most_frequent > 1:
-        raise KeyViolation(f"the right side holds {most_frequent} rows for one {tuple(keys)}")
-    if size <= broadcast_bytes:
-        return left.join(F.broadcast(right), keys, "left")
-    hot = hot_keys(left, keys, hot_rows, hot_share)
-    if not hot:
-        return left.join(right, keys, "left")
-
-    types = T.StructType([left.schema[k] for k in keys])
-    hot_frame = F.broadcast(left.sparkSession.createDataFrame(hot, types))
-    matches = None
-    for key in keys:
-        same = left[key].eqNullSafe(hot_frame[key])
-        matches = same if matches is None else matches & same
-    hot_left = left.join(hot_frame, matches, "left_semi")
-    cold_left = left.join(hot_frame, matches, "left_anti")
-    hot_right = F.broadcast(right.join(hot_frame, keys, "left_semi"))
-    return hot_left.join(hot_right, keys, "left").unionByName(
-        cold_left.join(right, keys, "left")
-    )
+    right = right.dropna(subset=list(keys))
+    if not unique:
+        require_unique(right, keys)
+    return left.join(right, list(keys), "left")
 
 
 def match_coverage(joined: DataFrame, witness: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from stationlake.session import delete_folder, list_names
+
 
 def sorted_files(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Range-partition and sort by ``order``: files that follow each other in it.
@@ -32,26 +34,43 @@ def replace_partitions(
     order: Sequence[str] = (),
     counts: dict[str, Column] | None = None,
     whole_table: bool = False,
+    scope: Callable[[dict[str, str]], bool] | None = None,
 ) -> dict[str, object]:
     """Write Parquet and replace only the partitions that occur in ``df``, or the ``whole_table``.
 
-    ``counts`` are aggregates taken from the rows on their way out, so nothing is read back.
-    With ``order`` the files are written by ``balanced_files``.
+    ``scope`` says of the values of a partition's folder whether ``df`` stands for it too: a partition
+    in scope that got no rows is removed after the write. If the driver is lost in between, the next
+    run of the same scope removes it. ``counts`` are aggregates taken from the rows on their way out,
+    so nothing is read back. With ``order`` the files are written by ``balanced_files``.
     """
     if order:
         df = balanced_files(df, partition_by, order)
-    observed = None
-    if counts:
-        # In the writing stage each partition is counted once, even if a task is run again.
-        observed = Observation()
-        df = df.observe(observed, *[c.alias(n) for n, c in counts.items()])
+    # In the writing stage each partition is counted once, even if a task is run again.
+    observed = Observation()
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_by])
+    metrics = [c.alias(n) for n, c in (counts or {}).items()]
+    df = df.observe(observed, F.collect_set(folder).alias("__folders"), *metrics)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
-    return observed.get if observed else {}
+    found = dict(observed.get)
+    filled = set(found.pop("__folders") or ())
+    if scope and not whole_table:
+        for name in partition_folders(df.sparkSession, path, len(partition_by)):
+            if name not in filled and scope(dict(part.split("=", 1) for part in name.split("/"))):
+                delete_folder(df.sparkSession, f"{path}/{name}")
+    return found
+
+
+def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """The partition folders below ``path``, as ``a=1/b=2``."""
+    names = [n for n in list_names(spark, path) if "=" in n]
+    if depth == 1:
+        return names
+    return [f"{n}/{rest}" for n in names for rest in partition_folders(spark, f"{path}/{n}", depth - 1)]
 
 
 def export_csv(df: DataFrame, path: str, null_marker: str = "\\N") -> None:

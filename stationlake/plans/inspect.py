@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
+from stationlake.errors import MissingInputError
 from stationlake.operators import daily, profile
 from stationlake.plans.run import Lake
 from stationlake.sources import checks, files, station_csv
@@ -16,12 +17,17 @@ EXPECTED_COLUMNS = (schemas.DATE_COLUMN, schemas.TIME_COLUMN, *schemas.MEASURES)
 
 
 def column_status(report: DataFrame, expected: Sequence[str] = EXPECTED_COLUMNS) -> DataFrame:
-    """One row per file and expected column with status OK or MISSING, from the files' headers."""
+    """One row per file and expected column with status OK or MISSING, from the files' headers, and
+    what the checks found wrong with the file."""
     names = F.explode(F.array(*[F.lit(c) for c in expected]))
-    listed = report.select("path", "source_year", "header", names.alias("column_name"))
-    present = F.array_contains("header", F.col("column_name"))
+    listed = report.select("path", "source_year", "problem", "header", names.alias("column_name"))
+    present = F.coalesce(F.array_contains("header", F.col("column_name")), F.lit(False))
     return listed.select(
-        "path", "source_year", "column_name", F.when(present, "OK").otherwise("MISSING").alias("status")
+        "path",
+        "source_year",
+        "problem",
+        "column_name",
+        F.when(present, "OK").otherwise("MISSING").alias("status"),
     )
 
 
@@ -29,11 +35,17 @@ def inspect_raw(
     spark: SparkSession, lake: Lake, years: Sequence[int] | None = None
 ) -> dict[str, DataFrame]:
     """Per file year: ``columns`` present, ``rows`` (rows, distinct and repeated date/time pairs,
-    24:00 rows) and ``measures`` (valid, missing and negative cells, range)."""
+    24:00 rows) and ``measures`` (valid, missing and negative cells, range).
+
+    Files that fail a check are examined like the others, as far as they have a header.
+    """
     files.require_files(spark, lake.raw_readings, lake.readings_pattern)
     folders = files.year_folders(spark, lake.raw_readings, years)
+    if not folders:
+        raise MissingInputError(f"no folder of {years} below {lake.raw_readings}")
     report = checks.csv_report(files.payloads(spark, folders, lake.readings_pattern))
-    rows = station_csv.read_station_csv(spark, report, lake.raw_readings)
+    readable = report.where(F.array_contains("header", schemas.DATE_COLUMN))
+    rows = station_csv.read_station_csv(spark, readable, lake.raw_readings, accepted_only=False)
     raw = station_csv.data_rows(station_csv.classified_rows(rows))
     midnight = F.trim(F.col(schemas.TIME_COLUMN)) == "24:00"
     return {

@@ -82,25 +82,26 @@ def hourly_environment(
     readings: DataFrame,
     weather: DataFrame,
     site_cities: DataFrame | None = None,
-    **join: float,
+    join_hint: str | None = None,
 ) -> DataFrame:
     """Readings with the weather of the same hour; readings without a match keep NULLs.
 
     With one city the key is the timestamp. With several, ``site_cities`` (site_name, city) names
-    the city of each site and the key is (recorded_at, city). ``join`` holds limits of
-    ``left_join_unique``.
+    the city of each site and the key is (recorded_at, city). ``join_hint`` fixes the kind of the join
+    with the weather, which Spark chooses otherwise.
     """
     keys: Sequence[str] = ["recorded_at"]
     columns = ["recorded_at", "city", *schemas.WEATHER_MEASURES]
     left = readings.select("recorded_at", "site_name", "pollutant", "value", "unit")
     right = weather.select(*columns)
     if site_cities is not None:
-        left = enrich.left_join_unique(
-            left, site_cities, ["site_name"], **join
-        ).withColumnRenamed("city", "site_city")
+        left = enrich.left_join_unique(left, site_cities, ["site_name"])
+        left = left.withColumnRenamed("city", "site_city")
         right = right.withColumn("site_city", F.col("city"))
         keys = ["recorded_at", "site_city"]
-    joined = enrich.left_join_unique(left, right, keys, **join)
+    if join_hint:
+        right = right.hint(join_hint)
+    joined = enrich.left_join_unique(left, right, keys)
     return joined.select(
         "recorded_at",
         F.col("recorded_at").cast("date").alias("reading_date"),
@@ -162,11 +163,3 @@ def rows_of_months(silver: DataFrame, months: Sequence[tuple[int, int]]) -> Data
         since, until = (F.lit(f"{day} 00:00:00").cast("timestamp_ntz") for day in (first, end))
         in_span = in_span | ((at >= since) & (at < until))
     return silver.where(F.col("source_year").isin(*folders) & in_span)
-
-
-def gold_daily_readings(readings: DataFrame) -> DataFrame:
-    return daily.daily_readings(readings)
-
-
-def gold_daily_weather(weather: DataFrame) -> DataFrame:
-    return daily.daily_weather(weather)

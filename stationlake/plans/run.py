@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
-from stationlake.errors import RawFileRejected
-from stationlake.operators import expect, layout, serving
+from stationlake.errors import MissingInputError, RawFileRejected
+from stationlake.operators import daily, expect, layout, serving
 from stationlake.plans import layers
 from stationlake.session import path_exists
 from stationlake.sources import checks, files, landing, station_csv, weather_json
@@ -21,8 +21,9 @@ from stationlake.sources import checks, files, landing, station_csv, weather_jso
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders and labels of one lake. ``raw_readings`` and ``raw_weather`` hold ``source_year=Y``
-    (and, for several sites, ``site=S``) folders."""
+    """Folders and labels of one lake. ``raw_readings`` and ``raw_weather`` hold ``year=Y`` or
+    ``source_year=Y`` (and, for several sites, ``site=S``) folders. Files above the byte limits are
+    rejected, as any other file that fails a check."""
 
     raw_readings: str
     raw_weather: str
@@ -32,6 +33,8 @@ class Lake:
     weather_source: str = "weather archive"
     readings_pattern: str = "*.csv"
     weather_pattern: str = "*.json"
+    readings_max_bytes: int = schemas.CSV_MAX_BYTES
+    weather_max_bytes: int = schemas.JSON_MAX_BYTES
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -45,36 +48,80 @@ def _together(spark: SparkSession, *steps: Callable[[], object]) -> list:
     return [step.result() for step in started]
 
 
+#: What a bronze step returns for a source that has no folder of the years asked for.
+NOT_BEGUN: dict = {"rows": 0}
+
+
 def _landing_report(
     spark: SparkSession, lake: Lake, table: str, report: DataFrame
 ) -> DataFrame:
-    """Store the per-file report of this run and return it; raise when a file is rejected.
+    """Store the per-file report of this delivery and return it; raise when a file is rejected.
 
-    The payloads are read once for it. A rejected delivery does not replace the stored report.
+    The payloads are read once for it. The report is pending until ``accept_delivery``: what was
+    landed before stays the state that the next delivery is compared with.
     """
-    path = lake.path("landing", table)
-    delivered = f"{path}_delivered"
-    report.write.mode("overwrite").parquet(delivered)
+    delivered = lake.path("landing", f"{table}_delivered")
+    report.withColumn("source", F.lit(table)).write.mode("overwrite").parquet(delivered)
     report = spark.read.parquet(delivered)
-    bad = report.where("problem IS NOT NULL").select("path", "problem").take(5)
-    if bad:
+    bad = report.where("problem IS NOT NULL")
+    first = bad.orderBy("path").select("path", "problem").first()
+    if first:
         raise RawFileRejected(
-            f"{table}: " + ", ".join(f"{r['path']}: {r['problem']}" for r in bad)
+            f"{table}: {bad.count()} files rejected, listed in {delivered}; "
+            f"the first is {first['path']}: {first['problem']}"
         )
-    layout.replace_partitions(report, path, ["source_year"])
     return report
 
 
+def accept_delivery(
+    spark: SparkSession, lake: Lake, table: str, landed_at: str | None = None
+) -> None:
+    """Make the pending report of ``table`` the landed state of its years, after they are published.
+
+    ``landed_at`` (text, given by the caller: nothing here reads the clock) is kept with each file. A
+    file that landed with the same digest before keeps its record.
+    """
+    delivered = lake.path("landing", f"{table}_delivered")
+    if not path_exists(spark, delivered):
+        return
+    report = spark.read.parquet(delivered)
+    report = report.withColumn("landed_at", F.lit(landed_at).cast("string"))
+    stored = lake.path("landing", table)
+    years = set(_years(report))
+    if path_exists(spark, stored):
+        old = spark.read.parquet(stored).select("path", "sha256", F.col("landed_at").alias("since"))
+        report = report.join(old, ["path", "sha256"], "left").withColumn(
+            "landed_at", F.coalesce("since", "landed_at")
+        ).drop("since")
+        # The rows are needed after the partitions they come from have been replaced.
+        pending = lake.path("landing", f"{table}_accepted")
+        report.write.mode("overwrite").parquet(pending)
+        report = spark.read.parquet(pending)
+    layout.replace_partitions(
+        report, stored, ["source_year"], scope=lambda folder: _year(folder) in years
+    )
+
+
+def _year(folder: dict[str, str]) -> int | None:
+    value = folder.get("source_year", folder.get("year", ""))
+    return int(value) if value.isdigit() else None
+
+
 def changed_years(
-    spark: SparkSession, lake: Lake, as_of_year: int, table: str = "readings"
+    spark: SparkSession,
+    lake: Lake,
+    as_of_year: int,
+    table: str = "readings",
+    latest_year: int | None = None,
 ) -> list[int]:
-    """File years whose content differs from what landed before, oldest first.
+    """File years whose content differs from what was published before, oldest first.
 
-    Old files of unchanged size are not opened. The others are compared by SHA-256.
+    Old files of unchanged size are not opened. The others are compared by SHA-256 alone; their rows
+    are not taken apart. With ``latest_year``, landed years older than the refresh window are frozen.
     """
-    raw, pattern, check = {
-        "readings": (lake.raw_readings, lake.readings_pattern, checks.csv_report),
-        "weather": (lake.raw_weather, lake.weather_pattern, checks.weather_report),
+    raw, pattern, digests = {
+        "readings": (lake.raw_readings, lake.readings_pattern, checks.csv_digests),
+        "weather": (lake.raw_weather, lake.weather_pattern, checks.weather_digests),
     }[table]
     listing = files.require_files(spark, raw, pattern)
     stored = lake.path("landing", table)
@@ -86,8 +133,8 @@ def changed_years(
     years = _years(plan.where(F.col("action") == "fetch"))
     if not years:
         return []
-    delivered = check(files.payloads(spark, files.year_folders(spark, raw, years), pattern))
-    status = landing.landing_plan(delivered.select("path", "source_year", "sha256"), landed)
+    delivered = digests(files.payloads(spark, files.year_folders(spark, raw, years), pattern))
+    status = landing.landing_plan(delivered, landed, latest_year)
     return _years(status.where(F.col("status") == "uploaded"))
 
 
@@ -103,27 +150,36 @@ def build_bronze_readings(
 
     The per-file report decides on acceptance and tells the reader the layout of each file.
     """
-    files.require_files(spark, lake.raw_readings, lake.readings_pattern)
-    folders = files.year_folders(spark, lake.raw_readings, years)
+    folders = _folders(spark, lake.raw_readings, lake.readings_pattern, years)
     if not folders:
-        return {"rows": 0}
+        return NOT_BEGUN
     landed = files.payloads(spark, folders, lake.readings_pattern)
-    report = _landing_report(spark, lake, "readings", checks.csv_report(landed))
-    rows = station_csv.classified_rows(
-        station_csv.read_station_csv(spark, report, lake.raw_readings)
+    report = _landing_report(
+        spark, lake, "readings", checks.csv_report(landed, lake.readings_max_bytes)
     )
-    if "site" in rows.columns:
-        rows = rows.withColumnRenamed("site", "site_name")
-    else:
-        rows = layers.with_lineage(rows, site_name=lake.site_name)
+    rows = station_csv.classified_rows(station_csv.read_station_csv(spark, report, lake.raw_readings))
+    rows = rows.withColumn("site_name", F.coalesce("site", F.lit(lake.site_name))).drop("site")
     return layout.replace_partitions(
         rows,
         lake.path("bronze", "readings"),
         ["kind", "source_year"],
         counts={"rows": F.count_if(F.col("kind") == "data")},
+        scope=_in_years(years),
     )
 
 
+def _folders(
+    spark: SparkSession, root: str, pattern: str, years: Sequence[int] | None
+) -> list[str]:
+    """The folders to read; none if the source has not begun the years asked for."""
+    files.require_files(spark, root, pattern)
+    return files.year_folders(spark, root, years)
+
+
+def _in_years(years: Sequence[int] | None) -> Callable[[dict[str, str]], bool]:
+    return lambda folder: years is None or _year(folder) in years
+
+
 def bronze_readings(spark: SparkSession, lake: Lake) -> DataFrame:
     """The well-formed bronze rows."""
     return station_csv.data_rows(spark.read.parquet(lake.path("bronze", "readings")))
@@ -131,9 +187,15 @@ def bronze_readings(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def malformed_lines(spark: SparkSession, lake: Lake) -> DataFrame:
     """The lines that bronze set aside: path, source_file, line."""
+    reports = [
+        spark.read.parquet(path).select("path", "preamble")
+        for path in (lake.path("landing", "readings"), lake.path("landing", "readings_delivered"))
+        if path_exists(spark, path)
+    ]
+    if not reports:
+        raise MissingInputError(f"no landing report below {lake.root}")
     return station_csv.malformed_rows(
-        spark.read.parquet(lake.path("bronze", "readings")),
-        spark.read.parquet(lake.path("landing", "readings")),
+        spark.read.parquet(lake.path("bronze", "readings")), reduce(DataFrame.unionByName, reports)
     )
 
 
@@ -141,13 +203,12 @@ def build_bronze_weather(
     spark: SparkSession, lake: Lake, years: Sequence[int] | None = None
 ) -> dict:
     """Check and flatten the weather documents; replace the bronze partitions of their years."""
-    files.require_files(spark, lake.raw_weather, lake.weather_pattern)
-    folders = files.year_folders(spark, lake.raw_weather, years)
+    folders = _folders(spark, lake.raw_weather, lake.weather_pattern, years)
     if not folders:
-        return {"rows": 0}
+        return NOT_BEGUN
     landed = files.payloads(spark, folders, lake.weather_pattern)
     # The arrays must be checked before they are zipped into rows.
-    _landing_report(spark, lake, "weather", checks.weather_report(landed))
+    _landing_report(spark, lake, "weather", checks.weather_report(landed, lake.weather_max_bytes))
     documents = weather_json.read_weather_documents(
         spark, lake.raw_weather, lake.weather_pattern, folders
     )
@@ -157,14 +218,26 @@ def build_bronze_weather(
         source_name=lake.weather_source,
     )
     return layout.replace_partitions(
-        rows, lake.path("bronze", "weather"), ["source_year"], counts={"rows": F.count(F.lit(1))}
+        rows,
+        lake.path("bronze", "weather"),
+        ["source_year"],
+        counts={"rows": F.count(F.lit(1))},
+        scope=_in_years(years),
     )
 
 
+def _require(spark: SparkSession, lake: Lake, layer: str, *names: str) -> None:
+    """``MissingInputError`` unless the tables of a layer are there."""
+    for name in names:
+        if not path_exists(spark, lake.path(layer, name)):
+            raise MissingInputError(f"no {layer} table {name} below {lake.root}; build it first")
+
+
 def build_silver(
     spark: SparkSession, lake: Lake, strict: bool = True, years: Sequence[int] | None = None
 ) -> dict:
     """Bronze to silver; each bronze partition becomes the silver partition of the same name."""
+    _require(spark, lake, "bronze", "readings", "weather")
     bronze = bronze_readings(spark, lake)
     weather = spark.read.parquet(lake.path("bronze", "weather"))
     if years is not None:
@@ -178,6 +251,7 @@ def build_silver(
             lake.path("silver", "readings"),
             ["source_year"],
             counts={"rows": F.count(F.lit(1)), "valid": F.count("value")},
+            scope=_in_years(years),
         ),
         partial(
             layout.replace_partitions,
@@ -185,6 +259,7 @@ def build_silver(
             lake.path("silver", "weather"),
             ["source_year"],
             counts={"rows": F.count(F.lit(1))},
+            scope=_in_years(years),
         ),
     )
     return {"readings": readings_counts, "weather": weather_counts}
@@ -231,6 +306,7 @@ def build_gold(
     With ``years`` only the partitions that a refresh of those file years can change are computed
     and replaced.
     """
+    _require(spark, lake, "silver", "readings", "weather")
     silver = {
         name: spark.read.parquet(lake.path("silver", name)) for name in ("readings", "weather")
     }
@@ -244,17 +320,25 @@ def build_gold(
 
     def write(name: str, plan: Callable[[Table], DataFrame]) -> None:
         table = TABLES[name]
+        months = set(layers.touched_months(years or (), table.partition_by))
+
+        def touched(folder: dict[str, str]) -> bool:
+            if "month" in folder:
+                return (int(folder["year"]), int(folder["month"])) in months
+            return int(folder["year"]) in {y for y, _ in months}
+
         layout.replace_partitions(
             plan(table),
             lake.path("gold", name),
             table.partition_by,
             table.key,
             whole_table=years is None,
+            scope=touched,
         )
 
     plans = {
-        "daily_readings": lambda t: layers.gold_daily_readings(in_scope("readings", t)),
-        "daily_weather": lambda t: layers.gold_daily_weather(in_scope("weather", t)),
+        "daily_readings": lambda t: daily.daily_readings(in_scope("readings", t)),
+        "daily_weather": lambda t: daily.daily_weather(in_scope("weather", t)),
         "hourly_environment": lambda t: layers.hourly_environment(
             in_scope("readings", t), in_scope("weather", t)
         ),
@@ -319,12 +403,18 @@ def run(
     lake: Lake,
     strict: bool = True,
     refreshed: Sequence[int] | None = None,
+    landed_at: str | None = None,
 ) -> dict[str, object]:
     """All steps in order; the first failing step raises and later ones do not start.
 
+    The delivery counts as landed only after all tables are published, so a run that stops before is
+    asked for again by ``changed_years``.
+
     ``refreshed`` (see ``changed_years``) limits the layers to those file years and the months they
     can change. The gate always judges the whole gold tables.
     """
+    if refreshed is not None:
+        _require_years(spark, lake, refreshed)
     readings_written, weather_written = _together(
         spark,
         partial(build_bronze_readings, spark, lake, refreshed),
@@ -332,12 +422,31 @@ def run(
     )
     silver = build_silver(spark, lake, strict, refreshed)
     gold = build_gold(spark, lake, refreshed)
-    readings = spark.read.parquet(lake.path("silver", "readings"))
-    source_rows = readings.where(F.col("recorded_at").isNotNull()).count()
-    verdicts = expect.gate(quality_suites(gold, source_rows))
+    verdicts = judge(spark, lake)
+    versions = publish_gold(gold, lake, refreshed)
+    for table, written in (("readings", readings_written), ("weather", weather_written)):
+        if written is not NOT_BEGUN:  # else a report that is there is of another, unfinished run
+            accept_delivery(spark, lake, table, landed_at)
     return {
         "bronze": {"readings": readings_written, "weather": weather_written},
         "silver": silver,
         "verdicts": verdicts,
-        "versions": publish_gold(gold, lake, refreshed),
+        "versions": versions,
     }
+
+
+def _require_years(spark: SparkSession, lake: Lake, years: Sequence[int]) -> None:
+    """One source may lag behind the other, but a year that neither has is a mistake."""
+    for year in years:
+        if not any(files.year_folders(spark, raw, [year]) for raw in (lake.raw_readings, lake.raw_weather)):
+            raise MissingInputError(f"no raw files of {year} in {lake.raw_readings} or {lake.raw_weather}")
+
+
+def judge(spark: SparkSession, lake: Lake) -> list[dict]:
+    """The gate over the whole gold tables."""
+    _require(spark, lake, "gold", *TABLES)
+    _require(spark, lake, "silver", "readings")
+    gold = {name: spark.read.parquet(lake.path("gold", name)) for name in TABLES}
+    readings = spark.read.parquet(lake.path("silver", "readings"))
+    source_rows = readings.where(F.col("recorded_at").isNotNull()).count()
+    return expect.gate(quality_suites(gold, source_rows))

@@ -1,8 +1,7 @@
 """Validation of landed payloads, one output row per file and no shuffle.
 
-A payload is one station-year and is limited in size (``max_bytes``): files above the limit are
-reported without being read, which is what keeps a whole payload per row safe. Its SHA-256 needs
-all of its bytes in one place anyway.
+A payload is one station-year. One above ``max_bytes`` is reported as ``too_large``, with its digest,
+header and counts as any other; None sets no limit. Its SHA-256 needs all of its bytes in one place.
 """
 
 from __future__ import annotations
@@ -33,8 +32,20 @@ def _cells(line: Column, limit: Column | int = -1) -> Column:
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ",", limit))
 
 
-def _within(files: DataFrame, max_bytes: int) -> tuple[DataFrame, DataFrame]:
-    return files.where(F.col("length") <= max_bytes), files.where(F.col("length") > max_bytes)
+def _too_large(max_bytes: int | None) -> Column:
+    return F.lit(False) if max_bytes is None else F.col("length") > max_bytes
+
+
+def csv_digests(files: DataFrame) -> DataFrame:
+    """path, source_year, length, sha256 of station files."""
+    return files.select("path", "source_year", "length", F.sha2("content", 256).alias("sha256"))
+
+
+def weather_digests(files: DataFrame) -> DataFrame:
+    """path, source_year, length, sha256 of weather documents, without the volatile key."""
+    text = F.col("content").cast("string")
+    digest = F.sha2(canonical_json(text, [schemas.VOLATILE_JSON_KEY]), 256)
+    return files.select("path", "source_year", "length", digest.alias("sha256"))
 
 
 def _first_problem(**checks: Column) -> Column:
@@ -50,7 +61,7 @@ def _settled(report: DataFrame) -> DataFrame:
 
 def csv_report(
     files: DataFrame,
-    max_bytes: int = schemas.CSV_MAX_BYTES,
+    max_bytes: int | None = schemas.CSV_MAX_BYTES,
     first_line: str = schemas.CSV_FIRST_LINE,
     preamble_lines: int = schemas.CSV_PREAMBLE_LINES,
     required: Sequence[str] = schemas.CSV_REQUIRED,
@@ -61,16 +72,15 @@ def csv_report(
     Output: path, source_year, length, sha256, encoding, header, preamble, row_count, latest_date,
     bad_dates, wrong_year, short_rows and ``problem`` (NULL when the file is accepted).
     """
-    small, large = _within(files, max_bytes)
     raw = F.col("content").cast("string")
     lines, date_at = F.col("lines"), F.col("date_at")
     header_at = preamble_lines + 1
     # A newline at the end of the file starts no further line.
     line_count = F.size(lines) - F.when(F.element_at(lines, -1) == "", 1).otherwise(0)
-    start = F.ltrim(F.lower(F.substring("text", 1, 4096)))
+    html = r"(?i)\A\s*<(!doctype html|html)"
     missing = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))
     opened = (
-        small.withColumn("utf8", F.is_valid_utf8(raw))
+        files.withColumn("utf8", F.is_valid_utf8(raw))
         .withColumn(
             "text",
             F.when(F.col("utf8"), raw).otherwise(F.decode(F.col("content"), "ISO-8859-1")),
@@ -86,7 +96,7 @@ def csv_report(
             "problem",
             _first_problem(
                 empty=F.col("length") == 0,
-                html=start.startswith("<!doctype html") | start.startswith("<html"),
+                html=F.col("text").rlike(html),
                 no_data_rows=line_count <= header_at,
                 preamble=~F.col("announced"),
                 missing_columns=F.size(missing) > 0,
@@ -138,23 +148,22 @@ def csv_report(
                 bad_date=F.col("bad_dates") > 0,
                 wrong_year=F.col("wrong_year") > 0,
                 no_valid_rows=F.col("row_count") == 0,
+                too_large=_too_large(max_bytes),
             ),
         ),
     )
-    oversized = large.select("path", "source_year", "length", F.lit("too_large").alias("problem"))
-    return _settled(judged).unionByName(oversized, allowMissingColumns=True)
+    return _settled(judged)
 
 
-def weather_report(files: DataFrame, max_bytes: int = schemas.JSON_MAX_BYTES) -> DataFrame:
+def weather_report(files: DataFrame, max_bytes: int | None = schemas.JSON_MAX_BYTES) -> DataFrame:
     """Check weather documents (path, length, content, source_year).
 
     The digest is taken of the canonical text without the volatile key, so a re-delivery that only
     differs in request timing counts as unchanged. Output: path, source_year, length, sha256,
     row_count, first_timestamp, latest_timestamp, problem.
     """
-    small, large = _within(files, max_bytes)
     text = F.col("content").cast("string")
-    read = small.select(
+    read = files.select(
         "path",
         "source_year",
         "length",
@@ -162,8 +171,8 @@ def weather_report(files: DataFrame, max_bytes: int = schemas.JSON_MAX_BYTES) ->
         F.from_json(text, schemas.WEATHER_DOCUMENT).getField("hourly").alias("hourly"),
     )
     judged = weather_problems(read).drop("hourly")
-    oversized = large.select("path", "source_year", "length", F.lit("too_large").alias("problem"))
-    return _settled(judged).unionByName(oversized, allowMissingColumns=True)
+    too_large = F.when(_too_large(max_bytes), "too_large")
+    return _settled(judged.withColumn("problem", F.coalesce("problem", too_large)))
 
 
 def weather_problems(documents: DataFrame) -> DataFrame:

@@ -16,11 +16,27 @@ def year_in_path(path: Column) -> Column:
     return F.regexp_extract(path, r"year=(\d{4})/", 1).try_cast("int")
 
 
+def site_in_path(path: Column) -> Column:
+    """The site of a ``.../site=S/...`` folder with its URI escapes undone, else NULL."""
+    return F.nullif(plain_path(F.regexp_extract(path, r"/site=([^/]+)/", 1)), F.lit(""))
+
+
+def plain_path(path: Column) -> Column:
+    """One spelling of a path, however the reader that named it writes slashes and escapes."""
+    unescaped = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(F.coalesce(unescaped, path), r"^(\w+):/+", "$1:/")
+
+
+def any_case(pattern: str) -> str:
+    """The file pattern with every letter in either case."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in pattern)
+
+
 def file_listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     """One row per file below ``root``: path, length, modified_at, source_year."""
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
+        .option("pathGlobFilter", any_case(pattern))
         .option("recursiveFileLookup", "true")
         .load(root)
     )
@@ -43,12 +59,12 @@ def require_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
 
 
 def year_folders(spark: SparkSession, root: str, years: Sequence[int] | None) -> list[str]:
-    """``root``, or those of its ``source_year=Y`` folders for ``years`` that exist. A lagging
-    source may not have begun the newest year."""
+    """``root``, or those of its ``source_year=Y`` and ``year=Y`` folders for ``years`` that exist. A
+    lagging source may not have begun the newest year."""
     root = root.rstrip("/")
     if years is None:
         return [root]
-    folders = [f"{root}/source_year={y}" for y in years]
+    folders = [f"{root}/{name}={y}" for y in years for name in ("source_year", "year")]
     return [f for f in folders if path_exists(spark, f)]
 
 
@@ -57,7 +73,7 @@ def payloads(spark: SparkSession, folders: str | Sequence[str], pattern: str) ->
     reader, so the bytes of an oversized file are not loaded."""
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
+        .option("pathGlobFilter", any_case(pattern))
         .option("recursiveFileLookup", "true")
         .load([folders] if isinstance(folders, str) else list(folders))
     )

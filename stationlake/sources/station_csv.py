@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from stationlake import schemas
 from stationlake.errors import MissingInputError
 from stationlake.functions.cells import blank_tokens_to_null, is_nonblank
+from stationlake.sources.files import plain_path, site_in_path, year_in_path
 
 CORRUPT = "_corrupt"
 
@@ -26,11 +27,13 @@ def unique_names(header: Sequence[str]) -> list[str]:
     return names
 
 
-def layouts(report: DataFrame) -> list[tuple[tuple[str, ...], str, list[str]]]:
-    """Accepted files grouped by (header, encoding). What reaches the driver is one path per file
+def layouts(
+    report: DataFrame, accepted_only: bool = True
+) -> list[tuple[tuple[str, ...], str, list[str]]]:
+    """Accepted files, or all in the report, grouped by (header, encoding). What reaches the driver is one path per file
     of the refresh scope, the same list Spark's file index holds."""
     groups = (
-        report.where("problem IS NULL")
+        (report.where("problem IS NULL") if accepted_only else report)
         .groupBy("header", "encoding")
         .agg(F.sort_array(F.collect_list("path")).alias("paths"))
         .collect()
@@ -39,7 +42,7 @@ def layouts(report: DataFrame) -> list[tuple[tuple[str, ...], str, list[str]]]:
 
 
 def _read_layout(
-    spark: SparkSession, header: Sequence[str], encoding: str, paths: list[str], root: str
+    spark: SparkSession, header: Sequence[str], encoding: str, paths: list[str]
 ) -> DataFrame:
     names = unique_names(header)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
@@ -49,21 +52,25 @@ def _read_layout(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("encoding", encoding)
         .option("columnPruning", "false")
-        .option("basePath", root)
+        .option("recursiveFileLookup", "true")  # year and site come from the path, whatever its layout
         .csv(paths)
         .withColumn("source_file", F.col("_metadata.file_name"))
         .withColumn("source_path", F.col("_metadata.file_path"))
+        .withColumn("source_year", year_in_path(F.col("source_path")))
+        .withColumn("site", site_in_path(F.col("source_path")))
     )
 
 
-def read_station_csv(spark: SparkSession, report: DataFrame, root: str) -> DataFrame:
+def read_station_csv(
+    spark: SparkSession, report: DataFrame, root: str, accepted_only: bool = True
+) -> DataFrame:
     """All rows of the accepted files in ``report`` (from ``csv_report``), cells as text.
 
     Each layout is read with its own schema, and no file is read twice. The result still holds the
-    preamble and malformed rows; see ``classified_rows``. Folder names such as
-    ``source_year=2024`` below ``root`` become columns.
+    preamble and malformed rows; see ``classified_rows``. ``source_year`` and ``site`` (NULL without
+    such a folder) are taken from the path.
     """
-    parts = [_read_layout(spark, h, e, paths, root) for h, e, paths in layouts(report)]
+    parts = [_read_layout(spark, h, e, paths) for h, e, paths in layouts(report, accepted_only)]
     if not parts:
         raise MissingInputError(f"no accepted CSV file below {root}")
     rows = parts[0]
@@ -120,13 +127,8 @@ def malformed_rows(classified: DataFrame, report: DataFrame) -> DataFrame:
     """
     broken = classified.where(F.col("kind") == "malformed")
     preambles = report.select(
-        _plain_path(F.col("path")).alias("path"), F.explode("preamble").alias("line")
+        plain_path(F.col("path")).alias("path"), F.explode("preamble").alias("line")
     ).distinct()
     return broken.select(
-        _plain_path(F.col("source_path")).alias("path"), "source_file", F.col(CORRUPT).alias("line")
+        plain_path(F.col("source_path")).alias("path"), "source_file", F.col(CORRUPT).alias("line")
     ).join(preambles, ["path", "line"], "left_anti")
-
-
-def _plain_path(path: Column) -> Column:
-    """One spelling of ``scheme:/`` and ``scheme:///`` paths."""
-    return F.regexp_replace(path, r"^(\w+):/+", "$1:/")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
+from stationlake.sources.files import any_case, year_in_path
 
 
 def read_weather_documents(
@@ -16,15 +17,16 @@ def read_weather_documents(
     pattern: str = "*.json",
     folders: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per file below ``root``, or in some of its ``folders``: ``hourly``, the folder columns
-    of ``root``, and ``source_file``."""
+    """One row per file below ``root``, or in some of its ``folders``: ``hourly``, ``source_file`` and
+    the ``source_year`` of its path."""
     return (
         spark.read.schema(schemas.WEATHER_DOCUMENT)
         .option("multiLine", "true")
-        .option("pathGlobFilter", pattern)
-        .option("basePath", root)
+        .option("pathGlobFilter", any_case(pattern))
+        .option("recursiveFileLookup", "true")
         .json(list(folders or [root]))
         .withColumn("source_file", F.col("_metadata.file_name"))
+        .withColumn("source_year", year_in_path(F.col("_metadata.file_path")))
     )
 
 

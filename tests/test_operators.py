@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stationlake import schemas
-from stationlake.errors import KeyViolation, MissingColumnError, QualityGateFailed
+from stationlake.errors import KeyViolation, MissingColumnError, QualityGateFailed, StalePublish
 from stationlake.operators import daily, enrich, expect, keys, layout, profile, serving
 from stationlake.operators.reshape import unpivot_measures
 from stationlake.plans import layers
@@ -106,26 +106,35 @@ def reference_rows(spark, count=30):
     )
 
 
-@pytest.mark.parametrize("limit, rows, share", [(10**9, 1, 0.1), (0, 1, 0.1), (0, 5000, 0.1), (0, 1, 0.9), (0, 1, 0.001)])
-def test_join_paths_agree(spark, limit, rows, share):
+@pytest.mark.parametrize("hint", [None, "merge", "broadcast", "shuffle_hash"])
+def test_kinds_of_join_agree(spark, hint):
     left, right = skewed(spark), reference_rows(spark)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = enrich.left_join_unique(left, right, ["recorded_at"], limit, rows, share).collect()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    got = enrich.left_join_unique(left, right.hint(hint) if hint else right, ["recorded_at"]).collect()
     by_hour = {hours(h): float(h) for h in range(30)}
     assert len(got) == 3000 and len({r.n for r in got}) == 3000
     assert all(r.t == by_hour.get(r.recorded_at) for r in got)
 
 
-def test_hot_keys_and_size(spark):
-    assert enrich.hot_keys(skewed(spark), ["recorded_at"], 1, 0.1) == [(hours(5),)]
-    assert enrich.hot_keys(skewed(spark), ["recorded_at"], 2000, 0.1) == []
-    assert enrich.hot_keys(skewed(spark).limit(0), ["recorded_at"], 1) == []
-    rows, most, size = enrich.measured_size(reference_rows(spark).dropna(), ["recorded_at"])
-    assert (rows, most) == (30, 1) and 30 * 24 < size < 30 * 40
+def test_a_frequent_key_is_split_by_adaptive_execution(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        left = skewed(spark, 60_000).repartition(12).select("*", F.sha2(F.col("n").cast("string"), 256).alias("wide"))
+        joined = enrich.left_join_unique(left, reference_rows(spark), ["recorded_at"])
+        assert len(joined.collect()) == 60_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_join_refuses_repeated_keys(spark):
@@ -272,7 +281,9 @@ def test_publish(spark, tmp_path):
     # an update may set NULL, other keys stay, nothing is deleted, February is not rewritten
     assert publish(rows(spark, (1, 2, "a", None), (1, 3, "b", 9.0)), path) == 2
     assert content(spark, path) == {**first, (1, 2, "a"): None, (1, 3, "b"): 9.0}
-    assert serving.current_partitions(spark, path)[1] == {"year=2024/month=1": 2, "year=2024/month=2": 1}
+    latest, folders = serving.current_partitions(spark, path)
+    assert latest == 2 and sorted(folders) == ["year=2024/month=1", "year=2024/month=2"]
+    assert len(set(folders.values())) == 2
     before = content(spark, path)
     publish(rows(spark, (1, 2, "a", None), (1, 3, "b", 9.0)), path)
     assert content(spark, path) == before
@@ -290,13 +301,29 @@ def test_publish_refuses_a_broken_key_and_changes_nothing(spark, tmp_path):
 def test_an_unfinished_publish_is_not_visible(spark, tmp_path):
     path = str(tmp_path / "table")
     publish(rows(spark, (1, 1, "a", 1.0)), path)
-    # files of a version without commit, as a lost driver leaves them
-    rows(spark, (1, 1, "a", 7.0), (1, 9, "z", 7.0)).write.partitionBy("year", "month").parquet(f"{path}/data/version=2")
+    # files of a publish without commit, as a lost driver leaves them
+    rows(spark, (1, 1, "a", 7.0), (1, 9, "z", 7.0)).write.partitionBy("year", "month").parquet(f"{path}/data/publish=x")
     assert content(spark, path) == {(1, 1, "a"): 1.0}
     assert publish(rows(spark, (1, 2, "a", 2.0)), path) == 2
     assert content(spark, path) == {(1, 1, "a"): 1.0, (1, 2, "a"): 2.0}
 
 
+def test_a_stale_publisher_fails_and_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    publish(rows(spark, (1, 1, "a", 1.0)), path)
+    seen = serving.current_partitions(spark, path)
+    publish(rows(spark, (1, 2, "a", 2.0)), path)
+    monkeypatch.setattr(serving, "current_partitions", lambda *_: seen)
+    with pytest.raises(StalePublish):
+        publish(rows(spark, (1, 1, "a", 9.0)), path)
+    monkeypatch.undo()
+    assert content(spark, path) == {(1, 1, "a"): 1.0, (1, 2, "a"): 2.0}
+    assert publish(rows(spark, (1, 1, "a", 9.0)), path) == 3
+    before = content(spark, path)
+    assert len(serving.remove_old_versions(spark, path, keep=1)) >= 3  # two commits, unused data
+    assert content(spark, path) == before and serving.remove_old_versions(spark, path, keep=1) == []
+
+
 change = st.tuples(st.integers(1, 6), st.sampled_from("ab"), st.one_of(st.none(), st.integers(0, 9)))
 
 
@@ -337,6 +364,16 @@ def test_replace_partitions_counts_on_the_way_out(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(y" in scan
 
 
+def test_emptied_partitions_in_scope_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(90).select("id", (F.col("id") % 3).alias("y"), (F.col("id") % 2).alias("m"))
+    layout.replace_partitions(df, path, ["y", "m"])
+    redelivered = df.where("y = 0 AND m = 1").withColumn("id", F.col("id") + 1000)
+    layout.replace_partitions(redelivered, path, ["y", "m"], scope=lambda folder: folder["y"] in ("0", "1"))
+    left = {(r.y, r.m): r.n for r in spark.read.parquet(path).groupBy("y", "m").agg(F.count("id").alias("n")).collect()}
+    assert left == {(0, 1): 15, (2, 0): 15, (2, 1): 15}
+
+
 def test_sorted_files_are_in_global_order(spark):
     df = layout.sorted_files(spark.range(0, 5000).select(F.xxhash64("id").alias("h"), "id"), ["h", "id"])
     parts = df.groupBy(F.spark_partition_id().alias("p")).agg(F.min("h"), F.max("h")).orderBy("p").collect()

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from stationlake.errors import BadRequestedYears, MissingInputError
 from stationlake.sources import checks, files, landing, station_csv, weather_json
 
-GOOD = """Data supplied by UK-AIR on 31/7/2026
+GOOD = """Data supplied by UK-AIR on 6/3/2026
 All Data GMT hour ending
 Status: R =Ratified P=Provisional,P*=As supplied
 ,,Station,,
 Date,time,Nitrogen dioxide,status,unit
-30-07-2026,23:00,13.77,P,ugm-3
-30-07-2026,24:00:00,15.10875,P,ugm-3
+04-03-2026,07:00,4.25,R,ugm-3
+05-03-2026,24:00:00,61.5,P,ugm-3
 """
 
 
@@ -32,7 +32,7 @@ def csv_problem(spark, text, year=2026, **options):
 def test_good_payload(spark):
     report = csv_problem(spark, GOOD)
     assert report.problem is None
-    assert (report.row_count, report.latest_date) == (2, dt.date(2026, 7, 30))
+    assert (report.row_count, report.latest_date) == (2, dt.date(2026, 3, 5))
     assert report.sha256 == hashlib.sha256(GOOD.encode()).hexdigest()
     assert report.header == ["Date", "time", "Nitrogen dioxide", "status", "unit"]
     assert report.encoding == "UTF-8"
@@ -44,6 +44,7 @@ def test_good_payload(spark):
         ("", "empty"),
         ("  <HTML><body>no such file</body></html>", "html"),
         ("<!DOCTYPE html>\n" * 9, "html"),
+        ("\n\t \r\n" * 3000 + "<!doctype html>\n" * 9, "html"),
         ("\n".join(GOOD.split("\n")[:5]), "no_data_rows"),
         (GOOD.replace("Data supplied", "Daten geliefert"), "preamble"),
         (GOOD.replace("Nitrogen dioxide", "Ozone"), "missing_columns"),
@@ -64,7 +65,8 @@ def test_payload_problems(spark, text, problem):
 
 def test_size_limit(spark):
     report = csv_problem(spark, GOOD, max_bytes=20)
-    assert (report.problem, report.sha256) == ("too_large", None)
+    assert report.problem == "too_large" and len(report.sha256) == 64 and report.row_count == 2
+    assert csv_problem(spark, GOOD, max_bytes=None).problem is None
 
 
 def weather(hours, **changes):
