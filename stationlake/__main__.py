@@ -18,12 +18,14 @@ from stationlake.sources.landing import requested_years
 
 def main(arguments: list[str] | None = None) -> dict | None:
     parser = argparse.ArgumentParser(prog="stationlake", description=__doc__)
-    parser.add_argument("--readings", required=True, help="folder of source_year=Y/*.csv")
-    parser.add_argument("--weather", required=True, help="folder of source_year=Y/*.json")
+    parser.add_argument("--readings", required=True, help="folder of year=Y/*.csv")
+    parser.add_argument("--weather", required=True, help="folder of year=Y/*.json")
     parser.add_argument("--root", required=True, help="folder of the layers")
     parser.add_argument("--site", default="Main site")
     parser.add_argument("--city", default="Main city")
     parser.add_argument("--lenient", action="store_true", help="leave out impossible times")
+    parser.add_argument("--landed-at", help="time of this delivery, kept with the landed files")
+    parser.add_argument("--freeze", action="store_true", help="with --changed-as-of: landed older years stay as they are")
     scope = parser.add_mutually_exclusive_group()
     scope.add_argument("--years", nargs="+")
     scope.add_argument("--changed-as-of", type=int, metavar="YEAR")
@@ -35,13 +37,18 @@ def main(arguments: list[str] | None = None) -> dict | None:
     if given.years:
         years = requested_years(given.years, 1990, 9999)
     elif given.changed_as_of:
-        changed = run.changed_years(spark, lake, given.changed_as_of)
-        changed += run.changed_years(spark, lake, given.changed_as_of, "weather")
-        years = sorted(set(changed))
+        frozen = given.changed_as_of if given.freeze else None
+        years = sorted(
+            {
+                year
+                for table in ("readings", "weather")
+                for year in run.changed_years(spark, lake, given.changed_as_of, table, frozen)
+            }
+        )
         if not years:
             print("nothing changed")
             return None
-    outcome = run.run(spark, lake, strict=not given.lenient, refreshed=years)
+    outcome = run.run(spark, lake, not given.lenient, years, given.landed_at)
     summary = {k: outcome[k] for k in ("bronze", "silver", "versions")}
     print(json.dumps(summary))
     return summary

@@ -15,6 +15,7 @@ from stationlake import schemas
 from stationlake.__main__ import main
 from stationlake.errors import KeyViolation, MissingInputError, QualityGateFailed, RawFileRejected
 from stationlake.plans import inspect, layers, run
+from stationlake.sources import landing
 
 FIRST, LAST_READING, LAST_WEATHER = dt.date(2022, 1, 1), dt.date(2026, 7, 30), dt.date(2026, 7, 26)
 HEADER = "Date,time," + ",".join(f"{raw},status,unit" for raw in schemas.MEASURES)
@@ -250,3 +251,106 @@ def test_repeated_hours_cannot_be_published(spark, tmp_path):
     raw.write_text(raw.read_text() + raw.read_text().splitlines()[-1] + "\n")
     with pytest.raises(KeyViolation):
         run.run(spark, lake)
+
+
+def tables_of(spark, lake):
+    return {name: sorted(map(str, run.served(spark, lake, name).collect())) for name in run.TABLES}
+
+
+def test_a_refresh_that_fails_is_asked_for_again(spark, tmp_path, monkeypatch):
+    lake = small(tmp_path)
+    run.run(spark, lake, landed_at="2026-08-01T00:00:00Z")
+    landed = spark.read.parquet(lake.path("landing", "readings")).first()
+    assert (landed.source, landed.landed_at) == ("readings", "2026-08-01T00:00:00Z")
+    assert run.changed_years(spark, lake, 2026) == []
+    raw = tmp_path / "raw" / "stations" / "source_year=2026" / "station_2026.csv"
+    raw.write_text(station_file(2026, value="40.5"))
+
+    def stopped(*_, **__):
+        raise RuntimeError("driver lost")
+
+    published = []
+
+    def one_table_only(changes, path, table):
+        if published:
+            raise RuntimeError("driver lost")
+        published.append(path)
+        return publish(changes, path, table)
+
+    publish = run.publish_table
+    for step, stand_in in (
+        ("build_silver", stopped),
+        ("build_gold", stopped),
+        ("judge", stopped),
+        ("publish_table", one_table_only),
+    ):
+        with monkeypatch.context() as patch:
+            patch.setattr(run, step, stand_in)
+            with pytest.raises(RuntimeError):
+                run.run(spark, lake, refreshed=[2026])
+        assert run.changed_years(spark, lake, 2026) == [2026]
+    run.run(spark, lake, refreshed=[2026], landed_at="2026-08-02T00:00:00Z")
+    assert run.changed_years(spark, lake, 2026) == []
+    assert spark.read.parquet(lake.path("landing", "readings")).first().landed_at == "2026-08-02T00:00:00Z"
+    assert spark.read.parquet(lake.path("landing", "weather")).first().landed_at == "2026-08-01T00:00:00Z"
+    again = run.Lake(lake.raw_readings, lake.raw_weather, str(tmp_path / "again"))
+    run.run(spark, again)
+    assert tables_of(spark, lake) == tables_of(spark, again)
+
+
+def test_year_folders_and_odd_paths(spark, tmp_path):
+    """The layout that ``landing_path`` writes, below a folder with a blank, a percent sign and a plus."""
+    base = tmp_path / "my lake 5%+"
+    for site, value in (("North Park", "12.5"), ("a+b 100%", "7.5")):
+        folder = base / "raw" / landing.landing_path("", "stations", 2026, f"site={site}").strip("/")
+        folder.mkdir(parents=True)
+        (folder / "hours.CSV").write_text(station_file(2026, value))
+    folder = base / "raw" / "weather" / "year=2026"
+    folder.mkdir(parents=True)
+    (folder / "w.Json").write_text(weather_file(2026, LAST_READING))
+    lake = lake_in(base)
+    assert run.changed_years(spark, lake, 2026) == [2026]
+    outcome = run.run(spark, lake)
+    assert outcome["bronze"]["readings"] == {"rows": 2 * 24 * 211}
+    served = run.served(spark, lake, "daily_readings").where("pollutant = 'NO'")
+    assert {(r.site_name, r.max_value) for r in served.collect()} == {("North Park", 12.5), ("a+b 100%", 7.5)}
+    assert run.malformed_lines(spark, lake).isEmpty()
+    (folder / "w.Json").write_text(weather_file(2026, LAST_READING).replace("10.0", "11.0"))
+    assert run.changed_years(spark, lake, 2026, "weather") == [2026]
+    run.run(spark, lake, refreshed=[2026])
+    assert {r.max_temperature_2m for r in run.served(spark, lake, "daily_weather").collect()} == {11.0}
+
+
+def test_a_year_that_no_source_has(spark, tmp_path):
+    with pytest.raises(MissingInputError, match="2031"):
+        run.run(spark, small(tmp_path), refreshed=[2031])
+
+
+def test_layers_ask_for_what_they_need(spark, tmp_path):
+    lake = lake_in(tmp_path)
+    for step in (run.build_silver, run.build_gold, run.judge, run.malformed_lines):
+        with pytest.raises(MissingInputError):
+            step(spark, lake)
+
+
+def test_inspection_shows_rejected_files(spark, tmp_path):
+    lake = lake_in(tmp_path)
+    write_raw(tmp_path, [2025, 2026])
+    raw = tmp_path / "raw" / "stations" / "source_year=2026" / "station_2026.csv"
+    raw.write_text(raw.read_text() + "2026-07-31,01:00,1,R,ugm-3\n")
+    found = inspect.inspect_raw(spark, lake)
+    assert {(r.source_year, r.problem) for r in found["columns"].collect()} == {(2025, None), (2026, "bad_date")}
+    assert {r.source_year for r in found["rows"].collect()} == {2025, 2026}
+    with pytest.raises(MissingInputError):
+        inspect.inspect_raw(spark, lake, [2031])
+
+
+def test_a_revision_that_drops_a_month(spark, tmp_path):
+    lake = small(tmp_path)
+    run.run(spark, lake)
+    raw = tmp_path / "raw" / "stations" / "source_year=2026" / "station_2026.csv"
+    raw.write_text("\n".join(l for l in raw.read_text().split("\n") if "-03-2026," not in l))
+    run.run(spark, lake, refreshed=run.changed_years(spark, lake, 2026))
+    gold = spark.read.parquet(lake.path("gold", "hourly_environment"))
+    days = {str(r.d) for r in gold.where("month = 3").selectExpr("date(recorded_at) d").distinct().collect()}
+    assert days <= {"2026-03-01"}  # the midnight that February's last day delivers
