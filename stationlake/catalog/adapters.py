@@ -61,9 +61,8 @@ text_readings AS (
            event_id
     FROM events),
 readings AS (
-    SELECT recorded_at, site_name, pollutant,
-           list_filter([TRY_CAST(cell AS DOUBLE)], number -> number >= 0)[1] AS value, event_id
-    FROM text_readings)"""
+    SELECT recorded_at, site_name, pollutant, if(number >= 0, number, NULL) AS value, event_id
+    FROM (SELECT *, TRY_CAST(cell AS DOUBLE) AS number FROM text_readings))"""
 
 DAILY_SQL = (
     READINGS_SQL

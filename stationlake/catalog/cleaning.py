@@ -27,8 +27,8 @@ def _balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "clean_negative_null",
-    f"""SELECT c_custkey, list_filter([TRY_CAST(cell AS DOUBLE)], number -> number >= 0)[1] AS value
-FROM (SELECT c_custkey, {_BALANCE_TEXT} AS cell FROM customer)""",
+    f"""SELECT c_custkey, if(number >= 0, number, NULL) AS value
+FROM (SELECT c_custkey, TRY_CAST({_BALANCE_TEXT} AS DOUBLE) AS number FROM customer)""",
 )
 def clean_negative_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_readings(_balances(spark, sf_dir))
