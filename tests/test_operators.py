@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stationlake import schemas
 from stationlake.errors import KeyViolation, MissingColumnError, QualityGateFailed, StalePublish
+from stationlake.functions import clock
 from stationlake.operators import daily, enrich, expect, keys, layout, profile, serving
 from stationlake.operators.reshape import unpivot_measures
 from stationlake.plans import layers
@@ -414,3 +415,11 @@ def test_rows_of_months_reads_no_other_years(spark, tmp_path):
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "source_year#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "GreaterThanOrEqual(recorded_at" in plan
+
+
+def test_each_date_pattern_stands_once_in_the_silver_plan(spark):
+    columns = ", ".join(f"`{c}` string" for c in ("Date", "time", *schemas.MEASURES))
+    bronze = spark.createDataFrame([], f"{columns}, site_name string, source_year int, source_file string")
+    plan = layers.silver_readings(bronze)._jdf.queryExecution().optimizedPlan().toString()
+    for pattern in (clock._DAY_FIRST, clock._ISO_WITH_TIME):
+        assert plan.count(pattern) == 1

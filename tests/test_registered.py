@@ -31,3 +31,10 @@ def test_entry_has_rows_and_a_stable_schema(spark):
     first, second = driver.entry(spark), driver.entry(spark)
     assert first.schema == second.schema
     assert not first.isEmpty()
+
+
+def test_the_shuffled_join_shuffles(spark, sf_dir):
+    joined = driver.queries()["hourly_enrich_shuffled"](spark, sf_dir)
+    joined.write.format("noop").mode("overwrite").save()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
