@@ -73,8 +73,9 @@ def _word(tokenizer, word: str) -> bytes:
     """Ids of one word. Plain letters with marks behind go to the merges directly, all else the long way."""
     core = word.rstrip(MARKS)
     marks = word[len(core) :]
-    if core.isalpha() and (core.isascii() or max(core) < STABLE and "\u03a3" not in core and is_normalized("NFC", core)):
-        return _part(tokenizer, core.lower()) + (_part(tokenizer, marks) if marks else b"")
+    lower = core.lower()
+    if lower.isalpha() and (core.isascii() or max(core) < STABLE and "\u03a3" not in core and is_normalized("NFC", core)):
+        return _part(tokenizer, lower) + (_part(tokenizer, marks) if marks else b"")
     return np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
