@@ -31,43 +31,29 @@ def local_forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
     """``node, component`` for every linked node; component is the smallest node reachable.
 
-    Alternates the large-star and small-star steps until the links are stars around the smallest
-    node. Each round is written to the shared folder; only a count and a checksum of the links reach
-    the driver. Links with a null end and loops are ignored; repeated links count once.
+    The graph is contracted round by round: every node is merged into its smallest neighbour, and the
+    links between merged nodes are what the next round works on. A round leaves a fraction of the
+    nodes, so all rounds together move little more than the first. At the end the rounds' tables are
+    chained, the smallest first. Each table is written to the shared folder; only the number of links
+    left reaches the driver. Links with a null end and loops are ignored; repeated links count once.
     """
-    edges = (
-        links.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"), left, right)
-        .where(F.col(left).isNotNull() & F.col(right).isNotNull() & (F.col("u") != F.col("v")))
-        .select("u", "v")
-        .distinct()
-    )
-    edges = written(edges, "links")
-    before = _checksum(edges)
-    while before[0]:
-        edges = written(_small_star(_large_star(edges)), "links")
-        after = _checksum(edges)
-        if after == before:
-            break
-        before = after
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
-
-
-def _checksum(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every neighbour that is larger than a node is linked to the smallest neighbour of that node."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"))
-    return (
-        both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
-    )
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Every node and its smaller neighbours are linked to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("low"))
-    moved = edges.join(least, "u").where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-    return least.select("u", F.col("low").alias("v")).unionByName(moved).distinct()
+    u, v = F.greatest(F.col(left), F.col(right)), F.least(F.col(left), F.col(right))
+    usable = F.col(left).isNotNull() & F.col(right).isNotNull()
+    edges = written(links.where(usable).select(u.alias("u"), v.alias("v")).where("u != v").distinct(), "links")
+    rounds = []
+    while not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("v"))
+        merged = written(least.select(F.col("u").alias("node"), F.least("u", "v").alias("component")), "merged")
+        rounds.append(merged)
+        one = edges.join(merged.toDF("u", "a"), "u")
+        two = one.join(merged.toDF("v", "b"), "v").where("a != b")
+        edges = written(two.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    if not rounds:
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    found = rounds.pop()
+    while rounds:
+        found = rounds.pop().join(found.toDF("component", "last"), "component", "left").select(
+            "node", F.coalesce("last", "component").alias("component")
+        )
+    return found

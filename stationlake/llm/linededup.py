@@ -2,42 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from stationlake.llm.common import numbered, slices, spans, text_bytes, written
+from stationlake.llm.common import numbered, spans, written
 from stationlake.llm.hashing import words
-from stationlake.llm.setjoin import STRETCH, Sets, least_shared, similar
+from stationlake.llm.setjoin import Sets, least_shared, similar, sorted_in_groups, units
 
 #: Counters of the table that orders tokens by rarity; its size is fixed, 4 bytes each.
-COUNTERS = 1 << 18
+COUNTERS = 1 << 17
+#: Counts beyond this are all the same to the order.
+MOST = (1 << 20) - 1
 
 
-def rarity(body: DataFrame) -> np.ndarray:
+def rarity(found: DataFrame) -> np.ndarray:
     """In how many lines the tokens of each counter stand. A token's counter is given by its hash.
 
     Any order of all tokens makes prefix filtering exact; the true counts make it sharp. Counters of
     fixed number keep the table small whatever the vocabulary.
     """
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, dtype=np.int64)
-        for batch in slices(batches, STRETCH):
-            token, _, _ = words(text_bytes(batch.column(2)))
-            total += np.bincount((token % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["counter", "n"])
-
-    counted = body.select("ord", "tie", "text").mapInArrow(work, "counter long, n long")
-    rows = counted.groupBy("counter").agg(F.sum("n").alias("n")).toPandas()  # at most COUNTERS rows
-    table = np.zeros(COUNTERS, dtype=np.int32)
-    table[rows["counter"].to_numpy()] = np.minimum(rows["n"].to_numpy(), 2**31 - 1)
+    counted = found.where("tie < 0").groupBy("ord").agg(F.sum("size").alias("n"))
+    rows = counted.toPandas()  # at most COUNTERS rows
+    table = np.zeros(COUNTERS, dtype=np.int64)
+    table[rows["ord"].to_numpy()] = np.minimum(rows["n"].to_numpy(), MOST)
     return table
 
 
@@ -47,7 +38,7 @@ def prefix_keys(counts: np.ndarray, t: Fraction):
     def keys(sets: Sets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         owner = np.repeat(np.arange(len(sets.size)), sets.size)
         rank = counts[(sets.token % np.uint64(COUNTERS)).astype(np.int64)]
-        order = np.lexsort((sets.token, rank, owner))
+        order = sorted_in_groups(owner, rank, sets.token)
         # The smallest share with any similar set is that with the smallest one allowed.
         least = -(-t.numerator * sets.size // t.denominator)
         length = np.where(_has_partners(sets.size, t), sets.size - least + 1, 0)
@@ -84,7 +75,10 @@ def _judged(body: DataFrame, threshold: float) -> DataFrame:
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
     t = Fraction(threshold).limit_denominator(1000)
-    found, first, checked = similar(body, words, prefix_keys(rarity(body), t), threshold, forest_only=False)
+    found = written(units(body, words, COUNTERS), "units")
+    keys = prefix_keys(rarity(found), t)
+    found = found.where("tie >= 0")
+    first, checked = similar(found, body, words, keys, threshold, forest_only=False)
     judged = first.join(checked, "label", "left")
     place = F.struct("ord", "tie", "unit")
     judged = judged.select("label", F.col("first"), F.coalesce("links", F.lit(0)).alias("links"), F.least("first", "earliest").alias("least"))

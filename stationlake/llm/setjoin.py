@@ -1,9 +1,9 @@
 """Self-join of token sets by Jaccard similarity: candidates from keys, exact checks within components.
 
 Units (lines, paragraphs) with the same set form one class and are represented by their first place.
-A caller supplies the keys under which classes that may be similar meet, the set's size, a 64-bit map
-of its tokens and the position of the key. Under a key only links are found, and only enough of them
-to connect what may be similar; the sets themselves are then read once for each class that has a
+A caller supplies the keys under which classes that may be similar meet. Entered with them are the
+set's size, a bit map of its tokens and the position of the key. Under a key only links are found, and
+only enough of them to connect what may be similar; the sets themselves are then read once for each class that has a
 link, and all classes of a component are compared exactly.
 """
 
@@ -25,6 +25,10 @@ from stationlake.llm.hashing import mixed
 STRETCH = 2 << 20
 ENTRIES = 1 << 16
 BLOCK = 1 << 11
+#: Longest bit map, in 64 bits.
+WIDEST = 64
+#: Bits that mark the documents whose texts are read again.
+MARKS = 1 << 25
 
 #: From the texts of a batch: the tokens, each one's text and unit, in any order and with repeats.
 Tokens = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -34,45 +38,144 @@ class Sets:
     """The distinct tokens of every unit of some texts, unit after unit."""
 
     def __init__(self, tokens: Tokens, texts: list[bytes]):
-        token, text, unit = tokens(texts)
-        order = np.lexsort((token, unit, text))
+        token, text, unit = tokens(texts)  # units follow each other
+        group = np.cumsum(_changes(text, unit)) - 1 if len(token) else token.astype(np.int64)
+        order = sorted_in_groups(group, token)
         token, text, unit = token[order], text[order], unit[order]
-        fresh = np.ones(len(token), dtype=bool)
-        fresh[1:] = (token[1:] != token[:-1]) | (unit[1:] != unit[:-1]) | (text[1:] != text[:-1])
+        fresh = _changes(token, group)
         self.token, text, unit = token[fresh], text[fresh], unit[fresh]
         self.start = starts_of_groups([text, unit])
         self.size = np.diff(np.append(self.start, len(self.token)))
         self.text, self.unit = text[self.start], unit[self.start]
         if len(self.start):
             self.label = np.add.reduceat(mixed(self.token), self.start) + self.size.astype(np.uint64)
-            self.map = np.bitwise_or.reduceat(np.uint64(1) << (self.token & np.uint64(63)), self.start)
         else:
-            self.label = self.map = np.zeros(0, dtype=np.uint64)
+            self.label = np.zeros(0, dtype=np.uint64)
         self.label = mixed(self.label)
 
+    def maps(self) -> pa.Array:
+        """A bit map of each set, of 64 bits for up to 64 tokens and twice as many for each doubling.
+
+        Each token turns one bit, so two sets differ in no fewer tokens than their maps in bits; the
+        wider map is folded first.
+        """
+        width = np.ones(len(self.size), dtype=np.int64)
+        while (wider := (self.size > 64 * width) & (width < WIDEST)).any():
+            width[wider] *= 2
+        at = np.cumsum(width) - width
+        flat = np.zeros(int(width.sum()), dtype=np.uint64)
+        place = np.repeat(at, self.size) + ((self.token >> np.uint64(6)).astype(np.int64) & np.repeat(width - 1, self.size))
+        np.bitwise_xor.at(flat, place, np.uint64(1) << (self.token & np.uint64(63)))
+        offsets = np.append(at, len(flat)).astype(np.int32) * 8
+        return pa.Array.from_buffers(pa.binary(), len(width), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+
+
+class Maps:
+    """Bit maps of rows, to be compared at the width of the narrower one."""
+
+    def __init__(self, column: pa.Array, order: np.ndarray):
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+        start, width = offsets[:-1][order] // 8, np.diff(offsets)[order] // 8
+        data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint64)
+        self.width = width
+        self.folded = {}
+        wide = 1
+        while (width >= wide).any():
+            rows = np.flatnonzero(width >= wide)
+            matrix = np.zeros((len(rows), wide), dtype=np.uint64)
+            for own in np.unique(width[rows]):
+                some = np.flatnonzero(width[rows] == own)
+                whole = data[start[rows[some]][:, None] + np.arange(own)]
+                matrix[some] = np.bitwise_xor.reduce(whole.reshape(len(some), own // wide, wide), axis=1)
+            place = np.full(len(width), -1)
+            place[rows] = np.arange(len(rows))
+            self.folded[wide] = place, matrix
+            wide *= 2
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Differing bits of rows a and b."""
+        common = np.minimum(self.width[a], self.width[b])
+        out = np.zeros(len(a), dtype=np.int64)
+        for wide in np.unique(common):
+            at = np.flatnonzero(common == wide)
+            place, matrix = self.folded[wide]
+            out[at] = np.bitwise_count(matrix[place[a[at]]] ^ matrix[place[b[at]]]).sum(axis=1)
+        return out
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    new = np.ones(len(columns[0]), dtype=bool)
+    if len(new):
+        new[1:] = False
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return new
+
+
+def sorted_in_groups(group: np.ndarray, *values: np.ndarray) -> np.ndarray:
+    """The order by group and then by the values; groups are numbered in the order of the rows.
+
+    One sort of a single number that has the group and the leading bits of the values; only where
+    rows agree in it but not in the values is the order by all columns needed.
+    """
+    if not len(group):
+        return np.zeros(0, dtype=np.int64)
+    bits = max(1, int(group[-1]).bit_length())
+    room = 64 - bits
+    key = group.astype(np.uint64) << np.uint64(room)
+    for k, value in enumerate(values):
+        if k == len(values) - 1:
+            key |= value >> np.uint64(64 - room)
+        else:  # a small number before the last value
+            size = max(1, int(value.max()).bit_length())
+            if size > room - 16:
+                return np.lexsort((*values[::-1], group))
+            key |= value.astype(np.uint64) << np.uint64(room - size)
+            room -= size
+    order = key.argsort()
+    ranked = key[order]
+    same = np.flatnonzero(ranked[1:] == ranked[:-1])
+    if any((value[order[same]] != value[order[same + 1]]).any() for value in values):
+        return np.lexsort((*values[::-1], group))
+    return order
+
 
 def least_shared(t: Fraction, a, b):
     """Tokens that sets of sizes ``a`` and ``b`` share at least if their similarity reaches ``t``."""
     return -(-t.numerator * (a + b) // (t.numerator + t.denominator))
 
 
-def units(body: DataFrame, tokens: Tokens) -> DataFrame:
-    """ord, tie, unit, size, label of every unit that has a token; equal sets have equal labels."""
+def units(body: DataFrame, tokens: Tokens, counters: int = 0) -> DataFrame:
+    """ord, tie, unit, size, label of every unit that has a token; equal sets have equal labels.
+
+    With ``counters``, each task also counts the units of the tokens by their hash modulo that number:
+    rows of tie -1 with the counter as ``ord`` and the count as ``size``.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(counters, dtype=np.int64)
         for batch in slices(batches, STRETCH):
             sets = Sets(tokens, text_bytes(batch.column(2)))
+            if counters:
+                at = (sets.token % np.uint64(counters)).astype(np.int64)
+                total += np.bincount(at, minlength=counters)
             ids, ties = (batch.column(k).to_numpy()[sets.text] for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (ids, ties, sets.unit, sets.size, sets.label.view(np.int64))],
                 ["ord", "tie", "unit", "size", "label"],
             )
+        at = np.flatnonzero(total)
+        zero = np.zeros(len(at), dtype=np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (at, zero.astype(np.int32) - 1, zero, total[at], zero)],
+            ["ord", "tie", "unit", "size", "label"],
+        )
 
     return body.select("ord", "tie", "text").mapInArrow(work, "ord long, tie int, unit long, size long, label long")
 
 
 def entries(body: DataFrame, tokens: Tokens, keys: Callable[[Sets], tuple[np.ndarray, ...]]) -> DataFrame:
-    """key, label, map, size, place: under which keys a set looks for similar ones.
+    """key, label, sizes, map: under which keys a set looks for similar ones.
 
     ``keys`` gives the key, the number of the set and the tokens of the set that come after that key.
     Sets that repeat within a stretch of text are entered once.
@@ -89,18 +192,19 @@ def entries(body: DataFrame, tokens: Tokens, keys: Callable[[Sets], tuple[np.nda
             key, owner, rest = key[kept], owner[kept], rest[kept]
             packed = sets.size[owner] << 32 | np.minimum(rest, 0xFFFFFFFF)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x.view(np.int64)) for x in (key, sets.label[owner], sets.map[owner], packed)],
-                ["key", "label", "map", "sizes"],
+                [*(pa.array(x.view(np.int64)) for x in (key, sets.label[owner], packed)), sets.maps().take(pa.array(owner))],
+                ["key", "label", "sizes", "map"],
             )
 
-    return body.select("ord", "tie", "text").mapInArrow(work, "key long, label long, map long, sizes long")
+    return body.select("ord", "tie", "text").mapInArrow(work, "key long, label long, sizes long, map binary")
 
 
 def candidates(found: DataFrame, t: Fraction, parts: int) -> DataFrame:
     """a, b: links among labels that meet under a key and may be similar, as a forest of each key's graph.
 
-    Two sets may be similar if their sizes allow it, if the tokens after the key could still make up
-    the share needed, and if their maps differ in no more bits than the sets may differ in tokens.
+    Two sets may be similar if their sizes allow it, if the tokens before and after the key could
+    still make up the share needed, and if their maps differ in no more bits than the sets may differ
+    in tokens.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,12 +212,12 @@ def candidates(found: DataFrame, t: Fraction, parts: int) -> DataFrame:
             columns = [table.column(k).to_numpy() for k in ("key", "label", "sizes")]
             order = np.lexsort((columns[1], columns[2], columns[0]))  # by key and size
             key, label, sizes = (c[order] for c in columns)
-            bits = table.column("map").to_numpy().view(np.uint64)[order]
-            fresh = np.ones(len(key), dtype=bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (label[1:] != label[:-1])
-            key, label, sizes, bits = key[fresh], label[fresh], sizes[fresh], bits[fresh]
+            fresh = _changes(key, label)
+            key, label, sizes = key[fresh], label[fresh], sizes[fresh]
+            maps = Maps(table.column("map").combine_chunks(), order[fresh])
             start = starts_of_groups([key])
-            a, b = _meeting(start, np.diff(np.append(start, len(key))), sizes >> 32, sizes & 0xFFFFFFFF, bits, t)
+            count = np.diff(np.append(start, len(key)))
+            a, b = _meeting(start, count, _Rows(sizes >> 32, sizes & 0xFFFFFFFF, maps, t))
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(label[x]) for x in (a, b)], ["a", "b"])
 
@@ -121,58 +225,67 @@ def candidates(found: DataFrame, t: Fraction, parts: int) -> DataFrame:
     return dealt.mapInArrow(work, "a long, b long")
 
 
-def _may_match(a, b, size, rest, bits, t) -> np.ndarray:
-    shared = least_shared(t, size[a], size[b])
-    able = 1 + np.minimum(rest[a], rest[b]) >= shared
-    able &= np.minimum(size[a], size[b]) >= shared
-    able &= np.bitwise_count(bits[a] ^ bits[b]) <= size[a] + size[b] - 2 * shared
-    return able
+class _Rows:
+    """Size, tokens after the key, and map of the rows of some keys."""
+
+    def __init__(self, size: np.ndarray, rest: np.ndarray, maps: Maps, t: Fraction):
+        self.size, self.rest, self.maps, self.t = size, rest, maps, t
 
+    def similar(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the pairs that may be similar."""
+        size, rest = self.size, self.rest
+        shared = least_shared(self.t, size[a], size[b])
+        before = np.minimum(size[a] - rest[a], size[b] - rest[b])  # the key itself included
+        able = before + np.minimum(rest[a], rest[b]) >= shared
+        able &= (np.minimum(size[a], size[b]) >= shared) & (a != b)
+        a, b, most = a[able], b[able], (size[a] + size[b] - 2 * shared)[able]
+        place, narrow = self.maps.folded[1]
+        near = np.bitwise_count(narrow[a, 0] ^ narrow[b, 0]) <= most
+        a, b, most = a[near], b[near], most[near]
+        near = self.maps.differ(a, b) <= most
+        return a[near], b[near]
 
-def _meeting(start, count, size, rest, bits, t) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that may match within groups, as a forest."""
-    n = len(size)
+
+def _meeting(start, count, rows: _Rows) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that may be similar within groups, as a forest."""
+    n = len(rows.size)
     label = np.arange(n)
     small = (count > 1) & (count <= 64)
     left, right = [], []
     member = spans(start[small], count[small])
     place = member - np.repeat(start[small], count[small])
-    for lo in range(0, len(member), 1 << 16):  # each member with those before it in its group
-        later, before = member[lo : lo + (1 << 16)], place[lo : lo + (1 << 16)]
-        b = np.repeat(later, before)
-        a = spans(later - before, before)
-        hit = _may_match(a, b, size, rest, bits, t)
-        left.append(a[hit])
-        right.append(b[hit])
+    for lo in range(0, len(member), 1 << 15):  # each member with those before it in its group
+        later, before = member[lo : lo + (1 << 15)], place[lo : lo + (1 << 15)]
+        a, b = rows.similar(spans(later - before, before), np.repeat(later, before))
+        left.append(a)
+        right.append(b)
     if left:
         label = local_forest(np.concatenate(left), np.concatenate(right), n)
-    for at, m in zip(start[count > 64], count[count > 64]):
-        label[at : at + m] = _crowd(size[at : at + m], rest[at : at + m], bits[at : at + m], t) + at
+    for at, m in zip(start[count > 64].tolist(), count[count > 64].tolist()):
+        label[at : at + m] = _crowd(at, m, rows)
     child = np.flatnonzero(label != np.arange(n))
     return label[child], child
 
 
-def _crowd(size, rest, bits, t) -> np.ndarray:
+def _crowd(at: int, m: int, rows: _Rows) -> np.ndarray:
     """The forest of one crowded group, block against block; blocks joined already are passed over."""
-    m = len(size)
     label = np.arange(m)
-    for gap in range(0, m, BLOCK // 2):
-        for lo in range(0, m - gap, BLOCK // 2):
-            i = np.arange(lo, min(lo + BLOCK // 2, m))
-            j = np.arange(lo + gap, min(lo + gap + BLOCK // 2, m))
-            if not len(j):
-                continue
+    step = BLOCK // 4
+    for gap in range(0, m, step):
+        for lo in range(0, m - gap, step):
+            i = np.arange(lo, min(lo + step, m))
+            j = np.arange(lo + gap, min(lo + gap + step, m))
             # The group is sorted by size, so the sizes nearest each other are at the facing ends.
-            if gap and not least_shared(t, size[i[-1]], size[j[0]]) <= size[i[-1]]:
+            near, far = int(rows.size[at + i[-1]]), int(rows.size[at + j[0]])
+            if gap and least_shared(rows.t, near, far) > near:
                 continue
             if (label[i] == label[i[0]]).all() and (label[j] == label[i[0]]).all():
                 continue
-            a, b = np.repeat(i, len(j)), np.tile(j, len(i))
-            hit = _may_match(a, b, size, rest, bits, t) & (a != b)
-            if hit.any():
+            a, b = rows.similar(np.repeat(i, len(j)) + at, np.tile(j, len(i)) + at)
+            if len(a):
                 kept = np.arange(m)
-                label = local_forest(np.concatenate((a[hit], kept)), np.concatenate((b[hit], label)), m)
-    return label
+                label = local_forest(np.concatenate((a - at, kept)), np.concatenate((b - at, label)), m)
+    return label + at
 
 
 def classes(found: DataFrame) -> DataFrame:
@@ -182,44 +295,84 @@ def classes(found: DataFrame) -> DataFrame:
 
 
 def sets_of(linked: DataFrame, body: DataFrame, tokens: Tokens) -> DataFrame:
-    """label, tokens (packed) of the classes in ``linked`` (label, first), read from their first unit."""
-    wanted = linked.select("label", "first.*").groupBy("ord", "tie").agg(F.collect_list(F.struct("unit", "label")).alias("wanted"))
-    joined = body.join(wanted, ["ord", "tie"]).select("wanted", "text")
+    """component, blocks, label, ord, tie, unit, tokens (packed) of the classes in ``linked`` (component,
+    blocks, label, first), read from their first unit."""
+    wanted = (
+        linked.select("component", "blocks", "label", "first.*")
+        .groupBy("ord", "tie")
+        .agg(F.collect_list(F.struct("unit", "label", "component", "blocks")).alias("wanted"))
+    )
+    wanted = written(wanted, "wanted")
+    joined = _with_ids(body, wanted).join(wanted, ["ord", "tie"]).select("ord", "tie", "wanted", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["component", "blocks", "label", "ord", "tie", "unit", "tokens"]
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
         for batch in slices(batches, STRETCH):
-            sets = Sets(tokens, text_bytes(batch.column(1)))
+            sets = Sets(tokens, text_bytes(batch.column(3)))
             at = {(t, u): k for k, (t, u) in enumerate(zip(sets.text.tolist(), sets.unit.tolist()))}
-            labels, bodies = [], []
-            for text, wanted in enumerate(batch.column(0).to_pylist()):
+            found = []
+            for text, (ord_, tie, wanted) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(3)))):
                 for x in wanted:
                     k = at[text, x["unit"]]
-                    labels.append(x["label"])
-                    bodies.append(sets.token[sets.start[k] : sets.start[k] + sets.size[k]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int64()), pa.array(bodies, pa.binary())], ["label", "tokens"])
+                    body = sets.token[sets.start[k] : sets.start[k] + sets.size[k]].tobytes()
+                    found.append((x["component"], x["blocks"], x["label"], ord_, tie, x["unit"], body))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names)
 
-    return joined.mapInArrow(work, "label long, tokens binary")
+    return joined.mapInArrow(
+        work, "component long, blocks int, label long, ord long, tie int, unit long, tokens binary"
+    )
+
+
+def _with_ids(body: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``body`` without most rows whose ``ord`` is not in ``wanted``, before its texts are moved.
+
+    The ids are marked in a bit map of fixed size by their hash; a row whose bit is not set cannot be
+    wanted. The join that follows is what decides.
+    """
+    hashed = F.pmod(F.xxhash64("ord"), F.lit(MARKS))
+    mark = wanted.select((hashed + 1).alias("mark"))
+    maps = mark.groupBy(F.bitmap_bucket_number("mark").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias("map")
+    )
+    table = np.zeros(MARKS >> 3, dtype=np.uint8)
+    for row in maps.collect():  # MARKS / 8 bytes in all
+        part = np.frombuffer(row["map"], dtype=np.uint8)
+        table[(row["bucket"] - 1) * len(part) :][: len(part)] = part
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column(0).to_numpy()
+            kept = (table[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            yield batch.filter(pa.array(kept)).select([1, 2, 3])
+
+    return body.select(hashed, "ord", "tie", "text").mapInArrow(work, "ord long, tie int, text string")
 
 
 def similar(
-    body: DataFrame, tokens: Tokens, keys: Callable[[Sets], tuple[np.ndarray, ...]], threshold: float, forest_only: bool
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All similar classes of ``ord, tie, text``: the units, the classes, and their links.
+    found: DataFrame,
+    body: DataFrame,
+    tokens: Tokens,
+    keys: Callable[[Sets], tuple[np.ndarray, ...]],
+    threshold: float,
+    forest_only: bool,
+) -> tuple[DataFrame, DataFrame]:
+    """The classes of the units ``found`` in ``body`` (ord, tie, text), and the links of similar classes.
 
     The links are, with ``forest_only``, enough pairs ``a, b`` to connect what is connected; else
     ``label, links, earliest``: the number of similar classes and the first place among them.
     """
     t = Fraction(threshold).limit_denominator(1000)
     parts = int(body.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = written(units(body, tokens), "units")
     first = classes(found)
     graph = components(candidates(entries(body, tokens, keys), t, parts), "a", "b").withColumnRenamed("node", "label")
-    linked = written(first.join(graph, "label"), "linked")
-    sets = sets_of(linked, body, tokens).join(linked, "label")
-
     # A component of many classes is compared in pairs of blocks; the number of blocks follows its size.
-    blocks = linked.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    sets = sets.join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("label"), F.col("blocks")).cast("int"))
+    graph = written(graph, "graph")
+    blocks = graph.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    linked = first.join(graph.join(blocks, "component"), "label")
+    sets = sets_of(linked, body, tokens)
+    sets = sets.withColumn("own", F.pmod(F.xxhash64("label"), F.col("blocks")).cast("int"))
     sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = ["component", "lo", "hi"]
     dealt = sets.select(
@@ -228,7 +381,9 @@ def similar(
         F.greatest("own", "other").alias("hi"),
         "own",
         "label",
-        "first.*",
+        "ord",
+        "tie",
+        "unit",
         "tokens",
     )
     dealt = dealt.repartition(parts, *group).sortWithinPartitions(*group)
@@ -237,7 +392,7 @@ def similar(
     if not forest_only:
         place = F.struct("ord", "tie", "unit")
         checked = checked.groupBy("label").agg(F.sum("links").alias("links"), F.min(place).alias("earliest"))
-    return found, first, checked
+    return first, checked
 
 
 def _checker(t: Fraction, group: list[str], forest_only: bool):

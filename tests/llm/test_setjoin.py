@@ -7,6 +7,7 @@ from llm_helpers import brute_lines, brute_paragraphs, split
 from stationlake.llm.hashing import words
 from stationlake.llm.linededup import dedup_lines, without_repeated_lines
 from stationlake.llm.paragraphs import dedup_paragraphs, shingles
+from stationlake.llm.setjoin import sorted_in_groups
 
 def lines_of(df):
     return sorted(((r.doc_id, r.line, r.links, r.removed) for r in df.collect()), key=str)
@@ -43,6 +44,19 @@ def test_words_and_lines(texts):
     assert len(set(code.tolist())) == len({w for _, _, w in want})
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5), st.integers(0, 2**64 - 1)), max_size=40), st.booleans())
+def test_sorted_in_groups(rows, close):
+    rows.sort(key=lambda r: r[0])
+    number = {g: k for k, g in enumerate(dict.fromkeys(r[0] for r in rows))}
+    group = np.array([number[r[0]] for r in rows], dtype=np.int64)
+    rank = np.array([r[1] for r in rows], dtype=np.int64)
+    token = np.array([r[2] % 7 if close else r[2] for r in rows], dtype=np.uint64)
+    order = sorted_in_groups(group, rank, token)
+    want = sorted(zip(group.tolist(), rank.tolist(), token.tolist()))
+    assert list(zip(group[order].tolist(), rank[order].tolist(), token[order].tolist())) == want
+
+
 def test_shingles_of_short_and_long_lines():
     code, text, line = shingles(5)([b"a b c\n1 2 3 4 5 6\n\nz", b"A b c"])
     assert line.tolist() == [0, 1, 1, 3, 0] and text.tolist() == [0, 0, 0, 0, 1]
