@@ -25,9 +25,13 @@ def _kept(docs: DataFrame, annotate, condition) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; a text that is null or has no letter is rejected."""
+    """Documents with a language; a text that is null or has no letter is rejected.
+
+    Without any labelled document to learn from, every text with a letter stays.
+    """
     model = langid.fit_documents(docs)
-    return _kept(docs, lambda rows: langid.identify(rows, model), F.col("lang_pred") != langid.UNDETERMINED)
+    known = F.col("lang_pred") != langid.UNDETERMINED if model else F.col("text").rlike(r"\p{L}")
+    return _kept(docs, lambda rows: langid.identify(rows, model), known)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

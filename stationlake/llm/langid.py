@@ -176,8 +176,8 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_grams: int = GRAMS) -> Model | None:
     """A model from ``doc_id, text, lang``: at most ``per_language`` documents of each language, those of
-    the smallest hash of their doc_id, whole; the ``max_grams`` commonest letter sequences. None if no
-    labelled text has a letter."""
+    the smallest hash of their doc_id, whole; the ``max_grams`` commonest letter sequences. Rows
+    without an id teach nothing. None if no labelled text has a letter."""
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     chance = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
