@@ -77,8 +77,9 @@ def _stretches(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray,
 
 
 def _runs(docs: DataFrame, length: int) -> DataFrame:
-    """Segments of all texts: route, digest, ord, tie, pos, n; ``again`` marks those that repeat one before
-    in the same stretch (their route is arbitrary, they need no further look)."""
+    """Segments of all texts: route, digest, ord, tie, span. The span has the first start and, in its low 16
+    bits, the number of starts; its bits are turned for segments that repeat one before in the same
+    stretch (their route is arbitrary, they need no further look)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, STRETCH):
@@ -95,13 +96,14 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
                 repeated[order] = True
                 repeated[order[starts_of_groups(sorted_)]] = False
                 spread = np.where(repeated, mixed((pos + row).astype(np.uint64)).view(np.int64), route)
+                span = pos << 16 | n
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (spread, digest, ids[row], ties[row], pos, n, repeated)],
-                    ["route", "digest", "ord", "tie", "pos", "n", "again"],
+                    [pa.array(x) for x in (spread, digest, ids[row], ties[row], np.where(repeated, ~span, span))],
+                    ["route", "digest", "ord", "tie", "span"],
                 )
 
     return docs.select("ord", "tie", "text").mapInArrow(
-        work, "route long, digest long, ord long, tie int, pos long, n long, again boolean"
+        work, "route long, digest long, ord long, tie int, span long"
     )
 
 
@@ -126,8 +128,12 @@ def _classes(runs: DataFrame, parts: int, crowded: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            route, digest = (batch.column(k).to_numpy() for k in (0, 1))
-            again = batch.column(6).to_numpy(zero_copy_only=False)
+            route, digest, span = (batch.column(k).to_numpy() for k in (0, 1, 4))
+            again = span < 0
+            span = np.where(again, ~span, span)
+            batch = pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in (0, 2, 3)), pa.array(span >> 16), pa.array(span & 0xFFFF)], columns[:5]
+            )
             first = np.ones(len(route), dtype=bool)
             first[1:] = (route[1:] != route[:-1]) | (digest[1:] != digest[:-1]) | again[:-1]
             first[0] = before != (route[0], digest[0])
@@ -144,7 +150,7 @@ def _classes(runs: DataFrame, parts: int, crowded: int) -> DataFrame:
         if sum(w.num_rows for w in waiting):
             yield from several(pa.Table.from_batches(waiting).combine_chunks())
 
-    dealt = runs.repartition(parts, "route").sortWithinPartitions("route", "digest", "ord", "tie", "pos")
+    dealt = runs.repartition(parts, "route").sortWithinPartitions("route", "digest", "ord", "tie", "span")
     return dealt.mapInArrow(work, "route long, ord long, tie int, pos long, n long, kind int")
 
 

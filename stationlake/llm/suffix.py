@@ -85,12 +85,15 @@ def _induced(text, small, starts, ends, seeds) -> np.ndarray:
 
 def _slots(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """The next free places of the buckets, in the order of the values."""
-    order = np.argsort(values, kind="stable")
+    n = len(values)
+    order = values.argsort(kind="stable")
     ranked = values[order]
-    new = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else order
-    rank = np.arange(len(ranked)) - np.repeat(new, np.diff(np.append(new, len(ranked))))
-    slots = np.empty(len(values), dtype=np.int64)
-    slots[order] = heads[ranked] + rank
+    place = np.arange(n)
+    first = place.copy()  # of the equal values
+    first[1:][ranked[1:] == ranked[:-1]] = 0
+    np.maximum.accumulate(first, out=first)
+    slots = np.empty(n, dtype=np.int64)
+    slots[order] = heads[ranked] + (place - first)
     return slots
 
 
@@ -102,20 +105,18 @@ def _scan(found, text, wanted, heads) -> None:
     n, at, width = len(found), 0, 256
     while at < n:
         end = min(n, at + width)
-        stretch = found[at:end]
-        source = np.flatnonzero(stretch > 0)
-        before = stretch[source] - 1
-        kept = wanted[before]
-        source, before = source[kept], before[kept]
-        if not len(before):
+        before = found[at:end] - 1
+        source = ((before >= 0) & wanted[before]).nonzero()[0]  # an empty place has no one before it
+        if not len(source):
             at, width = end, width * 2
             continue
+        before = before[source]
         values = text[before]
         slots = _slots(values, heads)
         stop = min(end, int(slots.min()))
         if stop < end:
-            now = source < stop - at
-            before, values, slots = before[now], values[now], slots[now]
+            now = int(source.searchsorted(stop - at))
+            before, values, slots = before[:now], values[:now], slots[:now]
         found[slots] = before
         np.maximum.at(heads, values, slots + 1)
         width = width * 2 if stop == end else max(64, 2 * (stop - at))
