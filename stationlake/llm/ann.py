@@ -21,7 +21,7 @@ QUERIES = 2_048
 #: Vectors coded at once in a task.
 CODED = 4_096
 #: Width of the error bound in standard deviations of the estimate.
-SPREAD = 3.0
+SPREAD = 1.9
 SEED = 11
 
 
