@@ -4,7 +4,9 @@ A string of ``length`` bytes is looked for wherever it starts. Each such window
 shard by its anchor: the least hash of the short byte sequences inside it, so equal windows meet.
 Windows of one anchor occurrence form one segment. Equal segments are one class: all but the first
 hold only windows that start earlier, too. The first ones of all classes that share an anchor form
-the text of a shard; its suffix array gives the windows that segments share in part.
+the text of a shard; its suffix array gives the windows that segments share in part. An anchor with
+very many classes is replaced by a longer one; where that has very many segments, too, its windows are
+compared one by one.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import grouped, last_group, numbered, slices, spans, starts_of_groups, written
+from stationlake.llm.common import last_group, numbered, slices, spans, starts_of_groups, written
 from stationlake.llm.hashing import digests, mixed, rolling
 from stationlake.llm.suffix import common_prefixes, suffix_array
 
@@ -180,16 +182,72 @@ def _bytes_of(needed: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     return joined.mapInArrow(work, "route long, ord long, tie int, pos long, body binary")
 
 
-def _shared(bodies: DataFrame, length: int, parts: int) -> DataFrame:
-    """Runs of windows that also start earlier, from the suffix array of each shard: ord, tie, pos, n."""
+def _shards(batches: Iterator[pa.RecordBatch], crowded: int) -> Iterator[tuple[pa.Table, bool]]:
+    """Whole routes, some thousand segments at a time, and True; of routes with over ``crowded`` segments
+    parts as they come, and False. No more than a batch and ``crowded`` or SHARD_SEGMENTS rows are held."""
+
+    def divided(table: pa.Table) -> Iterator[tuple[pa.Table, bool]]:
+        edge = starts_of_groups([table.column("route").to_numpy()])
+        count = np.diff(np.append(edge, table.num_rows))
+        many = np.repeat(count > crowded, count)
+        for mask, whole in ((~many, True), (many, False)):
+            if mask.any():
+                yield table.filter(pa.array(mask)).combine_chunks(), whole
+
+    kept: list[pa.RecordBatch] = []
+    rows, open_ = 0, None
+    for batch in batches:
+        if open_ is not None and batch.num_rows:
+            own = int(np.searchsorted(batch.column("route").to_numpy(), open_, side="right"))
+            if own:
+                yield pa.Table.from_batches([batch.slice(0, own)]), False
+            batch = batch.slice(own)
+            open_ = None if batch.num_rows else open_
+        if not batch.num_rows:
+            continue
+        kept.append(batch)
+        rows += batch.num_rows
+        if rows < SHARD_SEGMENTS:
+            continue
+        table = pa.Table.from_batches(kept).combine_chunks()
+        edge = last_group(table, ["route"])
+        if edge:
+            yield from divided(table.slice(0, edge))
+            table = table.slice(edge)
+        kept, rows = table.to_batches(), table.num_rows
+        if rows > crowded:
+            yield table, False
+            kept, rows, open_ = [], 0, table.column("route")[0].as_py()
+    if rows:
+        yield from divided(pa.Table.from_batches(kept).combine_chunks())
+
+
+def _shared(bodies: DataFrame, length: int, parts: int, crowded: int) -> DataFrame:
+    """Runs of windows that also start earlier, from the suffix array of each shard: ord, tie, pos, n. Where
+    a route is crowded, all its windows, with their digest and n = 0."""
+    columns = ["ord", "tie", "pos", "n", "route", "digest"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in grouped(batches, ["route"], SHARD_SEGMENTS):
+        for table, whole in _shards(batches, crowded):
             ids, ties, at = (table.column(k).to_numpy() for k in ("ord", "tie", "pos"))
             bodies = table.column("body").to_pylist()
             sizes = np.fromiter(map(len, bodies), dtype=np.int64, count=len(bodies))
             data = np.frombuffer(b"\0".join(bodies) + b"\0", dtype=np.uint8)
             begin = np.cumsum(sizes + 1) - sizes - 1
+            if not whole:
+                routes = table.column("route").to_numpy()
+                for lo in range(0, len(bodies), 2_000):
+                    part = slice(lo, lo + 2_000)
+                    windows = spans(begin[part], sizes[part] - length + 1) - begin[lo]
+                    owner = np.repeat(np.arange(len(bodies))[part], sizes[part] - length + 1)
+                    own = data[begin[lo] : begin[owner[-1]] + sizes[owner[-1]]]
+                    digest = digests(own, windows, windows + length).view(np.int64)
+                    place = at[owner] + windows + begin[lo] - begin[owner]
+                    none = np.zeros(len(owner), dtype=np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x) for x in (ids[owner], ties[owner], place, none, routes[owner], digest)], columns
+                    )
+                continue
             value = data.astype(np.int64) + 2
             value[begin + sizes] = 1  # between segments
             order = suffix_array(np.append(value, 0))
@@ -213,11 +271,33 @@ def _shared(bodies: DataFrame, length: int, parts: int) -> DataFrame:
             new = np.flatnonzero(np.append(True, (hit[1:] != hit[:-1] + 1) | (owner[hit[1:]] != owner[hit[:-1]])))
             n = np.diff(np.append(new, len(hit)))
             row = owner[hit[new]]
+            none = np.zeros(len(row), dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (ids[row], ties[row], place[hit[new]], n)], ["ord", "tie", "pos", "n"]
+                [pa.array(x) for x in (ids[row], ties[row], place[hit[new]], n, none, none)], columns
             )
 
     dealt = bodies.repartition(parts, "route").sortWithinPartitions("route", "ord", "tie", "pos")
+    return dealt.mapInArrow(work, "ord long, tie int, pos long, n long, route long, digest long")
+
+
+def _later(windows: DataFrame, parts: int) -> DataFrame:
+    """All but the first of equal windows, row by row in their order: ord, tie, pos, n."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            route, digest = (batch.column(k).to_numpy() for k in ("route", "digest"))
+            first = np.ones(len(route), dtype=bool)
+            first[1:] = (route[1:] != route[:-1]) | (digest[1:] != digest[:-1])
+            first[0] = before != (route[0], digest[0])
+            before = route[-1], digest[-1]
+            old = batch.filter(pa.array(~first))
+            one = pa.array(np.ones(old.num_rows, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([*(old.column(k) for k in ("ord", "tie", "pos")), one], ["ord", "tie", "pos", "n"])
+
+    dealt = windows.repartition(parts, "route", "digest").sortWithinPartitions("route", "digest", "ord", "tie", "pos")
     return dealt.mapInArrow(work, "ord long, tie int, pos long, n long")
 
 
@@ -274,6 +354,8 @@ def remove_repeats(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     body = numbered(docs, id_col, text_col)
     classes = written(_classes(_runs(body, length), parts, crowded), "segments")
-    partly = _shared(_bytes_of(classes.where("kind > 0"), body, length), length, parts)
-    removed = classes.where("kind = 0").select("ord", "tie", "pos", "n").unionByName(partly)
+    partly = written(_shared(_bytes_of(classes.where("kind > 0"), body, length), length, parts, crowded), "shared")
+    removed = classes.where("kind = 0").select("ord", "tie", "pos", "n")
+    removed = removed.unionByName(partly.where("n > 0").select("ord", "tie", "pos", "n"))
+    removed = removed.unionByName(_later(partly.where("n = 0"), parts))
     return _kept(body, removed, length, content)

@@ -1,11 +1,12 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from stationlake.llm.passages import remove_repeats, segments
+from stationlake.llm.passages import _shards, remove_repeats, segments
 from stationlake.llm.suffix import common_prefixes, suffix_array
 
 
@@ -91,6 +92,27 @@ def test_crowded_anchors_are_split(frame):
     assert result(remove_repeats(frame(rows), crowded=3)) == brute(rows)
 
 
+def test_string_in_very_many_documents(frame):
+    random = np.random.default_rng(7)
+    licence = "".join(map(chr, random.integers(97, 123, 64)))
+    longer = "".join(map(chr, random.integers(97, 123, 150)))
+    around = ["".join(map(chr, random.integers(97, 123, 60))) for _ in range(160)]
+    rows = [(k, around[k] + (licence if k % 2 else longer) + around[(k * 7 + 1) % (80 if k % 3 else 160)]) for k in range(160)]
+    assert result(remove_repeats(frame(rows), crowded=5)) == brute(rows)
+
+
+@pytest.mark.parametrize("rows", [1, 100, 10_000, 30_000, 300_000])
+def test_crowded_route_is_never_held_whole(rows):
+    routes = np.sort(np.concatenate([np.repeat(5, rows), np.arange(-3000, 3000)]))
+    batches = pa.table({"route": routes, "at": np.arange(len(routes))}).to_batches(max_chunksize=10_000)
+    shards = list(_shards(iter(batches), 5_000))
+    assert max(table.num_rows for table, _ in shards) <= 15_000
+    assert sorted(x for table, _ in shards for x in table.column("at").to_pylist()) == list(range(len(routes)))
+    whole = {r for table, kind in shards if kind for r in table.column("route").to_pylist()}
+    split = {r for table, kind in shards if not kind for r in table.column("route").to_pylist()}
+    assert not whole & split and split == ({5} if rows >= 5_000 else set())
+
+
 def test_odd_rows_and_empty_table(odd, frame):
     table, rows = odd
     assert result(remove_repeats(table)) == brute(rows)
