@@ -198,14 +198,16 @@ def pack_documents(
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its token ids and then ``end_id``; null and empty texts are the end id alone. Only
-    documents longer than ``limit`` are cut. Pieces are spread over tasks by value; each packs its
+    documents longer than ``limit`` are cut. Pieces are spread over tasks, equal ones too; each packs its
     own longest first, and the bins that stay open are packed again, together, in far fewer tasks.
     Repeated rows are packed separately, a null doc_id is kept, an empty table gives no rows, other
     columns are not looked at.
     """
-    cut = written(pieces(texts(docs, id_col, text_col), limit, vocabulary, end_id), "pieces")
+    cut = pieces(texts(docs, id_col, text_col), limit, vocabulary, end_id)
+    # The number is settled once the table is written; it spreads rows that are equal in all else.
+    cut = written(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    first = _packed(cut, names, limit, pieces_per_task)
+    first = _packed(cut, names, limit, pieces_per_task, ["row"])
     first = written(first.withColumnRenamed("offset", "inner"), "packed")
 
     # Bins of the first round, each as one item of its filled length, are packed once more.
@@ -224,14 +226,14 @@ def pack_documents(
     )
 
 
-def _packed(items: DataFrame, keys: list[str], limit: int, per_task: int) -> DataFrame:
-    """The items with task, bin (within the task) and offset."""
+def _packed(items: DataFrame, keys: list[str], limit: int, per_task: int, spread: list[str] = []) -> DataFrame:
+    """The items with task, bin (within the task) and offset; dealt to tasks by keys and ``spread``."""
     tasks = -(-items.count() // per_task) or 1
     schema = T.StructType(
         [T.StructField("task", T.LongType()), *items.select(*keys).schema.fields]
         + [T.StructField("bin", T.LongType()), T.StructField("offset", T.LongType())]
     )
-    dealt = items.withColumn("task", bucket(tasks, *keys)).select("task", *keys)
+    dealt = items.withColumn("task", bucket(tasks, *keys, *spread)).select("task", *keys)
     return dealt.groupBy("task").applyInPandas(_packer(limit, keys), schema)
 
 

@@ -4,7 +4,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from stationlake.llm.packing import VOCABULARY, pack_documents, sum_of_squares, token_ids
+from stationlake.llm import packing
+from stationlake.llm.packing import _packed, VOCABULARY, pack_documents, sum_of_squares, token_ids
 
 
 def ids_of(text):
@@ -84,3 +85,17 @@ def test_sum_of_squares_by_the_plain_rule():
         else:
             assert b == len(gaps) and offset == 0
             gaps.append(limit - size)
+
+
+def test_equal_rows_are_spread_over_tasks(spark, monkeypatch):
+    made = []
+
+    def noted(*args):
+        made.append(_packed(*args))
+        return made[-1]
+
+    monkeypatch.setattr(packing, "_packed", noted)
+    docs = spark.range(20_000).selectExpr("null as doc_id", "if(id % 2 = 0, '', null) as text")
+    assert pack_documents(docs, pieces_per_task=1_000).count() == 20_000
+    assert made[0].count() == 20_000
+    assert max(r["count"] for r in made[0].groupBy("task").count().collect()) <= 2_000
