@@ -149,6 +149,49 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", F.col("leaks.item_id").alias("item_ids"), F.array_max("leaks.shared").alias("shared"))
 
 
+@_query
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationlake.llm.infill import fill_in_middle, restored
+
+    found = restored(fill_in_middle(_table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80))
+    digests = (F.sha2(F.col(name).cast("binary"), 256) for name in ("output", "text"))
+    names = ("output_sha256", "restored_sha256")
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", *(d.alias(n) for d, n in zip(digests, names))
+    )
+
+
+SQL["op13_infill"] = r"""
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS body,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens,
+           sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+    FROM documents
+), drawn AS (
+    SELECT doc_id, body, tokens, len(tokens) AS n,
+           CAST('0x' || hex[1:8] AS BIGINT) % (len(tokens) + 1) AS one,
+           CAST('0x' || hex[9:16] AS BIGINT) % (len(tokens) + 1) AS two,
+           CASE WHEN body = '' OR regexp_matches(body, '<[PSM]>') OR CAST('0x' || hex[17:24] AS BIGINT) % 100 >= 50
+                THEN 'plain' WHEN CAST('0x' || hex[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM cut
+), parted AS (
+    SELECT doc_id, body, n, form,
+           array_to_string(tokens[1:least(one, two)], '') AS prefix,
+           array_to_string(tokens[least(one, two) + 1:greatest(one, two)], '') AS middle,
+           array_to_string(tokens[greatest(one, two) + 1:], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN body
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM parted
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

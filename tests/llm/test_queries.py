@@ -10,6 +10,7 @@ COLUMNS = {
     "op4_suffix_array": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op5_langid": ["doc_id", "held_out", "lang_pred", "score"],
     "op6_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op13_infill": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
     "op10_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
 }
 
