@@ -149,6 +149,66 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", F.col("leaks.item_id").alias("item_ids"), F.array_max("leaks.shared").alias("shared"))
 
 
+@_query
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationlake.llm.mixing import mix_documents
+
+    mixed = mix_documents(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), ceiling=3, seed=42)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+# The level of the shares is the greatest of those that fill up some sources, the fullest first.
+SQL["op12_mixing"] = r"""
+WITH docs AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+    FROM documents
+), weighed AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS words, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+    FROM docs GROUP BY source
+), cycled AS (
+    SELECT *, CASE rank % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM weighed
+), filling AS (
+    SELECT *, sum(words) OVER () - coalesce(sum(3 * words) OVER before, 0) AS words_left,
+           sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left
+    FROM cycled
+    WINDOW before AS (ORDER BY words / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), levels AS (
+    SELECT max(CAST(words_left AS DOUBLE) / CAST(weight_left AS DOUBLE)) AS level FROM filling
+), sources AS (
+    SELECT source, words, rank, greatest(1, least(256, words // 1000)) AS block,
+           CASE WHEN 3 * words < level * weight THEN CAST(3 * words AS DOUBLE) ELSE level * weight END AS target
+    FROM cycled, levels
+), streams AS (
+    SELECT d.doc_id, d.size, s.words, s.rank, s.block, s.target, s.target / greatest(s.words, 1) AS rate,
+           CAST(sum(d.size) OVER (PARTITION BY s.rank ORDER BY d.key, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS hi,
+           row_number() OVER () AS row
+    FROM docs d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source
+), ends AS (
+    SELECT *, hi - size AS place, 'lo' AS side FROM streams UNION ALL SELECT *, hi AS place, 'hi' AS side FROM streams
+), blocks AS (
+    SELECT *, greatest(place - 1, 0) // block AS i, greatest(place - 1, 0) // block // 64 AS shard FROM ends
+), shards AS (
+    SELECT *, shard * 64 * block AS first, least(words, (shard + 1) * 64 * block) AS stop FROM blocks
+), won AS (
+    SELECT *, CAST(floor(rate * (first / block) + 0.5) AS BIGINT) AS earlier,
+           CAST(floor(rate * (stop / block) + 0.5) AS BIGINT) - CAST(floor(rate * (first / block) + 0.5) AS BIGINT) AS quota,
+           greatest(1, CAST(ceil((stop - first) / block) AS BIGINT)) AS n
+    FROM shards
+), started AS (
+    SELECT *, CAST('0x' || sha256('42:' || rank || ':' || shard)[1:8] AS BIGINT) % n AS u, i - shard * 64 AS k FROM won
+), cut AS (
+    SELECT row, side, CASE WHEN place = 0 THEN 0 ELSE
+               (earlier + (k + u) * quota // n - u * quota // n) * block
+               + (place - i * block) * ((k + u + 1) * quota // n - (k + u) * quota // n) END AS until
+    FROM started
+)
+SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, s.words AS source_size, s.target,
+       CAST(b.until - a.until AS BIGINT) AS taken
+FROM streams s JOIN cut a ON a.row = s.row AND a.side = 'lo' JOIN cut b ON b.row = s.row AND b.side = 'hi'
+"""
+
+
 @_query
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationlake.llm.infill import fill_in_middle, restored

@@ -10,6 +10,7 @@ COLUMNS = {
     "op4_suffix_array": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op5_langid": ["doc_id", "held_out", "lang_pred", "score"],
     "op6_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op12_mixing": ["doc_id", "size", "source_size", "target", "taken"],
     "op13_infill": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
     "op10_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
 }
@@ -18,8 +19,8 @@ COLUMNS = {
 def test_registered_names():
     names = list(llm.all_queries())
     assert [n for n in names if not n.startswith("op")] == ["pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
-    assert llm.all_sql() == {}
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
+    assert llm.all_sql().keys() == {"op12_mixing", "op13_infill"}
 
 
 @pytest.mark.parametrize("name", ["op2_neighbours", "op6_sharding", "op10_packing", "op5_langid"])
