@@ -149,6 +149,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", F.col("leaks.item_id").alias("item_ids"), F.array_max("leaks.shared").alias("shared"))
 
 
+@_query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stationlake.llm.whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"), components=4)
+
+
 @_query
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationlake.llm.mixing import mix_documents

@@ -10,6 +10,7 @@ COLUMNS = {
     "op4_suffix_array": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op5_langid": ["doc_id", "held_out", "lang_pred", "score"],
     "op6_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op11_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
     "op12_mixing": ["doc_id", "size", "source_size", "target", "taken"],
     "op13_infill": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
     "op10_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
@@ -23,7 +24,7 @@ def test_registered_names():
     assert llm.all_sql().keys() == {"op12_mixing", "op13_infill"}
 
 
-@pytest.mark.parametrize("name", ["op2_neighbours", "op6_sharding", "op10_packing", "op5_langid"])
+@pytest.mark.parametrize("name", ["op2_neighbours", "op6_sharding", "op10_packing", "op5_langid", "op11_whitening", "op12_mixing", "op13_infill"])
 def test_columns_of_the_contract(spark, sf_dir, name):
     found = llm.all_queries()[name](spark, sf_dir)
     assert found.columns == COLUMNS[name] and found.count() > 0
