@@ -12,8 +12,10 @@ from stationlake.catalog.registry import registered, table
 from stationlake.functions.cells import to_number
 from stationlake.functions.clock import hour_floor
 from stationlake.plans import layers, run
-from stationlake.session import scratch_dir
+from stationlake.plans.inspect import EXPECTED_COLUMNS, column_status
+from stationlake.session import scratch_dir, stored
 from stationlake.sources import checks, files, station_csv, weather_json
+from stationlake.sources.lines import file_lines
 
 # ---- station files ------------------------------------------------------------------------------
 
@@ -36,14 +38,13 @@ def _cell_sql(event: str) -> str:
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     stations, _ = adapters.raw_zone(spark, sf_dir)
-    return checks.csv_report(files.payloads(spark, stations, _PATTERN))
+    return stored(checks.station_report(spark, stations, _PATTERN), "station-report")
 
 
-def _station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _station_rows(spark: SparkSession, sf_dir: str, report: DataFrame | None = None) -> DataFrame:
     stations, _ = adapters.raw_zone(spark, sf_dir)
-    return station_csv.classified_rows(
-        station_csv.read_station_csv(spark, _report(spark, sf_dir), stations)
-    )
+    report = _report(spark, sf_dir) if report is None else report
+    return station_csv.classified_rows(station_csv.read_station_csv(spark, report, stations, _PATTERN))
 
 
 @registered(
@@ -78,7 +79,8 @@ SELECT {_DATE_TEXT} AS date_text, {_TIME_TEXT} AS time_text, COUNT(*) AS malform
 FROM station_hours WHERE EXTRACT(HOUR FROM hour) = 17 GROUP BY 1, 2""",
 )
 def src_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = station_csv.malformed_rows(_station_rows(spark, sf_dir), _report(spark, sf_dir))
+    report = _report(spark, sf_dir)
+    bad = station_csv.malformed_rows(_station_rows(spark, sf_dir, report), report)
     part = lambda n: F.split_part("line", F.lit(","), F.lit(n))
     return bad.groupBy(part(1).alias("date_text"), part(2).alias("time_text")).agg(
         F.count(F.lit(1)).alias("malformed_rows")
@@ -136,17 +138,72 @@ def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _as_payloads(texts: DataFrame, text: str, year: int) -> DataFrame:
-    content = F.col(text).cast("binary")
+def _as_lines(texts: DataFrame, key: str, text: str, kind: str) -> DataFrame:
+    """The texts of a table as delivered files: kind, uri, at, line."""
+    cut = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+    lines = texts.select(F.concat(F.lit(f"{kind}-"), key).alias("uri"), cut.alias("lines"))
+    parted = lines.select("uri", F.size("lines").alias("n"), F.posexplode("lines").alias("at", "line"))
+    # A line end at the end of a text starts no further line.
+    kept = parted.where((F.col("line") != "") | (F.col("at") < F.col("n") - 1))
+    return kept.select("uri", F.col("at").cast("long"), F.rtrim("line", F.lit("\r")).alias("line"))
+
+
+def _as_files(texts: DataFrame, key: str, text: str, kind: str) -> DataFrame:
+    length = F.octet_length(F.coalesce(F.col(text), F.lit("")))
     return texts.select(
-        F.lit(text).alias("path"),
-        F.length(content).cast("bigint").alias("length"),
-        content.alias("content"),
-        F.lit(year).alias("source_year"),
+        F.concat(F.lit(f"{kind}-"), key).alias("path"),
+        F.lit(2024).alias("source_year"),
+        length.cast("long").alias("length"),
+        F.lit(kind).alias("kind"),
+    )
+
+
+#: What is done to every station file, and what the checks must say of it.
+DAMAGES = {
+    "as delivered": "none",
+    "of another year": "wrong_year",
+    "other first line": "preamble",
+    "head only": "no_data_rows",
+    "measure renamed": "missing_columns",
+    "cells lost": "short_row",
+    "dates broken": "bad_date",
+    "rows blank": "no_valid_rows",
+    "very large": "too_large",
+}
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Station files as delivered and in eight damaged versions: (listed files, lines); one scan each."""
+    stations, _ = adapters.raw_zone(spark, sf_dir)
+    kinds = F.explode(F.array(*[F.lit(kind) for kind in DAMAGES])).alias("kind")
+    named = lambda column: F.concat(column, F.lit("?"), F.col("kind"))
+    kind, line, is_data = F.col("kind"), F.col("line"), F.col("line").rlike(r"^\d")
+    version = (
+        F.when((kind == "other first line") & line.startswith(schemas.CSV_FIRST_LINE), F.lower(line))
+        .when(kind == "measure renamed", F.replace(line, F.lit(",Nitrogen dioxide,"), F.lit(",Nitrogen,")))
+        .when((kind == "cells lost") & is_data, F.lit("x"))
+        .when((kind == "cells lost") & line.startswith(schemas.DATE_COLUMN), F.concat(F.lit("x,"), line))
+        .when((kind == "dates broken") & is_data, F.concat(F.lit("99"), line))
+        .when((kind == "rows blank") & is_data, F.lit(",,,"))
+        .otherwise(line)
+    )
+    lines = file_lines(spark, stations, _PATTERN).select("*", kinds).where((kind != "head only") | ~is_data)
+    listed = files.file_listing(spark, stations, _PATTERN).select("path", "source_year", "length", kinds)
+    later = F.when(kind == "of another year", 1).otherwise(0)
+    return (
+        listed.select(
+            named(F.col("path")).alias("path"),
+            (F.col("source_year") + later).alias("source_year"),
+            F.when(kind == "very large", F.lit(schemas.CSV_MAX_BYTES + 1)).otherwise(F.col("length")).cast("long").alias("length"),
+            "kind",
+        ),
+        lines.select(named(F.col("uri")).alias("uri"), "at", version.alias("line")),
     )
 
 
+_STATION_FILES_SQL = "SELECT DISTINCT site, EXTRACT(YEAR FROM hour) AS year FROM station_hours"
 _LINES = r"len(string_split_regex(regexp_replace(text, '\r?\n$', ''), '\r?\n'))"
+_DAMAGES_SQL = ", ".join(f"('{kind}', '{problem}')" for kind, problem in DAMAGES.items())
 
 
 @registered(
@@ -163,27 +220,52 @@ judged AS (
                 WHEN regexp_matches(text, '(?i)\\A\\s*<(!doctype html|html)') THEN 'html'
                 WHEN {_LINES} < 6 THEN 'no_data_rows' ELSE 'preamble' END AS problem FROM documents
     UNION ALL
-    SELECT 'station of other year' AS kind, 'wrong_year' AS problem FROM (
-        SELECT DISTINCT site, EXTRACT(YEAR FROM hour) FROM station_hours)
+    SELECT 'no bytes' AS kind, 'empty' AS problem FROM conversations WHERE turn = 0
     UNION ALL
-    SELECT 'station' AS kind, 'none' AS problem FROM (
-        SELECT DISTINCT site, EXTRACT(YEAR FROM hour) FROM station_hours))
+    SELECT kind, problem FROM (VALUES {_DAMAGES_SQL}) AS damages(kind, problem), ({_STATION_FILES_SQL}))
 SELECT kind, problem, COUNT(*) AS payloads FROM judged GROUP BY kind, problem""",
 )
 def raw_file_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stations, _ = adapters.raw_zone(spark, sf_dir)
-    landed = files.payloads(spark, stations, _PATTERN)
-    shifted = landed.withColumn("source_year", F.col("source_year") + 1)
-    delivered = (
-        _as_payloads(table(spark, sf_dir, "pages"), "html", 2024)
-        .unionByName(_as_payloads(table(spark, sf_dir, "documents"), "text", 2024))
-        .unionByName(landed.withColumn("path", F.lit("station")))
-        .unionByName(shifted.withColumn("path", F.lit("station of other year")))
+    """Pages, documents, empty files, and every station file as delivered and damaged: all ten problems."""
+    pages, documents = table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")
+    begun = table(spark, sf_dir, "conversations").where("turn = 0").withColumn("nothing", F.lit(""))
+    listed, lines = _damaged(spark, sf_dir)
+    listed = (
+        listed.unionByName(_as_files(pages, "page_id", "html", "html"))
+        .unionByName(_as_files(documents, "doc_id", "text", "text"))
+        .unionByName(_as_files(begun, "conv_id", "nothing", "no bytes"))
+    )
+    lines = lines.unionByName(_as_lines(pages, "page_id", "html", "html")).unionByName(
+        _as_lines(documents, "doc_id", "text", "text")
+    )
+    report = checks.csv_report(listed, lines)
+    return report.groupBy("kind", F.coalesce("problem", F.lit("none")).alias("problem")).agg(
+        F.count(F.lit(1)).alias("payloads")
+    )
+
+
+_EXPECTED_SQL = ", ".join(f"('{name}')" for name in EXPECTED_COLUMNS)
+
+
+@registered(
+    "raw_columns",
+    f"""WITH {adapters.STATION_SQL}
+SELECT kind, year::INTEGER AS source_year, column_name,
+       CASE WHEN kind = 'other first line' OR kind = 'measure renamed' AND column_name = 'Nitrogen dioxide'
+            THEN 'MISSING' ELSE 'OK' END AS status, COUNT(*) AS delivered_files
+FROM ({_STATION_FILES_SQL}), (VALUES {_EXPECTED_SQL}) AS expected(column_name),
+     (VALUES ('as delivered'), ('measure renamed'), ('other first line')) AS kinds(kind)
+GROUP BY ALL""",
+)
+def raw_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which expected columns the headers of the raw files hold."""
+    listed, lines = _damaged(spark, sf_dir)
+    kinds = F.col("kind").isin("as delivered", "measure renamed", "other first line")
+    report = checks.csv_report(listed.where(kinds), lines)
+    status = column_status(report.withColumn("path", F.col("kind")))
+    return status.groupBy(F.col("path").alias("kind"), "source_year", "column_name", "status").agg(
+        F.count(F.lit(1)).alias("delivered_files")
     )
-    report = checks.csv_report(delivered)
-    return report.groupBy(
-        F.col("path").alias("kind"), F.coalesce("problem", F.lit("none")).alias("problem")
-    ).agg(F.count(F.lit(1)).alias("payloads"))
 
 
 # ---- weather documents --------------------------------------------------------------------------

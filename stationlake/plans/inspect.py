@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +12,9 @@ from stationlake import schemas
 from stationlake.errors import MissingInputError
 from stationlake.operators import daily, profile
 from stationlake.plans.run import Lake
+from stationlake.session import stored
 from stationlake.sources import checks, files, station_csv
+from stationlake.sources.lines import file_lines
 
 EXPECTED_COLUMNS = (schemas.DATE_COLUMN, schemas.TIME_COLUMN, *schemas.MEASURES)
 
@@ -43,9 +46,12 @@ def inspect_raw(
     folders = files.year_folders(spark, lake.raw_readings, years)
     if not folders:
         raise MissingInputError(f"no folder of {years} below {lake.raw_readings}")
-    report = checks.csv_report(files.payloads(spark, folders, lake.readings_pattern))
+    # One scan: the report, and the rows that both profiles look at, come from the lines kept here.
+    lines = file_lines(spark, folders, lake.readings_pattern).persist(StorageLevel.DISK_ONLY)
+    listed = files.file_listing(spark, folders, lake.readings_pattern).select("path", "source_year", "length")
+    report = stored(checks.csv_report(listed, lines), "inspected")
     readable = report.where(F.array_contains("header", schemas.DATE_COLUMN))
-    rows = station_csv.read_station_csv(spark, readable, lake.raw_readings, accepted_only=False)
+    rows = station_csv.read_station_csv(spark, readable, folders, accepted_only=False, lines=lines)
     raw = station_csv.data_rows(station_csv.classified_rows(rows))
     midnight = F.trim(F.col(schemas.TIME_COLUMN)) == "24:00"
     return {

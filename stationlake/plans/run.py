@@ -57,7 +57,7 @@ def _landing_report(
 ) -> DataFrame:
     """Store the per-file report of this delivery and return it; raise when a file is rejected.
 
-    The payloads are read once for it. The report is pending until ``accept_delivery``: what was
+    The report is pending until ``accept_delivery``: what was
     landed before stays the state that the next delivery is compared with.
     """
     delivered = lake.path("landing", f"{table}_delivered")
@@ -120,7 +120,7 @@ def changed_years(
     are not taken apart. With ``latest_year``, landed years older than the refresh window are frozen.
     """
     raw, pattern, digests = {
-        "readings": (lake.raw_readings, lake.readings_pattern, checks.csv_digests),
+        "readings": (lake.raw_readings, lake.readings_pattern, checks.listed_with_digests),
         "weather": (lake.raw_weather, lake.weather_pattern, checks.weather_digests),
     }[table]
     listing = files.require_files(spark, raw, pattern)
@@ -133,7 +133,7 @@ def changed_years(
     years = _years(plan.where(F.col("action") == "fetch"))
     if not years:
         return []
-    delivered = digests(files.payloads(spark, files.year_folders(spark, raw, years), pattern))
+    delivered = digests(spark, files.year_folders(spark, raw, years), pattern)
     status = landing.landing_plan(delivered, landed, latest_year)
     return _years(status.where(F.col("status") == "uploaded"))
 
@@ -153,11 +153,15 @@ def build_bronze_readings(
     folders = _folders(spark, lake.raw_readings, lake.readings_pattern, years)
     if not folders:
         return NOT_BEGUN
-    landed = files.payloads(spark, folders, lake.readings_pattern)
     report = _landing_report(
-        spark, lake, "readings", checks.csv_report(landed, lake.readings_max_bytes)
+        spark,
+        lake,
+        "readings",
+        checks.station_report(spark, folders, lake.readings_pattern, lake.readings_max_bytes),
+    )
+    rows = station_csv.classified_rows(
+        station_csv.read_station_csv(spark, report, folders, lake.readings_pattern)
     )
-    rows = station_csv.classified_rows(station_csv.read_station_csv(spark, report, lake.raw_readings))
     rows = rows.withColumn("site_name", F.coalesce("site", F.lit(lake.site_name))).drop("site")
     return layout.replace_partitions(
         rows,

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_SETTING = "spark.checkpoint.dir"
 
@@ -33,6 +33,10 @@ def local_session(cores: int = 8, app: str = "stationlake", memory: str = "8g")
     return spark
 
 
+#: Application -> scratch folder of a local session without the setting.
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder path under the shared folder named by ``spark.checkpoint.dir``.
 
@@ -43,11 +47,20 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {SCRATCH_SETTING} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="stationlake-")
-        spark.conf.set(SCRATCH_SETTING, root)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_SCRATCH:
+            _LOCAL_SCRATCH[application] = tempfile.mkdtemp(prefix="stationlake-")
+        root = _LOCAL_SCRATCH[application]
     return f"{root.rstrip('/')}/stationlake/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and readable after an executor is lost."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _located(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location

@@ -1,48 +1,31 @@
-"""Validation of landed payloads, one output row per file and no shuffle.
+"""Validation of landed files, one output row per file.
 
-A payload is one station-year. One above ``max_bytes`` is reported as ``too_large``, with its digest,
-header and counts as any other; None sets no limit. Its SHA-256 needs all of its bytes in one place.
+A station file is judged by aggregates over its lines, so a large one is split over tasks. A file above
+``max_bytes`` is reported as ``too_large``, with its digest, header and counts as any other; None sets
+no limit. A weather document is one JSON object and is read as a whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
 from stationlake.functions.clock import parse_date
 from stationlake.functions.fingerprint import canonical_json
-
-_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def _line(line: Column) -> Column:
-    """A line without the carriage return of the other line ending."""
-    return F.rtrim(line, F.lit("\r"))
-
-
-def _cells(line: Column, limit: Column | int = -1) -> Column:
-    """Cells of a line; with ``limit``, the last one holds the rest of the line.
-
-    Looking for commas outside quotes takes time quadratic in the line, so only quoted lines pay.
-    """
-    quoted = F.transform(F.split(line, _COMMA, limit), lambda c: F.btrim(c, F.lit('"')))
-    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ",", limit))
-
+from stationlake.session import stored
+from stationlake.sources.files import file_listing, payloads, plain_path
+from stationlake.sources.lines import FILLED, cells, decoded, file_digests, file_heads, file_lines
 
 def _too_large(max_bytes: int | None) -> Column:
     return F.lit(False) if max_bytes is None else F.col("length") > max_bytes
 
 
-def csv_digests(files: DataFrame) -> DataFrame:
-    """path, source_year, length, sha256 of station files."""
-    return files.select("path", "source_year", "length", F.sha2("content", 256).alias("sha256"))
-
-
-def weather_digests(files: DataFrame) -> DataFrame:
+def weather_digests(spark: SparkSession, folders: str | Sequence[str], pattern: str) -> DataFrame:
     """path, source_year, length, sha256 of weather documents, without the volatile key."""
+    files = payloads(spark, folders, pattern)
     text = F.col("content").cast("string")
     digest = F.sha2(canonical_json(text, [schemas.VOLATILE_JSON_KEY]), 256)
     return files.select("path", "source_year", "length", digest.alias("sha256"))
@@ -60,86 +43,63 @@ def _settled(report: DataFrame) -> DataFrame:
 
 
 def csv_report(
-    files: DataFrame,
+    listed: DataFrame,
+    lines: DataFrame,
     max_bytes: int | None = schemas.CSV_MAX_BYTES,
     first_line: str = schemas.CSV_FIRST_LINE,
     preamble_lines: int = schemas.CSV_PREAMBLE_LINES,
     required: Sequence[str] = schemas.CSV_REQUIRED,
     date_column: str = schemas.DATE_COLUMN,
 ) -> DataFrame:
-    """Check CSV payloads (path, length, content, source_year).
+    """Check the files ``listed`` (path, length, source_year and any other column) by their ``lines``
+    (uri, at, line; see ``file_lines``).
 
-    Output: path, source_year, length, sha256, encoding, header, preamble, row_count, latest_date,
-    bad_dates, wrong_year, short_rows and ``problem`` (NULL when the file is accepted).
+    Output: the columns of ``listed``, uri, encoding, header, header_line, preamble, row_count, latest_date,
+    bad_dates, wrong_year, short_rows and ``problem`` (NULL when the file is accepted). One scan finds
+    the heads, a second one judges the rows of files that look like station files by their head; both
+    only aggregate numbers by file.
     """
-    raw = F.col("content").cast("string")
-    lines, date_at = F.col("lines"), F.col("date_at")
-    header_at = preamble_lines + 1
-    # A newline at the end of the file starts no further line.
-    line_count = F.size(lines) - F.when(F.element_at(lines, -1) == "", 1).otherwise(0)
-    html = r"(?i)\A\s*<(!doctype html|html)"
     missing = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))
-    opened = (
-        files.withColumn("utf8", F.is_valid_utf8(raw))
-        .withColumn(
-            "text",
-            F.when(F.col("utf8"), raw).otherwise(F.decode(F.col("content"), "ISO-8859-1")),
-        )
-        .withColumn("text", F.ltrim(F.col("text"), F.lit("\ufeff")))
-        .withColumn("lines", F.split("text", "\n", -1))
-        .withColumn("announced", F.try_element_at(lines, F.lit(1)).startswith(first_line))
-        .withColumn(
-            "header",
-            F.when(F.col("announced"), _cells(_line(F.try_element_at(lines, F.lit(header_at))))),
-        )
-        .withColumn(
-            "problem",
-            _first_problem(
-                empty=F.col("length") == 0,
-                html=F.col("text").rlike(html),
-                no_data_rows=line_count <= header_at,
-                preamble=~F.col("announced"),
-                missing_columns=F.size(missing) > 0,
-            ),
-        )
+    heads = (
+        file_heads(lines, preamble_lines)
+        .withColumn("announced", F.coalesce(F.col("opening").startswith(first_line), F.lit(False)))
+        .withColumn("header", F.when(F.col("announced"), cells(F.col("header_line"))))
+        .withColumn("date_at", F.array_position("header", date_column).cast("int"))
     )
-    # Rows are only taken apart in files that look like station files so far.
-    body = F.slice(lines, header_at + 1, F.greatest(F.size(lines), F.lit(1)))
-    counted = (
-        opened.withColumn("date_at", F.array_position("header", date_column).cast("int"))
-        .withColumn(
-            "rows",
-            F.when(
-                F.col("problem").isNull(), F.filter(body, lambda line: line.rlike(r'[^,"\s]'))
-            ),
-        )
-        .withColumn("firsts", F.transform("rows", lambda line: _cells(_line(line), date_at + 1)))
-        .withColumn(
-            "dates",
-            F.transform(
-                "firsts",
-                lambda cells: parse_date(F.try_element_at(cells, date_at), day_first_only=True),
-            ),
-        )
-        .select(
-            "path",
-            "source_year",
-            "length",
-            F.sha2("content", 256).alias("sha256"),
-            F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
-            "header",
-            F.transform(F.slice(lines, 1, preamble_lines), _line).alias("preamble"),
-            F.size("rows").cast("bigint").alias("row_count"),
-            F.array_max("dates").alias("latest_date"),
-            F.size(F.filter("dates", lambda d: d.isNull())).alias("bad_dates"),
-            F.size(F.filter("dates", lambda d: F.year(d) != F.col("source_year"))).alias(
-                "wrong_year"
-            ),
-            F.size(F.filter("firsts", lambda cells: F.size(cells) < date_at)).alias("short_rows"),
-            "problem",
-        )
+    years = listed.select(plain_path(F.col("path")).alias("path"), "source_year", "length")
+    heads = years.join(heads, "path", "left").withColumn(
+        "problem",
+        _first_problem(
+            empty=F.col("length") == 0,
+            html=F.col("first_text").rlike(r"(?i)^\s*<(!doctype html|html)"),
+            no_data_rows=F.coalesce("line_count", F.lit(0)) <= preamble_lines + 1,
+            preamble=~F.col("announced"),
+            missing_columns=F.coalesce(F.size(missing), F.lit(1)) > 0,
+        ),
     )
-    judged = counted.withColumn(
+    heads = stored(heads, "file-heads")  # one row a file
+
+    # Only lines of files that look like station files so far are taken apart.
+    line, date_at = F.col("line"), F.col("date_at")
+    opened = heads.where("problem IS NULL").select("uri", "path", "source_year", "header_line", "preamble", "date_at", "utf8")
+    body = lines.where(line.rlike(FILLED)).join(opened, "uri").withColumn("line", decoded(line, F.col("utf8")))
+    body = body.where((line != F.col("header_line")) & ~F.array_contains("preamble", line))
+    first_cells = body.select("path", "source_year", "date_at", cells(line, date_at + 1).alias("cells"))
+    date = parse_date(F.try_element_at("cells", date_at), day_first_only=True)
+    dated = first_cells.select("path", "source_year", "date_at", F.size("cells").alias("filled"), date.alias("date"))
+    counts = dated.groupBy("path").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.max("date").alias("latest_date"),
+        F.count_if(F.col("date").isNull()).alias("bad_dates"),
+        F.count_if(F.year("date") != F.col("source_year")).alias("wrong_year"),
+        F.count_if(F.col("filled") < date_at).alias("short_rows"),
+    )
+    columns = ["row_count", "bad_dates", "wrong_year", "short_rows"]
+    judged = heads.select("path", "uri", "utf8", "header", "header_line", "preamble", "problem").join(counts, "path", "left")
+    # A file without rows counts 0 of them; one whose rows were not looked at has no counts.
+    judged = judged.withColumns({c: F.when(F.col("problem").isNull(), F.coalesce(c, F.lit(0))) for c in columns})
+    judged = judged.withColumnRenamed("path", "key")
+    report = listed.join(judged, plain_path(F.col("path")) == F.col("key")).withColumn(
         "problem",
         F.coalesce(
             "problem",
@@ -152,7 +112,39 @@ def csv_report(
             ),
         ),
     )
-    return _settled(judged)
+    return report.select(
+        *(F.col(f"`{c}`") for c in listed.columns),
+        "uri",
+        F.when(F.coalesce("utf8", F.lit(True)), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
+        "header",
+        "header_line",
+        "preamble",
+        "row_count",
+        "latest_date",
+        "bad_dates",
+        "wrong_year",
+        "short_rows",
+        "problem",
+    )
+
+
+def listed_with_digests(spark: SparkSession, folders: str | Sequence[str], pattern: str) -> DataFrame:
+    """path, source_year, length, sha256 of the station files, whatever their size."""
+    listing = file_listing(spark, folders, pattern).select("path", "source_year", "length")
+    digests = file_digests(spark, folders, pattern).withColumnRenamed("path", "key")
+    joined = listing.join(digests, plain_path(F.col("path")) == F.col("key"), "left").drop("key")
+    return joined.withColumn("sha256", F.coalesce("sha256", F.sha2(F.lit(b""), 256)))
+
+
+def station_report(
+    spark: SparkSession,
+    folders: str | Sequence[str],
+    pattern: str,
+    max_bytes: int | None = schemas.CSV_MAX_BYTES,
+) -> DataFrame:
+    """``csv_report`` of the files below some folders, with their SHA-256."""
+    listed = stored(listed_with_digests(spark, folders, pattern), "listed")
+    return csv_report(listed, file_lines(spark, folders, pattern), max_bytes)
 
 
 def weather_report(files: DataFrame, max_bytes: int | None = schemas.JSON_MAX_BYTES) -> DataFrame:

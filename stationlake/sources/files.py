@@ -32,20 +32,24 @@ def any_case(pattern: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in pattern)
 
 
-def file_listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    """One row per file below ``root``: path, length, modified_at, source_year."""
-    files = (
+def file_listing(spark: SparkSession, folders: str | Sequence[str], pattern: str) -> DataFrame:
+    """One row per file below the folders: path, length, modified_at, source_year.
+
+    Spark's readers pass over files without bytes. They are taken from its file index, which the
+    driver holds anyway; when they were modified is not known there.
+    """
+    found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", any_case(pattern))
         .option("recursiveFileLookup", "true")
-        .load(root)
-    )
-    return files.select(
-        "path",
-        "length",
-        F.col("modificationTime").alias("modified_at"),
-        year_in_path(F.col("path")).alias("source_year"),
+        .load([folders] if isinstance(folders, str) else list(folders))
     )
+    listed = found.select("path", "length", F.col("modificationTime").alias("modified_at"))
+    indexed = spark.createDataFrame([(path,) for path in found.inputFiles()], "path string")
+    key = plain_path(F.col("path"))
+    empty = indexed.select(key.alias("path")).join(listed.select(key.alias("path")), "path", "left_anti")
+    empty = empty.select("path", F.lit(0).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modified_at"))
+    return listed.unionByName(empty).withColumn("source_year", year_in_path(F.col("path")))
 
 
 def require_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
@@ -69,8 +73,7 @@ def year_folders(spark: SparkSession, root: str, years: Sequence[int] | None) ->
 
 
 def payloads(spark: SparkSession, folders: str | Sequence[str], pattern: str) -> DataFrame:
-    """path, length, content and source_year per file. Filters on ``length`` are pushed to the
-    reader, so the bytes of an oversized file are not loaded."""
+    """path, length, content and source_year per file: for documents that only make sense as a whole."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", any_case(pattern))

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stationlake import schemas
 from stationlake.errors import MissingInputError
 from stationlake.functions.cells import blank_tokens_to_null, is_nonblank
 from stationlake.sources.files import plain_path, site_in_path, year_in_path
+from stationlake.sources.lines import cells, decoded, file_lines
 
 CORRUPT = "_corrupt"
 
@@ -27,56 +27,57 @@ def unique_names(header: Sequence[str]) -> list[str]:
     return names
 
 
-def layouts(
-    report: DataFrame, accepted_only: bool = True
-) -> list[tuple[tuple[str, ...], str, list[str]]]:
-    """Accepted files, or all in the report, grouped by (header, encoding). What reaches the driver is one path per file
-    of the refresh scope, the same list Spark's file index holds."""
-    groups = (
-        (report.where("problem IS NULL") if accepted_only else report)
-        .groupBy("header", "encoding")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .collect()
-    )
-    return [(tuple(g["header"]), g["encoding"], g["paths"]) for g in groups]
-
-
-def _read_layout(
-    spark: SparkSession, header: Sequence[str], encoding: str, paths: list[str]
-) -> DataFrame:
-    names = unique_names(header)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    return (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("encoding", encoding)
-        .option("columnPruning", "false")
-        .option("recursiveFileLookup", "true")  # year and site come from the path, whatever its layout
-        .csv(paths)
-        .withColumn("source_file", F.col("_metadata.file_name"))
-        .withColumn("source_path", F.col("_metadata.file_path"))
-        .withColumn("source_year", year_in_path(F.col("source_path")))
-        .withColumn("site", site_in_path(F.col("source_path")))
-    )
-
-
 def read_station_csv(
-    spark: SparkSession, report: DataFrame, root: str, accepted_only: bool = True
+    spark: SparkSession,
+    report: DataFrame,
+    folders: str | Sequence[str],
+    pattern: str = "*",
+    accepted_only: bool = True,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """All rows of the accepted files in ``report`` (from ``csv_report``), cells as text.
 
-    Each layout is read with its own schema, and no file is read twice. The result still holds the
-    preamble and malformed rows; see ``classified_rows``. ``source_year`` and ``site`` (NULL without
-    such a folder) are taken from the path.
+    The lines of all files are one scan, whatever the number of layouts. Each line meets the places
+    that its file's header gives to the columns of the result, which are those of all headers. Only
+    the distinct headers reach the driver. Lines of the wrong number of cells are in ``CORRUPT``; the
+    head of a file is left out; see ``classified_rows`` for the rest. ``source_year`` and ``site``
+    (NULL without such a folder) are taken from the path. ``lines`` may hand in lines already read.
     """
-    parts = [_read_layout(spark, h, e, paths) for h, e, paths in layouts(report, accepted_only)]
-    if not parts:
-        raise MissingInputError(f"no accepted CSV file below {root}")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part, allowMissingColumns=True)
-    return rows
+    used = report.where("problem IS NULL") if accepted_only else report
+    used = used.where(F.col("header").isNotNull())
+    headers = [tuple(r.header) for r in used.select("header").distinct().orderBy("header").collect()]
+    if not headers:
+        raise MissingInputError(f"no accepted CSV file below {folders}")
+    named = {header: unique_names(header) for header in headers}
+    columns = list(dict.fromkeys(name for names in named.values() for name in names))
+    places = [(list(h), len(n), [n.index(c) if c in n else -1 for c in columns]) for h, n in named.items()]
+    layouts = spark.createDataFrame(places, "header array<string>, width int, places array<int>")
+    uri, line = F.col("uri"), F.col("line")
+    files = used.join(F.broadcast(layouts), "header").select(
+        "uri",
+        "header_line",
+        "preamble",
+        (F.col("encoding") == "UTF-8").alias("utf8"),
+        "width",
+        "places",
+        F.substring_index(plain_path(uri), "/", -1).alias("source_file"),
+        year_in_path(uri).alias("source_year"),
+        site_in_path(uri).alias("site"),
+    )
+    lines = file_lines(spark, folders, pattern) if lines is None else lines
+    joined = lines.join(files, "uri")
+    joined = joined.withColumn("line", decoded(line, F.col("utf8"))).where(
+        (line != F.col("header_line")) & ~F.array_contains("preamble", line)
+    )
+    parted = joined.withColumn("cells", cells(line))
+    return parted.select(
+        *[F.get("cells", F.get("places", F.lit(k))).alias(name) for k, name in enumerate(columns)],
+        F.when(F.size("cells") != F.col("width"), line).alias(CORRUPT),
+        "source_file",
+        uri.alias("source_path"),
+        "source_year",
+        "site",
+    )
 
 
 def _is_preamble(first_cell: Column, starts: Sequence[str]) -> Column:

@@ -3,12 +3,14 @@
 import datetime as dt
 import hashlib
 import json
+import pathlib
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from stationlake.errors import BadRequestedYears, MissingInputError
-from stationlake.sources import checks, files, landing, station_csv, weather_json
+from stationlake.sources import checks, files, landing, lines, station_csv, weather_json
 
 GOOD = """Data supplied by UK-AIR on 6/3/2026
 All Data GMT hour ending
@@ -21,12 +23,11 @@ Date,time,Nitrogen dioxide,status,unit
 
 
 def csv_problem(spark, text, year=2026, **options):
-    content = text if isinstance(text, bytes) else text.encode()
-    df = spark.createDataFrame(
-        [("f.csv", len(content), bytearray(content), year)],
-        "path string, length bigint, content binary, source_year int",
-    )
-    return checks.csv_report(df, **options).first()
+    folder = pathlib.Path(tempfile.mkdtemp()) / f"source_year={year}"
+    folder.mkdir()
+    (folder / "f.csv").write_bytes(text if isinstance(text, bytes) else text.encode())
+    listed = checks.listed_with_digests(spark, str(folder.parent), "*.csv")
+    return checks.csv_report(listed, lines.file_lines(spark, str(folder.parent), "*.csv"), **options).first()
 
 
 def test_good_payload(spark):
@@ -216,10 +217,10 @@ def test_files_of_different_layout(spark, tmp_path):
         folder = tmp_path / f"source_year={year}"
         folder.mkdir()
         (folder / f"s_{year}.csv").write_bytes("\n".join(lines).encode(encoding))
-    report = checks.csv_report(files.payloads(spark, str(tmp_path), "*.csv"))
+    report = checks.station_report(spark, str(tmp_path), "*.csv")
     # the reader takes files as they are; only the landing rule on blank dates is not met here
     report = report.withColumn("problem", F.lit(None).cast("string"))
-    rows = station_csv.classified_rows(station_csv.read_station_csv(spark, report, str(tmp_path)))
+    rows = station_csv.classified_rows(station_csv.read_station_csv(spark, report, str(tmp_path), "*.csv"))
     good = station_csv.data_rows(rows).orderBy("source_year", "time").collect()
     assert [(r.source_year, r.time, r["Nitrogen dioxide"], r.Ozone, r.status, r.comment) for r in good] == [
         (2024, "01:00", "1.5", None, "R", None),
@@ -233,6 +234,66 @@ def test_files_of_different_layout(spark, tmp_path):
     ]
 
 
+def test_a_digest_needs_no_file_in_a_row(spark, tmp_path):
+    texts = {"a": b"", "b": b"\n", "c": b"x", "d": b"x\n\n", "e": b"\r\n\xff\xfe\n,", "f": "\ufeffBOM\n".encode()}
+    texts["large"] = b"".join(b"%d,some cells,of a line\r\n" % k for k in range(150_000))
+    for name, content in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(content)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        found = checks.listed_with_digests(spark, str(tmp_path), "*.csv")
+        got = {r.path.split("/")[-1][:-4]: r.sha256 for r in found.collect()}
+        plan = lines.file_digests(spark, str(tmp_path), "*.csv")._jdf.queryExecution().toString()
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5  # the large file is several blocks
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {name: hashlib.sha256(content).hexdigest() for name, content in texts.items()}
+    assert "binaryFile" not in plan and "content" not in plan
+
+
+def test_one_scan_for_a_hundred_layouts(spark, tmp_path):
+    head = GOOD.split("\n")[:4]
+    for k in range(100):
+        folder = tmp_path / f"year={1950 + k % 50}" / f"site=s {k}"
+        folder.mkdir(parents=True)
+        body = [f"Date,time,Nitrogen dioxide,extra {k},extra {k}", f"0{1 + k % 9}-01-{1950 + k % 50},01:00,{k},a,b"]
+        (folder / "f.csv").write_text("\n".join([*head, *body]) + "\n")
+    report = checks.station_report(spark, str(tmp_path), "*.csv")
+    rows = station_csv.read_station_csv(spark, report, str(tmp_path), "*.csv")
+    assert len(rows.columns) == 3 + 200 + 5
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("value#") and (
+        rows._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    )
+    got = {(r.site, r["Nitrogen dioxide"], r.source_year) for r in rows.collect()}
+    assert got == {(f"s {k}", str(k), 1950 + k % 50) for k in range(100)}
+    for r in rows.where("site = 's 7'").collect():
+        assert (r["extra 7"], r["extra 7_1"], r["extra 8"]) == ("a", "b", None)
+
+
+def test_heads_of_files_in_several_blocks(spark, tmp_path):
+    body = "".join(f"{1 + k % 28:02}-{1 + k % 12:02}-2026,{k % 24:02}:00,{k},R,ugm-3\n" for k in range(40_000))
+    (tmp_path / "year=2026").mkdir()
+    (tmp_path / "year=2026" / "long.csv").write_text(GOOD + body)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        (row,) = checks.station_report(spark, str(tmp_path), "*.csv").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert (row.problem, row.row_count, row.bad_dates) == (None, 40_002, 0)
+    assert row.header[:3] == ["Date", "time", "Nitrogen dioxide"] and len(row.preamble) == 4
+
+
+@pytest.mark.parametrize(
+    "line, want",
+    [("a,b,,c", ["a", "b", "", "c"]), ('"a,b",c', ["a,b", "c"]), ('"say ""hi""",x', ['say "hi"', "x"]), ("", [""])],
+)
+def test_cells_of_a_line(spark, line, want):
+    table = spark.createDataFrame([(line,)], "line string")
+    assert table.select(lines.cells(F.col("line"))).first()[0] == want
+
+
 def test_weather_documents(spark, tmp_path):
     folder = tmp_path / "source_year=2026"
     folder.mkdir()
