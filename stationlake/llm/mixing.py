@@ -29,7 +29,7 @@ LEAST_BLOCKS = 1_000
 SHARD_BLOCKS = 64
 #: Equal rows are counted in so many parts, and a running sum sees about so many groups of rows.
 PARTS = 256
-GROUPS_PER_TASK = 100_000
+GROUPS_PER_TASK = 4_096
 #: Runs of anything but blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
