@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from stationlake.session import scratch_dir
 
 #: Text that one Python step holds at once. Arrow batches above it are worked off in slices.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -47,11 +47,12 @@ def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def annotated(
-    df: DataFrame, text_col: str, fields: str, compute: Callable[[pa.Array], list[pa.Array]]
+    df: DataFrame, text_col: str, fields: str, compute: Callable[[pa.Array], list[pa.Array]], limit: int | None = None
 ) -> DataFrame:
     """``df`` with the columns that ``compute`` makes of its texts, row by row and without a shuffle.
 
     ``fields`` names and types the new columns; a column of ``df`` with such a name is replaced.
+    ``limit`` is the text worked on at once, in bytes.
     """
     added = T.StructType.fromDDL(fields)
     names = [n for n in df.columns if n != text_col and n not in added.names] + [text_col]
@@ -59,7 +60,7 @@ def annotated(
     schema = T.StructType([*plain.schema.fields, *added.fields])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit or SLICE_BYTES):
             made = compute(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=schema.names)
 

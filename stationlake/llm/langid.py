@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from stationlake.llm.common import annotated, crc_mod, slices
+from stationlake.llm.common import annotated, crc_mod, slices, spans
 
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -36,9 +36,15 @@ LONGEST_GRAM = 4
 #: A language writes in a script if it holds at least this part of its letters.
 SCRIPT_SHARE = 0.01
 WRONG_SCRIPT = -50.0
-#: Words whose scores a worker keeps; words in a block of the Viterbi pass.
+#: Words, and letters of words, whose scores a worker keeps; most words in a block of the Viterbi pass.
 KEPT_WORDS = 300_000
+KEPT_LETTERS = 4_000_000
 BLOCK = 128
+#: Text that is split into words at once; ways (padded words x languages squared) walked at once.
+SLICE_TEXT = 1 << 20
+WAYS = 1 << 23
+#: Parts of a language that choose their sample apart before it is chosen from all.
+SALTS = 64
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -81,6 +87,7 @@ class Model:
     _index: dict[str, int] = field(default_factory=dict, repr=False)
     _kept: list[np.ndarray] = field(default_factory=list, repr=False)
     _table: np.ndarray | None = field(default=None, repr=False)
+    _letters: int = field(default=0, repr=False)
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         code, owner = grams(words)
@@ -100,6 +107,7 @@ class Model:
             new = list(set(words).difference(self._index))
             for k in range(0, len(new), 20_000):
                 self._kept.append(self.word_scores(new[k : k + 20_000]))
+            self._letters += sum(map(len, new))
             self._index.update(zip(new, range(len(self._index), len(self._index) + len(new))))
             self._table = None
             return list(map(self._index.__getitem__, words))
@@ -111,19 +119,41 @@ class Model:
         return self._table
 
     def forget(self) -> None:
-        if len(self._index) > KEPT_WORDS:
-            self._index, self._kept, self._table = {}, [], None
+        if len(self._index) > KEPT_WORDS or self._letters > KEPT_LETTERS:
+            self._index, self._kept, self._table, self._letters = {}, [], None, 0
 
 
-def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
+def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float, ways: int = WAYS) -> np.ndarray:
     """The best language of every word, for documents of ``lengths`` words one after the other.
 
+    Documents of like lengths are walked together, as many as stay within ``ways``: their words, padded
+    to the longest block among them, times the languages squared. Only a single long document exceeds it.
+    """
+    labels = np.zeros(len(scores), dtype=np.int64)
+    base = np.cumsum(lengths) - lengths
+    order = np.argsort(lengths, kind="stable")
+    order = order[lengths[order] > 0]
+    start = 0
+    while start < len(order):
+        # The last document of a part is its longest, so its block is what all are padded to.
+        blocks = np.cumsum(-(-lengths[order[start:]] // BLOCK)) * np.minimum(lengths[order[start:]], BLOCK)
+        end = start + max(1, int(np.searchsorted(blocks * scores.shape[1] ** 2, ways, side="right")))
+        part = order[start:end]
+        at = spans(base[part], lengths[part])
+        labels[at] = _walked(scores[at], lengths[part], penalty, min(BLOCK, int(lengths[part[-1]])))
+        start = end
+    return labels
+
+
+def _walked(scores: np.ndarray, lengths: np.ndarray, penalty: float, block_words: int) -> np.ndarray:
+    """``viterbi`` of some documents at once.
+
     A path gains each word's score and loses ``penalty`` where the language changes. All documents
     are cut into blocks; for each language before a block, all blocks are walked side by side, then
     the blocks of a document are chained. The result is that of one pass over the whole document.
     """
     n, k = scores.shape
-    count = -(-lengths // BLOCK)
+    count = -(-lengths // block_words)
     first = np.concatenate(([0], np.cumsum(count)))
     total = int(first[-1])
     if n == 0:
@@ -131,15 +161,15 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
     word_at = np.concatenate(([0], np.cumsum(lengths)))[:-1]
     doc = np.repeat(np.arange(len(lengths)), lengths)
     place = np.arange(n) - word_at[doc]
-    block, step = first[doc] + place // BLOCK, place % BLOCK
-    padded = np.zeros((BLOCK, total, k), dtype=np.float32)  # after its end a block keeps its language
+    block, step = first[doc] + place // block_words, place % block_words
+    padded = np.zeros((block_words, total, k), dtype=np.float32)  # after its end a block keeps its language
     padded[step, block] = scores
 
     path = np.tile(np.where(np.eye(k, dtype=bool), 0.0, -penalty).astype(np.float32), (total, 1, 1))
     path = path + padded[0][:, None, :]
-    stays = np.ones((BLOCK, total, k, k), dtype=bool)
-    comes = np.zeros((BLOCK, total, k), dtype=np.uint8)
-    for t in range(1, BLOCK):
+    stays = np.ones((block_words, total, k, k), dtype=bool)
+    comes = np.zeros((block_words, total, k), dtype=np.uint8)
+    for t in range(1, block_words):
         comes[t] = path.argmax(axis=2)
         best = np.take_along_axis(path, comes[t][:, :, None].astype(np.int64), axis=2) - np.float32(penalty)
         np.greater_equal(path, best, out=stays[t])
@@ -165,10 +195,10 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
         start[at] = before[at, ends[at]]
         state[active] = start[at]
 
-    labels = np.zeros((BLOCK, total), dtype=np.uint8)
+    labels = np.zeros((block_words, total), dtype=np.uint8)
     rows = np.arange(total)
     now = ends
-    for t in range(BLOCK - 1, -1, -1):
+    for t in range(block_words - 1, -1, -1):
         labels[t] = now
         now = np.where(stays[t, rows, start, now], now, comes[t, rows, start])
     return labels[step, block].astype(np.int64)
@@ -179,18 +209,15 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_grams: int = GRAM
     the smallest hash of their doc_id, whole; the ``max_grams`` commonest letter sequences. Rows
     without an id teach nothing. None if no labelled text has a letter."""
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    chance = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        known.select("doc_id", "lang")
-        .withColumn("chance", F.row_number().over(chance))
-        .where(F.col("chance") <= per_language)
-        .select("doc_id", "lang")
-        .distinct()
-    )
+    chosen = known.select("doc_id", "lang").where("doc_id IS NOT NULL").withColumn("code", F.xxhash64("doc_id"))
+    for parts in (["lang", F.pmod("code", F.lit(SALTS))], ["lang"]):  # no task sees a whole language
+        chance = F.row_number().over(Window.partitionBy(*parts).orderBy("code", "doc_id"))
+        chosen = chosen.withColumn("chance", chance).where(F.col("chance") <= per_language)
+    chosen = chosen.select("doc_id", "lang").distinct()
     sample = known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE_TEXT):
             words: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words[lang].update(WORD.findall(text.lower()))
@@ -241,8 +268,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_grams: int = GRAM
     return Model(languages, codes[order], scores[order].astype(np.float32), share >= SCRIPT_SHARE)
 
 
-def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score and spans for every row.
+def identify(docs: DataFrame, model: Model | None, text_col: str = "text", with_spans: bool = True) -> DataFrame:
+    """``docs`` with lang_pred, score and, ``with_spans``, spans for every row.
 
     ``spans`` lists language, first word and number of words of the runs of equal language; words are
     runs of letters. ``lang_pred`` is the language with the most letters (ties: the first by name) and
@@ -257,7 +284,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         predicted = [UNDETERMINED] * len(found)
         score = np.zeros(len(found))
-        spans: list[list[dict]] = [[] for _ in found]
+        runs: list[list[dict]] = [[] for _ in found] if with_spans else []
         if model and lengths.any():
             model.forget()
             number = np.fromiter((i for words in found for i in model.numbers(words)), dtype=np.int64)
@@ -270,16 +297,20 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
             score[some] = tally[some].max(axis=1) / tally[some].sum(axis=1)
             best = tally.argmax(axis=1)
             predicted = [names[b] if s else UNDETERMINED for b, s in zip(best, some)]
-            turn = np.flatnonzero(np.concatenate(([True], (labels[1:] != labels[:-1]) | (doc[1:] != doc[:-1]))))
-            base = np.cumsum(lengths) - lengths
-            size = np.diff(np.append(turn, len(labels)))
-            for d, lang, at, words in zip(doc[turn], labels[turn], turn - base[doc[turn]], size):
-                spans[d].append({"lang": names[lang], "first_word": int(at), "words": int(words)})
-        return [pa.array(predicted, pa.string()), pa.array(score), pa.array(spans, kind)]
+            if with_spans:
+                turn = np.flatnonzero(np.concatenate(([True], (labels[1:] != labels[:-1]) | (doc[1:] != doc[:-1]))))
+                base = np.cumsum(lengths) - lengths
+                size = np.diff(np.append(turn, len(labels)))
+                for d, lang, at, words in zip(doc[turn], labels[turn], turn - base[doc[turn]], size):
+                    runs[d].append({"lang": names[lang], "first_word": int(at), "words": int(words)})
+        made = [pa.array(predicted, pa.string()), pa.array(score)]
+        return [*made, pa.array(runs, kind)] if with_spans else made
 
     kind = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("words", pa.int64())]))
-    fields = "lang_pred string, score double, spans array<struct<lang: string, first_word: bigint, words: bigint>>"
-    return annotated(docs, text_col, fields, compute)
+    fields = "lang_pred string, score double"
+    if with_spans:
+        fields += ", spans array<struct<lang: string, first_word: bigint, words: bigint>>"
+    return annotated(docs, text_col, fields, compute, SLICE_TEXT)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -62,7 +62,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationlake.llm import langid
 
     docs = _table(spark, sf_dir, "documents")
-    found = langid.identify(docs.select("doc_id", "text"), langid.fit_documents(docs))
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit_documents(docs), with_spans=False)
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -88,3 +90,33 @@ def test_without_labels(spark):
     unlabelled = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")
     assert fit_documents(unlabelled) is None
     assert identify(unlabelled, None).first().lang_pred == UNDETERMINED
+
+
+@pytest.mark.parametrize("texts, words, languages", [(2_000, 5, 50), (10_000, 5, 12), (40, 4_000, 30)])
+def test_memory_of_the_paths_is_bounded(texts, words, languages):
+    scores = np.random.default_rng(1).random((texts * words, languages)).astype(np.float32)
+    tracemalloc.start()
+    labels = viterbi(scores, np.full(texts, words), 1.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6 and len(labels) == texts * words
+    for k in (0, texts - 1):
+        part = slice(k * words, (k + 1) * words)
+        assert value_of(scores[part], labels[part], 1.0) == pytest.approx(plain_path(scores[part], 1.0), rel=1e-5)
+
+
+def test_the_sample_of_a_language_is_chosen_in_parts(spark):
+    rows = [(k, "some words " + "".join("abcdefghij"[int(c)] for c in str(k)), "en" if k % 10 else "de") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, few = langid.fit(docs), langid.fit(docs, per_language=50)
+    assert whole.languages == few.languages == ["de", "en"]
+    assert len(few.codes) < len(whole.codes)
+
+
+def test_spans_only_when_asked_for(spark, documents):
+    table, _ = documents
+    model = fit_documents(table)
+    rows = table.select("doc_id", "text")
+    short, full = identify(rows, model, with_spans=False), identify(rows, model)
+    assert "spans" not in short.columns and "spans" in full.columns
+    assert sorted(short.select("doc_id", "lang_pred", "score").collect()) == sorted(full.select("doc_id", "lang_pred", "score").collect())
