@@ -31,7 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     model = langid.fit_documents(docs)
     known = F.col("lang_pred") != langid.UNDETERMINED if model else F.col("text").rlike(r"\p{L}")
-    return _kept(docs, lambda rows: langid.identify(rows, model), known)
+    return _kept(docs, lambda rows: langid.identify(rows, model, with_spans=False), known)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
