@@ -31,19 +31,39 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text (null as empty) and the order of the rows: ``ord``, then ``tie``.
+#: Where the ties of null ids begin, so that no id that is a number can be taken for null.
+NULL_TIE = 1 << 60
+LAST = 2**63 - 1
+
+
+def with_ties(df: DataFrame) -> DataFrame:
+    """``df`` (doc_id, text and others) with the order of its rows: ``ord``, then ``tie``.
 
     ``ord`` is the id, a null one after all others. ``tie`` tells rows of the same id apart by the
-    SHA-256 of their text, and equal rows by a number; only where ids repeat are texts moved for it.
+    SHA-256 of their text (null as empty), and equal rows by a number; only where ids repeat are rows
+    moved for it, dealt by id and the first digits of the digest.
     """
-    body = texts(df, id_col, text_col).select(
-        F.coalesce("doc_id", F.lit(2**63 - 1)).alias("ord"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
-    )
+    body = df.withColumn("ord", F.coalesce("doc_id", F.lit(LAST)))
+    null = F.when(F.col("doc_id").isNull(), F.lit(NULL_TIE)).otherwise(F.lit(0)).cast("long")
     if body.groupBy("ord").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        return body.withColumn("tie", F.lit(0))
-    order = Window.partitionBy("ord").orderBy(F.sha2(F.col("text").cast("binary"), 256))
-    return body.withColumn("tie", F.row_number().over(order))
+        return body.withColumn("tie", null)
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    body = body.withColumn("tie_digest", digest)
+    part = F.conv(F.substring("tie_digest", 1, 4), 16, 10).cast("long")
+    number = F.row_number().over(Window.partitionBy("ord", part).orderBy("tie_digest"))
+    return body.withColumn("tie", null + F.shiftleft(part, 40) + number).drop("tie_digest")
+
+
+def id_of(ord_: str | Column, tie: str | Column) -> Column:
+    """The doc_id of a place: null for the ties of null ids."""
+    ord_, tie = (F.col(c) if isinstance(c, str) else c for c in (ord_, tie))
+    return F.when((ord_ != LAST) | (tie < NULL_TIE), ord_)
+
+
+def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """ord, doc_id, text (null as empty) and tie; see ``with_ties``."""
+    body = with_ties(texts(df, id_col, text_col))
+    return body.select("ord", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "tie")
 
 
 def annotated(

@@ -7,9 +7,8 @@ from fractions import Fraction
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from stationlake.llm.common import numbered, spans, written
+from stationlake.llm.common import id_of, numbered, spans, with_ties, written
 from stationlake.llm.hashing import words
 from stationlake.llm.setjoin import Sets, least_shared, similar, sorted_in_groups, units
 
@@ -64,7 +63,7 @@ def dedup_lines(
     removed if an earlier one (smaller doc_id, or earlier in the document) has a Jaccard similarity
     of ``threshold`` or more with it, whether that one stays or not. ``links`` counts the similar lines
     with different tokens, equal ones among them once. ``tie`` is 0 unless a doc_id repeats: it
-    numbers its rows, by the SHA-256 of the text. Null ids come last. Blank lines and null or empty
+    then orders its rows, by the SHA-256 of the text. Null ids come last, with ties from 2^60 on. Blank lines and null or empty
     texts have no rows; an empty table gives none; other columns are not looked at.
     """
     body = numbered(docs, id_col, text_col)
@@ -83,7 +82,7 @@ def _judged(body: DataFrame, threshold: float) -> DataFrame:
     place = F.struct("ord", "tie", "unit")
     judged = judged.select("label", F.col("first"), F.coalesce("links", F.lit(0)).alias("links"), F.least("first", "earliest").alias("least"))
     return found.join(judged, "label").select(
-        F.when(F.col("ord") != 2**63 - 1, F.col("ord")).alias("doc_id"),
+        id_of("ord", "tie").alias("doc_id"),
         "ord",
         "tie",
         F.col("unit").alias("line"),
@@ -93,6 +92,26 @@ def _judged(body: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """One row per input row: doc_id, tie, n_lines (with a token), n_links, n_removed, removed_lines.
+
+    See ``dedup_lines``; a text without such a line has zeros and an empty list.
+    """
+    judged = _judged(numbered(docs, id_col, text_col), threshold)
+    found = judged.groupBy("ord", "tie").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum("links").alias("n_links"),
+        F.count_if("removed").alias("n_removed"),
+        F.array_sort(F.collect_list(F.when(F.col("removed"), F.col("line")))).alias("removed_lines"),
+    )
+    rows = numbered(docs, id_col, text_col).select("ord", "doc_id", "tie")
+    counts = (F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_lines", "n_links", "n_removed"))
+    none = F.array().cast("array<bigint>")
+    return rows.join(found, ["ord", "tie"], "left").select(
+        "doc_id", "tie", *counts, F.coalesce("removed_lines", none).alias("removed_lines")
+    )
+
+
 def without_repeated_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8
 ) -> DataFrame:
@@ -100,15 +119,10 @@ def without_repeated_lines(
     row = F.struct(*(n for n in docs.columns if n != text_col)).alias("row")
     ids, body = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     whole = docs.select(row, ids.alias("doc_id"), body.alias("text"))
-    numbered_ = numbered(whole, "doc_id", "text")
-    gone = _judged(numbered_, threshold).where("removed").groupBy("ord", "tie").agg(F.collect_list("line").alias("gone"))
+    whole = with_ties(whole)
+    body = whole.select("ord", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "tie")
+    gone = _judged(body, threshold).where("removed").groupBy("ord", "tie").agg(F.collect_list("line").alias("gone"))
     gone = written(gone, "lines")
-    whole = whole.withColumn("ord", F.coalesce("doc_id", F.lit(2**63 - 1)))
-    if gone.where("tie > 0").isEmpty():
-        whole = whole.withColumn("tie", F.lit(0))
-    else:
-        order = Window.partitionBy("ord").orderBy(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-        whole = whole.withColumn("tie", F.row_number().over(order))
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), "gone")
     kept = F.transform(left, lambda k: F.element_at(lines, k.cast("int") + 1))

@@ -105,7 +105,7 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
                 )
 
     return docs.select("ord", "tie", "text").mapInArrow(
-        work, "route long, digest long, ord long, tie int, span long"
+        work, "route long, digest long, ord long, tie long, span long"
     )
 
 
@@ -153,7 +153,7 @@ def _classes(runs: DataFrame, parts: int, crowded: int) -> DataFrame:
             yield from several(pa.Table.from_batches(waiting).combine_chunks())
 
     dealt = runs.repartition(parts, "route").sortWithinPartitions("route", "digest", "ord", "tie", "span")
-    return dealt.mapInArrow(work, "route long, ord long, tie int, pos long, n long, kind int")
+    return dealt.mapInArrow(work, "route long, ord long, tie long, pos long, n long, kind int")
 
 
 def _bytes_of(needed: DataFrame, docs: DataFrame, length: int) -> DataFrame:
@@ -174,12 +174,12 @@ def _bytes_of(needed: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                     for _, first, n, route in zip(*segments(data, np.zeros(1, int), np.full(1, x["n"]), length, SECOND_ANCHOR)):
                         found.append((int(route), ord_, tie, x["pos"] + int(first), body[first : first + n + length - 1]))
             if found:
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*found), kinds)], ["route", "ord", "tie", "pos", "body"]
                 )
 
-    return joined.mapInArrow(work, "route long, ord long, tie int, pos long, body binary")
+    return joined.mapInArrow(work, "route long, ord long, tie long, pos long, body binary")
 
 
 def _shards(batches: Iterator[pa.RecordBatch], crowded: int) -> Iterator[tuple[pa.Table, bool]]:
@@ -277,7 +277,7 @@ def _shared(bodies: DataFrame, length: int, parts: int, crowded: int) -> DataFra
             )
 
     dealt = bodies.repartition(parts, "route").sortWithinPartitions("route", "ord", "tie", "pos")
-    return dealt.mapInArrow(work, "ord long, tie int, pos long, n long, route long, digest long")
+    return dealt.mapInArrow(work, "ord long, tie long, pos long, n long, route long, digest long")
 
 
 def _later(windows: DataFrame, parts: int) -> DataFrame:
@@ -298,7 +298,7 @@ def _later(windows: DataFrame, parts: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(old.column(k) for k in ("ord", "tie", "pos")), one], ["ord", "tie", "pos", "n"])
 
     dealt = windows.repartition(parts, "route", "digest").sortWithinPartitions("route", "digest", "ord", "tie", "pos")
-    return dealt.mapInArrow(work, "ord long, tie int, pos long, n long")
+    return dealt.mapInArrow(work, "ord long, tie long, pos long, n long")
 
 
 def _kept(docs: DataFrame, removed: DataFrame, length: int, content: bool) -> DataFrame:

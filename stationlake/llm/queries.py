@@ -81,63 +81,20 @@ def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), length=100, content=False)
 
 
-def _by_document(docs: DataFrame, found: DataFrame, *columns) -> DataFrame:
-    """One row for every doc_id of ``docs``, from rows that not every document has."""
-    rows = found.groupBy(F.col("doc_id").alias("id")).agg(*columns)
-    ids = docs.select("doc_id").distinct()
-    return ids.join(rows, F.col("doc_id").eqNullSafe(F.col("id")), "left").drop("id")
-
-
-def _count(column, name: str):
-    return F.coalesce(column, F.lit(0)).cast("long").alias(name)
-
-
 @_query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with words, similar different lines of those (links), and the lines that go."""
-    from stationlake.llm.linededup import dedup_lines
+    from stationlake.llm.linededup import line_report
 
-    docs = _table(spark, sf_dir, "documents")
-    found = _by_document(
-        docs,
-        dedup_lines(docs, threshold=0.8),
-        F.count("line").alias("lines"),
-        F.sum("links").alias("links"),
-        F.array_sort(F.collect_list(F.when(F.col("removed"), F.col("line")))).alias("removed"),
-    )
-    removed = F.coalesce("removed", F.array().cast("array<bigint>"))
-    return found.select(
-        "doc_id",
-        _count(F.col("lines"), "n_lines"),
-        _count(F.col("links"), "n_links"),
-        _count(F.size(removed), "n_removed"),
-        removed.alias("removed_lines"),
-    )
+    return line_report(_table(spark, sf_dir, "documents"), threshold=0.8)
 
 
 @_query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paragraphs with words, those that go, and the documents that hold the ones kept in their place."""
-    from stationlake.llm.paragraphs import dedup_paragraphs
+    """Runs of words of each text, the words that go, and the documents that hold the ones kept in their place."""
+    from stationlake.llm.paragraphs import passage_report
 
-    docs = _table(spark, sf_dir, "documents")
-    gone = F.col("removed")
-    found = _by_document(
-        docs,
-        dedup_paragraphs(docs, shingle=5, threshold=0.8),
-        F.count("paragraph").alias("paragraphs"),
-        F.array_sort(F.collect_list(F.when(gone, F.col("paragraph")))).alias("removed"),
-        F.array_sort(F.collect_set(F.when(gone, F.col("component.doc_id")))).alias("kept_in"),
-    )
-    none = F.array().cast("array<bigint>")
-    removed = F.coalesce("removed", none)
-    return found.select(
-        "doc_id",
-        _count(F.col("paragraphs"), "n_paragraphs"),
-        _count(F.size(removed), "n_removed"),
-        removed.alias("removed_paragraphs"),
-        F.coalesce("kept_in", none).alias("kept_in_doc_ids"),
-    )
+    return passage_report(_table(spark, sf_dir, "documents"), least=50, run=20, shingle=5, threshold=0.8)
 
 
 @_query

@@ -112,6 +112,13 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def _shared(key: np.ndarray) -> np.ndarray:
+    """The rows of keys that more than one row has; equal keys are together."""
+    start = starts_of_groups([key])
+    count = np.diff(np.append(start, len(key)))
+    return np.flatnonzero(np.repeat(count > 1, count))
+
+
 def sorted_in_groups(group: np.ndarray, *values: np.ndarray) -> np.ndarray:
     """The order by group and then by the values; groups are numbered in the order of the rows.
 
@@ -167,11 +174,11 @@ def units(body: DataFrame, tokens: Tokens, counters: int = 0) -> DataFrame:
         at = np.flatnonzero(total)
         zero = np.zeros(len(at), dtype=np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (at, zero.astype(np.int32) - 1, zero, total[at], zero)],
+            [pa.array(x) for x in (at, zero - 1, zero, total[at], zero)],
             ["ord", "tie", "unit", "size", "label"],
         )
 
-    return body.select("ord", "tie", "text").mapInArrow(work, "ord long, tie int, unit long, size long, label long")
+    return body.select("ord", "tie", "text").mapInArrow(work, "ord long, tie long, unit long, size long, label long")
 
 
 def entries(body: DataFrame, tokens: Tokens, keys: Callable[[Sets], tuple[np.ndarray, ...]]) -> DataFrame:
@@ -210,11 +217,14 @@ def candidates(found: DataFrame, t: Fraction, parts: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, ["key"], ENTRIES):
             columns = [table.column(k).to_numpy() for k in ("key", "label", "sizes")]
-            order = np.lexsort((columns[1], columns[2], columns[0]))  # by key and size
-            key, label, sizes = (c[order] for c in columns)
-            fresh = _changes(key, label)
-            key, label, sizes = key[fresh], label[fresh], sizes[fresh]
-            maps = Maps(table.column("map").combine_chunks(), order[fresh])
+            rows = _shared(columns[0])  # most keys are met once
+            rows = rows[np.lexsort([c[rows] for c in (columns[1], columns[2], columns[0])])]  # by key and size
+            rows = rows[_changes(columns[0][rows], columns[1][rows])]
+            rows = rows[_shared(columns[0][rows])]
+            if not len(rows):
+                continue
+            key, label, sizes = (c[rows] for c in columns)
+            maps = Maps(table.column("map").combine_chunks(), rows)
             start = starts_of_groups([key])
             count = np.diff(np.append(start, len(key)))
             a, b = _meeting(start, count, _Rows(sizes >> 32, sizes & 0xFFFFFFFF, maps, t))
@@ -307,7 +317,7 @@ def sets_of(linked: DataFrame, body: DataFrame, tokens: Tokens) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["component", "blocks", "label", "ord", "tie", "unit", "tokens"]
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for batch in slices(batches, STRETCH):
             sets = Sets(tokens, text_bytes(batch.column(3)))
             at = {(t, u): k for k, (t, u) in enumerate(zip(sets.text.tolist(), sets.unit.tolist()))}
@@ -321,7 +331,7 @@ def sets_of(linked: DataFrame, body: DataFrame, tokens: Tokens) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names)
 
     return joined.mapInArrow(
-        work, "component long, blocks int, label long, ord long, tie int, unit long, tokens binary"
+        work, "component long, blocks int, label long, ord long, tie long, unit long, tokens binary"
     )
 
 
@@ -347,7 +357,7 @@ def _with_ids(body: DataFrame, wanted: DataFrame) -> DataFrame:
             kept = (table[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
             yield batch.filter(pa.array(kept)).select([1, 2, 3])
 
-    return body.select(hashed, "ord", "tie", "text").mapInArrow(work, "ord long, tie int, text string")
+    return body.select(hashed, "ord", "tie", "text").mapInArrow(work, "ord long, tie long, text string")
 
 
 def similar(
@@ -387,7 +397,7 @@ def similar(
         "tokens",
     )
     dealt = dealt.repartition(parts, *group).sortWithinPartitions(*group)
-    schema = "a long, b long" if forest_only else "label long, links long, ord long, tie int, unit long"
+    schema = "a long, b long" if forest_only else "label long, links long, ord long, tie long, unit long"
     checked = dealt.mapInArrow(_checker(t, group, forest_only), schema)
     if not forest_only:
         place = F.struct("ord", "tie", "unit")

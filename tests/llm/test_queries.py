@@ -1,5 +1,5 @@
 import pytest
-from llm_helpers import brute_lines, brute_paragraphs
+from llm_helpers import brute_lines, brute_runs
 
 from stationlake import llm
 
@@ -32,20 +32,21 @@ def test_columns_of_the_contract(spark, sf_dir, name):
 
 def test_one_row_a_document(spark, sf_dir, documents):
     _, rows = documents
-    lines, paragraphs = {}, {}
+    lines, units = {}, {}
     for doc, line, links, removed in brute_lines(rows):
         lines.setdefault(doc, []).append((line, links, removed))
-    for doc, place, kept_in, _, removed in brute_paragraphs(rows):
-        paragraphs.setdefault(doc, []).append((place, kept_in, removed))
+    for doc, place, kept_in, _, removed in brute_runs(rows):
+        units.setdefault(doc, []).append((place, kept_in, removed))
     by_line = {r.doc_id: r for r in llm.all_queries()["op7_line_dedup"](spark, sf_dir).collect()}
-    by_paragraph = {r.doc_id: r for r in llm.all_queries()["op8_substring_dedup"](spark, sf_dir).collect()}
-    assert set(by_line) == set(by_paragraph) == {doc for doc, _ in rows}
+    by_run = {r.doc_id: r for r in llm.all_queries()["op8_substring_dedup"](spark, sf_dir).collect()}
+    assert set(by_line) == set(by_run) == {doc for doc, _ in rows}
     for doc, r in by_line.items():
         own = lines.get(doc, [])
         assert (r.n_lines, r.n_links) == (len(own), sum(x[1] for x in own))
         assert r.removed_lines == sorted(x[0] for x in own if x[2]) and r.n_removed == len(r.removed_lines)
-    for doc, r in by_paragraph.items():
-        own = paragraphs.get(doc, [])
-        assert r.n_paragraphs == len(own) and r.n_removed == len(r.removed_paragraphs)
-        assert r.removed_paragraphs == sorted(x[0] for x in own if x[2])
+    for doc, r in by_run.items():
+        own = units.get(doc, [])
+        gone = sorted({w for p, _, removed in own if removed for w in range(p, p + 20)})
+        assert r.n_units == len(own) and r.n_removed == len(gone)
+        assert [w for s in r.removed_spans for w in range(s["first"], s["last"] + 1)] == gone
         assert r.kept_in_doc_ids == sorted({x[1] for x in own if x[2]})

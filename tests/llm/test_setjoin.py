@@ -2,23 +2,16 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from llm_helpers import brute_lines, brute_paragraphs, split
+from llm_helpers import brute_lines, split
 
 from stationlake.llm.hashing import words
 from stationlake.llm.linededup import dedup_lines, without_repeated_lines
-from stationlake.llm.paragraphs import dedup_paragraphs, shingles
 from stationlake.llm.setjoin import sorted_in_groups
 
 def lines_of(df):
     return sorted(((r.doc_id, r.line, r.links, r.removed) for r in df.collect()), key=str)
 
 
-def paragraphs_of(df):
-    return sorted(
-        ((r.doc_id, r.paragraph, r.component.doc_id, r.component.paragraph, r.removed) for r in df.collect()), key=str
-    )
-
-
 def near_copies(seed, n):
     random = np.random.default_rng(seed)
     vocabulary = [f"w{k}" for k in range(40)] + ["the", "Of", "and"]
@@ -57,38 +50,27 @@ def test_sorted_in_groups(rows, close):
     assert list(zip(group[order].tolist(), rank[order].tolist(), token[order].tolist())) == want
 
 
-def test_shingles_of_short_and_long_lines():
-    code, text, line = shingles(5)([b"a b c\n1 2 3 4 5 6\n\nz", b"A b c"])
-    assert line.tolist() == [0, 1, 1, 3, 0] and text.tolist() == [0, 0, 0, 0, 1]
-    assert code[0] == code[4] and len(set(code.tolist())) == 4
-
-
 def test_lines_against_brute_force(frame):
     rows = near_copies(1, 150)
     assert lines_of(dedup_lines(frame(rows))) == brute_lines(rows)
 
 
-def test_paragraphs_against_brute_force(frame):
-    rows = near_copies(2, 120)
-    assert paragraphs_of(dedup_paragraphs(frame(rows))) == brute_paragraphs(rows)
-
-
 def test_given_documents(documents):
     table, rows = documents
     assert lines_of(dedup_lines(table)) == brute_lines(rows)
 
 
-def test_given_paragraphs(documents):
-    table, rows = documents
-    assert paragraphs_of(dedup_paragraphs(table)) == brute_paragraphs(rows)
-
-
 def test_odd_rows(odd, frame):
     table, rows = odd
     assert lines_of(dedup_lines(table)) == brute_lines(rows)
-    assert paragraphs_of(dedup_paragraphs(table)) == brute_paragraphs(rows)
     assert dedup_lines(frame([])).count() == 0
-    assert dedup_paragraphs(frame([])).count() == 0
+
+
+def test_the_greatest_id_is_not_null(frame):
+    rows = [(2**63 - 1, "a b c d e\nx y z"), (None, "a b c d e"), (None, "a b c d e"), (5, "x y z")]
+    assert lines_of(dedup_lines(frame(rows))) == brute_lines(rows)
+    got = sorted((str(r.doc_id), r.text) for r in without_repeated_lines(frame(rows)).collect())
+    assert got == [("5", "x y z"), ("9223372036854775807", "a b c d e"), ("None", ""), ("None", "")]
 
 
 def test_texts_without_repeated_lines(frame):
@@ -101,4 +83,3 @@ def test_a_crowd_of_near_copies(frame):
     base = [f"word{k}" for k in range(30)]
     rows = [(k, " ".join([*base[: k % 30], f"new{k}", *base[k % 30 + 1 :]])) for k in range(200)]
     assert lines_of(dedup_lines(frame(rows))) == brute_lines(rows)
-    assert paragraphs_of(dedup_paragraphs(frame(rows))) == brute_paragraphs(rows)
