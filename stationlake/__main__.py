@@ -49,7 +49,7 @@ def main(arguments: list[str] | None = None) -> dict | None:
             print("nothing changed")
             return None
     outcome = run.run(spark, lake, not given.lenient, years, given.landed_at)
-    summary = {k: outcome[k] for k in ("bronze", "silver", "versions")}
+    summary = {k: outcome[k] for k in ("bronze", "silver", "published")}
     print(json.dumps(summary))
     return summary
 

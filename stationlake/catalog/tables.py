@@ -151,6 +151,26 @@ def serving_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_lake_times(rows).select("recorded_at", "site_name", "pollutant_value")
 
 
+@registered(
+    "serving_lookup",
+    f"""WITH {_HOURLY_SQL}
+SELECT recorded_at, site_name, pollutant, pollutant_value FROM hourly
+WHERE site_name = 'site-2' AND recorded_at IN (
+    SELECT date_trunc('hour', ts) FROM events WHERE user_id % 4 = 2 ORDER BY ts, event_id LIMIT 1)""",
+)
+def serving_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One site at one hour, whatever its partition: Bloom filters of both columns tell files that hold
+    neither, page and row group statistics do the rest."""
+    path = scratch_dir(spark, "lookup")
+    _publish_hourly(_hourly_gold(spark, sf_dir, raised=False), path)
+    events = table(spark, sf_dir, "events").where("user_id % 4 = 2")
+    hour = events.orderBy("ts", "event_id").select(hour_floor(F.col("ts")).cast("timestamp").alias("hour")).first().hour
+    rows = serving.read_table(spark, path, schemas.HOURLY_COLUMNS).where(
+        (F.col("site_name") == "site-2") & (F.col("recorded_at") == F.lit(hour))
+    )
+    return _as_lake_times(rows).select("recorded_at", "site_name", "pollutant", "pollutant_value")
+
+
 @registered(
     "export_csv_null",
     f"""WITH {adapters.READINGS_SQL}

@@ -27,7 +27,3 @@ class QualityGateFailed(StationLakeError):
 
 class BadRequestedYears(StationLakeError, ValueError):
     """The list of requested years is not acceptable."""
-
-
-class StalePublish(StationLakeError):
-    """Another publish was committed since this one read the table; nothing of this one is visible."""

@@ -35,13 +35,16 @@ def replace_partitions(
     counts: dict[str, Column] | None = None,
     whole_table: bool = False,
     scope: Callable[[dict[str, str]], bool] | None = None,
+    lookups: Sequence[str] = (),
 ) -> dict[str, object]:
     """Write Parquet and replace only the partitions that occur in ``df``, or the ``whole_table``.
 
     ``scope`` says of the values of a partition's folder whether ``df`` stands for it too: a partition
     in scope that got no rows is removed after the write. If the driver is lost in between, the next
     run of the same scope removes it. ``counts`` are aggregates taken from the rows on their way out,
-    so nothing is read back. With ``order`` the files are written by ``balanced_files``.
+    so nothing is read back. With ``order`` the files are written by ``balanced_files``. ``lookups`` are
+    columns that readers ask for single values of: they get Bloom filters, beside the statistics of
+    pages and row groups that Parquet keeps of every column.
     """
     if order:
         df = balanced_files(df, partition_by, order)
@@ -52,6 +55,7 @@ def replace_partitions(
     df = df.observe(observed, F.collect_set(folder).alias("__folders"), *metrics)
     (
         df.write.mode("overwrite")
+        .options(**bloom_filters(lookups))
         .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -65,6 +69,13 @@ def replace_partitions(
     return found
 
 
+def bloom_filters(columns: Sequence[str]) -> dict[str, str]:
+    """Write options: a Bloom filter for each column, as large as its distinct values ask for. A column
+    chunk of few values has none: it is kept as a dictionary, which answers the same question."""
+    enabled = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return enabled | ({"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {})
+
+
 def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
     """The partition folders below ``path``, as ``a=1/b=2``."""
     names = [n for n in list_names(spark, path) if "=" in n]

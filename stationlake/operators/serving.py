@@ -1,27 +1,17 @@
-"""Keyed serving tables on plain Parquet folders.
-
-A table is a folder with ``data/<publish>/<partitions>`` and ``commits/<version>.json``. The newest
-commit names, for every partition of the table, the publish whose files are current. A publish writes
-only the partitions it touches, to a folder of its own, and becomes visible with its commit, a file
-that must not exist before: of two publishers that saw the same version the second fails, and what it
-wrote is never read. Where a table format with MERGE is available, it can replace this module behind
-the same functions.
-"""
+"""Keyed serving tables: partitioned Parquet folders, kept current by an upsert of touched partitions."""
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stationlake.errors import StalePublish
 from stationlake.operators.keys import check_summary, key_summary
-from stationlake.operators.layout import as_table, balanced_files
-from stationlake.session import create_file, delete_folder, list_names
-
-COMMIT_SCHEMA = "partition string, data string"
+from stationlake.operators.layout import as_table, replace_partitions
+from stationlake.session import path_exists, stored
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,39 +23,12 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFr
     return target.join(changes.select(*keys), list(keys), "left_anti").unionByName(changes)
 
 
-def latest_version(spark: SparkSession, path: str) -> int:
-    """0 for a new table. Only names are listed."""
-    names = list_names(spark, f"{path}/commits")
-    return max((int(n.removesuffix(".json")) for n in names if n.endswith(".json")), default=0)
-
-
-def current_partitions(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
-    """(latest version, partition folder -> publish that wrote it); (0, {}) for a new table."""
-    latest = latest_version(spark, path)
-    return latest, _partitions(spark, path, latest)
-
-
-def _partitions(spark: SparkSession, path: str, version: int) -> dict[str, str]:
-    if not version:
-        return {}
-    rows = spark.read.schema(COMMIT_SCHEMA).json(f"{path}/commits/{version:08}.json").collect()
-    return {r["partition"]: r["data"] for r in rows}  # one row per table partition
-
-
-def _read(
-    spark: SparkSession, path: str, columns: dict[str, str], folders: dict[str, str]
-) -> DataFrame:
-    schema = ", ".join(f"{n} {t}" for n, t in columns.items())
-    if not folders:
-        return spark.createDataFrame([], schema)
-    paths = [f"{path}/data/publish={v}/{folder}" for folder, v in sorted(folders.items())]
-    files = spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*paths)
-    return files.select(*columns)
-
-
 def read_table(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """The table as of its latest commit."""
-    return _read(spark, path, columns, current_partitions(spark, path)[1])
+    """The table at ``path``, without rows as long as nothing was published."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in columns.items())
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*columns)
 
 
 def publish(
@@ -75,10 +38,13 @@ def publish(
     keys: Sequence[str],
     partition_by: Sequence[str],
     order: Sequence[str],
+    lookups: Sequence[str] = (),
 ) -> int:
-    """Upsert ``changes`` into the table at ``path`` and return the new version.
+    """Upsert ``changes`` into the table at ``path``; the number of partitions touched.
 
-    ``partition_by`` must be determined by ``keys``. Repeating a publish leaves the same rows.
+    ``partition_by`` must be determined by ``keys``. The touched partitions are merged in the shared
+    folder first and then replaced by Spark's dynamic partition overwrite. Repeating a publish leaves
+    the same rows, so one that was stopped is simply run again; a table has one publisher at a time.
     """
     spark = changes.sparkSession
     changes = as_table(changes, columns)
@@ -86,35 +52,9 @@ def publish(
     parts = key_summary(changes, keys, by=partition_by).collect()
     for part in parts:
         check_summary(part, keys)
-    touched = ["/".join(f"{c}={part[c]}" for c in partition_by) for part in parts]
-    latest, folders = current_partitions(spark, path)
-    name = uuid.uuid4().hex
-    affected = {f: v for f, v in folders.items() if f in set(touched)}
-    merged = upsert(_read(spark, path, columns, affected), changes, keys)
-    within = [*order, *[k for k in keys if k not in order]]
-    (
-        balanced_files(merged, partition_by, within)
-        .write.partitionBy(*partition_by)
-        .parquet(f"{path}/data/publish={name}")
-    )
-    listing = {**folders, **dict.fromkeys(touched, name)}
-    lines = [json.dumps({"partition": f, "data": v}) for f, v in sorted(listing.items())]
-    version = latest + 1
-    if not create_file(spark, f"{path}/commits/{version:08}.json", "\n".join(lines)):
-        raise StalePublish(f"{path}: version {version} was published meanwhile; publish again")
-    return version
-
-
-def remove_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete commits before the last ``keep`` and the data no kept commit names; the folders deleted.
-
-    Run it when no reader uses an older version and no publish is under way.
-    """
-    latest = latest_version(spark, path)
-    kept = range(max(1, latest - keep + 1), latest + 1)
-    named = {f"publish={v}" for version in kept for v in _partitions(spark, path, version).values()}
-    old = [f"{path}/data/{n}" for n in list_names(spark, f"{path}/data") if n not in named and n.startswith("publish=")]
-    old += [f"{path}/commits/{n}" for n in list_names(spark, f"{path}/commits") if n < f"{kept.start:08}.json"]
-    for folder in old:
-        delete_folder(spark, folder)
-    return old
+    if parts:
+        touched = reduce(or_, [reduce(and_, [F.col(c) == part[c] for c in partition_by]) for part in parts])
+        merged = stored(upsert(read_table(spark, path, columns).where(touched), changes, keys), "merged")
+        within = [*order, *[k for k in keys if k not in order]]
+        replace_partitions(merged, path, partition_by, within, lookups=lookups)
+    return len(parts)

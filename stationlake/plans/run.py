@@ -272,12 +272,13 @@ def build_silver(
 @dataclass(frozen=True)
 class Table:
     """A gold table and the serving table published from it. ``order`` is the sort inside a serving
-    partition: the columns readers filter on."""
+    partition: the columns readers filter on. ``lookups`` have Bloom filters for single values."""
 
     columns: dict[str, str]
     key: tuple[str, ...]
     partition_by: tuple[str, ...]
     order: tuple[str, ...]
+    lookups: tuple[str, ...] = ()
 
 
 TABLES = {
@@ -286,6 +287,7 @@ TABLES = {
         schemas.DAILY_READINGS_KEY,
         schemas.DAILY_PARTITIONS,
         ("pollutant", "reading_date"),
+        ("site_name",),
     ),
     "daily_weather": Table(
         schemas.DAILY_WEATHER_COLUMNS,
@@ -298,6 +300,7 @@ TABLES = {
         schemas.HOURLY_KEY,
         schemas.HOURLY_PARTITIONS,
         ("pollutant", "recorded_at"),
+        ("site_name", "recorded_at"),
     ),
 }
 
@@ -377,8 +380,8 @@ def quality_suites(gold: dict[str, DataFrame], silver_rows: int) -> list[expect.
 def publish_gold(
     gold: dict[str, DataFrame], lake: Lake, years: Sequence[int] | None = None
 ) -> dict[str, int]:
-    """Upsert the gold tables, or their months touched by ``years``, into the serving tables; one
-    commit per table."""
+    """Upsert the gold tables, or their months touched by ``years``, into the serving tables;
+    the partitions touched of each."""
 
     def publish(name: str, table: Table) -> int:
         changes = gold[name]
@@ -388,13 +391,13 @@ def publish_gold(
         return publish_table(changes, lake.path("serving", name), table)
 
     spark = next(iter(gold.values())).sparkSession
-    versions = _together(spark, *[partial(publish, n, table) for n, table in TABLES.items()])
-    return dict(zip(TABLES, versions))
+    touched = _together(spark, *[partial(publish, n, table) for n, table in TABLES.items()])
+    return dict(zip(TABLES, touched))
 
 
 def publish_table(changes: DataFrame, path: str, table: Table) -> int:
     return serving.publish(
-        changes, path, table.columns, table.key, table.partition_by, table.order
+        changes, path, table.columns, table.key, table.partition_by, table.order, table.lookups
     )
 
 
@@ -427,7 +430,7 @@ def run(
     silver = build_silver(spark, lake, strict, refreshed)
     gold = build_gold(spark, lake, refreshed)
     verdicts = judge(spark, lake)
-    versions = publish_gold(gold, lake, refreshed)
+    published = publish_gold(gold, lake, refreshed)
     for table, written in (("readings", readings_written), ("weather", weather_written)):
         if written is not NOT_BEGUN:  # else a report that is there is of another, unfinished run
             accept_delivery(spark, lake, table, landed_at)
@@ -435,7 +438,7 @@ def run(
         "bronze": {"readings": readings_written, "weather": weather_written},
         "silver": silver,
         "verdicts": verdicts,
-        "versions": versions,
+        "published": published,
     }
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_SETTING = "spark.checkpoint.dir"
@@ -80,32 +79,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(location))
 
 
-def create_file(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a small file; False, and nothing changed, if it is there already."""
-    files, location = _located(spark, path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    if files.exists(location):
-        return False
-    # Written aside and linked by a rename, which does not replace a file: no reader sees half of it.
-    aside = hadoop_path(location.getParent(), f".{uuid.uuid4().hex}")
-    stream = files.create(aside, False)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    context = hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
-    no_options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
-    try:
-        context.rename(files.makeQualified(aside), files.makeQualified(location), no_options)
-    except Py4JJavaError:
-        files.delete(aside, False)
-        if not files.exists(location):
-            raise
-        return False
-    return True
-
-
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a file, or a folder with all in it."""
     files, location = _located(spark, path)

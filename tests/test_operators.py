@@ -1,6 +1,7 @@
 """Reshaping, metrics, joins, keys, expectations, profiles, and serving tables."""
 
 import datetime as dt
+import pathlib
 from collections import defaultdict
 
 import pytest
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stationlake import schemas
-from stationlake.errors import KeyViolation, MissingColumnError, QualityGateFailed, StalePublish
+from stationlake.errors import KeyViolation, MissingColumnError, QualityGateFailed
 from stationlake.functions import clock
 from stationlake.operators import daily, enrich, expect, keys, layout, profile, serving
 from stationlake.operators.reshape import unpivot_measures
@@ -273,18 +274,22 @@ def content(spark, path):
     return {(r.day.month, r.day.day, r.site): r.value for r in serving.read_table(spark, path, COLUMNS).collect()}
 
 
+def files_of(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in pathlib.Path(path).rglob("*.parquet")}
+
+
 def test_publish(spark, tmp_path):
     path = str(tmp_path / "table")
     assert content(spark, path) == {}
-    assert publish(rows(spark, (1, 1, "a", 1.0), (1, 2, "a", 2.0), (2, 1, "a", 3.0)), path) == 1
+    assert publish(rows(spark), path) == 0 and content(spark, path) == {}
+    assert publish(rows(spark, (1, 1, "a", 1.0), (1, 2, "a", 2.0), (2, 1, "a", 3.0)), path) == 2
     first = content(spark, path)
     assert first == {(1, 1, "a"): 1.0, (1, 2, "a"): 2.0, (2, 1, "a"): 3.0}
+    february = {name: at for name, at in files_of(path).items() if "month=2" in name}
     # an update may set NULL, other keys stay, nothing is deleted, February is not rewritten
-    assert publish(rows(spark, (1, 2, "a", None), (1, 3, "b", 9.0)), path) == 2
+    assert publish(rows(spark, (1, 2, "a", None), (1, 3, "b", 9.0)), path) == 1
     assert content(spark, path) == {**first, (1, 2, "a"): None, (1, 3, "b"): 9.0}
-    latest, folders = serving.current_partitions(spark, path)
-    assert latest == 2 and sorted(folders) == ["year=2024/month=1", "year=2024/month=2"]
-    assert len(set(folders.values())) == 2
+    assert february and february.items() <= files_of(path).items()
     before = content(spark, path)
     publish(rows(spark, (1, 2, "a", None), (1, 3, "b", 9.0)), path)
     assert content(spark, path) == before
@@ -299,30 +304,58 @@ def test_publish_refuses_a_broken_key_and_changes_nothing(spark, tmp_path):
     assert content(spark, path) == {(1, 1, "a"): 1.0}
 
 
-def test_an_unfinished_publish_is_not_visible(spark, tmp_path):
+def test_a_publish_that_stopped_is_run_again(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "table")
-    publish(rows(spark, (1, 1, "a", 1.0)), path)
-    # files of a publish without commit, as a lost driver leaves them
-    rows(spark, (1, 1, "a", 7.0), (1, 9, "z", 7.0)).write.partitionBy("year", "month").parquet(f"{path}/data/publish=x")
-    assert content(spark, path) == {(1, 1, "a"): 1.0}
-    assert publish(rows(spark, (1, 2, "a", 2.0)), path) == 2
-    assert content(spark, path) == {(1, 1, "a"): 1.0, (1, 2, "a"): 2.0}
+    publish(rows(spark, (1, 1, "a", 1.0), (2, 1, "a", 2.0)), path)
+    changes = rows(spark, (1, 1, "a", 5.0), (2, 2, "b", 6.0))
+
+    def half(merged, path, *rest, **named):
+        layout.replace_partitions(merged.where("month = 1"), path, *rest, **named)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(serving, "replace_partitions", half)
+        with pytest.raises(RuntimeError):
+            publish(changes, path)
+    publish(changes, path)
+    assert content(spark, path) == {(1, 1, "a"): 5.0, (2, 1, "a"): 2.0, (2, 2, "b"): 6.0}
 
 
-def test_a_stale_publisher_fails_and_changes_nothing(spark, tmp_path, monkeypatch):
+def test_lookups_skip_row_groups(spark, tmp_path):
+    """The filter is in the file, and a look-up reads fewer rows than the file holds."""
     path = str(tmp_path / "table")
-    publish(rows(spark, (1, 1, "a", 1.0)), path)
-    seen = serving.current_partitions(spark, path)
-    publish(rows(spark, (1, 2, "a", 2.0)), path)
-    monkeypatch.setattr(serving, "current_partitions", lambda *_: seen)
-    with pytest.raises(StalePublish):
-        publish(rows(spark, (1, 1, "a", 9.0)), path)
-    monkeypatch.undo()
-    assert content(spark, path) == {(1, 1, "a"): 1.0, (1, 2, "a"): 2.0}
-    assert publish(rows(spark, (1, 1, "a", 9.0)), path) == 3
-    before = content(spark, path)
-    assert len(serving.remove_old_versions(spark, path, keep=1)) >= 3  # two commits, unused data
-    assert content(spark, path) == before and serving.remove_old_versions(spark, path, keep=1) == []
+    columns = {"day": "date", "site": "string", "value": "double", "year": "int"}
+    some = spark.range(40_000).selectExpr(
+        "date_add(date'2024-01-01', cast(id % 366 as int)) AS day", "concat('s', hash(id) % 1000000 * 2) AS site", "id / 2 AS value", "2024 AS year"
+    )
+    spark.sparkContext._jsc.hadoopConfiguration().setInt("parquet.block.size", 20_000)
+    try:
+        serving.publish(some.coalesce(1), path, columns, ("day", "site"), ("year",), ("day",), ("site",))
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    (file,) = pathlib.Path(path).rglob("*.parquet")
+    jvm = spark._jvm
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+        jvm.org.apache.hadoop.fs.Path(str(file)), spark._jsc.hadoopConfiguration()
+    )
+    footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    blocks = footer.getFooter().getBlocks()
+    chunks = {c.getPath().toDotString(): c for c in blocks.get(0).getColumns()}
+    assert blocks.size() > 3
+    assert chunks["site"].getBloomFilterOffset() > 0 and chunks["value"].getBloomFilterOffset() < 0
+    assert chunks["day"].getColumnIndexReference() is not None
+    footer.close()
+
+    def scanned(condition):
+        found = serving.read_table(spark, path, columns).where(condition)
+        rows = found.collect()
+        leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return len(rows), leaf.metrics().apply("numOutputRows").value()
+
+    assert scanned("site = 's3'") == (0, 0)  # between the least and greatest site, but in no filter
+    # (columns of few values are kept as a dictionary, which Parquet asks in place of a filter)
+    found, read = scanned("day = date'2024-03-01'")
+    assert found > 100 and read < 20_000
 
 
 change = st.tuples(st.integers(1, 6), st.sampled_from("ab"), st.one_of(st.none(), st.integers(0, 9)))
