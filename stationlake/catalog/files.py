@@ -13,6 +13,7 @@ from stationlake.functions.cells import to_number
 from stationlake.functions.clock import hour_floor
 from stationlake.plans import layers, run
 from stationlake.plans.inspect import EXPECTED_COLUMNS, column_status
+from stationlake.plans.views import register_views
 from stationlake.session import scratch_dir, stored
 from stationlake.sources import checks, files, station_csv, weather_json
 from stationlake.sources.lines import file_lines
@@ -435,3 +436,98 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     run.run(spark, lake)
     return rounded(run.served(spark, lake, "daily_readings"), "avg_value")
+
+
+def _built_lake(spark: SparkSession, sf_dir: str) -> run.Lake:
+    """A lake run once per session, for queries that only look at its tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        stations, weather = adapters.raw_zone(spark, sf_dir)
+        lake = run.Lake(stations, weather, scratch_dir(spark, "lake"), readings_pattern=_PATTERN)
+        run.run(spark, lake)
+        _LAKES[key] = lake
+    return _LAKES[key]
+
+
+_LAKES: dict[tuple[str, str], run.Lake] = {}
+
+_SILVER_SQL = f"""{adapters.STATION_SQL},
+delivered AS ({_PIVOT_BACK}),
+silver AS (
+    SELECT hour + INTERVAL 1 HOUR AS recorded_at, site AS site_name, pollutant, year(hour)::INTEGER AS source_year,
+           CASE WHEN EXTRACT(HOUR FROM hour) IN (5, 9, 13) THEN NULL ELSE delivered END AS value
+    FROM delivered WHERE EXTRACT(HOUR FROM hour) <> 17)"""
+
+
+@registered(
+    "medallion_hourly",
+    f"""WITH {_SILVER_SQL}, {_CALENDAR_SQL}
+SELECT s.recorded_at, s.recorded_at::DATE AS reading_date, site_name, pollutant, value AS pollutant_value,
+       'ugm-3' AS pollutant_unit, CASE WHEN c.hour IS NOT NULL THEN 'Main city' END AS city,
+       CASE WHEN c.hour IS NOT NULL THEN coalesce(highest, 0) / 20 END AS temperature_2m,
+       CASE WHEN c.hour IS NOT NULL THEN coalesce(n, 0)::DOUBLE END AS precipitation,
+       year(s.recorded_at)::INTEGER AS year, month(s.recorded_at)::INTEGER AS month
+FROM silver s LEFT JOIN calendar c ON c.hour = s.recorded_at LEFT JOIN hours h ON h.hour = c.hour""",
+)
+def medallion_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published hourly table of the whole flow."""
+    rows = run.served(spark, _built_lake(spark, sf_dir), "hourly_environment")
+    rows = rows.withColumn("recorded_at", F.col("recorded_at").cast("timestamp_ntz"))
+    return rows.drop("relative_humidity_2m", "pressure_msl", "wind_speed_10m")
+
+
+@registered(
+    "medallion_weather",
+    f"""WITH {_CALENDAR_SQL},
+filled AS (
+    SELECT calendar.hour, coalesce(highest, 0) / 20 AS warmth, coalesce(n, 0)::DOUBLE AS rain
+    FROM calendar LEFT JOIN hours ON hours.hour = calendar.hour)
+SELECT hour::DATE AS reading_date, 'Main city' AS city, round(sum(warmth), 5) AS warmth,
+       min(warmth) AS min_temperature_2m, max(warmth) AS max_temperature_2m, sum(rain) AS total_precipitation,
+       count(*)::INTEGER AS expected_readings, year(hour::DATE)::INTEGER AS year
+FROM filled GROUP BY hour::DATE""",
+)
+def medallion_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published daily weather of the whole flow."""
+    rows = run.served(spark, _built_lake(spark, sf_dir), "daily_weather")
+    return rows.select(
+        "reading_date",
+        "city",
+        F.round(F.col("avg_temperature_2m") * F.col("expected_readings"), 5).alias("warmth"),
+        "min_temperature_2m",
+        "max_temperature_2m",
+        "total_precipitation",
+        "expected_readings",
+        "year",
+    )
+
+
+@registered(
+    "lake_sql",
+    f"""WITH {_SILVER_SQL}, {_CALENDAR_SQL}
+SELECT pollutant, count(*) AS silver_rows, count(value) AS valid_rows, count(c.hour) AS with_weather,
+       (SELECT count(*) FROM station_hours WHERE EXTRACT(HOUR FROM hour) = 17) AS malformed_lines
+FROM silver s LEFT JOIN calendar c ON c.hour = s.recorded_at GROUP BY pollutant""",
+)
+def lake_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question in SQL over the views of a lake, across layers."""
+    register_views(spark, _built_lake(spark, sf_dir))
+    return spark.sql("""
+        WITH silver AS (
+            SELECT pollutant, count(*) AS silver_rows, count(value) AS valid_rows FROM silver_readings GROUP BY pollutant),
+        hourly AS (
+            SELECT pollutant, count(city) AS with_weather FROM serving_hourly_environment GROUP BY pollutant)
+        SELECT pollutant, silver_rows, valid_rows, with_weather, malformed_lines
+        FROM silver JOIN hourly USING (pollutant) CROSS JOIN (SELECT count(*) AS malformed_lines FROM bronze_malformed)
+    """)
+
+
+@registered(
+    "written_counts",
+    f"""WITH {_SILVER_SQL}
+SELECT source_year, count(*) AS dated_rows FROM silver GROUP BY source_year""",
+)
+def written_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the silver write counted by file year and the gate relies on; no layer is read for it."""
+    lake = _built_lake(spark, sf_dir)
+    return spark.read.schema("dated_rows long, source_year int").parquet(lake.path("counts", "readings"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationlake.session import delete_folder, list_names
@@ -76,6 +76,17 @@ def bloom_filters(columns: Sequence[str]) -> dict[str, str]:
     return enabled | ({"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {})
 
 
+def file_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """One row per Parquet file that ``df`` reads: file, rows, lowest, highest (structs of ``order``) and
+    ``follows``: whether its rows come after those of the file before it."""
+    key = F.struct(*order)
+    ranges = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(key).alias("lowest"), F.max(key).alias("highest")
+    )
+    before = F.lag("highest").over(Window.orderBy("lowest", "highest"))  # one row a file
+    return ranges.withColumn("follows", F.coalesce(before < F.col("lowest"), F.lit(True)))
+
+
 def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
     """The partition folders below ``path``, as ``a=1/b=2``."""
     names = [n for n in list_names(spark, path) if "=" in n]

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
@@ -247,6 +247,9 @@ def build_silver(
     if years is not None:
         bronze = bronze.where(F.col("source_year").isin(*years))
         weather = weather.where(F.col("source_year").isin(*years))
+    file_years = sorted({_year({"source_year": y}) for y in _bronze_years(spark, lake)} - {None})
+    if years is not None:
+        file_years = [y for y in file_years if y in years]
     readings_counts, weather_counts = _together(
         spark,
         partial(
@@ -254,7 +257,7 @@ def build_silver(
             layers.silver_readings(bronze, strict=strict),
             lake.path("silver", "readings"),
             ["source_year"],
-            counts={"rows": F.count(F.lit(1)), "valid": F.count("value")},
+            counts={"rows": F.count(F.lit(1)), "valid": F.count("value"), **_by_year(file_years)},
             scope=_in_years(years),
         ),
         partial(
@@ -266,9 +269,32 @@ def build_silver(
             scope=_in_years(years),
         ),
     )
+    dated = {y: readings_counts.pop(f"dated_{y}") for y in file_years}
+    carried = spark.createDataFrame(list(dated.items()), "source_year int, dated_rows long")
+    layout.replace_partitions(
+        carried, lake.path("counts", "readings"), ["source_year"], whole_table=years is None, scope=_in_years(years)
+    )
     return {"readings": readings_counts, "weather": weather_counts}
 
 
+def _bronze_years(spark: SparkSession, lake: Lake) -> set[str]:
+    """The file years of the bronze readings, by the names of their folders."""
+    folders = layout.partition_folders(spark, lake.path("bronze", "readings"), 2)
+    return {f.split("source_year=")[1] for f in folders if f.startswith("kind=data/")}
+
+
+def _by_year(file_years: Sequence[int]) -> dict[str, Column]:
+    """Rows with a timestamp of each file year, to be counted while they are written."""
+    dated = F.col("recorded_at").isNotNull()
+    return {f"dated_{y}": F.count_if(dated & (F.col("source_year") == y)) for y in file_years}
+
+
+def silver_rows(spark: SparkSession, lake: Lake) -> int:
+    """Silver readings with a timestamp, as counted by the writes of their years."""
+    counts = spark.read.schema("dated_rows long, source_year int").parquet(lake.path("counts", "readings"))
+    return counts.agg(F.sum("dated_rows")).first()[0] or 0
+
+
 @dataclass(frozen=True)
 class Table:
     """A gold table and the serving table published from it. ``order`` is the sort inside a serving
@@ -450,10 +476,8 @@ def _require_years(spark: SparkSession, lake: Lake, years: Sequence[int]) -> Non
 
 
 def judge(spark: SparkSession, lake: Lake) -> list[dict]:
-    """The gate over the whole gold tables."""
+    """The gate over the whole gold tables, against the counts that the silver writes took."""
     _require(spark, lake, "gold", *TABLES)
-    _require(spark, lake, "silver", "readings")
+    _require(spark, lake, "counts", "readings")
     gold = {name: spark.read.parquet(lake.path("gold", name)) for name in TABLES}
-    readings = spark.read.parquet(lake.path("silver", "readings"))
-    source_rows = readings.where(F.col("recorded_at").isNotNull()).count()
-    return expect.gate(quality_suites(gold, source_rows))
+    return expect.gate(quality_suites(gold, silver_rows(spark, lake)))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stationlake import schemas
 from stationlake.errors import KeyViolation, MissingColumnError, QualityGateFailed
 from stationlake.functions import clock
-from stationlake.operators import daily, enrich, expect, keys, layout, profile, serving
+from stationlake.operators import colocated, daily, enrich, expect, keys, layout, profile, serving
 from stationlake.operators.reshape import unpivot_measures
 from stationlake.plans import layers
 
@@ -456,3 +456,36 @@ def test_each_date_pattern_stands_once_in_the_silver_plan(spark):
     plan = layers.silver_readings(bronze)._jdf.queryExecution().optimizedPlan().toString()
     for pattern in (clock._DAY_FIRST, clock._ISO_WITH_TIME):
         assert plan.count(pattern) == 1
+
+
+def test_tables_bucketed_alike_join_without_a_shuffle(spark):
+    hours = spark.range(4_000).selectExpr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, int(id % 800)) AS recorded_at", "id", "id % 7 AS site")
+    weather = hours.select("recorded_at").distinct().withColumn("temperature", F.hour("recorded_at"))
+    left = colocated.bucketed(hours, ["recorded_at"], 4)
+    right = colocated.bucketed(weather.limit(700), ["recorded_at"], 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a weather table too large for it
+    try:
+        joined = enrich.left_join_unique(left, right, ["recorded_at"], unique=True)
+        got = sorted(map(tuple, joined.select("id", "temperature").collect()))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    plain = enrich.left_join_unique(hours, right, ["recorded_at"], unique=True)
+    assert got == sorted(map(tuple, plain.select("id", "temperature").collect()))
+
+
+def test_file_ranges(spark, tmp_path):
+    rows = spark.range(5_000).selectExpr("id * 7919 % 5000 AS a", "id AS b", "id % 3 AS c")
+    layout.sorted_files(rows, ["c", "a"]).write.parquet(str(tmp_path / "sorted"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        layout.sorted_files(rows, ["c", "a"]).write.parquet(str(tmp_path / "many"))
+        rows.repartition(4).write.parquet(str(tmp_path / "mixed"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = {n: layout.file_ranges(spark.read.parquet(str(tmp_path / n)), ["c", "a"]).collect() for n in ("many", "mixed")}
+    assert len(ranges["many"]) > 1 and all(r.follows for r in ranges["many"])
+    assert sum(r.rows for r in ranges["many"]) == 5_000
+    assert not all(r.follows for r in ranges["mixed"])

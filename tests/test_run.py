@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stationlake import schemas
 from stationlake.__main__ import main
 from stationlake.errors import KeyViolation, MissingInputError, QualityGateFailed, RawFileRejected
-from stationlake.plans import inspect, layers, run
+from stationlake.plans import inspect, layers, run, views
 from stationlake.sources import landing
 
 FIRST, LAST_READING, LAST_WEATHER = dt.date(2022, 1, 1), dt.date(2026, 7, 30), dt.date(2026, 7, 26)
@@ -354,3 +354,35 @@ def test_a_revision_that_drops_a_month(spark, tmp_path):
     gold = spark.read.parquet(lake.path("gold", "hourly_environment"))
     days = {str(r.d) for r in gold.where("month = 3").selectExpr("date(recorded_at) d").distinct().collect()}
     assert days <= {"2026-03-01"}  # the midnight that February's last day delivers
+
+
+def test_views_of_a_lake(spark, full):
+    _, lake, _ = full
+    names = views.register_views(spark, lake)
+    assert set(names) >= {"bronze_readings", "bronze_malformed", "silver_readings", "gold_daily_readings", "serving_hourly_environment"}
+    (row,) = spark.sql("SELECT count(*) AS n, count(DISTINCT pollutant) AS kinds FROM silver_readings").collect()
+    assert (row.n, row.kinds) == (spark.read.parquet(lake.path("silver", "readings")).count(), 7)
+    plan = spark.sql("SELECT value FROM silver_readings WHERE source_year = 2026 AND pollutant = 'NO2'")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_year" in text and "EqualTo(pollutant,NO2)" in text
+
+
+def test_the_gate_uses_the_counts_of_the_writes(spark, full):
+    _, lake, _ = full
+    dated = spark.read.parquet(lake.path("silver", "readings")).where("recorded_at IS NOT NULL")
+    assert run.silver_rows(spark, lake) == dated.count() > 0
+    by_year = {r.source_year: r["count"] for r in dated.groupBy("source_year").count().collect()}
+    kept = spark.read.parquet(lake.path("counts", "readings")).collect()
+    assert {r.source_year: r.dated_rows for r in kept} == by_year
+    before = run.silver_rows(spark, lake)
+    run.build_silver(spark, lake, years=[2026])
+    assert run.silver_rows(spark, lake) == before
+
+
+def test_inspection_reads_the_files_once(spark, full):
+    _, lake, _ = full
+    found = inspect.inspect_raw(spark, lake)
+    for name in ("rows", "measures"):
+        plan = found[name]._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" in plan
+    assert found["rows"].count() and found["measures"].count()
