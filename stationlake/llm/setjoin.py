@@ -152,7 +152,7 @@ def least_shared(t: Fraction, a, b):
     return -(-t.numerator * (a + b) // (t.numerator + t.denominator))
 
 
-def units(body: DataFrame, tokens: Tokens, counters: int = 0) -> DataFrame:
+def units(body: DataFrame, tokens: Tokens, counters: int = 0, stretch: int = STRETCH) -> DataFrame:
     """ord, tie, unit, size, label of every unit that has a token; equal sets have equal labels.
 
     With ``counters``, each task also counts the units of the tokens by their hash modulo that number:
@@ -161,7 +161,7 @@ def units(body: DataFrame, tokens: Tokens, counters: int = 0) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(counters, dtype=np.int64)
-        for batch in slices(batches, STRETCH):
+        for batch in slices(batches, stretch):
             sets = Sets(tokens, text_bytes(batch.column(2)))
             if counters:
                 at = (sets.token % np.uint64(counters)).astype(np.int64)
@@ -181,7 +181,9 @@ def units(body: DataFrame, tokens: Tokens, counters: int = 0) -> DataFrame:
     return body.select("ord", "tie", "text").mapInArrow(work, "ord long, tie long, unit long, size long, label long")
 
 
-def entries(body: DataFrame, tokens: Tokens, keys: Callable[[Sets], tuple[np.ndarray, ...]]) -> DataFrame:
+def entries(
+    body: DataFrame, tokens: Tokens, keys: Callable[[Sets], tuple[np.ndarray, ...]], stretch: int = STRETCH
+) -> DataFrame:
     """key, label, sizes, map: under which keys a set looks for similar ones.
 
     ``keys`` gives the key, the number of the set and the tokens of the set that come after that key.
@@ -189,7 +191,7 @@ def entries(body: DataFrame, tokens: Tokens, keys: Callable[[Sets], tuple[np.nda
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, STRETCH):
+        for batch in slices(batches, stretch):
             sets = Sets(tokens, text_bytes(batch.column(2)))
             key, owner, rest = keys(sets)
             _, first = np.unique(sets.label, return_index=True)
@@ -263,8 +265,11 @@ def _meeting(start, count, rows: _Rows) -> tuple[np.ndarray, np.ndarray]:
     small = (count > 1) & (count <= 64)
     left, right = [], []
     member = spans(start[small], count[small])
-    place = member - np.repeat(start[small], count[small])
-    for lo in range(0, len(member), 1 << 15):  # each member with those before it in its group
+    # A group is in the order of sizes: each member meets those before it that are not too small for it.
+    group = np.repeat(np.arange(len(start)), count) << 32
+    least = -(-rows.t.numerator * rows.size // rows.t.denominator)
+    place = member - np.searchsorted(group + rows.size, (group + least)[member])
+    for lo in range(0, len(member), 1 << 15):
         later, before = member[lo : lo + (1 << 15)], place[lo : lo + (1 << 15)]
         a, b = rows.similar(spans(later - before, before), np.repeat(later, before))
         left.append(a)
@@ -299,12 +304,14 @@ def _crowd(at: int, m: int, rows: _Rows) -> np.ndarray:
 
 
 def classes(found: DataFrame) -> DataFrame:
-    """label, size, first (place of the first unit) of every distinct set."""
+    """label, size, n (units), first (place of the first unit) of every distinct set."""
     place = F.struct("ord", "tie", "unit")
-    return found.groupBy("label").agg(F.min(place).alias("first"), F.first("size").alias("size"))
+    return found.groupBy("label").agg(
+        F.min(place).alias("first"), F.first("size").alias("size"), F.count(F.lit(1)).alias("n")
+    )
 
 
-def sets_of(linked: DataFrame, body: DataFrame, tokens: Tokens) -> DataFrame:
+def sets_of(linked: DataFrame, body: DataFrame, tokens: Tokens, stretch: int = STRETCH) -> DataFrame:
     """component, blocks, label, ord, tie, unit, tokens (packed) of the classes in ``linked`` (component,
     blocks, label, first), read from their first unit."""
     wanted = (
@@ -318,7 +325,7 @@ def sets_of(linked: DataFrame, body: DataFrame, tokens: Tokens) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["component", "blocks", "label", "ord", "tie", "unit", "tokens"]
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        for batch in slices(batches, STRETCH):
+        for batch in slices(batches, stretch):
             sets = Sets(tokens, text_bytes(batch.column(3)))
             at = {(t, u): k for k, (t, u) in enumerate(zip(sets.text.tolist(), sets.unit.tolist()))}
             found = []
@@ -367,6 +374,7 @@ def similar(
     keys: Callable[[Sets], tuple[np.ndarray, ...]],
     threshold: float,
     forest_only: bool,
+    stretch: int = STRETCH,
 ) -> tuple[DataFrame, DataFrame]:
     """The classes of the units ``found`` in ``body`` (ord, tie, text), and the links of similar classes.
 
@@ -376,12 +384,12 @@ def similar(
     t = Fraction(threshold).limit_denominator(1000)
     parts = int(body.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = classes(found)
-    graph = components(candidates(entries(body, tokens, keys), t, parts), "a", "b").withColumnRenamed("node", "label")
+    graph = components(candidates(entries(body, tokens, keys, stretch), t, parts), "a", "b").withColumnRenamed("node", "label")
     # A component of many classes is compared in pairs of blocks; the number of blocks follows its size.
     graph = written(graph, "graph")
     blocks = graph.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     linked = first.join(graph.join(blocks, "component"), "label")
-    sets = sets_of(linked, body, tokens)
+    sets = sets_of(linked, body, tokens, stretch)
     sets = sets.withColumn("own", F.pmod(F.xxhash64("label"), F.col("blocks")).cast("int"))
     sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = ["component", "lo", "hi"]
