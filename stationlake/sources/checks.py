@@ -131,9 +131,13 @@ def csv_report(
 def listed_with_digests(spark: SparkSession, folders: str | Sequence[str], pattern: str) -> DataFrame:
     """path, source_year, length, sha256 of the station files, whatever their size."""
     listing = file_listing(spark, folders, pattern).select("path", "source_year", "length")
-    digests = file_digests(spark, folders, pattern).withColumnRenamed("path", "key")
-    joined = listing.join(digests, plain_path(F.col("path")) == F.col("key"), "left").drop("key")
-    return joined.withColumn("sha256", F.coalesce("sha256", F.sha2(F.lit(b""), 256)))
+    return _with_digests(listing, file_digests(spark, folders, pattern))
+
+
+def _with_digests(files: DataFrame, digests: DataFrame) -> DataFrame:
+    digests = digests.withColumnRenamed("path", "key")
+    joined = files.join(digests, plain_path(F.col("path")) == F.col("key"), "left").drop("key")
+    return joined.withColumn("sha256", F.coalesce("sha256", F.sha2(F.lit(b""), 256)))  # an empty file has no lines
 
 
 def station_report(
@@ -142,9 +146,10 @@ def station_report(
     pattern: str,
     max_bytes: int | None = schemas.CSV_MAX_BYTES,
 ) -> DataFrame:
-    """``csv_report`` of the files below some folders, with their SHA-256."""
-    listed = stored(listed_with_digests(spark, folders, pattern), "listed")
-    return csv_report(listed, file_lines(spark, folders, pattern), max_bytes)
+    """``csv_report`` of the files below some folders, with their SHA-256; both are stages of one job."""
+    listing = file_listing(spark, folders, pattern).select("path", "source_year", "length")
+    report = csv_report(listing, file_lines(spark, folders, pattern), max_bytes)
+    return _with_digests(report, file_digests(spark, folders, pattern))
 
 
 def weather_report(files: DataFrame, max_bytes: int | None = schemas.JSON_MAX_BYTES) -> DataFrame:
