@@ -98,12 +98,21 @@ def in_set(column: str, allowed: Sequence[str], mostly: float = 1.0) -> Expectat
     return _share_of(f"in_set({column})", value.isin(*allowed), value.isNotNull(), mostly)
 
 
-def pair_at_least(column: str, other: str, mostly: float = 1.0) -> Expectation:
-    """``column`` >= ``other`` wherever both are given."""
+def pair_at_least(
+    column: str, other: str, mostly: float = 1.0, skip_null: str = "both"
+) -> Expectation:
+    """``column`` >= ``other``. Rows are passed over when ``both`` sides are NULL (the default), when
+    ``either`` is, or ``never``; a row that is judged with a NULL in it does not hold."""
     a, b = F.col(column), F.col(other)
-    return _share_of(
-        f"pair_at_least({column},{other})", a >= b, a.isNotNull() & b.isNotNull(), mostly
-    )
+    judged = {
+        "both": a.isNotNull() | b.isNotNull(),
+        "either": a.isNotNull() & b.isNotNull(),
+        "never": F.lit(True),
+    }
+    if skip_null not in judged:
+        raise ValueError(f"skip_null is one of {', '.join(judged)}")
+    holds = F.coalesce(a >= b, F.lit(False))
+    return _share_of(f"pair_at_least({column},{other})", holds, judged[skip_null], mostly)
 
 
 def row_count_of_grid(keys: Sequence[str], floor: float = 0.95) -> Expectation:

@@ -3,6 +3,7 @@
 import datetime as dt
 import pathlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, settings
@@ -15,6 +16,7 @@ from stationlake.functions import clock
 from stationlake.operators import colocated, daily, enrich, expect, keys, layout, profile, serving
 from stationlake.operators.reshape import unpivot_measures
 from stationlake.plans import layers
+from stationlake.session import scratch_dir
 
 T0 = dt.datetime(2024, 1, 1)
 READING = "recorded_at timestamp_ntz, site_name string, pollutant string, value double"
@@ -489,3 +491,26 @@ def test_file_ranges(spark, tmp_path):
     assert len(ranges["many"]) > 1 and all(r.follows for r in ranges["many"])
     assert sum(r.rows for r in ranges["many"]) == 5_000
     assert not all(r.follows for r in ranges["mixed"])
+
+
+@pytest.mark.parametrize("skip, unmet", [("both", 3), ("either", 1), ("never", 4)])
+def test_pairs_with_nulls(spark, skip, unmet):
+    table = spark.createDataFrame([(2, 1), (1, 2), (None, 1), (1, None), (None, None)], "x int, y int")
+    suite = expect.Suite("pairs", table).add(expect.pair_at_least("x", "y", skip_null=skip))
+    (row,) = suite.results().collect()
+    assert (row.passed, int(row.observed)) == (False, unmet)
+    with pytest.raises(ValueError):
+        expect.pair_at_least("x", "y", skip_null="some")
+
+
+def test_scratch_without_the_setting(tmp_path):
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, applicationId=f"app of {master}")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=context)
+
+    here = session("local[2]")
+    one, two = scratch_dir(here, "a"), scratch_dir(here, "b")
+    assert one != two and one.split("/stationlake/")[0] == two.split("/stationlake/")[0]
+    assert scratch_dir(session("yarn", str(tmp_path)), "a").startswith(str(tmp_path))
+    with pytest.raises(RuntimeError):
+        scratch_dir(session("yarn"), "a")
