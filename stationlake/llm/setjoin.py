@@ -75,31 +75,27 @@ class Maps:
 
     def __init__(self, column: pa.Array, order: np.ndarray):
         offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
-        start, width = offsets[:-1][order] // 8, np.diff(offsets)[order] // 8
-        data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint64)
-        self.width = width
-        self.folded = {}
-        wide = 1
-        while (width >= wide).any():
-            rows = np.flatnonzero(width >= wide)
-            matrix = np.zeros((len(rows), wide), dtype=np.uint64)
-            for own in np.unique(width[rows]):
-                some = np.flatnonzero(width[rows] == own)
-                whole = data[start[rows[some]][:, None] + np.arange(own)]
-                matrix[some] = np.bitwise_xor.reduce(whole.reshape(len(some), own // wide, wide), axis=1)
-            place = np.full(len(width), -1)
-            place[rows] = np.arange(len(rows))
-            self.folded[wide] = place, matrix
-            wide *= 2
+        self.start, self.width = offsets[:-1][order] // 8, np.diff(offsets)[order] // 8
+        self.data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint64)
+        self.narrow = self.folded(np.arange(len(order)), 1)[:, 0]
+
+    def folded(self, rows: np.ndarray, wide: int) -> np.ndarray:
+        """The maps of some rows, folded to a width that none of them is below."""
+        out = np.zeros((len(rows), wide), dtype=np.uint64)
+        width = self.width[rows]
+        for own in np.unique(width):
+            some = np.flatnonzero(width == own)
+            whole = self.data[self.start[rows[some]][:, None] + np.arange(own)]
+            out[some] = np.bitwise_xor.reduce(whole.reshape(len(some), own // wide, wide), axis=1)
+        return out
 
     def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Differing bits of rows a and b."""
+        """Differing bits of rows a and b. Wide maps are only looked at for pairs that come here."""
         common = np.minimum(self.width[a], self.width[b])
         out = np.zeros(len(a), dtype=np.int64)
         for wide in np.unique(common):
             at = np.flatnonzero(common == wide)
-            place, matrix = self.folded[wide]
-            out[at] = np.bitwise_count(matrix[place[a[at]]] ^ matrix[place[b[at]]]).sum(axis=1)
+            out[at] = np.bitwise_count(self.folded(a[at], wide) ^ self.folded(b[at], wide)).sum(axis=1)
         return out
 
 
@@ -251,8 +247,8 @@ class _Rows:
         able = before + np.minimum(rest[a], rest[b]) >= shared
         able &= (np.minimum(size[a], size[b]) >= shared) & (a != b)
         a, b, most = a[able], b[able], (size[a] + size[b] - 2 * shared)[able]
-        place, narrow = self.maps.folded[1]
-        near = np.bitwise_count(narrow[a, 0] ^ narrow[b, 0]) <= most
+        narrow = self.maps.narrow
+        near = np.bitwise_count(narrow[a] ^ narrow[b]) <= most
         a, b, most = a[near], b[near], most[near]
         near = self.maps.differ(a, b) <= most
         return a[near], b[near]
