@@ -32,8 +32,8 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     """``node, component`` for every linked node; component is the smallest node reachable.
 
     The graph is contracted round by round: every node is merged into its smallest neighbour, and the
-    links between merged nodes are what the next round works on. A round leaves a fraction of the
-    nodes, so all rounds together move little more than the first. At the end the rounds' tables are
+    links between merged nodes are what the next round works on. Most graphs shrink fast; a path whose
+    nodes are numbered in order loses one node a round. At the end the rounds' tables are
     chained, the smallest first. Each table is written to the shared folder; only the number of links
     left reaches the driver. Links with a null end and loops are ignored; repeated links count once.
     """
