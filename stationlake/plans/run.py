@@ -17,6 +17,7 @@ from stationlake.operators import daily, expect, layout, serving
 from stationlake.plans import layers
 from stationlake.session import path_exists
 from stationlake.sources import checks, files, landing, station_csv, weather_json
+from stationlake.sources.lines import file_lines, text_scan
 
 
 @dataclass(frozen=True)
@@ -150,17 +151,24 @@ def build_bronze_readings(
 
     The per-file report decides on acceptance and tells the reader the layout of each file.
     """
-    folders = _folders(spark, lake.raw_readings, lake.readings_pattern, years)
+    pattern = lake.readings_pattern
+    listing = files.require_files(spark, lake.raw_readings, pattern)
+    folders = files.year_folders(spark, lake.raw_readings, years)
     if not folders:
         return NOT_BEGUN
+    # Station files are many: their folders are listed once for the checks and once for all scans.
+    scan = text_scan(spark, folders, pattern)
     report = _landing_report(
         spark,
         lake,
         "readings",
-        checks.station_report(spark, folders, lake.readings_pattern, lake.readings_max_bytes),
+        checks.station_report(
+            spark, folders, pattern, lake.readings_max_bytes, listing if years is None else None, scan
+        ),
     )
+    lines = file_lines(spark, folders, pattern, scan)
     rows = station_csv.classified_rows(
-        station_csv.read_station_csv(spark, report, folders, lake.readings_pattern)
+        station_csv.read_station_csv(spark, report, folders, pattern, lines=lines)
     )
     rows = rows.withColumn("site_name", F.coalesce("site", F.lit(lake.site_name))).drop("site")
     return layout.replace_partitions(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
+from stationlake.session import few_listing_tasks
 from stationlake.sources.files import any_case, year_in_path
 
 
@@ -19,14 +20,16 @@ def read_weather_documents(
 ) -> DataFrame:
     """One row per file below ``root``, or in some of its ``folders``: ``hourly``, ``source_file`` and
     the ``source_year`` of its path."""
-    return (
-        spark.read.schema(schemas.WEATHER_DOCUMENT)
-        .option("multiLine", "true")
-        .option("pathGlobFilter", any_case(pattern))
-        .option("recursiveFileLookup", "true")
-        .json(list(folders or [root]))
-        .withColumn("source_file", F.col("_metadata.file_name"))
-        .withColumn("source_year", year_in_path(F.col("_metadata.file_path")))
+    with few_listing_tasks(spark):
+        documents = (
+            spark.read.schema(schemas.WEATHER_DOCUMENT)
+            .option("multiLine", "true")
+            .option("pathGlobFilter", any_case(pattern))
+            .option("recursiveFileLookup", "true")
+            .json(list(folders or [root]))
+        )
+    return documents.withColumn("source_file", F.col("_metadata.file_name")).withColumn(
+        "source_year", year_in_path(F.col("_metadata.file_path"))
     )
 
 

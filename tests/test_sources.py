@@ -303,3 +303,38 @@ def test_weather_documents(spark, tmp_path):
         (HOURS[0], 0.0, 2026, "w_2026.json"),
         (HOURS[1], None, 2026, "w_2026.json"),
     ]
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """One task a folder took most of a listing's time; the setting of the session stays as it was."""
+    for k in range(100):
+        folder = tmp_path / "source_year=2026" / f"site={k}"
+        folder.mkdir(parents=True)
+        (folder / "f.csv").write_text(GOOD)
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    context = spark.sparkContext
+    read = {
+        "text": lambda: lines.text_scan(spark, str(tmp_path), "*.csv"),
+        "listing": lambda: files.file_listing(spark, str(tmp_path), "*.csv"),
+    }
+    for name, load in read.items():
+        context.setJobGroup(f"listing-{name}", name)
+        assert load().count() == {"text": 700, "listing": 100}[name]
+        tracker = context.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup(f"listing-{name}") for s in tracker.getJobInfo(job).stageIds]
+        assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 4 * context.defaultParallelism
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get(setting) == before
+
+
+def test_a_report_reuses_the_listing_and_the_scan(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "source_year=2026"
+    folder.mkdir()
+    (folder / "f.csv").write_text(GOOD)
+    want = checks.station_report(spark, str(tmp_path), "*.csv").collect()
+    listing = files.file_listing(spark, str(tmp_path), "*.csv")
+    scan = lines.text_scan(spark, str(tmp_path), "*.csv")
+    for module, name in ((checks, "file_listing"), (checks, "text_scan"), (lines, "text_scan")):
+        monkeypatch.setattr(module, name, None)
+    assert checks.station_report(spark, str(tmp_path), "*.csv", listing=listing, scan=scan).collect() == want
