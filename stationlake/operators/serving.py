@@ -53,8 +53,10 @@ def publish(
     for part in parts:
         check_summary(part, keys)
     if parts:
-        touched = reduce(or_, [reduce(and_, [F.col(c) == part[c] for c in partition_by]) for part in parts])
-        merged = stored(upsert(read_table(spark, path, columns).where(touched), changes, keys), "merged")
+        merged = changes
+        if path_exists(spark, path):  # else there is nothing to merge with
+            touched = reduce(or_, [reduce(and_, [F.col(c) == part[c] for c in partition_by]) for part in parts])
+            merged = stored(upsert(read_table(spark, path, columns).where(touched), changes, keys), "merged")
         within = [*order, *[k for k in keys if k not in order]]
         replace_partitions(merged, path, partition_by, within, lookups=lookups)
     return len(parts)

@@ -16,7 +16,7 @@ from stationlake.functions import clock
 from stationlake.operators import colocated, daily, enrich, expect, keys, layout, profile, serving
 from stationlake.operators.reshape import unpivot_measures
 from stationlake.plans import layers
-from stationlake.session import scratch_dir
+from stationlake.session import scratch_dir, stored
 
 T0 = dt.datetime(2024, 1, 1)
 READING = "recorded_at timestamp_ntz, site_name string, pollutant string, value double"
@@ -297,6 +297,15 @@ def test_publish(spark, tmp_path):
     assert content(spark, path) == before
 
 
+def test_the_first_publish_writes_no_merged_copy(spark, tmp_path, monkeypatch):
+    path, merged = str(tmp_path / "t"), []
+    monkeypatch.setattr(serving, "stored", lambda df, purpose: merged.append(purpose) or stored(df, purpose))
+    assert publish(rows(spark, (1, 1, "a", 1.0), (2, 1, "a", 3.0)), path) == 2 and not merged
+    first = content(spark, path)
+    assert publish(rows(spark, (1, 1, "a", 1.0)), path) == 1 and merged == ["merged"]
+    assert content(spark, path) == first and len(first) == 2
+
+
 def test_publish_refuses_a_broken_key_and_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "table")
     publish(rows(spark, (1, 1, "a", 1.0)), path)
