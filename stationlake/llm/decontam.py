@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages of documents and benchmark items are TF-IDF vectors over the benchmark's terms, projected
-on the leading right singular vectors of a randomised SVD. Passages near an item by cosine are
+on the leading right singular vectors of a randomised SVD of all stretches. Passages near an item by cosine are
 candidates; a longest common subsequence of words, and the words of the item's answer, decide. All
 weights are ratios of counts, so a passage has the same cosine in a corpus of any size. A search by
 shared words, which misses no passage, can be added (``exact``); tests measure recall against it.
@@ -11,21 +11,26 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import annotated, bucket, slices, spans, starts_of_groups, written
+from stationlake.llm.common import annotated, slices, spans, starts_of_groups, written
 from stationlake.llm.hashing import words
 
 #: A passage is two neighbouring stretches of so many words; items are cut likewise.
 STRETCH = 16
 #: Singular vectors kept, and those computed beside them; rounds of the power iteration.
 RANK, EXTRA, ROUNDS = 96, 16, 2
-#: Distinct texts, about, in the sample that the SVD is fitted on; every passage is projected.
+#: Without effect: the SVD is fitted on all stretches. Kept for callers that set it.
 SAMPLED_DOCUMENTS = 2_000
+#: Counts of terms and pairs of terms that a task holds before it sums them up.
+HELD_PAIRS = 1 << 22
+#: Rows of a basis that are gathered at once: they stay in a core's cache.
+CACHED_ROWS = 2_000
 #: Passages of items that are looked for in one pass over the documents.
 ITEM_PASSAGES = 20_000
 #: Terms in more than this part of all stretches carry no weight.
@@ -100,23 +105,74 @@ def stretches(texts: list[bytes], terms: np.ndarray):
     return word, text[first], first, at[known], of[known]
 
 
-def weights(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, float]:
-    """Log inverse frequency of the terms among all stretches of all documents, and the weight of a word that
-    is no term: that of the middle term, as its own count is not known. Neither follows the corpus size."""
+def _pairs(terms: int, term: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """A key of each two words of one stretch that are terms, and of each such word with itself: the upper
+    triangle of the product of the transposed matrix of terms by itself, one entry a unit."""
+    # Two words of one term stand on both sides of the diagonal.
+    found, width = [_key_of(terms, term, term)], 1
+    while width < STRETCH:
+        near = of[width:] == of[:-width]
+        if not near.any():
+            break
+        one, two = term[width:][near], term[:-width][near]
+        key = _key_of(terms, np.minimum(one, two), np.maximum(one, two))
+        found += [key, key[one == two]]
+        width += 1
+    return np.concatenate(found)
+
+
+def _key_of(terms: int, term, other):
+    return term * (terms + 1) + other + 1
+
+
+@dataclass(frozen=True)
+class StretchCounts:
+    """``rows`` (term, other, n), counted over all stretches of all documents: for ``other`` of at least
+    ``term`` the entries of A'A, where A counts the terms of each stretch; for an ``other`` of -1 the
+    stretches that hold the term, or all stretches (the term after the last)."""
+
+    rows: DataFrame
+
+
+def stretch_counts(docs: DataFrame, terms: np.ndarray) -> StretchCounts:
+    """The counts of one scan of all texts; copies count as often as they stand."""
+    n_terms = len(terms)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(terms) + 1, dtype=np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in slices(batches, BATCH_BYTES):
             _, text, _, term, of = stretches([plain(t) for t in batch.column(0).to_pylist()], terms)
-            each = np.unique(of * len(terms) + term) % len(terms)
-            total[:-1] += np.bincount(each, minlength=len(terms))
-            total[-1] += len(text)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["term", "n"])
-
-    counted = docs.select("text").mapInArrow(work, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+            each = np.unique(of * n_terms + term) % n_terms
+            held += [np.unique(k, return_counts=True) for k in (_key_of(n_terms, each, -1), _pairs(n_terms, term, of))]
+            held.append((np.array([_key_of(n_terms, n_terms, -1)]), np.array([len(text)])))
+            if sum(len(key) for key, _ in held) > HELD_PAIRS:
+                held = [_summed(held)]
+                if len(held[0][0]) > HELD_PAIRS // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], ["key", "n"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(held)], ["key", "n"])
+
+    counted = docs.select("text").mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    side = F.lit(n_terms + 1)
+    other = F.col("key") % side
+    rows = counted.select(((F.col("key") - other) / side).cast("long").alias("term"), (other - 1).alias("other"), "n")
+    return StretchCounts(written(rows, "stretch-counts"))
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    key, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    start = starts_of_groups([key])
+    return (key[start], np.add.reduceat(n, start)) if len(start) else (key, n)
+
+
+def weights(docs: DataFrame | StretchCounts, terms: np.ndarray) -> tuple[np.ndarray, float]:
+    """Log inverse frequency of the terms among all stretches of all documents, and the weight of a word that
+    is no term: that of the middle term, as its own count is not known. Neither follows the corpus size."""
+    counted = docs if isinstance(docs, StretchCounts) else stretch_counts(docs, terms)
     count = np.zeros(len(terms) + 1)
-    for row in counted.collect():  # one row a term of the benchmark
+    for row in counted.rows.where("other = -1").collect():  # one row a term of the benchmark
         count[row.term] = row.n
     rare = np.log((count[-1] + 1) / (count[:-1] + 1))
     rare[count[:-1] > TOO_COMMON * count[-1]] = 0
@@ -129,8 +185,8 @@ def weights(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, float]:
 def _projected(term, of, n, rare, basis) -> np.ndarray:
     """The sums of the weighted rows of ``basis`` over the terms of each of ``n`` stretches."""
     out = np.zeros((n, basis.shape[1]), dtype=np.float32)
-    for lo in range(0, len(term), 50_000):
-        part, to = term[lo : lo + 50_000], of[lo : lo + 50_000]
+    for lo in range(0, len(term), CACHED_ROWS):
+        part, to = term[lo : lo + CACHED_ROWS], of[lo : lo + CACHED_ROWS]
         heavy = rare[part] > 0
         part, to = part[heavy], to[heavy]
         if len(part):
@@ -146,47 +202,54 @@ def _passages(blocks: np.ndarray, text: np.ndarray) -> np.ndarray:
     return out
 
 
-def singular_vectors(docs: DataFrame, items: Items, rare: np.ndarray, rank: int = RANK, seed: int = 5) -> np.ndarray:
-    """Right singular vectors (a row a term) of the TF-IDF matrix of sampled stretches and all items.
+def singular_vectors(
+    counted: StretchCounts, items: Items, rare: np.ndarray, rank: int = RANK, seed: int = 5
+) -> np.ndarray:
+    """Right singular vectors (a row a term) of the TF-IDF matrix of all stretches and all items.
 
-    A bounded sample of documents is spread over tasks; each round, every task multiplies its part of
-    the matrix with the current basis and back, and the driver adds up matrices of terms by rank.
+    They are the eigenvectors of its product with itself, which has an entry for each two terms that
+    some stretch holds. Each round, tasks multiply their entries with the current basis, and the driver
+    adds up matrices of terms by rank.
     """
-    total = docs.count()
-    share = max(1, total // SAMPLED_DOCUMENTS)
-    sample = docs.where(bucket(share, "text") == 0).select("text").distinct()  # copies count once
-    width = min(len(items.terms), rank + EXTRA)
-    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(items.terms), width)))[0].astype(np.float32)
-
-    def round_(basis: np.ndarray, gram: bool) -> np.ndarray:
-        def product(texts: list[bytes]) -> np.ndarray:
-            _, text, _, term, of = stretches(texts, items.terms)
-            weighted = (basis * rare[:, None]).astype(np.float32)
-            y = _projected(term, of, len(text), rare, weighted)
-            if gram:
-                return (y.T @ y).astype(np.float64)
-            z = np.zeros(basis.shape, dtype=np.float64)
-            order = np.argsort(term, kind="stable")
-            for lo in range(0, len(order), 50_000):
-                own = order[lo : lo + 50_000]
-                start = starts_of_groups([term[own]])
-                z[term[own[start]]] += np.add.reduceat(y[of[own]] * rare[term[own]][:, None], start, axis=0)
-            return z
+    n_terms = len(items.terms)
+    width = min(n_terms, rank + EXTRA)
+    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))[0].astype(np.float32)
+    pairs = counted.rows.where("other >= 0")
+    _, _, _, term, of = stretches([plain(text) for text in items.texts], items.terms)
+    key, n = np.unique(_pairs(n_terms, term, of), return_counts=True)
+    own = key // (n_terms + 1), key % (n_terms + 1) - 1, n
+
+    def product(basis: np.ndarray) -> np.ndarray:
+        weighted = (basis * rare[:, None]).astype(np.float32)
+
+        def add(z: np.ndarray, term: np.ndarray, other: np.ndarray, n: np.ndarray) -> None:
+            for lo in range(0, len(term), CACHED_ROWS):
+                i, j, c = (column[lo : lo + CACHED_ROWS] for column in (term, other, n))
+                heavy = (rare[i] > 0) & (rare[j] > 0)
+                i, j, c = i[heavy], j[heavy], c[heavy]
+                off = i != j
+                i, j, c = np.append(i, j[off]), np.append(j, i[off]), np.append(c, c[off])
+                order = np.argsort(i, kind="stable")
+                i, j, c = i[order], j[order], c[order]
+                start = starts_of_groups([i])
+                if len(start):
+                    z[i[start]] += np.add.reduceat(weighted[j] * c[:, None].astype(np.float64), start, axis=0)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros((basis.shape[1] if gram else basis.shape[0], basis.shape[1]))
-            for batch in slices(batches, BATCH_BYTES // 4):
-                out += product([plain(t) for t in batch.column(0).to_pylist()])
+            out = np.zeros(basis.shape)
+            for batch in batches:
+                add(out, *(column.to_numpy() for column in batch.columns))
             yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["part"])
 
-        own = product([plain(text) for text in items.texts])
-        for row in sample.coalesce(8).mapInArrow(work, "part binary").collect():
-            own += np.frombuffer(row.part).reshape(own.shape)
-        return own
+        total = np.zeros(basis.shape)
+        add(total, *own)
+        for row in pairs.coalesce(8).mapInArrow(work, "part binary").collect():
+            total += np.frombuffer(row.part).reshape(total.shape)
+        return total * rare[:, None]
 
     for _ in range(ROUNDS):
-        basis = np.linalg.qr(round_(basis, gram=False))[0].astype(np.float32)
-    values, vectors = np.linalg.eigh(round_(basis, gram=True))
+        basis = np.linalg.qr(product(basis))[0].astype(np.float32)
+    values, vectors = np.linalg.eigh(basis.T @ product(basis))
     best = np.argsort(-values)[:rank]
     return (basis @ vectors[:, best]).astype(np.float32)
 
@@ -215,8 +278,9 @@ def find_leaks(
         items = Items(part)
         if not len(items.terms):
             return None
-        rare, unknown = weights(body, items.terms)
-        return _Finder(items, rare, unknown, singular_vectors(body, items, rare), near, exact)
+        counted = stretch_counts(body, items.terms)
+        rare, unknown = weights(counted, items.terms)
+        return _Finder(items, rare, unknown, singular_vectors(counted, items, rare), near, exact)
 
     def leaks_in(finder: _Finder | None):
         def compute(column: pa.Array) -> list[pa.Array]:

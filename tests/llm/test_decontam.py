@@ -223,3 +223,48 @@ def test_weights_do_not_follow_the_size_of_the_corpus(spark, documents):
         many = many.unionByName(many)
     again, other = decontam.weights(many, terms)
     assert np.abs(once - again).max() < 0.7 and abs(unknown - other) < 0.7
+
+
+def test_singular_vectors_are_those_of_all_stretches(spark):
+    """Many more documents than once were sampled, a few of them with words of their own."""
+    random = np.random.default_rng(12)
+    vocabulary = [f"word{k}" for k in range(20)]
+    rows = [(k, " ".join(random.choice(vocabulary[: 20 if k % 1500 else 12], 20 + k % 9))) for k in range(6000)]
+    rows += [(None, None), (7, ""), (8, "none of these is known"), (9, "word1 word1 word2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = Items([(1, " ".join(vocabulary[:10])), (2, " ".join(vocabulary[10:] + vocabulary[10:12]))])
+    matrix, at = [], {t: k for k, t in enumerate(items.terms.tolist())}
+    for text in [text for _, text in rows]:
+        found = words([plain(text)])[0].tolist()
+        for lo in range(0, len(found), STRETCH):
+            matrix.append(np.bincount([at[w] for w in found[lo : lo + STRETCH] if w in at], minlength=len(at)))
+    matrix = np.array(matrix, dtype=float)
+    counted = decontam.stretch_counts(docs, items.terms)
+    full = np.zeros((len(at), len(at)))
+    for row in counted.rows.where("other >= 0").collect():
+        full[row.term, row.other] = full[row.other, row.term] = row.n
+    assert np.array_equal(full, matrix.T @ matrix)
+    rare, _ = decontam.weights(counted, items.terms)
+    again, _ = decontam.weights(docs, items.terms)
+    part = np.append((matrix > 0).sum(axis=0), len(matrix))
+    assert np.array_equal(rare, again)
+    free = part[:-1] <= decontam.TOO_COMMON * len(matrix)
+    assert np.allclose(rare, np.where(free, np.log((len(matrix) + 1) / (part[:-1] + 1)), 0), atol=1e-5)
+    rare = np.linspace(0.5, 3, len(at)).astype(np.float32)
+    own = np.array([np.bincount([at[w] for w in item.tolist()], minlength=len(at)) for item in items.words], dtype=float)
+    vectors = decontam.singular_vectors(counted, items, rare)
+    weighed = np.vstack([matrix, own]) * rare
+    values, want = np.linalg.eigh(weighed.T @ weighed)
+    assert np.abs(np.abs((want[:, ::-1] * vectors).sum(axis=0)) - 1).max() < 1e-2
+
+
+def test_counts_are_summed_in_parts(spark, monkeypatch):
+    random = np.random.default_rng(13)
+    texts = [" ".join(random.choice([f"word{k}" for k in range(60)], 90)) for _ in range(50)]
+    terms = np.unique(words([plain(t) for t in texts])[0])[:50]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = lambda: sorted(map(tuple, decontam.stretch_counts(docs, terms).rows.collect()))
+    whole = rows()
+    monkeypatch.setattr(decontam, "HELD_PAIRS", 300)
+    monkeypatch.setattr(decontam, "BATCH_BYTES", 1000)
+    assert rows() == whole
