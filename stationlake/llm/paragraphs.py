@@ -70,8 +70,14 @@ def _hashes(word: np.ndarray, width: int) -> np.ndarray:
     return mixed(code)
 
 
-def beginnings(word: np.ndarray, text: np.ndarray, run: int, window: int) -> np.ndarray:
-    """Where runs of ``run`` words begin, among the words of some texts, one text after the other."""
+def beginnings(
+    word: np.ndarray, text: np.ndarray, run: int, window: int, every_window: bool = False
+) -> np.ndarray:
+    """Where runs of ``run`` words begin, among the words of some texts, one text after the other.
+
+    A window without a candidate (words in a short rhythm have none) begins no run, or, with
+    ``every_window``, has one at the least of all its places.
+    """
     n = len(word)
     if n < run + 2 * ASIDE or n < window:
         return np.zeros(0, dtype=np.int64)
@@ -87,8 +93,10 @@ def beginnings(word: np.ndarray, text: np.ndarray, run: int, window: int) -> np.
     lo, hi = np.maximum(place - ASIDE, 0), np.minimum(np.maximum(place + run, place + ASIDE + OPENING), n) - 1
     whole &= text[lo] == text[hi]
     at_bits = np.uint64(max(1, int(count).bit_length()))
-    key = np.where(lower & whole, code >> at_bits << at_bits | place.astype(np.uint64), _FAR)
-    least = least_over(key, window)
+    key = np.where(whole, code >> at_bits << at_bits | place.astype(np.uint64), _FAR)
+    least = least_over(np.where(lower, key, _FAR), window)
+    if every_window:
+        least = np.where(least == _FAR, least_over(key, window), least)
     # A window counts if all its places are in one text, whether a run may begin there or not.
     end = np.minimum(np.arange(len(least)) + window - 1 + run - 1, n - 1)
     inside = text[np.arange(len(least))] == text[end]
@@ -97,13 +105,13 @@ def beginnings(word: np.ndarray, text: np.ndarray, run: int, window: int) -> np.
     return np.unique((chosen & ((np.uint64(1) << at_bits) - np.uint64(1))).astype(np.int64))
 
 
-def runs(run: int, least: int, shingle: int):
+def runs(run: int, least: int, shingle: int, every_window: bool = False):
     """Hashes of the ``shingle``-word shingles of every run; the unit is the number of its first word."""
     window = least - run - ASIDE + 1
 
     def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         word, text, _ = words(texts)
-        begin = beginnings(word, text, run, window)
+        begin = beginnings(word, text, run, window, every_window)
         inner = run - shingle + 1
         at = spans(begin, np.full(len(begin), inner))
         first = np.searchsorted(text, np.arange(len(texts)))
@@ -145,6 +153,7 @@ def dedup_passages(
     run: int = 20,
     shingle: int = 5,
     threshold: float = 0.8,
+    every_window: bool = False,
 ) -> DataFrame:
     """One row per run of words: ord, doc_id, tie, first_word (from 0), words, lowest, removed.
 
@@ -155,11 +164,11 @@ def dedup_passages(
     is removed if that one lies in an earlier text, or in the same text ending before it begins.
     Texts follow each other by doc_id, null ids last; ``tie`` tells rows of one id apart, by the
     SHA-256 of their texts (0 if the ids do not repeat; null ids: from 2^60 on). Null and empty texts have no rows; an empty table
-    gives none; other columns are not looked at. A passage without any place to cut (one word,
-    repeated) is not found.
+    gives none; other columns are not looked at. A passage without any place to cut (one or two
+    words, repeated) is found with ``every_window`` only.
     """
     _check(least, run, shingle, threshold)
-    found, shared = _shared(numbered(docs, id_col, text_col), least, run, shingle, threshold)
+    found, shared = _shared(numbered(docs, id_col, text_col), least, run, shingle, threshold, every_window)
     shared = shared.select("ord", "tie", "unit", "lowest", "removed")
     return found.join(shared, ["ord", "tie", "unit"], "left").select(
         "ord",
@@ -172,9 +181,11 @@ def dedup_passages(
     )
 
 
-def _shared(body: DataFrame, least: int, run: int, shingle: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+def _shared(
+    body: DataFrame, least: int, run: int, shingle: int, threshold: float, every_window: bool
+) -> tuple[DataFrame, DataFrame]:
     """All runs (ord, tie, unit, size, label), and those with a like one: besides, lowest and removed."""
-    tokens = runs(run, least, shingle)
+    tokens = runs(run, least, shingle, every_window)
     found = written(units(body, tokens, stretch=STRETCH), "units")
     first, links = similar(found, body, tokens, band_keys(*bands_for(threshold)), threshold, True, STRETCH)
     graph = components(links, "a", "b").withColumnRenamed("node", "label")
@@ -196,16 +207,17 @@ def passage_report(
     run: int = 20,
     shingle: int = 5,
     threshold: float = 0.8,
+    every_window: bool = False,
 ) -> DataFrame:
     """One row per input row: doc_id, tie, n_units, n_removed (words), removed_spans, kept_in_doc_ids.
 
     ``removed_spans`` lists first and last word of every stretch that goes; runs that overlap or touch
     are one stretch. ``kept_in_doc_ids`` are the documents that hold the first copies (a null id is left
-    out). See ``dedup_passages``; texts without a run have zeros and empty lists.
+    out). With ``every_window`` no passage of ``least`` words that repeats is missed. See ``dedup_passages``; texts without a run have zeros and empty lists.
     """
     _check(least, run, shingle, threshold)
     body = numbered(docs, id_col, text_col)
-    found, shared = _shared(body, least, run, shingle, threshold)
+    found, shared = _shared(body, least, run, shingle, threshold, every_window)
     counts = found.groupBy("ord", "tie").agg(F.count(F.lit(1)).alias("n_units"))
     gone = _stretches(shared.where("removed"), run)
     rows = body.select("ord", "doc_id", "tie")

@@ -94,7 +94,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of words of each text, the words that go, and the documents that hold the ones kept in their place."""
     from stationlake.llm.paragraphs import passage_report
 
-    return passage_report(_table(spark, sf_dir, "documents"), least=50, run=20, shingle=5, threshold=0.8)
+    docs = _table(spark, sf_dir, "documents")
+    return passage_report(docs, least=50, run=20, shingle=5, threshold=0.8, every_window=True)
 
 
 @_query

@@ -45,7 +45,7 @@ def brute_lines(rows):
     return sorted(out, key=str)
 
 
-def brute_runs(rows, run=20, least=50, shingle=5):
+def brute_runs(rows, run=20, least=50, shingle=5, every_window=False):
     """Every run that begins where the words say, its component and whether it goes: all pairs compared.
 
     Hashes of the opening words come from the operator; the rule of the places is said anew here.
@@ -69,8 +69,10 @@ def brute_runs(rows, run=20, least=50, shingle=5):
         begin = set()
         for s in range(0, len(body) - window - run + 2):
             inside = [p for p in range(s, s + window) if p in low]
+            if every_window and not inside:
+                inside = [p for p in range(s, s + window) if p in able]
             if inside:
-                begin.add(min(inside, key=lambda p: (low[p], p)))
+                begin.add(min(inside, key=lambda p: (code[p], p)))
         for p in sorted(begin):
             part = body[p : p + run]
             found.append(((doc, seen[doc], p), frozenset(tuple(part[i : i + shingle]) for i in range(run - shingle + 1))))

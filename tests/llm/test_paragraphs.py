@@ -118,3 +118,29 @@ def test_odd_rows(odd, frame):
     assert passage_report(frame([])).count() == 0 and dedup_passages(frame([])).count() == 0
     with pytest.raises(ValueError):
         dedup_passages(frame([]), run=60)
+
+
+def test_no_window_is_passed_over_in_texts_of_few_words():
+    """Rhythms of one or two words have no place that is less than those around it."""
+    random = np.random.default_rng(14)
+    at = np.zeros(400, dtype=np.int64)
+    for size in (1, 2, 2, 3, 4):
+        alphabet = random.integers(0, 2**63, size, dtype=np.uint64)
+        for passage in (np.resize(alphabet, 50), random.choice(alphabet, 50)):
+            own = set(beginnings(passage, at[:50], 20, 29, every_window=True).tolist())
+            assert own
+            for before, after in ((0, 0), (1, 30), (70, 0), (90, 111)):
+                word = np.concatenate([random.choice(alphabet, before), passage, random.choice(alphabet, after)])
+                assert own <= set((beginnings(word, at[: len(word)], 20, 29, every_window=True) - before).tolist())
+    random_words = random.integers(0, 2**63, 400, dtype=np.uint64)
+    assert beginnings(random_words, at, 20, 29, every_window=True).tolist() == beginnings(random_words, at, 20, 29).tolist()
+
+
+def test_repeated_rhythms_are_removed_with_every_window(frame):
+    random = np.random.default_rng(15)
+    rows = [(k, " ".join(prose(random, 60) + ["yes", "no"] * 30 + prose(random, 60))) for k in range(3)]
+    rows += [(5, "word " * 500), (6, "word " * 47), (7, " ".join(prose(random, 200)))]
+    report = {r.doc_id: r for r in passage_report(frame(rows), every_window=True).collect()}
+    assert report[1].kept_in_doc_ids == report[2].kept_in_doc_ids == [0]
+    assert min(report[1].n_removed, report[2].n_removed) >= 40
+    assert report[5].n_removed >= 450 and report[6].n_removed == report[7].n_removed == 0

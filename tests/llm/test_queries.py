@@ -35,7 +35,7 @@ def test_one_row_a_document(spark, sf_dir, documents):
     lines, units = {}, {}
     for doc, line, links, removed in brute_lines(rows):
         lines.setdefault(doc, []).append((line, links, removed))
-    for doc, place, kept_in, _, removed in brute_runs(rows):
+    for doc, place, kept_in, _, removed in brute_runs(rows, every_window=True):
         units.setdefault(doc, []).append((place, kept_in, removed))
     by_line = {r.doc_id: r for r in llm.all_queries()["op7_line_dedup"](spark, sf_dir).collect()}
     by_run = {r.doc_id: r for r in llm.all_queries()["op8_substring_dedup"](spark, sf_dir).collect()}
