@@ -29,10 +29,10 @@ def rolling(data: np.ndarray, size: int) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the step and of its inverse modulo 2**64; kept for the next batch."""
+    """Powers of the step and of its inverse modulo 2**64; kept for the next batches, which may be a little longer."""
     if not _powers or len(_powers[0][0]) <= n:
         inverse = np.uint64(pow(int(STEP), -1, 1 << 64))
-        size = max(n + 1, 1 << 21)
+        size = max(n + 1, 1 << 20) + (1 << 16)
         _powers[:] = [tuple(np.cumprod(np.full(size, x, dtype=np.uint64)) for x in (STEP, inverse))]
     return _powers[0]
 
@@ -40,7 +40,10 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 def digests(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """A hash of the bytes from each ``lo`` up to ``hi``; equal for equal bytes."""
     up, down = _power_tables(len(data))
-    total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(BYTE[data] * up[: len(data)])))
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.take(BYTE, data, out=total[1:], mode="clip")  # of bytes none is clipped; the default mode copies
+    total[1:] *= up[: len(data)]
+    np.cumsum(total, out=total)
     return mixed((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(np.uint64))
 
 
@@ -49,13 +52,17 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     Words are runs of bytes other than blank and 0x09 - 0x0D; 0x0A ends a line.
     """
-    data = _LOWER[np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)]
-    inside = ~_SPACE[data]
-    edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0))
+    data = _LOWER.take(np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8), mode="clip")
+    inside = ~_SPACE.take(data, mode="clip")
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if inside[0]:
+        edge = np.concatenate((np.zeros(1, dtype=np.int64), edge))
     lo, hi = edge[::2], edge[1::2]  # the text ends with a line end, so every word ends
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
     ends = np.cumsum(sizes)
-    text = np.searchsorted(ends, lo, side="right")
     breaks = np.flatnonzero(data == 10)
-    line = np.searchsorted(breaks, lo) - np.searchsorted(breaks, ends - sizes)[text]
+    # Words lie close, ends of texts and lines far apart: these are looked up among the words.
+    text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(lo, ends), prepend=0))
+    line = np.repeat(np.arange(len(breaks)), np.diff(np.searchsorted(lo, breaks), prepend=0))
+    line -= np.searchsorted(breaks, ends - sizes)[text]
     return digests(data, lo, hi), text, line

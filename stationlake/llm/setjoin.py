@@ -22,9 +22,11 @@ from stationlake.llm.components import components, local_forest
 from stationlake.llm.hashing import mixed
 
 #: Bytes of text whose sets are made at once; entries compared at once; classes of a block of pairs.
-STRETCH = 2 << 20
+STRETCH = 1 << 20
 ENTRIES = 1 << 16
 BLOCK = 1 << 11
+#: Rows of a key from which on they meet block by block, and rows of such a block; pairs met at once.
+CROWD, PAIRS = 1 << 9, 1 << 17
 #: Longest bit map, in 64 bits.
 WIDEST = 64
 #: Bits that mark the documents whose texts are read again.
@@ -258,41 +260,48 @@ def _meeting(start, count, rows: _Rows) -> tuple[np.ndarray, np.ndarray]:
     """Rows that may be similar within groups, as a forest."""
     n = len(rows.size)
     label = np.arange(n)
-    small = (count > 1) & (count <= 64)
-    left, right = [], []
-    member = spans(start[small], count[small])
     # A group is in the order of sizes: each member meets those before it that are not too small for it.
     group = np.repeat(np.arange(len(start)), count) << 32
     least = -(-rows.t.numerator * rows.size // rows.t.denominator)
-    place = member - np.searchsorted(group + rows.size, (group + least)[member])
-    for lo in range(0, len(member), 1 << 15):
-        later, before = member[lo : lo + (1 << 15)], place[lo : lo + (1 << 15)]
-        a, b = rows.similar(spans(later - before, before), np.repeat(later, before))
+    first = np.searchsorted(group + rows.size, group + least)
+    small = (count > 1) & (count <= CROWD)
+    left, right = [], []
+    member = spans(start[small], count[small])
+    member = member[first[member] < member]
+    before = member - first[member]
+    total = np.cumsum(before)
+    lo = 0
+    while lo < len(member):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] - before[lo] + PAIRS, side="right")))
+        a, b = rows.similar(spans(first[member[lo:hi]], before[lo:hi]), np.repeat(member[lo:hi], before[lo:hi]))
         left.append(a)
         right.append(b)
+        lo = hi
     if left:
         label = local_forest(np.concatenate(left), np.concatenate(right), n)
-    for at, m in zip(start[count > 64].tolist(), count[count > 64].tolist()):
-        label[at : at + m] = _crowd(at, m, rows)
+    for at, m in zip(start[count > CROWD].tolist(), count[count > CROWD].tolist()):
+        label[at : at + m] = _crowd(at, m, first, rows)
     child = np.flatnonzero(label != np.arange(n))
     return label[child], child
 
 
-def _crowd(at: int, m: int, rows: _Rows) -> np.ndarray:
-    """The forest of one crowded group, block against block; blocks joined already are passed over."""
+def _crowd(at: int, m: int, first: np.ndarray, rows: _Rows) -> np.ndarray:
+    """The forest of one crowded group, block against block; blocks joined already are passed over.
+
+    ``first`` is the first row of its group that each row meets.
+    """
     label = np.arange(m)
-    step = BLOCK // 4
-    for gap in range(0, m, step):
-        for lo in range(0, m - gap, step):
-            i = np.arange(lo, min(lo + step, m))
-            j = np.arange(lo + gap, min(lo + gap + step, m))
-            # The group is sorted by size, so the sizes nearest each other are at the facing ends.
-            near, far = int(rows.size[at + i[-1]]), int(rows.size[at + j[0]])
-            if gap and least_shared(rows.t, near, far) > near:
+    for gap in range(0, m, CROWD):
+        for lo in range(0, m - gap, CROWD):
+            end = min(lo + CROWD, m)
+            j = np.arange(lo + gap, min(lo + gap + CROWD, m))
+            begin = np.maximum(first[at + j], at + lo)
+            met = np.maximum(np.minimum(at + end, at + j) - begin, 0)
+            if not met.any():
                 continue
-            if (label[i] == label[i[0]]).all() and (label[j] == label[i[0]]).all():
+            if (label[lo:end] == label[lo]).all() and (label[j] == label[lo]).all():
                 continue
-            a, b = rows.similar(np.repeat(i, len(j)) + at, np.tile(j, len(i)) + at)
+            a, b = rows.similar(spans(begin, met), np.repeat(at + j, met))
             if len(a):
                 kept = np.arange(m)
                 label = local_forest(np.concatenate((a - at, kept)), np.concatenate((b - at, label)), m)

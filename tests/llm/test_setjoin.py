@@ -1,9 +1,12 @@
+from fractions import Fraction
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm_helpers import brute_lines, split
 
+from stationlake.llm import setjoin
 from stationlake.llm.hashing import words
 from stationlake.llm.linededup import dedup_lines, without_repeated_lines
 from stationlake.llm.setjoin import sorted_in_groups
@@ -83,3 +86,42 @@ def test_a_crowd_of_near_copies(frame):
     base = [f"word{k}" for k in range(30)]
     rows = [(k, " ".join([*base[: k % 30], f"new{k}", *base[k % 30 + 1 :]])) for k in range(200)]
     assert lines_of(dedup_lines(frame(rows))) == brute_lines(rows)
+
+
+class Alike(setjoin._Rows):
+    """Rows whose similarity is a matter of a number each; counts the pairs looked at."""
+
+    def __init__(self, size, mark):
+        self.size, self.mark, self.t, self.met, self.most = size, mark, Fraction(4, 5), 0, 0
+
+    def similar(self, a, b):
+        assert (a < b).all()
+        self.met += len(a)
+        self.most = max(self.most, len(a))
+        near = (self.mark[a] == self.mark[b]) & (5 * self.size[a] >= 4 * self.size[b])
+        return a[near], b[near]
+
+
+def joined(a, b, n):
+    """The smallest row of each row's component."""
+    of = list(range(n))
+    for x, y in zip(a.tolist(), b.tolist()):
+        lo, hi = sorted((of[x], of[y]))
+        of = [lo if k == hi else k for k in of]
+    return of
+
+
+def test_rows_of_a_key_meet_only_those_of_a_near_size():
+    random = np.random.default_rng(5)
+    count = np.array([1, 300, 40, 700])
+    start = np.cumsum(count) - count
+    size = np.concatenate([np.sort(random.integers(5, 2000, c)) for c in count])
+    mark = random.integers(0, 3, len(size))
+    rows = Alike(size, mark)
+    a, b = setjoin._meeting(start, count, rows)
+    one, other = np.triu_indices(len(size), 1)
+    group = np.repeat(np.arange(4), count)
+    able = (group[one] == group[other]) & (5 * size[one] >= 4 * size[other])
+    alike = able & (mark[one] == mark[other])
+    assert joined(a, b, len(size)) == joined(one[alike], other[alike], len(size))
+    assert rows.met <= able.sum() and rows.most <= setjoin.CROWD**2
