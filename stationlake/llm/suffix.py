@@ -18,6 +18,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     n = len(text)
     if n == 1:
         return np.zeros(1, dtype=np.int64)
+    text = text.astype(_narrow(int(text.max())))
     small = _types(text)
     leftmost = small.copy()
     leftmost[0] = False
@@ -35,6 +36,11 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return _induced(text, small, starts, ends, order)
 
 
+def _narrow(most: int) -> type:
+    """The type of a text of values up to ``most``. Numpy sorts 16 bits by counting, wider ones by comparing."""
+    return np.uint16 if most < 1 << 16 else np.int32 if most < 1 << 31 else np.int64
+
+
 def _types(text: np.ndarray) -> np.ndarray:
     """True for suffixes smaller than the next one; the last is, by convention."""
     n = len(text)
@@ -92,8 +98,10 @@ def _slots(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
     first = place.copy()  # of the equal values
     first[1:][ranked[1:] == ranked[:-1]] = 0
     np.maximum.accumulate(first, out=first)
+    place -= first
+    place += heads[ranked]
     slots = np.empty(n, dtype=np.int64)
-    slots[order] = heads[ranked] + (place - first)
+    slots[order] = place
     return slots
 
 

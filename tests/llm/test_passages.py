@@ -42,6 +42,21 @@ def test_suffix_array_is_the_sorted_order(values):
     assert suffix_array(text).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
 
 
+def test_suffix_array_sorts_small_alphabets_by_counting(monkeypatch):
+    from stationlake.llm import suffix
+
+    kinds, sort = [], suffix._slots
+    monkeypatch.setattr(suffix, "_slots", lambda values, heads: kinds.append(values.dtype) or sort(values, heads))
+    random = np.random.default_rng(2)
+    for most in (258, 1 << 16, 1 << 33):
+        text = np.append(random.integers(1, 5, 3000), 0)
+        text[:2] = most, most - 1
+        if most < 1 << 20:  # a bucket for each value
+            assert suffix_array(text).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+        assert suffix._narrow(most) == (np.uint16 if most < 1 << 16 else np.int32 if most < 1 << 31 else np.int64)
+    assert set(kinds) == {np.dtype(np.uint16), np.dtype(np.int32)}
+
+
 def test_common_prefixes():
     data = np.frombuffer(b"abracadabra abracadabra....................", dtype=np.uint8)
     order = suffix_array(np.append(data.astype(np.int64) + 1, 0))
