@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -98,8 +99,21 @@ def crc_mod(column: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+#: Of the C library, where it has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """What earlier tasks freed goes back to the system. Spark keeps a Python worker for many tasks and
+    stages; without this it stays as large as the largest of them made it."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut where their last column (the text) exceeds ``limit`` bytes; one long text stays whole."""
+    give_back()
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -120,6 +134,7 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 def grouped(batches: Iterable[pa.RecordBatch], keys: list[str], least: int) -> Iterator[pa.Table]:
     """Whole groups from rows that arrive with equal keys together, at least ``least`` rows at a time."""
+    give_back()
     kept: list[pa.RecordBatch] = []
     rows = 0
     for batch in batches:
