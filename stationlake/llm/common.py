@@ -19,6 +19,10 @@ from stationlake.session import scratch_dir
 SLICE_BYTES = 2 << 20
 
 
+#: Bits that mark keys by their hash.
+MARKS = 1 << 25
+
+
 def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator reads, under fixed names, so that other columns cannot clash."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -89,6 +93,20 @@ def annotated(
     return found.select(*(F.col(f"c{k}").alias(n) for k, n in enumerate(names)), *added.names)
 
 
+def with_marks(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``df`` with ``marked``: false only for rows whose ``key`` is in no row of ``wanted``.
+
+    The keys are marked by their hash in a bit map of a fixed size, which every task gets; so texts that
+    have no partner stay where they are. Of the marked rows a join decides.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(MARKS))
+    word, bit = F.floor(place / 64).alias("_word"), (place % 64).cast("int")
+    marks = wanted.select(word, F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit"))
+    marks = marks.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))  # at most MARKS / 64 rows
+    rows = df.withColumn("_word", word).join(F.broadcast(marks), "_word", "left")
+    return rows.select(*df.columns, F.coalesce(F.getbit("_bits", bit) == 1, F.lit(False)).alias("marked"))
+
+
 def bucket(n: int, *columns: str | Column) -> Column:
     """A number from 0 to n - 1 that depends on the values alone."""
     return F.pmod(F.xxhash64(*columns), F.lit(n))

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import id_of, numbered, spans, with_ties, written
+from stationlake.llm.common import LAST, id_of, numbered, spans, with_marks, with_ties, written
 from stationlake.llm.hashing import words
 from stationlake.llm.setjoin import Sets, least_shared, similar, sorted_in_groups, units
 
@@ -119,13 +119,21 @@ def without_repeated_lines(
     row = F.struct(*(n for n in docs.columns if n != text_col)).alias("row")
     ids, body = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     whole = docs.select(row, ids.alias("doc_id"), body.alias("text"))
-    whole = with_ties(whole)
-    body = whole.select("ord", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "tie")
+    tied = with_ties(whole)
+    body = tied.select("ord", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "tie")
     gone = _judged(body, threshold).where("removed").groupBy("ord", "tie").agg(F.collect_list("line").alias("gone"))
     gone = written(gone, "lines")
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), "gone")
     kept = F.transform(left, lambda k: F.element_at(lines, k.cast("int") + 1))
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    columns = (text.alias(n) if n == text_col else F.col(f"row.`{n}`").alias(n) for n in docs.columns)
-    return whole.join(gone, ["ord", "tie"], "left").select(*columns)
+
+    def columns(text):
+        return (text.alias(n) if n == text_col else F.col(f"row.`{n}`").alias(n) for n in docs.columns)
+
+    # Texts that lose no line stay where they are. All rows of an id go one way, so their ties hold.
+    ids = whole.withColumn("ord", F.coalesce("doc_id", F.lit(LAST)))
+    untouched = with_marks(ids, gone, "ord").where(~F.col("marked")).select(*columns(F.col("text")))
+    # The lists grow with the corpus and are not for every task, however small they are in files.
+    touched = with_marks(tied, gone, "ord").where("marked").join(gone.hint("merge"), ["ord", "tie"], "left")
+    return untouched.unionByName(touched.select(*columns(text)))

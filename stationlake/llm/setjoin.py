@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import grouped, slices, spans, starts_of_groups, text_bytes, written
+from stationlake.llm.common import grouped, slices, spans, starts_of_groups, text_bytes, with_marks, written
 from stationlake.llm.components import components, local_forest
 from stationlake.llm.hashing import mixed
 
@@ -29,8 +29,6 @@ BLOCK = 1 << 11
 CROWD, PAIRS = 1 << 9, 1 << 17
 #: Longest bit map, in 64 bits.
 WIDEST = 64
-#: Bits that mark the documents whose texts are read again.
-MARKS = 1 << 25
 
 #: From the texts of a batch: the tokens, each one's text and unit, in any order and with repeats.
 Tokens = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -182,10 +180,11 @@ def units(body: DataFrame, tokens: Tokens, counters: int = 0, stretch: int = STR
 def entries(
     body: DataFrame, tokens: Tokens, keys: Callable[[Sets], tuple[np.ndarray, ...]], stretch: int = STRETCH
 ) -> DataFrame:
-    """key, label, sizes, map: under which keys a set looks for similar ones.
+    """sizes, map, key, label: under which keys a set looks for similar ones.
 
     ``keys`` gives the key, the number of the set and the tokens of the set that come after that key.
-    Sets that repeat within a stretch of text are entered once.
+    Sets that repeat within a stretch of text are entered once. The hashes come last, next to the bytes of
+    the map: what is before them is much alike from row to row, and is packed well when rows are moved.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,11 +198,11 @@ def entries(
             key, owner, rest = key[kept], owner[kept], rest[kept]
             packed = sets.size[owner] << 32 | np.minimum(rest, 0xFFFFFFFF)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x.view(np.int64)) for x in (key, sets.label[owner], packed)), sets.maps().take(pa.array(owner))],
-                ["key", "label", "sizes", "map"],
+                [pa.array(packed), sets.maps().take(pa.array(owner)), *(pa.array(x.view(np.int64)) for x in (key, sets.label[owner]))],
+                ["sizes", "map", "key", "label"],
             )
 
-    return body.select("ord", "tie", "text").mapInArrow(work, "key long, label long, sizes long, map binary")
+    return body.select("ord", "tie", "text").mapInArrow(work, "sizes long, map binary, key long, label long")
 
 
 def candidates(found: DataFrame, t: Fraction, parts: int) -> DataFrame:
@@ -325,7 +324,7 @@ def sets_of(linked: DataFrame, body: DataFrame, tokens: Tokens, stretch: int = S
         .agg(F.collect_list(F.struct("unit", "label", "component", "blocks")).alias("wanted"))
     )
     wanted = written(wanted, "wanted")
-    joined = _with_ids(body, wanted).join(wanted, ["ord", "tie"]).select("ord", "tie", "wanted", "text")
+    joined = with_marks(body, wanted, "ord").where("marked").join(wanted, ["ord", "tie"]).select("ord", "tie", "wanted", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["component", "blocks", "label", "ord", "tie", "unit", "tokens"]
@@ -347,31 +346,6 @@ def sets_of(linked: DataFrame, body: DataFrame, tokens: Tokens, stretch: int = S
     )
 
 
-def _with_ids(body: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``body`` without most rows whose ``ord`` is not in ``wanted``, before its texts are moved.
-
-    The ids are marked in a bit map of fixed size by their hash; a row whose bit is not set cannot be
-    wanted. The join that follows is what decides.
-    """
-    hashed = F.pmod(F.xxhash64("ord"), F.lit(MARKS))
-    mark = wanted.select((hashed + 1).alias("mark"))
-    maps = mark.groupBy(F.bitmap_bucket_number("mark").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias("map")
-    )
-    table = np.zeros(MARKS >> 3, dtype=np.uint8)
-    for row in maps.collect():  # MARKS / 8 bytes in all
-        part = np.frombuffer(row["map"], dtype=np.uint8)
-        table[(row["bucket"] - 1) * len(part) :][: len(part)] = part
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = batch.column(0).to_numpy()
-            kept = (table[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-            yield batch.filter(pa.array(kept)).select([1, 2, 3])
-
-    return body.select(hashed, "ord", "tie", "text").mapInArrow(work, "ord long, tie long, text string")
-
-
 def similar(
     found: DataFrame,
     body: DataFrame,

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import annotated, grouped, spans, starts_of_groups, text_bytes, texts, written
+from stationlake.llm.common import annotated, grouped, spans, starts_of_groups, text_bytes, texts, with_marks, written
 from stationlake.llm.components import components, local_forest
 
 BITS = 64
@@ -261,14 +261,18 @@ def one_of_each_group(
 ) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest doc_id (null ids last, equal rows once)."""
     row = F.struct(*(n for n in docs.columns if n != text_col)).alias("row")
-    marked = docs.select(row, F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("number"))
-    marked = written(fingerprints(marked, shingle), "fingerprints")  # the numbers of the rows are settled here
-    rows = marked.select("number", F.col(f"row.`{id_col}`").cast("long").alias("doc_id"), "fp")
+    whole = docs.select(row, F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("number"))
+    whole = written(fingerprints(whole, shingle), "fingerprints")  # the numbers of the rows are settled here
+    rows = whole.select("number", F.col(f"row.`{id_col}`").cast("long").alias("doc_id"), "fp")
     order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "number")
     least = rows.groupBy("fp").agg(F.min(order).alias("least")).join(_components(rows, distance), "fp")
-    kept = least.groupBy("component").agg(F.min("least").getField("number").alias("number"))
+    kept = written(least.groupBy("component").agg(F.min("least").getField("number").alias("number")), "kept")
+    # Of the texts only those that may go are moved; most are the only ones of their group.
+    whole = with_marks(whole, rows.select("number").join(kept, "number", "left_anti"), "number")
     columns = (F.col("text").alias(n) if n == text_col else F.col(f"row.`{n}`").alias(n) for n in docs.columns)
-    return marked.join(kept.select("number"), "number", "left_semi").select(*columns)
+    columns = list(columns)
+    single = whole.where(~F.col("marked")).select(*columns)
+    return single.unionByName(whole.where("marked").join(kept, "number", "left_semi").select(*columns))
 
 
 def _components(rows: DataFrame, distance: int) -> DataFrame:

@@ -109,3 +109,21 @@ def lines_left(rows, judged):
             text = "\n".join(l for k, l in enumerate(text.split("\n")) if (doc, k) not in gone)
         out.append((doc, text))
     return out
+
+
+def bytes_moved(df):
+    """Bytes of rows that the shuffles of a plan have dealt out; the plan has run."""
+    plans, total = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif name != "ReusedExchangeExec":
+            if name == "ShuffleExchangeExec":
+                total += plan.metrics().apply("dataSize").value()
+            children = plan.children()
+            plans += [children.apply(k) for k in range(children.size())]
+    return total

@@ -3,7 +3,7 @@ import os
 import pytest
 
 import corpus_pipeline
-from llm_helpers import brute_lines, lines_left
+from llm_helpers import brute_lines, bytes_moved, lines_left
 from test_simhash import expected as simhash_expected
 
 from stationlake.llm.decontam import plain
@@ -78,3 +78,26 @@ def test_odd_documents(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_texts_that_stay_whole_are_not_moved(spark):
+    """Five copies, and five texts with a line of another one, among long ones that have nothing in common."""
+    long = [" ".join(f"w{k}x{n}" for n in range(100)) for k in range(100)]
+    rows = [(k, text, "en", "s", len(text)) for k, text in enumerate(long)]
+    rows += [(1000 + k, long[k], "en", "s", len(long[k])) for k in range(5)]
+    rows += [(2000 + k, f"{long[k]}\nown words of {k} " + "z" * k, "en", "s", 9) for k in range(5, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    size = sum(len(r[1]) for r in rows)
+    texts = [(r[0], r[1]) for r in rows]
+    wanted = {
+        corpus_pipeline.lines: sorted(lines_left(texts, brute_lines(texts))),
+        corpus_pipeline.near_duplicates: sorted((i, t) for i, t in texts if i in {c for _, _, c in simhash_expected(texts)}),
+    }
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stage, want in wanted.items():
+            left = stage(spark, docs, "")
+            assert sorted((r.doc_id, r.text) for r in left.collect()) == want
+            assert 0 < bytes_moved(left) < size / 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
