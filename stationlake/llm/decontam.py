@@ -100,25 +100,49 @@ def stretches(texts: list[bytes], terms: np.ndarray):
     place = np.arange(len(word)) - np.repeat(np.cumsum(count) - count, count)
     first = np.flatnonzero(place % STRETCH == 0)
     of = np.cumsum(place % STRETCH == 0) - 1
-    at = np.minimum(np.searchsorted(terms, word), max(0, len(terms) - 1))
-    known = terms[at] == word if len(terms) else np.zeros(len(word), dtype=bool)
+    at, known = _places(terms, word)
     return word, text[first], first, at[known], of[known]
 
 
-def _pairs(terms: int, term: np.ndarray, of: np.ndarray) -> np.ndarray:
+def _places(terms: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each word among the terms, and whether it is one.
+
+    Terms are hashes, so their first bits spread them: a word is compared with the first term of its bits,
+    and searched for only if it is another one and its bits have more than one term.
+    """
+    if not len(terms):
+        return np.zeros(len(word), dtype=np.int64), np.zeros(len(word), dtype=bool)
+    bits = min(20, len(terms).bit_length() + 4)
+    shift = np.uint64(64 - bits)
+    count = np.bincount((terms >> shift).astype(np.int64), minlength=1 << bits)
+    begin = np.minimum(np.cumsum(count) - count, len(terms) - 1)
+    crowded = count > 1
+    slot = (word >> shift).view(np.int64)
+    at = begin[slot]
+    known = terms[at] == word
+    open_ = np.flatnonzero(crowded[slot] & ~known)
+    at[open_] = np.minimum(np.searchsorted(terms, word[open_]), len(terms) - 1)
+    known[open_] = terms[at[open_]] == word[open_]
+    return at, known
+
+
+def _pairs(terms: int, term: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A key of each two words of one stretch that are terms, and of each such word with itself: the upper
-    triangle of the product of the transposed matrix of terms by itself, one entry a unit."""
+    triangle of the product of the transposed matrix of terms by itself, one entry a unit. And whether
+    a word is the first of its term in its stretch."""
     # Two words of one term stand on both sides of the diagonal.
-    found, width = [_key_of(terms, term, term)], 1
+    found, width, first = [_key_of(terms, term, term)], 1, np.ones(len(term), dtype=bool)
     while width < STRETCH:
         near = of[width:] == of[:-width]
         if not near.any():
             break
         one, two = term[width:][near], term[:-width][near]
         key = _key_of(terms, np.minimum(one, two), np.maximum(one, two))
-        found += [key, key[one == two]]
+        same = one == two
+        found += [key, key[same]]
+        first[width + np.flatnonzero(near)[same]] = False
         width += 1
-    return np.concatenate(found)
+    return np.concatenate(found), first
 
 
 def _key_of(terms: int, term, other):
@@ -142,8 +166,10 @@ def stretch_counts(docs: DataFrame, terms: np.ndarray) -> StretchCounts:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in slices(batches, BATCH_BYTES):
             _, text, _, term, of = stretches([plain(t) for t in batch.column(0).to_pylist()], terms)
-            each = np.unique(of * n_terms + term) % n_terms
-            held += [np.unique(k, return_counts=True) for k in (_key_of(n_terms, each, -1), _pairs(n_terms, term, of))]
+            pairs, fresh = _pairs(n_terms, term, of)
+            each = np.bincount(term[fresh], minlength=n_terms)
+            seen = np.flatnonzero(each)
+            held += [(_key_of(n_terms, seen, -1), each[seen]), np.unique(pairs, return_counts=True)]
             held.append((np.array([_key_of(n_terms, n_terms, -1)]), np.array([len(text)])))
             if sum(len(key) for key, _ in held) > HELD_PAIRS:
                 held = [_summed(held)]
@@ -216,7 +242,7 @@ def singular_vectors(
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))[0].astype(np.float32)
     pairs = counted.rows.where("other >= 0")
     _, _, _, term, of = stretches([plain(text) for text in items.texts], items.terms)
-    key, n = np.unique(_pairs(n_terms, term, of), return_counts=True)
+    key, n = np.unique(_pairs(n_terms, term, of)[0], return_counts=True)
     own = key // (n_terms + 1), key % (n_terms + 1) - 1, n
 
     def product(basis: np.ndarray) -> np.ndarray:
@@ -483,8 +509,8 @@ class _Finder:
             p, q = self._sharing(term, of, text)
             candidates.append(p * len(self.words) + q)
         for lo in range(0, len(passages), 8_192):
-            p, q = np.nonzero(passages[lo : lo + 8_192] @ self.queries.T >= self.bars)
-            candidates.append((lo + p) * len(self.words) + q)
+            near = passages[lo : lo + 8_192] @ self.queries.T >= self.bars
+            candidates.append(lo * len(self.words) + np.flatnonzero(near.ravel()))
         pairs = np.unique(np.concatenate(candidates))
         for lo in range(0, len(pairs), 8_192):
             p, q = np.divmod(pairs[lo : lo + 8_192], len(self.words))

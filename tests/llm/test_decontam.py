@@ -268,3 +268,27 @@ def test_counts_are_summed_in_parts(spark, monkeypatch):
     monkeypatch.setattr(decontam, "HELD_PAIRS", 300)
     monkeypatch.setattr(decontam, "BATCH_BYTES", 1000)
     assert rows() == whole
+
+
+@pytest.mark.parametrize("crowd", [0, 300])
+def test_words_are_found_among_the_terms(crowd):
+    random = np.random.default_rng(14)
+    terms = np.unique(np.append(random.integers(0, 2**64, 500, dtype=np.uint64), (7 << 56) + np.arange(crowd, dtype=np.uint64) * 3))
+    edge = np.array([0, 2**64 - 1, 7 << 56, (7 << 56) + 1], dtype=np.uint64)
+    word = np.concatenate((random.permutation(np.repeat(terms, 3)), random.integers(0, 2**64, 2000, dtype=np.uint64), edge))
+    for known in (terms, terms[:1], terms[:0]):
+        at, found = decontam._places(known, word)
+        assert np.array_equal(found, np.isin(word, known))
+        assert np.array_equal(known[at[found]], word[found])
+
+
+def test_a_term_counts_once_a_stretch(spark):
+    """Counted from the pairs of words of a stretch, without another sort."""
+    terms = np.unique(words([b"a b c"])[0])
+    docs = spark.createDataFrame([("a a b a x a",), ("c " * 40 + "a",), (None,)], "text string")
+    rows = decontam.stretch_counts(docs, terms).rows.where("other = -1").collect()
+    counts = {r.term: r.n for r in rows}
+    place = {w: int(np.searchsorted(terms, words([w.encode()])[0][0])) for w in "abc"}
+    assert counts == {place["a"]: 2, place["b"]: 1, place["c"]: 3, 3: 4}
+    each = decontam._pairs(3, np.array([0, 1, 0, 2, 0, 0]), np.array([0, 0, 0, 0, 0, 1]))[1]
+    assert each.tolist() == [True, True, False, True, False, True]
