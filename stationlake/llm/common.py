@@ -123,7 +123,8 @@ _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 def give_back() -> None:
     """What earlier tasks freed goes back to the system. Spark keeps a Python worker for many tasks and
-    stages; without this it stays as large as the largest of them made it."""
+    stages; without this it stays as large as the largest of them made it. Called when a task begins and, for
+    workers that then wait while others work, when its rows are at an end."""
     pa.default_memory_pool().release_unused()
     if _trim:
         _trim(0)
@@ -143,6 +144,7 @@ def slices(batches: Iterable[pa.RecordBatch], limit: int = SLICE_BYTES) -> Itera
             end = max(start + 1, int(np.searchsorted(total, base + limit, side="right")))
             yield batch.slice(start, end - start)
             start = end
+    give_back()
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:
@@ -172,6 +174,8 @@ def grouped(batches: Iterable[pa.RecordBatch], keys: list[str], least: int) -> I
         least = max(least, 2 * rows) if not edge else least
     if rows:
         yield pa.Table.from_batches(kept).combine_chunks()
+    kept.clear()
+    give_back()
 
 
 def starts_of_groups(columns: list[np.ndarray]) -> np.ndarray:
