@@ -3,9 +3,9 @@
 A string of ``length`` bytes is looked for wherever it starts. Each such window is dealt to one
 shard by its anchor: the least hash of the short byte sequences inside it, so equal windows meet.
 Windows of one anchor occurrence form one segment. Equal segments are one class: all but the first
-hold only windows that start earlier, too. The first ones of all classes that share an anchor form
-the text of a shard; its suffix array gives the windows that segments share in part. An anchor with
-very many classes is replaced by a longer one; where that has very many segments, too, its windows are
+hold only windows that start earlier, too. The first ones of all classes that share an anchor, less the
+windows that differ from all others in the bytes around it, form the text of a shard; its suffix array
+gives the windows that segments share in part. An anchor with very many classes is replaced by a longer one; where that has very many segments, too, its windows are
 compared one by one.
 """
 
@@ -30,6 +30,8 @@ CROWDED = 5_000
 STRETCH = 1 << 20
 SHARD_SEGMENTS = 4_000
 _PLACE = 22  # bits for a place within a stretch
+#: Places of the anchor in a window that are looked at together before the suffix array.
+GRAIN = 8
 
 
 def _least(x: np.ndarray, size: int) -> np.ndarray:
@@ -222,6 +224,40 @@ def _shards(batches: Iterator[pa.RecordBatch], crowded: int) -> Iterator[tuple[p
         yield from divided(pa.Table.from_batches(kept).combine_chunks())
 
 
+def _candidates(data: np.ndarray, begin: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segments in which a window may equal one of another segment, the first such window and the number up to
+    the last one. The ``n`` windows of a segment, from ``begin`` on, have one anchor.
+
+    Equal windows have it in the same place. So those with the anchor in one of GRAIN neighbouring places agree
+    in all bytes that windows of these places have in common; where no other segment has these bytes, no window
+    can be equal.
+    """
+    keys = rolling(data, ANCHOR) >> np.uint64(_PLACE)
+    anchor = np.zeros(len(begin), dtype=np.int64)
+    least = keys[begin]
+    for k in range(1, length - ANCHOR + 1):
+        key = keys[begin + k]
+        lower = key < least
+        least[lower] = key[lower]
+        anchor[lower] = k
+    low, high = (anchor - n + 1) // GRAIN, anchor // GRAIN
+    segment = np.repeat(np.arange(len(begin)), high - low + 1)
+    cell = spans(low, high - low + 1)
+    common = begin[segment] + anchor[segment] - cell * GRAIN
+    digest = digests(data, common, common + length - GRAIN + 1) + cell.astype(np.uint64)
+    order = digest.argsort()
+    equal = np.flatnonzero(digest[order[1:]] == digest[order[:-1]])
+    met = np.zeros(len(digest), dtype=bool)
+    met[order[equal]] = met[order[equal + 1]] = True
+    met = np.flatnonzero(met)
+    edge = starts_of_groups([segment[met]])
+    found = segment[met[edge]]
+    least, most = cell[met[edge]], cell[met[np.append(edge, len(met))[1:] - 1]]
+    lo = np.maximum(anchor[found] - most * GRAIN - GRAIN + 1, 0)
+    hi = np.minimum(anchor[found] - least * GRAIN, n[found] - 1)
+    return found, lo, hi - lo + 1
+
+
 def _shared(bodies: DataFrame, length: int, parts: int, crowded: int) -> DataFrame:
     """Runs of windows that also start earlier, from the suffix array of each shard: ord, tie, pos, n. Where
     a route is crowded, all its windows, with their digest and n = 0."""
@@ -248,23 +284,31 @@ def _shared(bodies: DataFrame, length: int, parts: int, crowded: int) -> DataFra
                         [pa.array(x) for x in (ids[owner], ties[owner], place, none, routes[owner], digest)], columns
                     )
                 continue
-            value = data.astype(np.int64) + 2
+            found, lo, n = _candidates(data, begin, sizes - length + 1, length)
+            if not len(found):
+                continue
+            ids, ties, at, begin, sizes = ids[found], ties[found], at[found] + lo, begin[found] + lo, n + length - 1
+            data = data[spans(begin, sizes + 1)]
+            begin = np.cumsum(sizes + 1) - sizes - 1
+            value = np.zeros(len(data) + 1, dtype=np.uint16)
+            value[:-1] = data
+            value[:-1] += 2
             value[begin + sizes] = 1  # between segments
-            order = suffix_array(np.append(value, 0))
-            windows = spans(begin, sizes - length + 1)
-            owner = np.repeat(np.arange(len(bodies)), sizes - length + 1)
+            order = suffix_array(value)
+            windows = spans(begin, n)
+            owner = np.repeat(np.arange(len(n)), n)
             prefix = common_prefixes(data, order, windows, length)
 
-            # Windows in suffix order; a new group where less than a whole window is shared.
-            rank = np.empty(len(order), dtype=np.int64)
-            rank[order] = np.arange(len(order))
-            by_rank = np.argsort(rank[windows], kind="stable")
-            group = np.cumsum(prefix[by_rank] < length) - 1 if len(by_rank) else by_rank
+            # Windows in suffix order; a new group where less than a whole window is shared. Their numbers are
+            # in the order of the rows, as all that are equal have one route.
+            number = np.full(len(order), -1, dtype=np.int64)
+            number[windows] = np.arange(len(windows))
+            by_rank = number[order]
+            by_rank = by_rank[by_rank >= 0]
             place = at[owner] + windows - begin[owner]
-            earliest = np.lexsort((place[by_rank], ties[owner][by_rank], ids[owner][by_rank], group))
             repeated = np.ones(len(windows), dtype=bool)
-            if len(earliest):
-                repeated[by_rank[earliest[starts_of_groups([group[earliest]])]]] = False
+            edge = np.flatnonzero(np.append(True, prefix[by_rank[1:]] < length))
+            repeated[np.minimum.reduceat(by_rank, edge)] = False
             hit = np.flatnonzero(repeated)
             if not len(hit):
                 continue

@@ -12,7 +12,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
     Suffixes are of type S if smaller than the next one, else L. The leftmost S positions begin the
     substrings that are sorted first, by inducing L and S suffixes from them in bucket order; equal
-    substrings get equal names, and the string of names, if a name repeats, is sorted recursively.
+    substrings get equal names, and the suffixes of the string of names, if a name repeats, are sorted by
+    doubling: its buckets are so many and small that induced stretches there are a few places each.
     The order of the leftmost S suffixes then induces that of all others.
     """
     n = len(text)
@@ -32,7 +33,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     order = order[leftmost[order]]
     names, distinct = _names(text, begins, order)
     if distinct < len(begins):
-        order = begins[suffix_array(names)]
+        order = begins[_doubled(names)]
     return _induced(text, small, starts, ends, order)
 
 
@@ -75,6 +76,33 @@ def _names(text, begins, order) -> tuple[np.ndarray, int]:
     return of[begins], int(rank[-1]) + 1
 
 
+def _doubled(names: np.ndarray) -> np.ndarray:
+    """The order of all suffixes of ``names``, whose last value must be the least and single.
+
+    Those that share their first names are told apart by the places that the suffixes behind these have
+    so far; each round doubles what is shared, and looks only at those not yet told apart.
+    """
+    n = len(names)
+    order = names.argsort()
+    open_ = np.arange(n)
+    key = names[order]
+    rank = np.empty(n, dtype=np.int64)  # the first place of those not told apart
+    step = 1
+    while True:
+        fresh = np.append(True, key[1:] != key[:-1])
+        edge = np.flatnonzero(fresh)
+        count = np.diff(np.append(edge, len(key)))
+        rank[order[open_]] = np.repeat(open_[edge], count)
+        open_ = open_[np.repeat(count > 1, count)]
+        if not len(open_):
+            return order
+        tied = order[open_]
+        key = rank[tied] * n + rank[tied + step]
+        by = key.argsort()
+        order[open_], key = tied[by], key[by]
+        step *= 2
+
+
 def _induced(text, small, starts, ends, seeds) -> np.ndarray:
     """All suffixes in bucket order, induced from ``seeds`` in the order given."""
     n = len(text)

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from stationlake.llm.passages import _shards, remove_repeats, segments
+from stationlake.llm.passages import _candidates, _shards, remove_repeats, segments
 from stationlake.llm.suffix import common_prefixes, suffix_array
 
 
@@ -57,6 +57,18 @@ def test_suffix_array_sorts_small_alphabets_by_counting(monkeypatch):
     assert set(kinds) == {np.dtype(np.uint16), np.dtype(np.int32)}
 
 
+@pytest.mark.parametrize("unit, times", [(1, 900), (2, 400), (60, 30), (500, 3)])
+def test_names_that_repeat_are_sorted_without_another_scan(monkeypatch, unit, times):
+    from stationlake.llm import suffix
+
+    scans, scan = [], suffix._scan
+    monkeypatch.setattr(suffix, "_scan", lambda *a: scans.append(len(a[0])) or scan(*a))
+    random = np.random.default_rng(unit)
+    text = np.concatenate([np.tile(random.integers(1, 20, unit), times), random.integers(1, 3, 300), [0]])
+    assert suffix_array(text).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+    assert scans == [len(text)] * 4
+
+
 def test_common_prefixes():
     data = np.frombuffer(b"abracadabra abracadabra....................", dtype=np.uint8)
     order = suffix_array(np.append(data.astype(np.int64) + 1, 0))
@@ -77,6 +89,33 @@ def test_equal_windows_have_equal_anchors():
     assert n.sum() == 501 and (of[400:501] == of[100:201]).all()
 
 
+def test_only_windows_that_may_be_equal_are_candidates():
+    random = np.random.default_rng(8)
+    letters = lambda n: random.integers(97, 123, n, dtype=np.uint8).tobytes()
+    found = equal = other = 0
+    for _ in range(60):
+        whole = letters(190)
+        lo = int(random.integers(0, 100))
+        part = whole[lo : lo + int(random.integers(60, 191 - lo))]
+        texts = [letters(110) + whole + letters(110), letters(130) + part + letters(130)]
+        bodies = []
+        for text in texts:
+            data = np.frombuffer(text, dtype=np.uint8)
+            for _, first, n, route in zip(*segments(data, np.zeros(1, int), np.full(1, len(text) - 99), 100, 16)):
+                bodies.append((int(route), text[first : first + n + 99], int(n)))
+        data = np.frombuffer(b"".join(b + b"\0" for _, b, _ in bodies), dtype=np.uint8)
+        n = np.array([x for *_, x in bodies])
+        begin = np.cumsum(n + 100) - n - 100
+        seen = [(route, body[k : k + 100]) for route, body, size in bodies for k in range(size)]
+        again = {(s, k) for s, (route, body, size) in enumerate(bodies) for k in range(size) if seen.count((route, body[k : k + 100])) > 1}
+        kept = {(s, k) for s, lo, size in zip(*_candidates(data, begin, n, 100)) for k in range(lo, lo + size)}
+        assert again <= kept <= {(s, k) for s in range(len(n)) for k in range(n[s])}
+        assert kept or len(part) < 100
+        assert not kept or len(part) >= 93
+        found, equal, other = found + len(kept), equal + len(again), other + int(n.sum())
+    assert 0 < equal <= found < other / 2
+
+
 def test_against_brute_force(documents):
     table, rows = documents
     assert result(remove_repeats(table, content=False)) == brute(rows)
